@@ -67,6 +67,17 @@ def observe_count(df: DataFrame, name: str, alias: str = "n") -> tuple[DataFrame
     return df.observe(obs, F.count(F.lit(1)).alias(alias)), obs
 
 
+def observed(obs: Observation, key: str, default=0):
+    """An observed metric after the action ran. When AQE found the observed
+    subtree empty at run time it replaces it with an empty relation and
+    no metrics are reported; the count is then the default (zero)."""
+    try:
+        values = obs.get
+    except Exception:  # noqa: BLE001 - metrics row missing: nothing flowed through
+        return default
+    return values.get(key, default) if values else default
+
+
 def count_rows(parts: dict[str, DataFrame]) -> DataFrame:
     """One row with a count per named frame, computed in one job.
 

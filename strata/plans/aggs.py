@@ -68,7 +68,8 @@ def touched_groups(old_fact: DataFrame | None, new_rows: DataFrame, group: str)
 
 def refresh(agg: DataFrame | None, fact: DataFrame, touched: DataFrame, group: str, build) -> DataFrame:
     """Aggregate rows for the touched groups recomputed from the fact, the
-    other groups carried over unchanged."""
+    other groups carried over unchanged (the pure form of the lake's
+    bucket-wise refresh)."""
     fresh = build(fact.join(touched, group, "left_semi"))
     if agg is None:
         return fresh

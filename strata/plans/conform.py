@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.casts import to_decimal, to_double, to_int, to_ts
 from strata.functions.text import clean_city, clean_lower, clean_state, clean_zip
-from strata.sources.specs import BATCH_ID, INGEST_TS, META
+from strata.sources.specs import BATCH_ID, INGEST_TS, META, RAW_RECORD
 
 
 @dataclass(frozen=True)
@@ -28,11 +28,16 @@ class Entity:
         return [BATCH_ID, INGEST_TS, *self.order_by]
 
 
+def meta(raw: DataFrame) -> list[str]:
+    """Audit columns carried through, plus the raw record when present."""
+    return [c for c in (*META, RAW_RECORD) if c in raw.columns]
+
+
 def conform_category(raw: DataFrame) -> DataFrame:
     return raw.select(
         F.col("product_category_name").alias("category_pt"),
         F.col("product_category_name_english").alias("category_en"),
-        *META,
+        *meta(raw),
     )
 
 
@@ -43,7 +48,7 @@ def conform_customer(raw: DataFrame) -> DataFrame:
         clean_zip("customer_zip_code_prefix").alias("zip_prefix"),
         clean_city("customer_city").alias("city"),
         clean_state("customer_state").alias("state"),
-        *META,
+        *meta(raw),
     )
 
 
@@ -53,7 +58,7 @@ def conform_seller(raw: DataFrame) -> DataFrame:
         clean_zip("seller_zip_code_prefix").alias("zip_prefix"),
         clean_city("seller_city").alias("city"),
         clean_state("seller_state").alias("state"),
-        *META,
+        *meta(raw),
     )
 
 
@@ -63,7 +68,7 @@ def conform_geolocation(raw: DataFrame) -> DataFrame:
         clean_zip("geolocation_zip_code_prefix").alias("zip_prefix"),
         to_double("geolocation_lat").alias("lat"),
         to_double("geolocation_lng").alias("lng"),
-        *META,
+        *meta(raw),
     )
 
 
@@ -101,7 +106,7 @@ def conform_product(raw: DataFrame, translation: DataFrame) -> DataFrame:
         to_int("product_length_cm").alias("length_cm"),
         to_int("product_height_cm").alias("height_cm"),
         to_int("product_width_cm").alias("width_cm"),
-        *META,
+        *meta(raw),
     )
 
 
@@ -115,7 +120,7 @@ def conform_order(raw: DataFrame) -> DataFrame:
         to_ts("order_delivered_carrier_date").alias("delivered_carrier_ts"),
         to_ts("order_delivered_customer_date").alias("delivered_customer_ts"),
         to_ts("order_estimated_delivery_date").alias("estimated_delivery_ts"),
-        *META,
+        *meta(raw),
     )
 
 
@@ -128,7 +133,7 @@ def conform_order_item(raw: DataFrame) -> DataFrame:
         to_ts("shipping_limit_date").alias("shipping_limit_ts"),
         to_decimal("price").alias("price"),
         to_decimal("freight_value").alias("freight_value"),
-        *META,
+        *meta(raw),
     )
 
 
@@ -139,7 +144,7 @@ def conform_order_payment(raw: DataFrame) -> DataFrame:
         clean_lower("payment_type").alias("payment_type"),
         to_int("payment_installments").alias("payment_installments"),
         to_decimal("payment_value").alias("payment_value"),
-        *META,
+        *meta(raw),
     )
 
 
@@ -152,7 +157,7 @@ def conform_order_review(raw: DataFrame) -> DataFrame:
         F.col("review_comment_message").alias("comment_message"),
         to_ts("review_creation_date").alias("creation_ts"),
         to_ts("review_answer_timestamp").alias("answer_ts"),
-        *META,
+        *meta(raw),
     )
 
 

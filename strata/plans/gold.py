@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.quality import Counts, observe_count
+from strata.operators.quality import SOFT_CHECKS, Counts, observe_count, observed, soft_check_counts
 from strata.plans import aggs, dims, facts
 from strata.sources.lake import BUCKET, Lake
 
@@ -45,27 +45,64 @@ def with_batch_rows(table: DataFrame, touched_orders: DataFrame, batch_id: str)
 
 
 def build_dim_product(lake: Lake, batch_id: str) -> Counts | None:
+    """Type-2 load of the products this batch delivered, reading and
+    rewriting only the dimension buckets those products live in. The
+    first load also writes the unknown member (key -1)."""
     src = silver(lake, "product").filter(F.col("_batch_id") == batch_id)
     src = src.select(*dims.PRODUCT_ATTRS)
     if src.isEmpty():
         return None
     counted, obs = observe_count(src, f"dim-product-{batch_id}")
     if not lake.exists("gold", "dim_product"):
-        lake.replace_keyed(dims.dim_product(None, counted, None), "gold", "dim_product", ["product_id"])
+        first = dims.dim_product(None, counted, None).unionByName(dims.unknown_product(lake.spark))
+        lake.replace_keyed(first, "gold", "dim_product", ["product_id"])
     else:
         current = lake.read_touched("gold", "dim_product", src, ["product_id"]).drop(BUCKET)
         lake.replace_keyed(dims.dim_product(current, counted, batch_id), "gold", "dim_product", ["product_id"])
-    n = obs.get["n"]
+    n = observed(obs, "n")
     return Counts(n, n, 0)
 
 
-def build_fact(lake: Lake, name: str, fact: DataFrame, rows_in: DataFrame, keys: list[str], batch_id: str) -> Counts:
-    counted_in, obs_in = observe_count(rows_in, f"{name}-in-{batch_id}")
-    del counted_in
-    out, obs_out = observe_count(fact.withColumn("_batch_id", F.lit(batch_id)), f"{name}-out-{batch_id}")
-    lake.upsert_keyed(out, "gold", name, keys, version_col="_batch_id")
-    n = obs_out.get["n"]
-    return Counts(n, n, 0)
+AGGREGATES = {
+    # table: (group column, builder)
+    "agg_daily_sales": ("purchase_date_key", aggs.agg_daily_sales),
+    "agg_customer_ltv": ("customer_key", aggs.agg_customer_ltv),
+}
+
+
+def stage_touched_groups(lake: Lake, staged: DataFrame, batch_id: str) -> None:
+    """Groups of the aggregates this batch changes: those of its fact rows
+    and, for rows that already existed, their previous groups (a row whose
+    order moved to another day or person changes both). Written before
+    the fact table is rewritten, so they describe the old state."""
+    old = lake.read("gold", "fact_order_items")
+    for table, (group, _) in AGGREGATES.items():
+        lake.replace_batch(aggs.touched_groups(old, staged, group), "ops", f"touched_{table}", batch_id)
+
+
+def refresh_aggregates(lake: Lake, batch_id: str) -> None:
+    """Recompute only the touched groups from the fact table; the first
+    build is a full one."""
+    fact = lake.read("gold", "fact_order_items")
+    if fact is None:
+        return
+    for table, (group, build) in AGGREGATES.items():
+        if not lake.exists("gold", table):
+            lake.replace_keyed(build(fact), "gold", table, [group])
+            continue
+        touched = lake.read_batch("ops", f"touched_{table}", batch_id)
+        if touched is None:
+            continue
+        touched = touched.select(group)
+        fresh = build(fact.join(touched, group, "left_semi"))
+        lake.refresh_keyed(fresh, touched, "gold", table, [group])
+
+
+def log_soft_checks(lake: Lake, items: DataFrame, orders: DataFrame, batch_id: str) -> None:
+    """Warnings (never rejects) on this batch's items with their orders."""
+    o = orders.select("order_id", "purchase_ts", "approved_ts", "delivered_customer_ts")
+    j = items.select("order_id", "shipping_limit_ts").join(o, "order_id")
+    lake.replace_batch(soft_check_counts(j, SOFT_CHECKS), "ops", "soft_checks", batch_id)
 
 
 def build_gold(lake: Lake, batch_id: str, date_range: tuple[str, str] = ("2016-01-01", "2019-12-31")) -> dict[str, Counts]:
@@ -89,16 +126,18 @@ def build_gold(lake: Lake, batch_id: str, date_range: tuple[str, str] = ("2016-0
 
     items = with_batch_rows(silver(lake, "order_item"), touched, batch_id)
     if not items.isEmpty():
-        fact, obs_f = observe_count(facts.fact_order_items(items, orders, customers, products), f"foi-{batch_id}")
-        items_in, obs_i = observe_count(items, f"foi-in-{batch_id}")
-        orphans = facts.orphan_items(items, orders).count()
-        lake.upsert_keyed(
-            fact.withColumn("_batch_id", F.lit(batch_id)), "gold", "fact_order_items", ["order_id", "order_item_id"],
-            version_col="_batch_id",
+        # the batch's fact rows are computed once, into a staging slice
+        n_out = lake.replace_batch(
+            facts.fact_order_items(items, orders, customers, products), "ops", "stage_fact_order_items", batch_id
         )
-        n_out = obs_f.get["n"]
+        staged = lake.read_batch("ops", "stage_fact_order_items", batch_id)
+        orphans = facts.orphan_items(items, orders).count()
+        if staged is not None:
+            stage_touched_groups(lake, staged, batch_id)
+            lake.upsert_keyed(staged, "gold", "fact_order_items", ["order_id", "order_item_id"], version_col="_batch_id")
+            refresh_aggregates(lake, batch_id)
         counts["fact_order_items"] = Counts(n_out + orphans, n_out, orphans)
-        del items_in, obs_i
+        log_soft_checks(lake, items, orders, batch_id)
 
     payments = with_batch_rows(silver(lake, "order_payment"), touched, batch_id)
     if not payments.isEmpty():
@@ -107,7 +146,7 @@ def build_gold(lake: Lake, batch_id: str, date_range: tuple[str, str] = ("2016-0
             fact.withColumn("_batch_id", F.lit(batch_id)), "gold", "fact_payments", ["order_id", "payment_sequential"],
             version_col="_batch_id",
         )
-        n = obs.get["n"]
+        n = observed(obs, "n")
         counts["fact_payments"] = Counts(n, n, 0)
 
     reviews = silver(lake, "order_review").filter(F.col("_batch_id") == batch_id)
@@ -117,11 +156,6 @@ def build_gold(lake: Lake, batch_id: str, date_range: tuple[str, str] = ("2016-0
             fact.withColumn("_batch_id", F.lit(batch_id)), "gold", "fact_reviews", ["review_id", "order_id"],
             version_col="_batch_id",
         )
-        n = obs.get["n"]
+        n = observed(obs, "n")
         counts["fact_reviews"] = Counts(n, n, 0)
-
-    fact_items = lake.read("gold", "fact_order_items")
-    if fact_items is not None:
-        lake.overwrite(aggs.agg_daily_sales(fact_items), "gold", "agg_daily_sales")
-        lake.overwrite(aggs.agg_customer_ltv(fact_items), "gold", "agg_customer_ltv")
     return counts

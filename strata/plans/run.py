@@ -11,6 +11,7 @@ from strata.plans.gold import build_gold
 from strata.plans.silver import build_silver, ingest_bronze
 from strata.session import configure
 from strata.sources.lake import Lake
+from strata.sources.specs import SOURCES
 
 DQ_SCHEMA = (
     "batch_id string, layer string, tbl string, rows_in long, rows_out long, rows_quarantined long, logged_at timestamp"
@@ -18,15 +19,18 @@ DQ_SCHEMA = (
 
 
 def list_batches(lake: Lake, batches_dir: str) -> list[str]:
-    """Batch ids in lexical (= time) order: sub-folders ``YYYY-MM``, or
-    ``batch_id=YYYY-MM`` folders as written by a partitioned writer."""
-    names = lake.list_dirs(batches_dir)
-    return sorted(n.split("=", 1)[1] if n.startswith("batch_id=") else n for n in names)
-
-
-def batch_folder(batches_dir: str, batch_id: str, lake: Lake) -> str:
-    plain = f"{batches_dir.rstrip('/')}/{batch_id}"
-    return plain if lake.path_exists(plain) else f"{batches_dir.rstrip('/')}/batch_id={batch_id}"
+    """Batch ids in lexical (= time) order: sub-folders ``YYYY-MM`` of the
+    batches folder, or ``batch_id=YYYY-MM`` folders under per-source
+    folders (as a partitioned writer lays them out)."""
+    names = set()
+    for n in lake.list_dirs(batches_dir):
+        if n in SOURCES:
+            names.update(
+                d.split("=", 1)[1] for d in lake.list_dirs(f"{batches_dir.rstrip('/')}/{n}") if d.startswith("batch_id=")
+            )
+        elif not n.startswith((".", "_")):
+            names.add(n.split("=", 1)[1] if n.startswith("batch_id=") else n)
+    return sorted(names)
 
 
 def run_batch(lake: Lake, batches_dir: str, batch_id: str) -> list[tuple]:
@@ -43,7 +47,7 @@ def run_batch(lake: Lake, batches_dir: str, batch_id: str) -> list[tuple]:
         for tbl, c in counts.items():
             log.append((batch_id, layer, tbl, int(c.rows_in), int(c.rows_out), int(c.rows_quarantined), now))
 
-    add("bronze", ingest_bronze(lake, batch_folder(batches_dir, batch_id, lake), batch_id))
+    add("bronze", ingest_bronze(lake, batches_dir, batch_id))
     add("silver", build_silver(lake, batch_id))
     add("gold", build_gold(lake, batch_id))
     lake.replace_rows(log, DQ_SCHEMA, "ops", "dq_log", batch_id)

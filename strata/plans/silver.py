@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,22 +12,34 @@ from strata.operators.quality import (
     clean_part,
     observe_count,
     observe_rejects,
+    observed,
     rejected_part,
     tag_rejects,
 )
 from strata.plans.conform import ENTITIES, Entity, collapse_geolocation
 from strata.sources.csv import read_raw
 from strata.sources.lake import Lake
-from strata.sources.specs import SOURCES
+from strata.sources.specs import RAW_RECORD, SOURCES, Source
+
+
+def source_path(lake: Lake, batches_dir: str, batch_id: str, source: Source) -> str | None:
+    """Where a batch's file of ``source`` lives: ``<dir>/<batch>/<file>``
+    (one folder per batch), or ``<dir>/<source>/batch_id=<batch>/`` (as a
+    partitioned writer lays it out); None when the batch lacks it."""
+    root = batches_dir.rstrip("/")
+    for candidate in (f"{root}/{batch_id}/{source.file}", f"{root}/{source.name}/batch_id={batch_id}"):
+        if lake.path_exists(candidate):
+            return candidate
+    return None
 
 
-def ingest_bronze(lake: Lake, batch_dir: str, batch_id: str) -> dict[str, Counts]:
+def ingest_bronze(lake: Lake, batches_dir: str, batch_id: str) -> dict[str, Counts]:
     """Replace this batch's slice of every bronze table whose file exists
-    in the batch folder (a header-only file empties the slice)."""
+    in the batch (a header-only file empties the slice)."""
     counts = {}
     for name, source in SOURCES.items():
-        path = os.path.join(batch_dir, source.file)
-        if not os.path.exists(path):
+        path = source_path(lake, batches_dir, batch_id, source)
+        if path is None:
             continue
         raw = read_raw(lake.spark, path, source, batch_id)
         n = lake.replace_batch(raw, "bronze", name, batch_id)
@@ -37,10 +47,13 @@ def ingest_bronze(lake: Lake, batch_dir: str, batch_id: str) -> dict[str, Counts
     return counts
 
 
-def typed_slice(lake: Lake, entity: Entity, batch_id: str) -> DataFrame | None:
-    raw = lake.read_batch("bronze", entity.source, batch_id)
-    if raw is None:
-        return None
+def with_raw_record(raw: DataFrame, source: str) -> DataFrame:
+    """The source columns of each row as JSON text (kept in quarantine)."""
+    cols = [c for c in SOURCES[source].columns if c in raw.columns]
+    return raw.withColumn(RAW_RECORD, F.to_json(F.struct(*[F.col(f"`{c}`") for c in cols])))
+
+
+def conform(lake: Lake, entity: Entity, raw: DataFrame) -> DataFrame:
     if entity.name == "product":
         translation = lake.read("silver", "category_translation")
         if translation is None:
@@ -49,28 +62,63 @@ def typed_slice(lake: Lake, entity: Entity, batch_id: str) -> DataFrame | None:
     return entity.conform(raw)
 
 
+def typed_slice(lake: Lake, entity: Entity, batch_id: str) -> DataFrame | None:
+    raw = lake.read_batch("bronze", entity.source, batch_id)
+    if raw is None:
+        return None
+    return conform(lake, entity, with_raw_record(raw, entity.source))
+
+
+def all_points_of(lake: Lake, entity: Entity, zips: DataFrame) -> DataFrame:
+    """Valid points of every delivered batch for the given zips, so a zip
+    re-delivered later keeps the points of earlier batches (recomputed from
+    bronze, hence idempotent under re-runs)."""
+    points = clean_part(tag_rejects(conform(lake, entity, lake.read("bronze", entity.source)), list(entity.rules)))
+    return points.join(zips, "zip_prefix", "left_semi")
+
+
 def load_entity(lake: Lake, entity: Entity, batch_id: str) -> Counts | None:
     """validate -> quarantine -> dedupe -> upsert, counting in the writes.
 
     All rejects of the batch (every rule) replace the batch's quarantine
-    slice in one write; the clean rows are deduplicated and upserted with
-    the batch id as version, so replaying an older batch cannot overwrite
-    rows a newer batch already delivered.
+    slice in one write, with their raw record; the clean rows are
+    deduplicated and upserted with the batch id as version, so replaying
+    an older batch cannot overwrite rows a newer batch already delivered.
     """
     typed = typed_slice(lake, entity, batch_id)
     if typed is None:
         return None
     tagged = tag_rejects(typed, list(entity.rules))
-    observed, obs_in = observe_rejects(tagged, f"in-{entity.name}-{batch_id}")
-    lake.replace_batch(rejected_part(observed), "silver", f"quarantine_{entity.name}", batch_id)
-    clean = clean_part(tagged)
+    watched, obs_in = observe_rejects(tagged, f"in-{entity.name}-{batch_id}")
+    lake.replace_batch(rejected_part(watched), "silver", f"quarantine_{entity.name}", batch_id)
+    clean = clean_part(tagged).drop(RAW_RECORD)
     if entity.name == "geolocation":
-        clean = collapse_geolocation(clean)
+        clean = collapse_geolocation(all_points_of(lake, entity, clean.select("zip_prefix").distinct()))
     deduped = latest_per_key(clean, list(entity.keys), entity.dedupe_order())
     counted, obs_out = observe_count(deduped, f"out-{entity.name}-{batch_id}")
     lake.upsert_keyed(counted, "silver", entity.name, list(entity.keys), version_col="_batch_id")
-    m = obs_in.get
-    return Counts(m["rows_in"], obs_out.get["n"], m["rows_quarantined"])
+    return Counts(observed(obs_in, "rows_in"), observed(obs_out, "n"), observed(obs_in, "rows_quarantined"))
+
+
+def refresh_product_categories(lake: Lake, batch_id: str) -> Counts | None:
+    """A translation delivered by this batch reaches products already in
+    silver: those whose English category changes are updated and labelled
+    with this batch, so the type-2 dimension versions them from here on."""
+    translation = lake.read("silver", "category_translation")
+    products = lake.read("silver", "product")
+    if translation is None or products is None:
+        return None
+    new = translation.filter(F.col("_batch_id") == batch_id).select(
+        F.col("category_pt"), F.col("category_en").alias("_new_en")
+    )
+    stale = products.join(new, "category_pt").filter(~F.col("category_en").eqNullSafe(F.col("_new_en")))
+    fixed = stale.withColumn("category_en", F.col("_new_en")).drop("_new_en").withColumns(
+        {"_batch_id": F.lit(batch_id), "_ingest_ts": F.current_timestamp()}
+    )
+    counted, obs = observe_count(fixed, f"refresh-product-{batch_id}")
+    lake.upsert_keyed(counted, "silver", "product", ["product_id"], version_col="_batch_id")
+    n = observed(obs, "n")
+    return Counts(n, n, 0) if n else None
 
 
 def build_silver(lake: Lake, batch_id: str) -> dict[str, Counts]:
@@ -79,6 +127,10 @@ def build_silver(lake: Lake, batch_id: str) -> dict[str, Counts]:
         c = load_entity(lake, entity, batch_id)
         if c is not None:
             counts[name] = c
+        if name == "category_translation" and c is not None:
+            r = refresh_product_categories(lake, batch_id)
+            if r is not None:
+                counts["product_category_refresh"] = r
     return counts
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.merge import upsert
+from strata.operators.quality import observed
 from strata.sources.specs import BATCH_ID
 
 BUCKET = "_bucket"
@@ -104,7 +105,7 @@ class Lake:
             .partitionBy(BATCH_ID)
             .parquet(self.path(layer, name))
         )
-        n = int(obs.get["n"])
+        n = int(observed(obs, "n"))
         if n == 0:
             self.drop_batch(layer, name, batch_id)
         return n
@@ -168,6 +169,29 @@ class Lake:
         touched = keys_df.select(bucket_of(keys, n).alias(BUCKET)).distinct()
         return self.spark.read.parquet(self.path(layer, name)).join(F.broadcast(touched), BUCKET, "left_semi")
 
+    def refresh_keyed(
+        self, fresh: DataFrame, touched: DataFrame, layer: str, name: str, keys: list[str], buckets: int | None = None
+    ) -> None:
+        """Replace the rows of the ``touched`` keys with ``fresh`` (which may
+        lack some of them: those keys disappear). Only buckets holding a
+        touched key are read and rewritten; a bucket left with no rows is
+        removed, since a partitioned write cannot replace it with nothing."""
+        n = buckets or self.buckets
+        path = self.path(layer, name)
+        fresh_b = fresh.withColumn(BUCKET, bucket_of(keys, n))
+        if not self.exists(layer, name):
+            self._write_buckets(fresh_b, path)
+            return
+        t = touched.select(*keys).distinct().withColumn(BUCKET, bucket_of(keys, n))
+        touched_buckets = {r[0] for r in t.select(BUCKET).distinct().collect()}  # at most n small ints
+        target = self.spark.read.parquet(path).filter(F.col(BUCKET).isin(sorted(touched_buckets)))
+        kept = target.join(t, [*keys, BUCKET], "left_anti")
+        out = kept.unionByName(fresh_b.select(*target.columns))
+        obs = Observation(f"refresh-{layer}-{name}")
+        self._write_buckets(out.observe(obs, F.collect_set(BUCKET).alias("written")), path)
+        for b in touched_buckets - set(observed(obs, "written", [])):
+            self._delete(f"{path}/{BUCKET}={b}")
+
     def _write_buckets(self, df: DataFrame, path: str, shuffle: bool = True) -> None:
         (
             (df.repartition(BUCKET) if shuffle else df)

@@ -103,3 +103,6 @@ INGEST_TS = "_ingest_ts"
 SOURCE_FILE = "_source_file"
 BATCH_ID = "_batch_id"
 META = [INGEST_TS, BATCH_ID]
+# The raw record as JSON text, carried into quarantine so a rejected row
+# can be corrected and replayed.
+RAW_RECORD = "_raw"

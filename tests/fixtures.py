@@ -202,3 +202,27 @@ def batch_2(root: str, corrected: bool = False) -> str:
     )
     write_csv(d, "order_payments", [])
     return d
+
+
+def batch_3(root: str) -> str:
+    """2017-03: a translation fix, more points for a known zip, an order
+    that moves to another day."""
+    d = os.path.join(root, "2017-03")
+    write_csv(
+        d,
+        "category_translation",
+        [{"product_category_name": "sem_traducao", "product_category_name_english": "no_translation"}],
+    )
+    write_csv(
+        d,
+        "geolocation",
+        [{"geolocation_zip_code_prefix": "1310", "geolocation_lat": "-23.8", "geolocation_lng": "-46.9"}],
+    )
+    write_csv(
+        d,
+        "orders",
+        [order("o7", "c3", "2017-03-02 00:00:00", delivered="2017-03-05 00:00:00", estimated="2017-03-10 00:00:00"),
+         order("o8", "c2", "2017-03-03 00:00:00")],
+    )
+    write_csv(d, "order_items", [item("o8", "1", "p2", "7.50")])
+    return d

@@ -76,7 +76,9 @@ def test_scd2_dimension_and_asof_fact(loaded):
     dim = lake.read("gold", "dim_product")
     assert dim.select("product_key").distinct().count() == dim.count()
     assert dim.filter("is_current").groupBy("product_id").count().filter("count > 1").count() == 0
-    keys = {(r.product_id, r.effective_from.year): r.product_key for r in dim.collect()}
+    unknown = dim.filter("product_key = -1").collect()
+    assert len(unknown) == 1 and unknown[0].category_en == "unknown"
+    keys = {(r.product_id, r.effective_from.year): r.product_key for r in dim.filter("product_key <> -1").collect()}
     fact = {(r.order_id, r.order_item_id): r for r in lake.read("gold", "fact_order_items").collect()}
     assert fact[("o5", 1)].product_key == keys[("p1", 1900)]
     assert fact[("o6", 1)].product_key == keys[("p1", 2017)]
@@ -96,7 +98,7 @@ def test_reports(loaded):
     assert _rows(multi, "product_id", "weight_g") == [("p1", 500), ("p1", 600)]
     rev = reports.revenue_by_category(lake.read("gold", "fact_order_items"), lake.read("gold", "dim_product"))
     got = {r.category_en: float(r.revenue) for r in rev.collect()}
-    assert got == {"health_beauty": 41.0, "sem_traducao": 1.01}
+    assert got == {"health_beauty": 41.0, "unknown": 23.0, "sem_traducao": 1.01}  # -1 rows meet the unknown member
     health = reports.batch_health(lake.read("ops", "dq_log"))
     assert health.filter("layer = 'gold' AND tbl = 'fact_order_items' AND batch_id = '2017-01'").collect()[0].rows_quarantined == 1
 

@@ -92,6 +92,27 @@ def count_rows(parts: dict[str, DataFrame]) -> DataFrame:
     return tagged.agg(*[F.count_if(F.col("_part") == label).alias(label) for label in parts])
 
 
+def rule_counts(tagged: DataFrame, keys: list[str]) -> DataFrame:
+    """rows_in, rows_out (distinct keys among valid rows = rows a dedupe
+    keeps) and rows_quarantined of a tagged frame, in one pass.
+
+    Grouping by the key first (partial aggregation before the shuffle, so
+    a hot key is combined within each task) avoids a distinct aggregate
+    and the row-by-row window of an actual dedupe.
+    """
+    bad = F.col(REASON).isNotNull()
+    per_key = tagged.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(bad).alias("_bad"),
+        F.max(~bad).alias("_has_clean"),
+    )
+    return per_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_in"),
+        F.count_if(F.col("_has_clean")).alias("rows_out"),
+        F.coalesce(F.sum("_bad"), F.lit(0)).alias("rows_quarantined"),
+    )
+
+
 # Soft checks that are logged as warnings, never rejected.
 SOFT_CHECKS = {
     "delivered before purchase": "delivered_customer_ts < purchase_ts",

@@ -35,16 +35,23 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     names none (local runs, tests) do we create one under the temp folder
     and register it, so ``DataFrame.checkpoint()`` works as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="strata-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
         spark.conf.set("spark.checkpoint.dir", base)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)
     return "/".join([base.rstrip("/"), *parts]) if parts else base
 
 
+def cut_lineage(spark: SparkSession, df):
+    """Materialise ``df`` into the shared checkpoint folder (reliable: it
+    survives lost executors, unlike a local checkpoint)."""
+    shared_dir(spark)
+    return df.checkpoint(eager=True)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "strata") -> SparkSession:
     """Session for tests and the local benchmark (never used on a cluster)."""
     builder = (

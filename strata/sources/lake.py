@@ -15,6 +15,8 @@ by replaying the batches in order.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +28,20 @@ from strata.sources.specs import BATCH_ID
 BUCKET = "_bucket"
 
 
+@contextmanager
+def _conf(spark: SparkSession, key: str, value: str):
+    """A SQL setting for the jobs run inside the block."""
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 def bucket_of(keys: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
@@ -143,16 +159,24 @@ class Lake:
         if not self.exists(layer, name):
             self._write_buckets(src, path)
             return
-        touched = src.select(BUCKET).distinct()
-        # the touched list holds at most `n` small ints: a proven bound
-        target = self.spark.read.parquet(path).join(F.broadcast(touched), BUCKET, "left_semi")
+        buckets_hit = self._buckets_of(src)
+        if not buckets_hit:
+            return
+        target = self.spark.read.parquet(path).filter(F.col(BUCKET).isin(buckets_hit))
         # Both sides hash-partitioned by bucket: the join on (keys, bucket)
-        # needs no further exchange and its output is already laid out one
-        # bucket per task for the partitioned write.
-        t = target.repartition(BUCKET)
-        s = src.select(*target.columns).repartition(BUCKET)
-        merged = upsert(t, s, [*keys, BUCKET], version_col)
-        self._write_buckets(merged, path, shuffle=False)
+        # reuses that partitioning (keys are unique, so no bucket is hot)
+        # and its output is laid out one bucket per task for the write.
+        with _conf(self.spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+            t = target.repartition(BUCKET)
+            s = src.select(*target.columns).repartition(BUCKET)
+            merged = upsert(t, s, [*keys, BUCKET], version_col)
+            self._write_buckets(merged, path, shuffle=False)
+
+    def _buckets_of(self, df: DataFrame) -> list[int]:
+        """Buckets ``df`` touches: at most ``buckets`` small ints, so safe to
+        collect; they become a static partition filter on the target (only
+        those bucket folders are listed and read)."""
+        return sorted(r[0] for r in df.select(BUCKET).distinct().collect())
 
     def replace_keyed(self, df: DataFrame, layer: str, name: str, keys: list[str], touched: DataFrame | None = None, buckets: int | None = None) -> None:
         """Write new contents for the buckets present in ``df`` (used when
@@ -166,8 +190,8 @@ class Lake:
         if not self.exists(layer, name):
             return None
         n = buckets or self.buckets
-        touched = keys_df.select(bucket_of(keys, n).alias(BUCKET)).distinct()
-        return self.spark.read.parquet(self.path(layer, name)).join(F.broadcast(touched), BUCKET, "left_semi")
+        hit = self._buckets_of(keys_df.select(bucket_of(keys, n).alias(BUCKET)))
+        return self.spark.read.parquet(self.path(layer, name)).filter(F.col(BUCKET).isin(hit))
 
     def refresh_keyed(
         self, fresh: DataFrame, touched: DataFrame, layer: str, name: str, keys: list[str], buckets: int | None = None
@@ -183,7 +207,7 @@ class Lake:
             self._write_buckets(fresh_b, path)
             return
         t = touched.select(*keys).distinct().withColumn(BUCKET, bucket_of(keys, n))
-        touched_buckets = {r[0] for r in t.select(BUCKET).distinct().collect()}  # at most n small ints
+        touched_buckets = set(self._buckets_of(t))
         target = self.spark.read.parquet(path).filter(F.col(BUCKET).isin(sorted(touched_buckets)))
         kept = target.join(t, [*keys, BUCKET], "left_anti")
         out = kept.unionByName(fresh_b.select(*target.columns))

@@ -93,9 +93,17 @@ class Lake:
         reader = self.spark.read
         if schema is not None:
             reader = reader.schema(schema)
+        elif self.widens(layer, name):
+            reader = reader.option("mergeSchema", "true")
         df = reader.parquet(self.path(layer, name))
         return df.drop(BUCKET) if BUCKET in df.columns else df
 
+    @staticmethod
+    def widens(layer: str, name: str) -> bool:
+        """Tables whose batches may bring new columns (raw layer and
+        quarantine): read with the union of all slices' schemas."""
+        return layer == "bronze" or name.startswith("quarantine_")
+
     def read_batch(self, layer: str, name: str, batch_id: str) -> DataFrame | None:
         """Slice of a batch-partitioned table (partition pruned), or None when
         the table or the slice does not exist."""
@@ -105,7 +113,8 @@ class Lake:
         fs, p = self._fs_path(part)
         if not fs.exists(p):
             return None
-        return self.spark.read.parquet(self.path(layer, name)).filter(F.col(BATCH_ID) == batch_id)
+        reader = self.spark.read.option("mergeSchema", "true") if self.widens(layer, name) else self.spark.read
+        return reader.parquet(self.path(layer, name)).filter(F.col(BATCH_ID) == batch_id)
 
     # ---- writes ----------------------------------------------------------
     def replace_batch(self, df: DataFrame, layer: str, name: str, batch_id: str) -> int:

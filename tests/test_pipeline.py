@@ -151,3 +151,21 @@ def test_rerun_with_empty_file_empties_bronze_slice(spark, tmp_path):
     log = lake.read("ops", "dq_log").filter(F.col("_batch_id") == "2017-01")
     assert log.filter("layer = 'bronze' AND tbl = 'sellers'").collect()[0].rows_in == 0
     assert log.count() == log.select("layer", "tbl").distinct().count()  # replaced, not appended
+
+
+def test_new_source_column_widens_bronze(spark, tmp_path):
+    batches = str(tmp_path / "batches")
+    fixtures.batch_1(batches)
+    extra = list(fixtures.SOURCES["sellers"].columns) + ["seller_phone"]
+    fixtures.write_csv(
+        os.path.join(batches, "2017-02"),
+        "sellers",
+        [{"seller_id": "s2", "seller_zip_code_prefix": "2", "seller_city": "x", "seller_state": "y", "seller_phone": "555"}],
+        header=extra,
+    )
+    lake = Lake(spark, str(tmp_path / "lake"), buckets=4)
+    run_batch(lake, batches, "2017-01")
+    run_batch(lake, batches, "2017-02")
+    bronze = {r.seller_id: r for r in lake.read("bronze", "sellers").collect()}
+    assert bronze["s2"].seller_phone == "555" and bronze["s1"].seller_phone is None
+    assert sorted(r.seller_id for r in lake.read("silver", "seller").collect()) == ["s1", "s2"]

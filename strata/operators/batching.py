@@ -51,12 +51,12 @@ def batches_per_month(split_parents: DataFrame, batch_col: str = BATCH) -> DataF
     return split_parents.groupBy(batch_col).agg(F.count(F.lit(1)).alias("orders"))
 
 
-def write_batches(df: DataFrame, out_dir: str, batch_col: str = BATCH, fmt: str = "csv") -> None:
+def write_batches(df: DataFrame, out_dir: str, batch_col: str = BATCH, fmt: str = "csv", mode: str = "overwrite") -> None:
     """One folder per month (``batch_id=YYYY-MM``), CSV with a header.
 
     Tasks write their own rows of each month (no shuffle by month, which
     would put a whole busy month into one task)."""
-    writer = df.sortWithinPartitions(batch_col).write.mode("overwrite").partitionBy(batch_col)
+    writer = df.sortWithinPartitions(batch_col).write.mode(mode).partitionBy(batch_col)
     if fmt == "csv":
         writer.option("header", True).option("quote", '"').option("escape", '"').csv(out_dir)
     else:

@@ -18,7 +18,8 @@ class Source:
         return T.StructType([T.StructField(c, T.StringType(), True) for c in self.columns])
 
 
-# Entity name -> file name and header of each raw source.
+# Entity name -> file name and the header columns each raw
+# source must have (the ones the pipeline reads; extra columns are kept).
 SOURCES: dict[str, Source] = {
     s.name: s
     for s in [
@@ -30,7 +31,7 @@ SOURCES: dict[str, Source] = {
         Source(
             "geolocation",
             "olist_geolocation_dataset.csv",
-            ("geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng", "geolocation_city", "geolocation_state"),
+            ("geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng"),
         ),
         Source(
             "orders",

@@ -236,3 +236,37 @@ RAW = {
     "order_payments": raw_order_payments,
     "order_reviews": raw_order_reviews,
 }
+
+
+# Reference sources: delivered once, with the first batch.
+REFERENCE_SOURCES = ["customers", "sellers", "products", "geolocation", "category_translation"]
+CHILD_SOURCES = ["order_items", "order_payments", "order_reviews"]
+
+
+def write_test_batches(spark: SparkSession, sf_dir: str, out_dir: str) -> list[str]:
+    """Monthly raw batches of the test tables, as CSV folders
+    ``<out>/<source>/batch_id=<month>/``: orders by purchase month, their
+    children routed to the same month, reference data in the first month,
+    the product re-delivery in the change month. Returns the months."""
+    from strata.operators.batching import (
+        BATCH,
+        assign_first_batch,
+        month_lookup,
+        route_children,
+        split_by_month,
+        write_batches,
+    )
+
+    def raw_text(df: DataFrame) -> DataFrame:
+        return df.drop(BATCH_ID, INGEST_TS)
+
+    orders = split_by_month(raw_text(raw_orders(spark, sf_dir)), "order_purchase_timestamp")
+    write_batches(orders, f"{out_dir}/orders")
+    lookup = month_lookup(orders, "order_id")
+    for name in CHILD_SOURCES:
+        write_batches(route_children(raw_text(RAW[name](spark, sf_dir)), lookup, "order_id"), f"{out_dir}/{name}")
+    for name in REFERENCE_SOURCES:
+        write_batches(assign_first_batch(raw_text(RAW[name](spark, sf_dir)), orders), f"{out_dir}/{name}")
+    changed = raw_text(raw_products_changed(spark, sf_dir)).withColumn(BATCH, F.lit(CHANGE_BATCH))
+    write_batches(changed, f"{out_dir}/products", mode="append")
+    return sorted(r[0] for r in orders.select(BATCH).distinct().collect())

@@ -105,15 +105,35 @@ def log_soft_checks(lake: Lake, items: DataFrame, orders: DataFrame, batch_id: s
     lake.replace_batch(soft_check_counts(j, SOFT_CHECKS), "ops", "soft_checks", batch_id)
 
 
-def build_gold(lake: Lake, batch_id: str, date_range: tuple[str, str] = ("2016-01-01", "2019-12-31")) -> dict[str, Counts]:
+# Type-1 dimensions and the silver tables they are rebuilt from.
+DIM_INPUTS = {
+    "dim_customer": {"customer", "order", "geolocation"},
+    "dim_seller": {"seller", "geolocation"},
+}
+
+
+def build_gold(
+    lake: Lake,
+    batch_id: str,
+    date_range: tuple[str, str] = ("2016-01-01", "2019-12-31"),
+    changed: set[str] | None = None,
+) -> dict[str, Counts]:
+    """Gold for one batch. ``changed`` names the silver tables this batch
+    delivered rows to; a type-1 dimension none of whose inputs changed is
+    not rebuilt (None: rebuild all)."""
     spark = lake.spark
     counts: dict[str, Counts] = {}
     if not lake.exists("gold", "dim_date"):
         lake.overwrite(dims.dim_date(spark, *date_range), "gold", "dim_date")
 
+    def stale(dim: str) -> bool:
+        return changed is None or bool(DIM_INPUTS[dim] & changed) or not lake.exists("gold", dim)
+
     customers, orders, geo = silver(lake, "customer"), silver(lake, "order"), silver(lake, "geolocation")
-    lake.overwrite(dims.dim_customer(customers, orders, geo), "gold", "dim_customer")
-    lake.overwrite(dims.dim_seller(silver(lake, "seller"), geo), "gold", "dim_seller")
+    if stale("dim_customer"):
+        lake.overwrite(dims.dim_customer(customers, orders, geo), "gold", "dim_customer")
+    if stale("dim_seller"):
+        lake.overwrite(dims.dim_seller(silver(lake, "seller"), geo), "gold", "dim_seller")
 
     c = build_dim_product(lake, batch_id)
     if c is not None:

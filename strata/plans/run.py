@@ -48,8 +48,10 @@ def run_batch(lake: Lake, batches_dir: str, batch_id: str) -> list[tuple]:
             log.append((batch_id, layer, tbl, int(c.rows_in), int(c.rows_out), int(c.rows_quarantined), now))
 
     add("bronze", ingest_bronze(lake, batches_dir, batch_id))
-    add("silver", build_silver(lake, batch_id))
-    add("gold", build_gold(lake, batch_id))
+    silver_counts = build_silver(lake, batch_id)
+    add("silver", silver_counts)
+    changed = {name for name, c in silver_counts.items() if c.rows_out > 0}
+    add("gold", build_gold(lake, batch_id, changed=changed))
     lake.replace_rows(log, DQ_SCHEMA, "ops", "dq_log", batch_id)
     return log
 

@@ -136,6 +136,3 @@ def scd2_apply(
     rows = j.select(F.explode(F.array_compact(F.array(first, second))).alias("v")).select("v.*")
     return hist.unionByName(rows)
 
-
-def versions_per_key(dim: DataFrame, key: str) -> DataFrame:
-    return dim.groupBy(key).agg(F.count(F.lit(1)).alias("versions"))

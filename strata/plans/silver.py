@@ -134,12 +134,4 @@ def build_silver(lake: Lake, batch_id: str) -> dict[str, Counts]:
     return counts
 
 
-def silver_slice(lake: Lake, name: str, batch_id: str) -> DataFrame | None:
-    """Rows this batch delivered (and that survived the version guard)."""
-    df = lake.read("silver", name)
-    if df is None:
-        return None
-    return df.filter(F.col("_batch_id") == batch_id)
-
-
-__all__ = ["ingest_bronze", "build_silver", "load_entity", "silver_slice", "REASON"]
+__all__ = ["ingest_bronze", "build_silver", "load_entity", "REASON"]

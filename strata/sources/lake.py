@@ -187,7 +187,7 @@ class Lake:
         those bucket folders are listed and read)."""
         return sorted(r[0] for r in df.select(BUCKET).distinct().collect())
 
-    def replace_keyed(self, df: DataFrame, layer: str, name: str, keys: list[str], touched: DataFrame | None = None, buckets: int | None = None) -> None:
+    def replace_keyed(self, df: DataFrame, layer: str, name: str, keys: list[str], buckets: int | None = None) -> None:
         """Write new contents for the buckets present in ``df`` (used when
         the caller computed the new state of those buckets itself)."""
         n = buckets or self.buckets

@@ -3,6 +3,7 @@
     python -m strata --lake <dir> --batches-dir <dir>            all batches, in order
     python -m strata --lake <dir> --batches-dir <dir> --batch 2017-01
     python -m strata --lake <dir> --batches-dir <dir> --stream   new files only (file stream)
+    python -m strata --lake <dir> --sql "SELECT ... FROM gold.dim_product"
 
 The session comes from ``spark-submit`` / the environment; on a cluster
 the lake and batches folders are shared storage paths.
@@ -22,7 +23,8 @@ from strata.sources.lake import Lake
 def main() -> None:
     ap = argparse.ArgumentParser(prog="strata")
     ap.add_argument("--lake", required=True)
-    ap.add_argument("--batches-dir", required=True)
+    ap.add_argument("--batches-dir")
+    ap.add_argument("--sql", help="run a query over the lake's tables (<layer>.<table>) and show it")
     ap.add_argument("--batch", help="run one batch (YYYY-MM); default: all, in order")
     ap.add_argument("--buckets", type=int, default=64, help="buckets of keyed tables")
     ap.add_argument("--stream", action="store_true", help="process files not seen before, then stop")
@@ -30,6 +32,12 @@ def main() -> None:
 
     spark = configure(SparkSession.builder.appName("strata").getOrCreate())
     lake = Lake(spark, args.lake, buckets=args.buckets)
+    if args.sql:
+        lake.register()
+        spark.sql(args.sql).show(50, truncate=False)
+        return
+    if not args.batches_dir:
+        ap.error("--batches-dir is required to run batches")
     if args.stream:
         from strata.streaming import run_stream
 

@@ -20,6 +20,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from strata.operators.merge import upsert
 from strata.operators.quality import observed
@@ -82,6 +83,33 @@ class Lake:
         if fs.exists(p):
             fs.delete(p, True)
 
+    # ---- SQL access ------------------------------------------------------
+    def register(self, layers: tuple[str, ...] = ("bronze", "silver", "gold", "ops")) -> list[str]:
+        """Expose every table as ``<layer>.<name>`` in the session catalog
+        (external Parquet tables over the lake paths), so ad-hoc SQL such
+        as ``SELECT ... FROM gold.dim_product`` runs as is. The helper
+        column ``_bucket`` of keyed tables is visible as a partition column.
+        """
+        names = []
+        for layer in layers:
+            tables = self.list_dirs(f"{self.root}/{layer}")
+            if not tables:
+                continue
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
+            for name in tables:
+                qualified = f"`{layer}`.`{name}`"
+                self.spark.sql(f"DROP TABLE IF EXISTS {qualified}")
+                try:
+                    self.spark.sql(f"CREATE TABLE {qualified} USING parquet LOCATION '{self.path(layer, name)}'")
+                except AnalysisException:
+                    continue  # no data file yet (every slice so far was empty)
+                if self.spark.catalog.listColumns(name, layer) and any(
+                    c.isPartition for c in self.spark.catalog.listColumns(name, layer)
+                ):
+                    self.spark.sql(f"ALTER TABLE {qualified} RECOVER PARTITIONS")
+                names.append(f"{layer}.{name}")
+        return names
+
     # ---- reads -----------------------------------------------------------
     def read(self, layer: str, name: str, schema: T.StructType | None = None) -> DataFrame | None:
         """The table, or an empty frame of ``schema`` when it does not exist

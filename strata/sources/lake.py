@@ -78,6 +78,30 @@ class Lake:
             return []
         return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
 
+    def bucket_count(self, path: str, requested: int | None = None) -> int:
+        """Buckets of a keyed table: fixed by its first write and kept in a
+        ``_buckets`` marker (readers skip ``_`` files), so a lake opened
+        later with another setting cannot split a key over two buckets."""
+        fs, p = self._fs_path(f"{path}/_buckets")
+        if not fs.exists(p):
+            return requested or self.buckets
+        jvm = self.spark.sparkContext._jvm
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p)))
+        try:
+            return int(reader.readLine().strip())
+        finally:
+            reader.close()
+
+    def _remember_buckets(self, path: str, n: int) -> None:
+        fs, p = self._fs_path(f"{path}/_buckets")
+        if fs.exists(p):
+            return
+        out = fs.create(p, True)
+        try:
+            out.write(bytearray(str(n).encode()))
+        finally:
+            out.close()
+
     def _delete(self, path: str) -> None:
         fs, p = self._fs_path(path)
         if fs.exists(p):
@@ -190,11 +214,12 @@ class Lake:
         Only buckets holding a source key are read (a semi join on the
         partition column, pruned at run time) and rewritten.
         """
-        n = buckets or self.buckets
         path = self.path(layer, name)
+        n = self.bucket_count(path, buckets)
         src = source.withColumn(BUCKET, bucket_of(keys, n))
         if not self.exists(layer, name):
             self._write_buckets(src, path)
+            self._remember_buckets(path, n)
             return
         buckets_hit = self._buckets_of(src)
         if not buckets_hit:
@@ -218,15 +243,16 @@ class Lake:
     def replace_keyed(self, df: DataFrame, layer: str, name: str, keys: list[str], buckets: int | None = None) -> None:
         """Write new contents for the buckets present in ``df`` (used when
         the caller computed the new state of those buckets itself)."""
-        n = buckets or self.buckets
+        n = self.bucket_count(self.path(layer, name), buckets)
         out = df if BUCKET in df.columns else df.withColumn(BUCKET, bucket_of(keys, n))
         self._write_buckets(out, self.path(layer, name))
+        self._remember_buckets(self.path(layer, name), n)
 
     def read_touched(self, layer: str, name: str, keys_df: DataFrame, keys: list[str], buckets: int | None = None) -> DataFrame | None:
         """Rows of the buckets that hold any key of ``keys_df`` (with ``_bucket``)."""
         if not self.exists(layer, name):
             return None
-        n = buckets or self.buckets
+        n = self.bucket_count(self.path(layer, name), buckets)
         hit = self._buckets_of(keys_df.select(bucket_of(keys, n).alias(BUCKET)))
         return self.spark.read.parquet(self.path(layer, name)).filter(F.col(BUCKET).isin(hit))
 
@@ -237,11 +263,12 @@ class Lake:
         lack some of them: those keys disappear). Only buckets holding a
         touched key are read and rewritten; a bucket left with no rows is
         removed, since a partitioned write cannot replace it with nothing."""
-        n = buckets or self.buckets
         path = self.path(layer, name)
+        n = self.bucket_count(path, buckets)
         fresh_b = fresh.withColumn(BUCKET, bucket_of(keys, n))
         if not self.exists(layer, name):
             self._write_buckets(fresh_b, path)
+            self._remember_buckets(path, n)
             return
         t = touched.select(*keys).distinct().withColumn(BUCKET, bucket_of(keys, n))
         touched_buckets = set(self._buckets_of(t))

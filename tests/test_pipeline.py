@@ -197,3 +197,15 @@ def test_document_sql_runs_over_the_lake(loaded, spark):
     assert spark.sql(DOC_QUERIES["health"]).count() == lake.read("ops", "dq_log").count()
     revenue = {r.category_en: float(r.revenue) for r in spark.sql(DOC_QUERIES["revenue"]).collect()}
     assert revenue == {"health_beauty": 41.0, "unknown": 23.0, "sem_traducao": 1.01}
+
+
+def test_bucket_count_is_fixed_by_the_first_write(spark, tmp_path):
+    lake4 = Lake(spark, str(tmp_path / "lake"), buckets=4)
+    rows = spark.createDataFrame([(str(i), i, "2017-01") for i in range(50)], "k string, v long, _batch_id string")
+    lake4.upsert_keyed(rows, "silver", "t", ["k"], version_col="_batch_id")
+    lake16 = Lake(spark, str(tmp_path / "lake"), buckets=16)  # reopened with another setting
+    update = spark.createDataFrame([(str(i), -i, "2017-02") for i in range(50)], "k string, v long, _batch_id string")
+    lake16.upsert_keyed(update, "silver", "t", ["k"], version_col="_batch_id")
+    t = lake16.read("silver", "t")
+    assert t.count() == 50 and t.filter("v > 0").count() == 0
+    assert lake16.bucket_count(lake16.path("silver", "t")) == 4

@@ -171,9 +171,9 @@ class Lake:
     # ---- writes ----------------------------------------------------------
     def replace_batch(self, df: DataFrame, layer: str, name: str, batch_id: str) -> int:
         """Replace the ``_batch_id = batch_id`` slice with ``df`` in one
-        write (dynamic partition overwrite) and return its row count,
-        observed during the write. An empty write replaces nothing, so an
-        empty ``df`` drops the old slice explicitly."""
+        write (dynamic partition overwrite) and return its row count. An
+        empty write replaces nothing, so an empty ``df`` (seen by an
+        observation during the write) drops the old slice explicitly."""
         obs = Observation(f"replace-{layer}-{name}-{batch_id}")
         out = df.withColumn(BATCH_ID, F.lit(batch_id)).observe(obs, F.count(F.lit(1)).alias("n"))
         (
@@ -182,10 +182,13 @@ class Lake:
             .partitionBy(BATCH_ID)
             .parquet(self.path(layer, name))
         )
-        n = int(observed(obs, "n"))
-        if n == 0:
+        if int(observed(obs, "n")) == 0:
             self.drop_batch(layer, name, batch_id)
-        return n
+            return 0
+        # The logged count is read back from the written slice (Parquet
+        # footers): exact even if a lost executor made Spark recompute a
+        # stage, which can make observed metrics count rows twice.
+        return self.spark.read.parquet(f"{self.path(layer, name)}/{BATCH_ID}={batch_id}").count()
 
     def replace_batches(self, df: DataFrame, layer: str, name: str) -> None:
         """Replace every batch slice present in ``df`` (which carries

@@ -105,13 +105,83 @@ def log_soft_checks(lake: Lake, items: DataFrame, orders: DataFrame, batch_id: s
     lake.replace_batch(soft_check_counts(j, SOFT_CHECKS), "ops", "soft_checks", batch_id)
 
 
-# Type-1 dimensions and the silver tables they are rebuilt from.
+# Type-1 dimensions and the silver tables they depend on.
 DIM_INPUTS = {
     "dim_customer": {"customer", "order", "geolocation"},
     "dim_seller": {"seller", "geolocation"},
 }
 
 
+def _previous(lake: Lake, entity: str, batch_id: str, col: str) -> DataFrame | None:
+    prev = lake.read_batch("ops", f"prev_{entity}", batch_id)
+    return None if prev is None else prev.select(col)
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.distinct()
+
+
+def touched_persons(lake: Lake, batch_id: str, customers: DataFrame, orders: DataFrame, geo: DataFrame) -> DataFrame:
+    """People whose type-1 row this batch can change: their customer
+    records arrived or left them, one of their orders arrived or moved
+    away, or the geolocation of a zip they live at changed."""
+    persons = [customers.filter(F.col("_batch_id") == batch_id).select("customer_unique_id")]
+    prev_person = _previous(lake, "customer", batch_id, "customer_unique_id")
+    if prev_person is not None:
+        persons.append(prev_person)
+    buyers = [orders.filter(F.col("_batch_id") == batch_id).select("customer_id")]
+    prev_buyer = _previous(lake, "order", batch_id, "customer_id")
+    if prev_buyer is not None:
+        buyers.append(prev_buyer)
+    persons.append(customers.join(_union(buyers), "customer_id", "left_semi").select("customer_unique_id"))
+    zips = geo.filter(F.col("_batch_id") == batch_id).select("zip_prefix")
+    persons.append(customers.join(zips, "zip_prefix", "left_semi").select("customer_unique_id"))
+    return _union(persons)
+
+
+def build_dim_customer(lake: Lake, batch_id: str, customers: DataFrame, orders: DataFrame, geo: DataFrame) -> None:
+    """Type-1 customer dimension: the first build is full; later batches
+    recompute only the touched people (their records, and only their
+    customers' orders) and rewrite only the buckets holding them."""
+    if not lake.exists("gold", "dim_customer"):
+        lake.replace_keyed(dims.dim_customer(customers, orders, geo), "gold", "dim_customer", ["customer_unique_id"])
+        return
+    lake.replace_batch(touched_persons(lake, batch_id, customers, orders, geo), "ops", "touched_dim_customer", batch_id)
+    touched = lake.read_batch("ops", "touched_dim_customer", batch_id)
+    if touched is None:
+        return
+    touched = touched.select("customer_unique_id")
+    records = customers.join(touched, "customer_unique_id", "left_semi")
+    their_orders = orders.join(records.select("customer_id"), "customer_id", "left_semi")
+    fresh = dims.dim_customer(records, their_orders, geo)
+    lake.refresh_keyed(fresh, touched, "gold", "dim_customer", ["customer_unique_id"])
+
+
+def build_dim_seller(lake: Lake, batch_id: str, sellers: DataFrame, geo: DataFrame) -> None:
+    """Type-1 seller dimension, refreshed for sellers delivered in this
+    batch or located at a zip whose geolocation changed."""
+    if not lake.exists("gold", "dim_seller"):
+        lake.replace_keyed(dims.dim_seller(sellers, geo), "gold", "dim_seller", ["seller_id"])
+        return
+    zips = geo.filter(F.col("_batch_id") == batch_id).select("zip_prefix")
+    touched = _union(
+        [
+            sellers.filter(F.col("_batch_id") == batch_id).select("seller_id"),
+            sellers.join(zips, "zip_prefix", "left_semi").select("seller_id"),
+        ]
+    )
+    lake.replace_batch(touched, "ops", "touched_dim_seller", batch_id)
+    staged = lake.read_batch("ops", "touched_dim_seller", batch_id)
+    if staged is None:
+        return
+    staged = staged.select("seller_id")
+    fresh = dims.dim_seller(sellers.join(staged, "seller_id", "left_semi"), geo)
+    lake.refresh_keyed(fresh, staged, "gold", "dim_seller", ["seller_id"])
+
+
 def build_gold(
     lake: Lake,
     batch_id: str,
@@ -131,9 +201,9 @@ def build_gold(
 
     customers, orders, geo = silver(lake, "customer"), silver(lake, "order"), silver(lake, "geolocation")
     if stale("dim_customer"):
-        lake.overwrite(dims.dim_customer(customers, orders, geo), "gold", "dim_customer")
+        build_dim_customer(lake, batch_id, customers, orders, geo)
     if stale("dim_seller"):
-        lake.overwrite(dims.dim_seller(silver(lake, "seller"), geo), "gold", "dim_seller")
+        build_dim_seller(lake, batch_id, silver(lake, "seller"), geo)
 
     c = build_dim_product(lake, batch_id)
     if c is not None:

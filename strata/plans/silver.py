@@ -77,6 +77,25 @@ def all_points_of(lake: Lake, entity: Entity, zips: DataFrame) -> DataFrame:
     return points.join(zips, "zip_prefix", "left_semi")
 
 
+# Columns whose previous value gold needs when a key is re-delivered: a
+# customer record can move to another person, an order to another customer.
+TRACK_PREVIOUS = {"customer": ["customer_unique_id"], "order": ["customer_id"]}
+
+
+def stage_previous_values(lake: Lake, entity: Entity, deduped: DataFrame, batch_id: str) -> None:
+    """Before the upsert, keep the current values of the tracked columns
+    for the keys this batch re-delivers (read from their buckets only)."""
+    cols = TRACK_PREVIOUS.get(entity.name)
+    if not cols:
+        return
+    keys = list(entity.keys)
+    current = lake.read_touched("silver", entity.name, deduped.select(*keys), keys)
+    if current is None:
+        return
+    prev = current.join(deduped.select(*keys), keys, "left_semi").select(*keys, *cols)
+    lake.replace_batch(prev, "ops", f"prev_{entity.name}", batch_id)
+
+
 def load_entity(lake: Lake, entity: Entity, batch_id: str) -> Counts | None:
     """validate -> quarantine -> dedupe -> upsert, counting in the writes.
 
@@ -95,6 +114,7 @@ def load_entity(lake: Lake, entity: Entity, batch_id: str) -> Counts | None:
     if entity.name == "geolocation":
         clean = collapse_geolocation(all_points_of(lake, entity, clean.select("zip_prefix").distinct()))
     deduped = latest_per_key(clean, list(entity.keys), entity.dedupe_order())
+    stage_previous_values(lake, entity, deduped, batch_id)
     counted, obs_out = observe_count(deduped, f"out-{entity.name}-{batch_id}")
     lake.upsert_keyed(counted, "silver", entity.name, list(entity.keys), version_col="_batch_id")
     return Counts(observed(obs_in, "rows_in"), observed(obs_out, "n"), observed(obs_in, "rows_quarantined"))

@@ -192,6 +192,7 @@ def batch_2(root: str, corrected: bool = False) -> str:
             order("o5", "c1", "2017-01-31 23:59:59"),
             order("o6", "c1", "2017-02-01 00:00:00"),
             order("o7", "c3", "2017-02-15 00:00:00", delivered="2017-02-20 00:00:00", estimated="2017-02-25 00:00:00"),
+            order("o11", "c2", "2017-02-20 00:00:00"),  # makes c2 u1's latest record until c2 moves
         ],
     )
     write_csv(
@@ -225,4 +226,15 @@ def batch_3(root: str) -> str:
          order("o8", "c2", "2017-03-03 00:00:00")],
     )
     write_csv(d, "order_items", [item("o8", "1", "p2", "7.50")])
+    write_csv(
+        d,
+        "customers",
+        [{"customer_id": "c2", "customer_unique_id": "u3", "customer_zip_code_prefix": "123456",
+          "customer_city": "rio de janeiro", "customer_state": "rj"}],
+    )
+    write_csv(
+        d,
+        "sellers",
+        [{"seller_id": "s2", "seller_zip_code_prefix": "1310", "seller_city": "sao paulo", "seller_state": "SP"}],
+    )
     return d

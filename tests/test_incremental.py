@@ -92,3 +92,41 @@ def test_partitioned_batch_layout(spark, tmp_path):
     bronze = [r for r in log if r[1] == "bronze"]
     assert bronze == [r for r in bronze if r[2] == "orders"] and bronze[0][3] == 3
     assert lake.read("silver", "order").count() == 3
+
+
+def test_type1_dimensions_equal_full_rebuild(three, spark):
+    """c2 moved from person u1 to u3 in 2017-03; s2 arrived at a zip whose
+    points changed: the bucket-wise refresh equals a full rebuild."""
+    from strata.plans import dims
+    from strata.plans.gold import silver
+
+    lake, _ = three
+    customers, orders, geo = silver(lake, "customer"), silver(lake, "order"), silver(lake, "geolocation")
+    want = dims.dim_customer(customers, orders, geo)
+    got = lake.read("gold", "dim_customer")
+    assert _table(got, "customer_unique_id") == _table(want.select(*got.columns), "customer_unique_id")
+    rows = {r.customer_unique_id: r for r in got.collect()}
+    assert set(rows) == {"u1", "u2", "u3"}
+    assert rows["u1"].zip_prefix == "01310" and rows["u3"].zip_prefix == "12345"  # u1 back on c1
+    want_s = dims.dim_seller(silver(lake, "seller"), geo)
+    got_s = lake.read("gold", "dim_seller")
+    assert _table(got_s, "seller_id") == _table(want_s.select(*got_s.columns), "seller_id")
+
+
+def test_moved_record_refreshes_its_old_person(spark, tmp_path):
+    """Only the staged previous value links the move to u1: the batch holds
+    nothing else (no orders, no points)."""
+    batches = str(tmp_path / "batches")
+    fixtures.batch_1(batches)  # u1 = {c1, c2}; c2 bought last, so u1 lives at c2's zip
+    fixtures.write_csv(
+        os.path.join(batches, "2017-02"),
+        "customers",
+        [{"customer_id": "c2", "customer_unique_id": "u3", "customer_zip_code_prefix": "123456",
+          "customer_city": "rio de janeiro", "customer_state": "rj"}],
+    )
+    lake = Lake(spark, str(tmp_path / "lake"), buckets=4)
+    run_batch(lake, batches, "2017-01")
+    assert {r.customer_unique_id: r.zip_prefix for r in lake.read("gold", "dim_customer").collect()}["u1"] == "12345"
+    run_batch(lake, batches, "2017-02")
+    rows = {r.customer_unique_id: r.zip_prefix for r in lake.read("gold", "dim_customer").collect()}
+    assert rows == {"u1": "01310", "u2": "20000", "u3": "12345"}

@@ -212,7 +212,15 @@ def build_gold(
     if products is None:
         products = dims.unknown_product(spark).filter(F.lit(False))
 
-    touched = orders.filter(F.col("_batch_id") == batch_id).select("order_id")
+    # orders whose facts this batch changes: delivered now, or placed by a
+    # customer record delivered now (it may belong to another person)
+    delivered_customers = customers.filter(F.col("_batch_id") == batch_id).select("customer_id")
+    touched = (
+        orders.filter(F.col("_batch_id") == batch_id)
+        .select("order_id")
+        .unionByName(orders.join(delivered_customers, "customer_id", "left_semi").select("order_id"))
+        .distinct()
+    )
 
     items = with_batch_rows(silver(lake, "order_item"), touched, batch_id)
     if not items.isEmpty():

@@ -117,7 +117,8 @@ def test_moved_record_refreshes_its_old_person(spark, tmp_path):
     """Only the staged previous value links the move to u1: the batch holds
     nothing else (no orders, no points)."""
     batches = str(tmp_path / "batches")
-    fixtures.batch_1(batches)  # u1 = {c1, c2}; c2 bought last, so u1 lives at c2's zip
+    d1 = fixtures.batch_1(batches)  # u1 = {c1, c2}; c2 bought last, so u1 lives at c2's zip
+    fixtures.write_csv(d1, "order_items", [fixtures.item("o1", "1", "p1", "10.00"), fixtures.item("o2", "3", "p1", "9.00")])
     fixtures.write_csv(
         os.path.join(batches, "2017-02"),
         "customers",
@@ -130,3 +131,11 @@ def test_moved_record_refreshes_its_old_person(spark, tmp_path):
     run_batch(lake, batches, "2017-02")
     rows = {r.customer_unique_id: r.zip_prefix for r in lake.read("gold", "dim_customer").collect()}
     assert rows == {"u1": "01310", "u2": "20000", "u3": "12345"}
+    # the fact of c2's order now points at u3, and lifetime value follows
+    keys = {r.customer_unique_id: r.customer_key for r in lake.read("gold", "dim_customer").collect()}
+    fact = {(r.order_id, r.order_item_id): r.customer_key for r in lake.read("gold", "fact_order_items").collect()}
+    assert fact[("o2", 3)] == keys["u3"] and fact[("o1", 1)] == keys["u1"]
+    fact_df = lake.read("gold", "fact_order_items")
+    assert _table(lake.read("gold", "agg_customer_ltv"), "customer_key") == _table(
+        aggs.agg_customer_ltv(fact_df), "customer_key"
+    )

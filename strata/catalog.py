@@ -256,6 +256,26 @@ def q_incremental_aggregates(spark: SparkSession, d: str) -> DataFrame:
     return daily_for_check(aggs.refresh(agg_old, fact, touched, "purchase_date_key", aggs.agg_daily_sales))
 
 
+def q_incremental_dim_customer(spark: SparkSession, d: str) -> DataFrame:
+    """The customer dimension as of the change batch, refreshed for the
+    people who bought since: equals a full rebuild."""
+    customers, orders, geo = clean(spark, d, "customer"), clean(spark, d, "order"), clean(spark, d, "geolocation")
+    cut = F.lit(td.CHANGE_START).cast("timestamp")
+    old = dims.dim_customer(customers, orders.filter(F.col("purchase_ts") < cut), geo)
+    buyers = orders.filter(F.col("purchase_ts") >= cut).select("customer_id")
+    touched = customers.join(buyers, "customer_id", "left_semi").select("customer_unique_id").distinct()
+    return dims.refresh_dim_customer(old, customers, orders, geo, touched).drop("customer_key")
+
+
+def q_quarantine_raw(spark: SparkSession, d: str) -> DataFrame:
+    """Rejected reviews keep their raw record (JSON text) for replay."""
+    from strata.plans.silver import with_raw_record
+
+    raw = with_raw_record(td.raw_order_reviews(spark, d), "order_reviews")
+    rejected = rejected_part(tagged(spark, d, "order_review", raw))
+    return rejected.select("review_id", "order_id", REASON, "_raw")
+
+
 def q_revenue_by_category(spark: SparkSession, d: str) -> DataFrame:
     _, dim = product_dims(spark, d)
     fact = facts.fact_order_items(
@@ -393,6 +413,8 @@ QUERIES: dict[str, Query] = {
     "agg_daily_sales": q_agg_daily_sales,
     "agg_customer_ltv": q_agg_customer_ltv,
     "incremental_aggregates": q_incremental_aggregates,
+    "incremental_dim_customer": q_incremental_dim_customer,
+    "quarantine_raw": q_quarantine_raw,
     "revenue_by_category": q_revenue_by_category,
     "multi_version_products": q_multi_version_products,
     "batch_health": q_batch_health,

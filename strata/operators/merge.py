@@ -44,6 +44,15 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], version_col: s
     return j.select(*[F.when(take_source, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in cols])
 
 
+def replace_keys(old: DataFrame | None, fresh: DataFrame, touched: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``old`` whose keys were not touched, plus ``fresh`` (the
+    recomputed rows of the touched keys; a touched key missing from it
+    disappears). The pure form of the lake's bucket-wise refresh."""
+    if old is None:
+        return fresh
+    return old.join(touched.select(*keys), keys, "left_anti").unionByName(fresh.select(*old.columns))
+
+
 def initial_versions(src: DataFrame, key: str, sk: str, effective_from: str = INITIAL_EFFECTIVE_FROM) -> DataFrame:
     """First load: one open, current version per key."""
     eff = F.lit(effective_from).cast("timestamp")

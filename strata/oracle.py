@@ -326,6 +326,21 @@ FROM rev_c""",
        AS DOUBLE) / 1000000 AS avg_order_value
 FROM foi GROUP BY customer_unique_id""",
     "incremental_aggregates": with_("foi") + _daily("foi"),
+    "incremental_dim_customer": None,  # filled below: equals the full dimension
+    "quarantine_raw": f"""WITH raw AS (
+  SELECT CAST(CAST(floor(event_id / 2) AS BIGINT) AS VARCHAR) AS review_id, CAST(user_id AS VARCHAR) AS order_id,
+         CASE WHEN event_type = 'error' THEN 'n/a' ELSE CAST(CAST(ceil(value / 40) AS BIGINT) AS VARCHAR) END AS review_score,
+         event_type AS review_comment_title,
+         CASE WHEN event_type IN ('click', 'view') THEN props END AS review_comment_message,
+         strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS review_creation_date,
+         strftime(ts + to_minutes(CAST(floor(value) AS INTEGER)), '%Y-%m-%d %H:%M:%S.%f') AS review_answer_timestamp,
+         CASE WHEN event_type = 'error' THEN NULL ELSE CAST(ceil(value / 40) AS INTEGER) END AS score
+  FROM events WHERE event_type <> 'purchase')
+SELECT review_id, order_id, '{RULE_REVIEW}' AS _reject_reason,
+       to_json({{'review_id': review_id, 'order_id': order_id, 'review_score': review_score,
+                'review_comment_title': review_comment_title, 'review_comment_message': review_comment_message,
+                'review_creation_date': review_creation_date, 'review_answer_timestamp': review_answer_timestamp}}) AS _raw
+FROM raw WHERE NOT coalesce(review_id IS NOT NULL AND order_id IS NOT NULL AND score BETWEEN 1 AND 5, false)""",
     "revenue_by_category": with_("foi")
     + """SELECT d.category_en, CAST(round(sum(f.price), 2) AS DOUBLE) AS revenue
 FROM foi f JOIN dim d ON f.product_id = d.product_id AND f.product_valid_from = d.effective_from
@@ -362,5 +377,8 @@ UNION ALL SELECT 'shipping limit before purchase', CAST(count_if(coalesce(shippi
 }
 
 
+SQL["incremental_dim_customer"] = SQL["dim_customer"]
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

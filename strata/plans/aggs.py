@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.merge import replace_keys
+
 
 def agg_daily_sales(fact: DataFrame) -> DataFrame:
     """Per purchase day: orders, items, GMV, freight, item-weighted mean
@@ -68,9 +70,5 @@ def touched_groups(old_fact: DataFrame | None, new_rows: DataFrame, group: str)
 
 def refresh(agg: DataFrame | None, fact: DataFrame, touched: DataFrame, group: str, build) -> DataFrame:
     """Aggregate rows for the touched groups recomputed from the fact, the
-    other groups carried over unchanged (the pure form of the lake's
-    bucket-wise refresh)."""
-    fresh = build(fact.join(touched, group, "left_semi"))
-    if agg is None:
-        return fresh
-    return agg.join(touched, group, "left_anti").unionByName(fresh)
+    other groups carried over unchanged."""
+    return replace_keys(agg, build(fact.join(touched, group, "left_semi")), touched, [group])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions.keys import date_key, surrogate_key
-from strata.operators.merge import scd2_apply
+from strata.operators.merge import replace_keys, scd2_apply
 
 # The product attributes kept per version, and the ones whose
 # change opens a new version (the rest are frozen at version creation).
@@ -99,6 +99,21 @@ def dim_customer(customers: DataFrame, orders: DataFrame, geo: DataFrame) -> Dat
     )
 
 
+def dim_customer_of(touched: DataFrame, customers: DataFrame, orders: DataFrame, geo: DataFrame) -> DataFrame:
+    """Dimension rows of the touched people only: just their customer
+    records, and just those customers' orders (semi joins)."""
+    records = customers.join(touched.select("customer_unique_id"), "customer_unique_id", "left_semi")
+    their_orders = orders.join(records.select("customer_id"), "customer_id", "left_semi")
+    return dim_customer(records, their_orders, geo)
+
+
+def refresh_dim_customer(
+    dim: DataFrame, customers: DataFrame, orders: DataFrame, geo: DataFrame, touched: DataFrame
+) -> DataFrame:
+    """``dim`` with the touched people recomputed."""
+    return replace_keys(dim, dim_customer_of(touched, customers, orders, geo), touched, ["customer_unique_id"])
+
+
 def dim_seller(sellers: DataFrame, geo: DataFrame) -> DataFrame:
     """Type-1 seller dimension, full rebuild."""
     s = _with_place(sellers.select("seller_id", "zip_prefix", "city", "state"), geo)

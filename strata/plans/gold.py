@@ -154,9 +154,7 @@ def build_dim_customer(lake: Lake, batch_id: str, customers: DataFrame, orders:
     if touched is None:
         return
     touched = touched.select("customer_unique_id")
-    records = customers.join(touched, "customer_unique_id", "left_semi")
-    their_orders = orders.join(records.select("customer_id"), "customer_id", "left_semi")
-    fresh = dims.dim_customer(records, their_orders, geo)
+    fresh = dims.dim_customer_of(touched, customers, orders, geo)
     lake.refresh_keyed(fresh, touched, "gold", "dim_customer", ["customer_unique_id"])
 
 

@@ -50,7 +50,8 @@ def ingest_bronze(lake: Lake, batches_dir: str, batch_id: str) -> dict[str, Coun
 def with_raw_record(raw: DataFrame, source: str) -> DataFrame:
     """The source columns of each row as JSON text (kept in quarantine)."""
     cols = [c for c in SOURCES[source].columns if c in raw.columns]
-    return raw.withColumn(RAW_RECORD, F.to_json(F.struct(*[F.col(f"`{c}`") for c in cols])))
+    record = F.struct(*[F.col(f"`{c}`") for c in cols])
+    return raw.withColumn(RAW_RECORD, F.to_json(record, {"ignoreNullFields": "false"}))
 
 
 def conform(lake: Lake, entity: Entity, raw: DataFrame) -> DataFrame:

@@ -432,14 +432,16 @@ QUERIES: dict[str, Query] = {
 
 
 def for_check(df: DataFrame) -> DataFrame:
-    """The view the SQL check compares: exact decimals as doubles and dates
-    as timestamps, the types both engines hand to clients alike."""
+    """The view the SQL check compares: exact decimals as doubles, dates and
+    zoned timestamps as wall-clock timestamps (in the session zone, UTC),
+    the types both engines hand to clients alike whatever the client
+    process's own time zone."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, T.DecimalType):
             cols.append(F.col(f"`{f.name}`").cast("double").alias(f.name))
-        elif isinstance(f.dataType, T.DateType):
-            cols.append(F.col(f"`{f.name}`").cast("timestamp").alias(f.name))
+        elif isinstance(f.dataType, (T.DateType, T.TimestampType)):
+            cols.append(F.col(f"`{f.name}`").cast("timestamp_ntz").alias(f.name))
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)

@@ -115,10 +115,17 @@ def load_entity(lake: Lake, entity: Entity, batch_id: str) -> Counts | None:
     if entity.name == "geolocation":
         clean = collapse_geolocation(all_points_of(lake, entity, clean.select("zip_prefix").distinct()))
     deduped = latest_per_key(clean, list(entity.keys), entity.dedupe_order())
-    stage_previous_values(lake, entity, deduped, batch_id)
-    counted, obs_out = observe_count(deduped, f"out-{entity.name}-{batch_id}")
-    lake.upsert_keyed(counted, "silver", entity.name, list(entity.keys), version_col="_batch_id")
-    return Counts(observed(obs_in, "rows_in"), observed(obs_out, "n"), observed(obs_in, "rows_quarantined"))
+    # The batch's clean rows are computed once, into a staging slice (their
+    # own version column kept aside: a geolocation centroid can carry a
+    # later batch id than the one being run); the previous-value staging,
+    # the bucket listing and the upsert all read that slice.
+    stage = f"stage_silver_{entity.name}"
+    rows_out = lake.replace_batch(deduped.withColumnRenamed("_batch_id", "_version"), "ops", stage, batch_id)
+    if rows_out:
+        staged = lake.read_batch("ops", stage, batch_id).drop("_batch_id").withColumnRenamed("_version", "_batch_id")
+        stage_previous_values(lake, entity, staged, batch_id)
+        lake.upsert_keyed(staged, "silver", entity.name, list(entity.keys), version_col="_batch_id")
+    return Counts(observed(obs_in, "rows_in"), rows_out, observed(obs_in, "rows_quarantined"))
 
 
 def refresh_product_categories(lake: Lake, batch_id: str) -> Counts | None:

@@ -6,7 +6,11 @@
 * keyed tables (silver, facts, type-2 dims) are partitioned by
   ``_bucket = pmod(xxhash64(keys), buckets)``; an upsert reads only the
   buckets the source touches and rewrites just those
-* rebuilt tables (aggregates, type-1 dims) are overwritten from other tables
+* derived keyed tables (aggregates, type-1 dims) are refreshed bucket-wise
+  for the keys a batch touches; only the date dimension is overwritten
+* staging slices (``ops/stage_*``, ``ops/touched_*``, ``ops/prev_*``) hold
+  a batch's intermediate results, so each is computed once and later steps
+  read it instead of recomputing its lineage
 
 Not a transaction: the job commit replaces partitions one after the
 other. Bronze is the source of truth; everything above it can be rebuilt

@@ -1,0 +1,16 @@
+"""Broadcast hints behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Fixed value: rows a lookup may have to be broadcast on our say-so.
+BROADCAST_MAX_ROWS = 100_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``df`` hinted for broadcast when it holds at most ``max_rows`` rows
+    (counted, one small job); beyond that no hint, and the planner and AQE
+    choose the join from measured sizes."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -9,13 +9,36 @@ from strata.functions.text import clean_header
 from strata.sources.specs import BATCH_ID, INGEST_TS, SOURCE_FILE, Source
 
 
+def _first_csv(spark: SparkSession, path: str):
+    """The file itself, or the first CSV part file of a folder."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getFileStatus(p).isDirectory():
+        parts = sorted(
+            (st.getPath() for st in fs.listStatus(p) if st.isFile() and st.getPath().getName().endswith(".csv")),
+            key=lambda q: q.getName(),
+        )
+        return fs, (parts[0] if parts else None)
+    return fs, p
+
+
 def read_header(spark: SparkSession, path: str) -> list[str] | None:
-    """Cleaned header names of a CSV file, or None if it has no lines."""
-    first = spark.read.text(path).limit(1).collect()
-    if not first:
+    """Cleaned header names of a CSV file (or of a folder's first part
+    file), read on the driver through the Hadoop file system: one line,
+    no Spark job. None when there is no line."""
+    fs, p = _first_csv(spark, path)
+    if p is None:
+        return None
+    jvm = spark.sparkContext._jvm
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        line = reader.readLine()
+    finally:
+        reader.close()
+    if line is None:
         return None
-    line = first[0][0]
-    return [clean_header(n.strip('"')) for n in line.split(",")]
+    return [clean_header(n.strip().strip('"')) for n in line.split(",")]
 
 
 def read_raw(spark: SparkSession, path: str, source: Source, batch_id: str, check_header: bool = True) -> DataFrame:

@@ -209,3 +209,15 @@ def test_bucket_count_is_fixed_by_the_first_write(spark, tmp_path):
     t = lake16.read("silver", "t")
     assert t.count() == 50 and t.filter("v > 0").count() == 0
     assert lake16.bucket_count(lake16.path("silver", "t")) == 4
+
+
+def test_header_is_checked_and_bom_stripped(spark, tmp_path):
+    from strata.sources.csv import read_header, read_raw
+    from strata.sources.specs import SOURCES
+
+    d = str(tmp_path / "b")
+    path = fixtures.write_csv(d, "category_translation", [{"product_category_name": "a"}], bom=True)
+    assert read_header(spark, path) == ["product_category_name", "product_category_name_english"]
+    bad = fixtures.write_csv(d, "sellers", [{"seller_id": "s"}], header=["seller_id", "seller_city"])
+    with pytest.raises(ValueError, match="header lacks"):
+        read_raw(spark, bad, SOURCES["sellers"], "2017-01")

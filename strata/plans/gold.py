@@ -236,22 +236,16 @@ def build_gold(
         log_soft_checks(lake, items, orders, batch_id)
 
     payments = with_batch_rows(silver(lake, "order_payment"), touched, batch_id)
-    if not payments.isEmpty():
-        fact, obs = observe_count(facts.fact_payments(payments, orders, customers), f"fp-{batch_id}")
-        lake.upsert_keyed(
-            fact.withColumn("_batch_id", F.lit(batch_id)), "gold", "fact_payments", ["order_id", "payment_sequential"],
-            version_col="_batch_id",
-        )
-        n = observed(obs, "n")
-        counts["fact_payments"] = Counts(n, n, 0)
-
     reviews = silver(lake, "order_review").filter(F.col("_batch_id") == batch_id)
-    if not reviews.isEmpty():
-        fact, obs = observe_count(facts.fact_reviews(reviews), f"fr-{batch_id}")
-        lake.upsert_keyed(
-            fact.withColumn("_batch_id", F.lit(batch_id)), "gold", "fact_reviews", ["review_id", "order_id"],
-            version_col="_batch_id",
-        )
-        n = observed(obs, "n")
-        counts["fact_reviews"] = Counts(n, n, 0)
+    staged_facts = [
+        ("fact_payments", facts.fact_payments(payments, orders, customers), ["order_id", "payment_sequential"]),
+        ("fact_reviews", facts.fact_reviews(reviews), ["review_id", "order_id"]),
+    ]
+    for table, fact, keys in staged_facts:
+        # computed once into a staging slice, then upserted from it
+        n = lake.replace_batch(fact, "ops", f"stage_{table}", batch_id)
+        if n:
+            staged = lake.read_batch("ops", f"stage_{table}", batch_id)
+            lake.upsert_keyed(staged, "gold", table, keys, version_col="_batch_id")
+            counts[table] = Counts(n, n, 0)
     return counts

@@ -26,7 +26,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.sizing import bounded_broadcast
 from strata.sources.specs import BATCH_ID, INGEST_TS
 
 # Fixed values of the test mapping: the batch every source is delivered
@@ -54,18 +53,18 @@ def audit(df: DataFrame, batch_id: str = FIRST_BATCH) -> DataFrame:
 
 
 def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation -> city and state (25 and 5 rows at every scale; broadcast
-    only after checking that)."""
+    """nation -> city and state. No hint: both are tiny files (25 and 5
+    rows), and the planner broadcasts them from their measured size."""
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    return n.join(bounded_broadcast(r), n["n_regionkey"] == r["r_regionkey"], "left").select(
+    return n.join(r, n["n_regionkey"] == r["r_regionkey"], "left").select(
         "n_nationkey", F.col("n_name").alias("_city"), F.lower("r_name").alias("_state")
     )
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
-    j = c.join(bounded_broadcast(_places(spark, sf_dir)), c["c_nationkey"] == F.col("n_nationkey"), "left")
+    j = c.join(_places(spark, sf_dir), c["c_nationkey"] == F.col("n_nationkey"), "left")
     return audit(
         j.select(
             text("c_custkey").alias("customer_id"),
@@ -79,7 +78,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
-    j = s.join(bounded_broadcast(_places(spark, sf_dir)), s["s_nationkey"] == F.col("n_nationkey"), "left")
+    j = s.join(_places(spark, sf_dir), s["s_nationkey"] == F.col("n_nationkey"), "left")
     return audit(
         j.select(
             text("s_suppkey").alias("seller_id"),

@@ -70,14 +70,30 @@ AGGREGATES = {
 }
 
 
-def stage_touched_groups(lake: Lake, staged: DataFrame, batch_id: str) -> None:
+ITEM_KEYS = ["order_id", "order_item_id"]
+
+
+def stage_touched_groups(lake: Lake, staged: DataFrame | None, batch_id: str, gone: DataFrame | None = None) -> None:
     """Groups of the aggregates this batch changes: those of its fact rows
     and, for rows that already existed, their previous groups (a row whose
-    order moved to another day or person changes both). Written before
-    the fact table is rewritten, so they describe the old state."""
+    order moved to another day or person changes both), plus the groups of
+    fact rows a pruning re-run removes. Written before the fact table is
+    rewritten, so they describe the old state."""
     old = lake.read("gold", "fact_order_items")
     for table, (group, _) in AGGREGATES.items():
-        lake.replace_batch(aggs.touched_groups(old, staged, group), "ops", f"touched_{table}", batch_id)
+        parts = []
+        if staged is not None:
+            parts.append(aggs.touched_groups(old, staged, group))
+        if gone is not None and old is not None:
+            parts.append(old.join(gone.select(*ITEM_KEYS), ITEM_KEYS, "left_semi").select(group))
+        if parts:
+            lake.replace_batch(_union(parts), "ops", f"touched_{table}", batch_id)
+
+
+def delete_gone_facts(lake: Lake, table: str, gone: DataFrame | None, keys: list[str]) -> None:
+    if gone is None or not lake.exists("gold", table):
+        return
+    lake.refresh_keyed(lake.read("gold", table).limit(0), gone.select(*keys), "gold", table, keys)
 
 
 def refresh_aggregates(lake: Lake, batch_id: str) -> None:
@@ -112,8 +128,10 @@ DIM_INPUTS = {
 }
 
 
-def _previous(lake: Lake, entity: str, batch_id: str, col: str) -> DataFrame | None:
-    prev = lake.read_batch("ops", f"prev_{entity}", batch_id)
+def _previous(lake: Lake, entity: str, batch_id: str, col: str, prefix: str = "prev") -> DataFrame | None:
+    """Earlier values staged by silver: of re-delivered keys (prev) or of
+    keys a pruning re-run removed (gone)."""
+    prev = lake.read_batch("ops", f"{prefix}_{entity}", batch_id)
     return None if prev is None else prev.select(col)
 
 
@@ -129,13 +147,15 @@ def touched_persons(lake: Lake, batch_id: str, customers: DataFrame, orders: Dat
     records arrived or left them, one of their orders arrived or moved
     away, or the geolocation of a zip they live at changed."""
     persons = [customers.filter(F.col("_batch_id") == batch_id).select("customer_unique_id")]
-    prev_person = _previous(lake, "customer", batch_id, "customer_unique_id")
-    if prev_person is not None:
-        persons.append(prev_person)
+    for prefix in ("prev", "gone"):
+        earlier = _previous(lake, "customer", batch_id, "customer_unique_id", prefix)
+        if earlier is not None:
+            persons.append(earlier)
     buyers = [orders.filter(F.col("_batch_id") == batch_id).select("customer_id")]
-    prev_buyer = _previous(lake, "order", batch_id, "customer_id")
-    if prev_buyer is not None:
-        buyers.append(prev_buyer)
+    for prefix in ("prev", "gone"):
+        earlier = _previous(lake, "order", batch_id, "customer_id", prefix)
+        if earlier is not None:
+            buyers.append(earlier)
     persons.append(customers.join(_union(buyers), "customer_id", "left_semi").select("customer_unique_id"))
     zips = geo.filter(F.col("_batch_id") == batch_id).select("zip_prefix")
     persons.append(customers.join(zips, "zip_prefix", "left_semi").select("customer_unique_id"))
@@ -165,12 +185,14 @@ def build_dim_seller(lake: Lake, batch_id: str, sellers: DataFrame, geo: DataFra
         lake.replace_keyed(dims.dim_seller(sellers, geo), "gold", "dim_seller", ["seller_id"])
         return
     zips = geo.filter(F.col("_batch_id") == batch_id).select("zip_prefix")
-    touched = _union(
-        [
-            sellers.filter(F.col("_batch_id") == batch_id).select("seller_id"),
-            sellers.join(zips, "zip_prefix", "left_semi").select("seller_id"),
-        ]
-    )
+    parts = [
+        sellers.filter(F.col("_batch_id") == batch_id).select("seller_id"),
+        sellers.join(zips, "zip_prefix", "left_semi").select("seller_id"),
+    ]
+    removed = _previous(lake, "seller", batch_id, "seller_id", "gone")
+    if removed is not None:
+        parts.append(removed)
+    touched = _union(parts)
     lake.replace_batch(touched, "ops", "touched_dim_seller", batch_id)
     staged = lake.read_batch("ops", "touched_dim_seller", batch_id)
     if staged is None:
@@ -185,6 +207,7 @@ def build_gold(
     batch_id: str,
     date_range: tuple[str, str] = ("2016-01-01", "2019-12-31"),
     changed: set[str] | None = None,
+    prune: bool = False,
 ) -> dict[str, Counts]:
     """Gold for one batch. ``changed`` names the silver tables this batch
     delivered rows to; a type-1 dimension none of whose inputs changed is
@@ -220,17 +243,25 @@ def build_gold(
         .distinct()
     )
 
+    gone = (lambda e: lake.read_batch("ops", f"gone_{e}", batch_id) if prune else None)
+    gone_items = gone("order_item")
     items = with_batch_rows(silver(lake, "order_item"), touched, batch_id)
-    if not items.isEmpty():
+    if items.isEmpty() and gone_items is not None:
+        stage_touched_groups(lake, None, batch_id, gone_items)
+        delete_gone_facts(lake, "fact_order_items", gone_items, ITEM_KEYS)
+        refresh_aggregates(lake, batch_id)
+    elif not items.isEmpty():
         # the batch's fact rows are computed once, into a staging slice
         n_out = lake.replace_batch(
             facts.fact_order_items(items, orders, customers, products), "ops", "stage_fact_order_items", batch_id
         )
         staged = lake.read_batch("ops", "stage_fact_order_items", batch_id)
         orphans = facts.orphan_items(items, orders).count()
-        if staged is not None:
-            stage_touched_groups(lake, staged, batch_id)
-            lake.upsert_keyed(staged, "gold", "fact_order_items", ["order_id", "order_item_id"], version_col="_batch_id")
+        if staged is not None or gone_items is not None:
+            stage_touched_groups(lake, staged, batch_id, gone_items)
+            if staged is not None:
+                lake.upsert_keyed(staged, "gold", "fact_order_items", ITEM_KEYS, version_col="_batch_id")
+            delete_gone_facts(lake, "fact_order_items", gone_items, ITEM_KEYS)
             refresh_aggregates(lake, batch_id)
         counts["fact_order_items"] = Counts(n_out + orphans, n_out, orphans)
         log_soft_checks(lake, items, orders, batch_id)
@@ -241,6 +272,7 @@ def build_gold(
         ("fact_payments", facts.fact_payments(payments, orders, customers), ["order_id", "payment_sequential"]),
         ("fact_reviews", facts.fact_reviews(reviews), ["review_id", "order_id"]),
     ]
+    sources = {"fact_payments": "order_payment", "fact_reviews": "order_review"}
     for table, fact, keys in staged_facts:
         # computed once into a staging slice, then upserted from it
         n = lake.replace_batch(fact, "ops", f"stage_{table}", batch_id)
@@ -248,4 +280,5 @@ def build_gold(
             staged = lake.read_batch("ops", f"stage_{table}", batch_id)
             lake.upsert_keyed(staged, "gold", table, keys, version_col="_batch_id")
             counts[table] = Counts(n, n, 0)
+        delete_gone_facts(lake, table, gone(sources[table]), keys)
     return counts

@@ -33,11 +33,14 @@ def list_batches(lake: Lake, batches_dir: str) -> list[str]:
     return sorted(names)
 
 
-def run_batch(lake: Lake, batches_dir: str, batch_id: str) -> list[tuple]:
+def run_batch(lake: Lake, batches_dir: str, batch_id: str, prune: bool = False) -> list[tuple]:
     """Load one batch through all layers; re-running it is idempotent.
 
     The run log rows (one per table) replace the batch's slice of
-    ``ops/dq_log``.
+    ``ops/dq_log``. With ``prune`` a re-run that no longer delivers some
+    keys removes them from silver and from the facts built from them
+    (their aggregate groups and type-1 rows are refreshed); by default
+    silver and facts are upsert-only.
     """
     configure(lake.spark)
     log: list[tuple] = []
@@ -47,11 +50,12 @@ def run_batch(lake: Lake, batches_dir: str, batch_id: str) -> list[tuple]:
         for tbl, c in counts.items():
             log.append((batch_id, layer, tbl, int(c.rows_in), int(c.rows_out), int(c.rows_quarantined), now))
 
-    add("bronze", ingest_bronze(lake, batches_dir, batch_id))
-    silver_counts = build_silver(lake, batch_id)
+    bronze_counts = ingest_bronze(lake, batches_dir, batch_id)
+    add("bronze", bronze_counts)
+    silver_counts = build_silver(lake, batch_id, prune, delivered=set(bronze_counts))
     add("silver", silver_counts)
-    changed = {name for name, c in silver_counts.items() if c.rows_out > 0}
-    add("gold", build_gold(lake, batch_id, changed=changed))
+    changed = None if prune else {name for name, c in silver_counts.items() if c.rows_out > 0}
+    add("gold", build_gold(lake, batch_id, changed=changed, prune=prune))
     lake.replace_rows(log, DQ_SCHEMA, "ops", "dq_log", batch_id)
     return log
 

@@ -97,7 +97,29 @@ def stage_previous_values(lake: Lake, entity: Entity, deduped: DataFrame, batch_
     lake.replace_batch(prev, "ops", f"prev_{entity.name}", batch_id)
 
 
-def load_entity(lake: Lake, entity: Entity, batch_id: str) -> Counts | None:
+def stage_gone_rows(lake: Lake, entity: Entity, kept: DataFrame | None, batch_id: str) -> int:
+    """Silver rows this batch delivered earlier but no longer delivers
+    (a re-run with fewer rows), staged before anything is rewritten."""
+    if entity.name == "geolocation" or not lake.exists("silver", entity.name):
+        return 0
+    keys = list(entity.keys)
+    labelled = lake.read("silver", entity.name).filter(F.col("_batch_id") == batch_id)
+    gone = labelled if kept is None else labelled.join(kept.select(*keys), keys, "left_anti")
+    return lake.replace_batch(gone.drop("_batch_id"), "ops", f"gone_{entity.name}", batch_id)
+
+
+def delete_gone_rows(lake: Lake, entity: Entity, batch_id: str) -> None:
+    gone = lake.read_batch("ops", f"gone_{entity.name}", batch_id)
+    if gone is None:
+        return
+    keys = list(entity.keys)
+    empty = lake.read("silver", entity.name).limit(0)
+    lake.refresh_keyed(empty, gone.select(*keys), "silver", entity.name, keys)
+
+
+def load_entity(
+    lake: Lake, entity: Entity, batch_id: str, prune: bool = False, delivered: set[str] | None = None
+) -> Counts | None:
     """validate -> quarantine -> dedupe -> upsert, counting in the writes.
 
     All rejects of the batch (every rule) replace the batch's quarantine
@@ -105,8 +127,15 @@ def load_entity(lake: Lake, entity: Entity, batch_id: str) -> Counts | None:
     deduplicated and upserted with the batch id as version, so replaying
     an older batch cannot overwrite rows a newer batch already delivered.
     """
+    if prune:
+        lake.drop_batch("ops", f"gone_{entity.name}", batch_id)  # nothing stale from an earlier run
     typed = typed_slice(lake, entity, batch_id)
     if typed is None:
+        if prune and entity.source in (delivered or set()):
+            # delivered, but empty: every key this batch gave earlier is gone
+            if stage_gone_rows(lake, entity, None, batch_id):
+                delete_gone_rows(lake, entity, batch_id)
+            return Counts(0, 0, 0)
         return None
     tagged = tag_rejects(typed, list(entity.rules))
     watched, obs_in = observe_rejects(tagged, f"in-{entity.name}-{batch_id}")
@@ -121,10 +150,15 @@ def load_entity(lake: Lake, entity: Entity, batch_id: str) -> Counts | None:
     # the bucket listing and the upsert all read that slice.
     stage = f"stage_silver_{entity.name}"
     rows_out = lake.replace_batch(deduped.withColumnRenamed("_batch_id", "_version"), "ops", stage, batch_id)
+    staged = None
     if rows_out:
         staged = lake.read_batch("ops", stage, batch_id).drop("_batch_id").withColumnRenamed("_version", "_batch_id")
+    n_gone = stage_gone_rows(lake, entity, staged, batch_id) if prune else 0
+    if staged is not None:
         stage_previous_values(lake, entity, staged, batch_id)
         lake.upsert_keyed(staged, "silver", entity.name, list(entity.keys), version_col="_batch_id")
+    if n_gone:
+        delete_gone_rows(lake, entity, batch_id)
     return Counts(observed(obs_in, "rows_in"), rows_out, observed(obs_in, "rows_quarantined"))
 
 
@@ -149,10 +183,15 @@ def refresh_product_categories(lake: Lake, batch_id: str) -> Counts | None:
     return Counts(n, n, 0) if n else None
 
 
-def build_silver(lake: Lake, batch_id: str) -> dict[str, Counts]:
+def build_silver(
+    lake: Lake, batch_id: str, prune: bool = False, delivered: set[str] | None = None
+) -> dict[str, Counts]:
+    """Silver for one batch. With ``prune`` a re-run that no longer
+    delivers some keys removes them (default: upsert only); ``delivered``
+    names the sources whose file the batch held, even if empty."""
     counts = {}
     for name, entity in ENTITIES.items():
-        c = load_entity(lake, entity, batch_id)
+        c = load_entity(lake, entity, batch_id, prune, delivered)
         if c is not None:
             counts[name] = c
         if name == "category_translation" and c is not None:

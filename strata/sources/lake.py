@@ -68,8 +68,16 @@ class Lake:
         return fs, p
 
     def exists(self, layer: str, name: str) -> bool:
+        """The table holds data: a partition folder or a data file (a table
+        whose every partition was removed counts as not existing)."""
         fs, p = self._fs_path(self.path(layer, name))
-        return bool(fs.exists(p))
+        if not fs.exists(p):
+            return False
+        for st in fs.listStatus(p):
+            n = st.getPath().getName()
+            if (st.isDirectory() and "=" in n) or (st.isFile() and not n.startswith(("_", "."))):
+                return True
+        return False
 
     def path_exists(self, path: str) -> bool:
         fs, p = self._fs_path(path)

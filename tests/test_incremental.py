@@ -139,3 +139,32 @@ def test_moved_record_refreshes_its_old_person(spark, tmp_path):
     assert _table(lake.read("gold", "agg_customer_ltv"), "customer_key") == _table(
         aggs.agg_customer_ltv(fact_df), "customer_key"
     )
+
+
+def test_prune_rerun_removes_keys_that_are_gone(spark, tmp_path):
+    """Default re-runs are upsert-only; with prune=True a re-run with fewer
+    rows removes the missing keys from silver, facts, aggregates and the
+    type-1 dimension."""
+    batches = str(tmp_path / "batches")
+    d = fixtures.batch_1(batches)
+    lake = Lake(spark, str(tmp_path / "lake"), buckets=4)
+    run_batch(lake, batches, "2017-01")
+    assert lake.read("gold", "fact_order_items").filter("order_id = 'o1' AND order_item_id = 2").count() == 1
+    # corrected delivery: item o1/2 withdrawn, sellers file now empty
+    fixtures.write_csv(d, "order_items", [fixtures.item("o1", "1", "p1", "11.00", limit="2017-01-11 00:00:00"),
+                                          fixtures.item("o3", "1", "p9", "20.00"), fixtures.item("o9", "1", "p1", "30.00")])
+    fixtures.write_csv(d, "sellers", [])
+    run_batch(lake, batches, "2017-01")  # upsert-only: nothing removed
+    assert lake.read("silver", "order_item").filter("order_id = 'o1' AND order_item_id = 2").count() == 1
+    run_batch(lake, batches, "2017-01", prune=True)
+    assert lake.read("silver", "order_item").filter("order_id = 'o1' AND order_item_id = 2").count() == 0
+    fact = lake.read("gold", "fact_order_items")
+    assert fact.filter("order_id = 'o1' AND order_item_id = 2").count() == 0
+    assert _table(lake.read("gold", "agg_daily_sales"), "purchase_date_key") == _table(
+        aggs.agg_daily_sales(fact.drop("_batch_id")), "purchase_date_key"
+    )
+    assert lake.read("silver", "seller") is None and lake.read("gold", "dim_seller") is None  # no rows left
+    # pruning again changes nothing
+    before = _table(lake.read("gold", "fact_order_items"), "order_item_id")
+    run_batch(lake, batches, "2017-01", prune=True)
+    assert _table(lake.read("gold", "fact_order_items"), "order_item_id") == before

@@ -7,6 +7,7 @@ options whose values change results (time zone) or plans (AQE).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -31,15 +32,17 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder on the storage every executor sees.
 
-    This is the cluster's ``spark.checkpoint.dir``. Only when the session
-    names none (local runs, tests) do we create one under the temp folder
-    and register it, so ``DataFrame.checkpoint()`` works as well.
+    This is the cluster's ``spark.checkpoint.dir``, else the folder the
+    caller gave to ``SparkContext.setCheckpointDir``. Only a ``local`` master
+    (one machine, as in tests) gets a temp folder of its own; on a cluster
+    that would be another disk on each executor, so it is an error there.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="strata-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
     return "/".join([base.rstrip("/"), *parts]) if parts else base

@@ -6,17 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import mixing, sharding
+from strata.llm import bpe, chat, fingerprint, jaccard, language, mixing, pii, secrets, sharding, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_pii": pii.op1_pii,
         "op2_mixing": mixing.op2_mixing,
+        "op3_jaccard": jaccard.op3_jaccard,
+        "op4_fingerprint": fingerprint.op4_fingerprint,
+        "op5_chat": chat.op5_chat,
+        "op6_bpe": bpe.op6_bpe,
         "op7_sharding": sharding.op7_sharding,
+        "op8_secrets": secrets.op8_secrets,
+        "op9_language": language.op9_language,
+        "op10_topk": topk.op10_topk,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op3_jaccard": jaccard.SQL,
+        "op5_chat": chat.SQL,
+        "op10_topk": topk.SQL,
+    }

@@ -18,6 +18,10 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+#: Shuffle files of a step go when its table is written (where Spark knows the setting).
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read back.
 
@@ -25,8 +29,23 @@ def written(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     sizes. The folder is ``spark.checkpoint.dir`` of the session.
     """
     path = f"{shared_dir(spark)}/strata-llm/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    if before is not None:
+        spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is not None:
+            spark.conf.set(CLEANUP, before)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.written_to = path
+    return back
+
+
+def dropped(spark: SparkSession, table: DataFrame) -> None:
+    """Delete a table of ``written`` that no later step reads."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.written_to)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_or_empty(text: str | Column = "text") -> Column:

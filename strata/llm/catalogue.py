@@ -28,7 +28,9 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_mixing": mixing.SQL,
         "op3_jaccard": jaccard.SQL,
         "op5_chat": chat.SQL,
+        "op8_secrets": secrets.SQL,
         "op10_topk": topk.SQL,
     }

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import dropped, table, text_or_empty, written
+from strata.llm.common import WORD, dropped, table, text_or_empty, written
 from strata.llm.graph import components
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -196,7 +196,7 @@ class Tree:
 
 
 def _sets_of(docs: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
-    """doc_id, n_shingles, sid, check, keys."""
+    """doc_id, text_key, n_shingles, sid, check, keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = Classes(num, den)
@@ -205,12 +205,12 @@ def _sets_of(docs: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
             ids = [set_id(s) for s in sets]
             keys = [classes.keys(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([i for i, _ in ids], pa.int64()), pa.array([c for _, c in ids], pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "sid", "check", "keys"],
+                [batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array([i for i, _ in ids], pa.int64()), pa.array([c for _, c in ids], pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                names=["doc_id", "text_key", "n_shingles", "sid", "check", "keys"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, sid long, check long, keys array<long>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("text"), text_key())
+    return rows.mapInArrow(run, "doc_id long, text_key long, n_shingles long, sid long, check long, keys array<long>")
 
 
 def _whole_sets(docs: DataFrame, shingle: int) -> DataFrame:
@@ -299,10 +299,11 @@ def class_links(spark: SparkSession, docs: DataFrame, sets: DataFrame, shingle:
 
 
 def join(spark: SparkSession, docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles, sid, component_id of every row; documents link when
+    """doc_id, text_key, n_shingles, root, component_id of every row (root: the
+    component's key; null for empty sets); documents link when
     den * |intersection| >= num * |union| of their shingle sets."""
     with_keys = written(spark, _sets_of(docs.select("doc_id", "text"), shingle, num, den), "jaccard-sets")
-    rows = with_keys.select("doc_id", "n_shingles", "sid", "check")
+    rows = with_keys.select("doc_id", "text_key", "n_shingles", "sid", "check")
     ids = rows.filter("n_shingles > 0").groupBy("sid").agg(F.min("doc_id").alias("first"), F.min("check").alias("low"), F.max("check").alias("high"))
     ids = ids.select("sid", F.when(F.col("low") == F.col("high"), F.col("first")).otherwise(F.raise_error(F.lit("two shingle sets share an id")).cast("long")).alias("first"))
     ids = written(spark, ids, "jaccard-ids")
@@ -310,14 +311,32 @@ def join(spark: SparkSession, docs: DataFrame, shingle: int = 5, num: int = 80,
     roots = components(spark, links).withColumnRenamed("node", "sid")
     named = ids.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = written(spark, named.join(least, "root").select("sid", "component_id"), "jaccard-components")
+    named = written(spark, named.join(least, "root").select("sid", "root", "component_id"), "jaccard-components")
     return (
-        rows.select("doc_id", "n_shingles", "sid")
+        rows.drop("check")
         .join(named, "sid", "left")
-        .select("doc_id", "n_shingles", "sid", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        .select("doc_id", "text_key", "n_shingles", "root", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
     )
 
 
+def text_key() -> Column:
+    """Tells the texts of one doc_id apart."""
+    return F.xxhash64(text_or_empty()).alias("text_key")
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``docs`` with one row of each component: that of the least doc_id.
+    Rows without words stay."""
+    found = join(spark, docs, shingle, num, den).filter(F.col("root").isNotNull())
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key"))
+    kept = found.groupBy("root").agg(first.alias("k")).select(F.col("k.doc_id").alias("doc_id_"), F.col("k.text_key").alias("text_key_"))
+    keyed = docs.withColumn("text_key", text_key()).withColumn("row", F.struct(*docs.columns))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("doc_id_")) & (F.col("text_key") == F.col("text_key_"))
+    stay = keyed.join(written(spark, kept, "jaccard-kept"), same, "left_semi").groupBy("doc_id", "text_key").agg(F.min("row").alias("row"))
+    empty = docs.filter(~text_or_empty().rlike(WORD))
+    return stay.select("row.*").unionByName(empty)
+
+
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents alike in three-word shingles."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")

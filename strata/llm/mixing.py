@@ -164,3 +164,44 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_of(spark: SparkSession, docs: DataFrame) -> DataFrame:
     sized = written(spark, sizes(docs), "mix-sizes")
     return taken(spark, sized).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def mixed(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs`` as the mix takes them: a document appears once for every time
+    it is taken, the last time cut after the words still due."""
+    keyed = docs.withColumn("text_key_", F.xxhash64(text_or_empty()))
+    sized = written(spark, sizes(keyed, F.col("text_key_").alias("text_key")), "mix-sizes")
+    got = taken(spark, sized, "text_key").join(written(spark, targets(sized), "mix-sources").select("sid", F.col("source").alias("source_")), "sid")
+    # equal rows share what they are given
+    got = got.groupBy(F.col("doc_id").alias("doc_id_"), "source_", "text_key", "size").agg(F.floor(F.sum("taken") / F.count(F.lit(1))).alias("taken"))
+    same = F.col("doc_id").eqNullSafe(F.col("doc_id_")) & F.col("source").eqNullSafe(F.col("source_")) & (F.col("text_key_") == F.col("text_key"))
+    times = F.floor((F.col("taken") + F.col("size") - 1) / F.col("size")).cast("int")
+    rows = keyed.join(got.filter("taken > 0"), same).withColumn("time_", F.explode(F.sequence(F.lit(1), times)))
+    due = (F.col("taken") - (F.col("time_") - 1) * F.col("size")).cast("int")
+    words = F.split("text", r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")  # each with the blanks behind it
+    lead = F.col("text").rlike(r"^[\x20\x09-\x0D]").cast("int")
+    text = F.when(due < F.col("size"), F.array_join(F.slice(words, F.lit(1), due + lead), "")).otherwise(F.col("text"))
+    return rows.select(*[text.alias(c) if c == "text" else c for c in docs.columns])
+
+
+#: Without the schedule: a source's documents in hashed order are taken whole
+#: ``epochs`` times, and then the first ``rest`` words.
+SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, md5('mix/' || doc_id) AS o FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CAST(row_number() OVER (ORDER BY source IS NULL, source) AS BIGINT) AS sid FROM d GROUP BY source),
+w AS (SELECT *, (sid - 1) % 3 + 1 AS weight, 3 * source_size AS cap, CAST(sum(source_size) OVER () AS BIGINT) AS total FROM s),
+l AS (
+  SELECT *, cap < weight * (CAST(total - sum(cap) OVER r + cap AS BIGINT) / CAST(sum(weight) OVER () - sum(weight) OVER r + weight AS BIGINT)) AS capped
+  FROM w WINDOW r AS (ORDER BY cap / weight, sid)),
+t AS (
+  SELECT source, source_size, CASE WHEN capped THEN CAST(cap AS DOUBLE) ELSE
+    CAST(total - coalesce(sum(cap) FILTER (capped) OVER (), 0) AS BIGINT) / CAST(sum(weight) FILTER (NOT capped) OVER () AS BIGINT) * weight END AS target FROM l),
+q AS (SELECT *, least(CAST(floor(target) AS BIGINT), 3 * source_size) AS quota FROM t),
+p AS (
+  SELECT doc_id, size, source_size, target, quota, quota // greatest(source_size, 1) AS epochs,
+    CAST(sum(size) OVER (PARTITION BY d.source ORDER BY o, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS BIGINT) AS first
+  FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source)
+SELECT doc_id, size, source_size, target, CAST(epochs * size + greatest(0, least(size, quota - epochs * source_size - first)) AS BIGINT) AS taken FROM p
+"""

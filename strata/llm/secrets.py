@@ -37,10 +37,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 #: Rules added by version 2: kind -> pattern.
 ADDED = {
-    "private_key": re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[A-Za-z0-9+/=\s]*-----END [A-Z ]{0,40}PRIVATE KEY-----)?"),
-    "jwt": re.compile(r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    "provider": re.compile(r"\b(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35})"),
-    "url_login": re.compile(r"\b[a-z]{2,12}://[^\s:/@]{1,64}:[^\s:/@]{3,64}@[A-Za-z0-9.-]+"),
+    "private_key": re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[A-Za-z0-9+/=\s]*-----END [A-Z ]{0,40}PRIVATE KEY-----)?", re.ASCII),
+    "jwt": re.compile(r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", re.ASCII),
+    "provider": re.compile(r"\b(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35})", re.ASCII),
+    "url_login": re.compile(r"\b[a-z]{2,12}://[^\s:/@]{1,64}:[^\s:/@]{3,64}@[A-Za-z0-9.-]+", re.ASCII),
 }
 RULE_VERSION = 2
 SPAN = "struct<kind:string,start:int,end:int>"
@@ -93,16 +93,31 @@ def scan_unseen(spark: SparkSession, docs: DataFrame, versions: DataFrame, ledge
     unseen.select("blob", "text").mapInArrow(run, LEDGER).write.mode("append").parquet(ledger)
 
 
-def scan(spark: SparkSession, docs: DataFrame, ledger: str | None = None, rules: int = RULE_VERSION) -> DataFrame:
-    """doc_id, blob, spans of every row of ``docs``; the ledger grows by what it lacked."""
+def findings(spark: SparkSession, docs: DataFrame, ledger: str | None = None, rules: int = RULE_VERSION) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, blob) of every row of ``docs``, and the blobs with findings
+    (blob, spans); the ledger grows by what it lacked."""
     ledger = ledger or new_ledger(spark)
     versions = written(spark, docs.select("doc_id", blob_of(text_or_empty()).alias("blob")), "blob-versions")
     scan_unseen(spark, docs, versions, ledger, rules)
     hits = read_ledger(spark, ledger, rules).filter(F.size("spans") > 0).select("blob", "spans").dropDuplicates(["blob"])
+    return versions, hits
+
+
+def scan(spark: SparkSession, docs: DataFrame, ledger: str | None = None, rules: int = RULE_VERSION) -> DataFrame:
+    """doc_id, blob, spans of every row of ``docs``."""
+    versions, hits = findings(spark, docs, ledger, rules)
     empty = F.expr(f"cast(array() as array<{SPAN}>)")
     return versions.join(hits, "blob", "left").select("doc_id", "blob", F.coalesce("spans", empty).alias("spans"))
 
 
+def redact(spark: SparkSession, docs: DataFrame, ledger: str | None = None, rules: int = RULE_VERSION) -> DataFrame:
+    """``docs`` with every finding in ``text`` replaced by a mark."""
+    _, hits = findings(spark, docs, ledger, rules)
+    held = docs.withColumn("blob_", blob_of(text_or_empty())).join(hits.select(F.col("blob").alias("blob_"), F.col("spans").alias("spans_")), "blob_", "left")
+    text = F.when(F.size("spans_") > 0, redacted(F.col("text"), F.col("spans_"))).otherwise(F.col("text"))
+    return held.select(*[text.alias(c) if c == "text" else c for c in docs.columns])
+
+
 def as_text(spans: Column) -> Column:
     one = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
     return F.array_join(F.transform(spans, one), ",")
@@ -132,3 +147,33 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", *map(count, BASE), F.sha2(as_text(base), 256).alias("base_sha256"), as_text(F.col("spans")).alias("spans"), "blob")
+
+
+def _sql() -> str:
+    """Every kind's matches lie between the pieces that its pattern leaves."""
+    keyword = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    rules = {"assign": keyword, "access": ACCESS.pattern, "hex": HEX.pattern} | {kind: p.pattern for kind, p in ADDED.items()}
+    quoted = {kind: p.replace("'", "''") for kind, p in rules.items()}
+    holds = {"assign": f"length(regexp_extract(m, '{quoted['assign']}', 2)) >= 6", "access": "length(m) >= 20"}
+    length = "coalesce(list_sum(list_transform({}, lambda x: length(x))), 0)"
+    parts = [
+        f"""SELECT r, {i} AS o, '{kind}' AS kind, m, p FROM (
+          SELECT r, unnest(found) AS m, unnest(list_transform(range(1, len(found) + 1), lambda i:
+            {length.format("pieces[1:i]")} + {length.format("found[1:i - 1]")})) AS p
+          FROM (SELECT r, regexp_extract_all(text, '{p}') AS found, string_split_regex(text, '{p}') AS pieces FROM d) WHERE len(found) > 0)
+        WHERE {holds.get(kind, 'true')}"""
+        for i, (kind, p) in enumerate(quoted.items())
+    ]
+    text = "string_agg(kind || ':' || CAST(p AS BIGINT) || ':' || CAST(p + length(m) AS BIGINT), ',' ORDER BY p, o)"
+    base = "kind IN ('assign', 'access', 'hex')"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+s AS ({' UNION ALL '.join(parts)}),
+g AS (SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+  {text} FILTER ({base}) AS base, {text} AS spans FROM s GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, sha256(text) AS blob FROM d LEFT JOIN g USING (r)
+"""
+
+
+SQL = _sql()

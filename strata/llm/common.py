@@ -54,3 +54,8 @@ def text_or_empty(text: str | Column = "text") -> Column:
 
 def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct ``row``, so that added names cannot clash."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")

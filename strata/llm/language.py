@@ -27,8 +27,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from strata.llm.common import table
+from strata.llm.common import table, whole_row
 
 ORDERS = 4
 #: Hashed n-grams of each order.
@@ -159,24 +160,22 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     return fit([(r["lang"], np.asarray(r["index"])) for r in rows]) if rows else ([], np.zeros((0, 0), np.float32))
 
 
-def identify(spark: SparkSession, docs: DataFrame, *carry: str) -> DataFrame:
-    """The columns in ``carry``, lang_pred and score of every row."""
+def identify(spark: SparkSession, docs: DataFrame, *keep: str) -> DataFrame:
+    """row (a struct of the columns in ``keep``), lang_pred and score of every row."""
     langs, matrix = train(docs.select("doc_id", "text", "lang"))
     model = spark.sparkContext.broadcast((langs, matrix))  # ORDERS * BUCKETS rows, a column per language
-    rows = docs.select("text", *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)])
+    rows = docs.select("text", whole_row(docs.select(*[F.col(f"`{c}`") for c in keep])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pred, p = score(batch.column(0).to_pylist(), *model.value)
-            kept = [batch.column(i + 1) for i in range(len(carry))]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(pred, pa.string()), pa.array(p, pa.float64())], names=[*[f"c{i}" for i in range(len(carry))], "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(pred, pa.string()), pa.array(p, pa.float64())], names=["row", "lang_pred", "score"])
 
-    kinds = dict(rows.dtypes)
-    out = rows.mapInArrow(run, ", ".join([f"c{i} {kinds[f'c{i}']}" for i in range(len(carry))] + ["lang_pred string", "score double"]))
-    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)], "lang_pred", "score")
+    out = T.StructType([rows.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(run, out)
 
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
-    return identify(spark, docs, "doc_id").select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+    return identify(spark, docs, "doc_id").select("row.doc_id", held_out("row.doc_id").alias("held_out"), "lang_pred", "score")

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import table, text_or_empty, word_count, written
+from strata.llm.common import table, text_or_empty, whole_row, word_count, written
 
 BLOCK = 2048
 REPEAT = 3
@@ -142,18 +142,15 @@ def taken(spark: SparkSession, sized: DataFrame, *carry: str) -> DataFrame:
             F.max(F.when(F.col("words") < F.col("length"), F.col("words"))).alias("part"),
         )
     )
-    at = positions(sized, sources, *carry).withColumn("key", F.struct("start", "doc_id", "size", *carry))
-    blocks = F.sequence(F.floor(F.col("start") / BLOCK), F.floor((F.col("start") + F.greatest(F.col("size"), F.lit(1)) - 1) / BLOCK))
-    pieces = at.withColumn("block", F.explode(blocks)).withColumn("block_", F.col("block") * BLOCK)
+    at = positions(sized, sources, *carry)
+    blocks = F.sequence(F.floor(F.col("start") / BLOCK), F.floor((F.col("start") + F.col("size") - 1) / BLOCK))
+    pieces = at.filter("size > 0").withColumn("block", F.explode(blocks)).withColumn("block_", F.col("block") * BLOCK)
     first = F.greatest(F.col("start") - F.col("block_"), F.lit(0))
     last = F.least(F.col("start") + F.col("size") - F.col("block_"), F.lit(BLOCK))
     words = F.coalesce("whole", F.lit(0)) * (last - first) + F.greatest(F.least(last, F.coalesce("part", F.lit(0))) - first, F.lit(0))
-    return (
-        pieces.join(takes, ["sid", "block"], "left")
-        .withColumn("words", words)
-        .groupBy("sid", "start", "doc_id", "size", "source_size", "target", *carry)
-        .agg(F.sum("words").cast("long").alias("taken"), F.count(F.lit(1)).alias("in_blocks"))
-    )
+    columns = ("sid", "start", "doc_id", "size", "source_size", "target", *carry)  # a start is one document's
+    out = pieces.join(takes, ["sid", "block"], "left").withColumn("words", words).groupBy(*columns).agg(F.sum("words").cast("long").alias("taken"))
+    return out.unionByName(at.filter("size = 0").select(*columns, F.lit(0).cast("long").alias("taken")))
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,19 +166,19 @@ def op2_of(spark: SparkSession, docs: DataFrame) -> DataFrame:
 def mixed(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``docs`` as the mix takes them: a document appears once for every time
     it is taken, the last time cut after the words still due."""
-    keyed = docs.withColumn("text_key_", F.xxhash64(text_or_empty()))
-    sized = written(spark, sizes(keyed, F.col("text_key_").alias("text_key")), "mix-sizes")
+    keyed = docs.select(whole_row(docs), "doc_id", "source", "text", F.xxhash64(text_or_empty()).alias("text_key"))
+    sized = written(spark, sizes(keyed, "text_key"), "mix-sizes")
     got = taken(spark, sized, "text_key").join(written(spark, targets(sized), "mix-sources").select("sid", F.col("source").alias("source_")), "sid")
     # equal rows share what they are given
-    got = got.groupBy(F.col("doc_id").alias("doc_id_"), "source_", "text_key", "size").agg(F.floor(F.sum("taken") / F.count(F.lit(1))).alias("taken"))
-    same = F.col("doc_id").eqNullSafe(F.col("doc_id_")) & F.col("source").eqNullSafe(F.col("source_")) & (F.col("text_key_") == F.col("text_key"))
+    got = got.groupBy(F.col("doc_id").alias("doc_id_"), "source_", F.col("text_key").alias("text_key_"), "size").agg(F.floor(F.sum("taken") / F.count(F.lit(1))).alias("taken"))
+    same = F.col("doc_id").eqNullSafe(F.col("doc_id_")) & F.col("source").eqNullSafe(F.col("source_")) & (F.col("text_key") == F.col("text_key_"))
     times = F.floor((F.col("taken") + F.col("size") - 1) / F.col("size")).cast("int")
-    rows = keyed.join(got.filter("taken > 0"), same).withColumn("time_", F.explode(F.sequence(F.lit(1), times)))
-    due = (F.col("taken") - (F.col("time_") - 1) * F.col("size")).cast("int")
+    rows = keyed.join(got.filter("taken > 0"), same).withColumn("time", F.explode(F.sequence(F.lit(1), times)))
+    due = (F.col("taken") - (F.col("time") - 1) * F.col("size")).cast("int")
     words = F.split("text", r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")  # each with the blanks behind it
     lead = F.col("text").rlike(r"^[\x20\x09-\x0D]").cast("int")
-    text = F.when(due < F.col("size"), F.array_join(F.slice(words, F.lit(1), due + lead), "")).otherwise(F.col("text"))
-    return rows.select(*[text.alias(c) if c == "text" else c for c in docs.columns])
+    text = F.when(due < F.col("size"), F.array_join(F.slice(words, F.lit(1), due + lead), "")).otherwise(F.col("text")).alias("text")
+    return rows.select(*[text if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 #: Without the schedule: a source's documents in hashed order are taken whole

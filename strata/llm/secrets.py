@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import table, text_or_empty, written
+from strata.llm.common import table, text_or_empty, whole_row, written
 from strata.session import shared_dir
 
 BASE = ("assign", "access", "hex")
@@ -113,9 +113,9 @@ def scan(spark: SparkSession, docs: DataFrame, ledger: str | None = None, rules:
 def redact(spark: SparkSession, docs: DataFrame, ledger: str | None = None, rules: int = RULE_VERSION) -> DataFrame:
     """``docs`` with every finding in ``text`` replaced by a mark."""
     _, hits = findings(spark, docs, ledger, rules)
-    held = docs.withColumn("blob_", blob_of(text_or_empty())).join(hits.select(F.col("blob").alias("blob_"), F.col("spans").alias("spans_")), "blob_", "left")
-    text = F.when(F.size("spans_") > 0, redacted(F.col("text"), F.col("spans_"))).otherwise(F.col("text"))
-    return held.select(*[text.alias(c) if c == "text" else c for c in docs.columns])
+    held = docs.select(whole_row(docs), blob_of(text_or_empty()).alias("blob")).join(hits, "blob", "left")
+    text = F.when(F.size("spans") > 0, redacted(F.col("row.text"), F.col("spans"))).otherwise(F.col("row.text")).alias("text")
+    return held.select(*[text if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def as_text(spans: Column) -> Column:

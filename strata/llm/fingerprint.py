@@ -103,8 +103,10 @@ def next_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 def fingerprints(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Each document's fingerprint, its edited text's, and the likenesses."""
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key"), "doc_id", text_or_empty().alias("text"))
-    links = next_documents(spark, keyed)
+    doc_id = F.expr("cast(nullif(key, '') as bigint)")
+    # the key stands for doc_id, so that both joins read one exchange of (key, text)
+    keyed = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key"), text_or_empty().alias("text"))
+    links = next_documents(spark, keyed.withColumn("doc_id", doc_id))
     given = (
         keyed.join(links, F.col("key") == F.col("donor"))
         .select("taker", F.struct(F.col("text").substr(F.lit(1), F.col("need").cast("int")).alias("head"), sketch(F.col("text")).alias("sketch")).alias("next"))
@@ -114,7 +116,7 @@ def fingerprints(spark: SparkSession, docs: DataFrame) -> DataFrame:
     n, take = F.length("text"), F.floor(F.length("text") / 4).cast("int")
     edited = F.concat(F.col("text").substr(F.lit(1), n - take), F.col("next.head").substr(F.lit(1), take))
     out = keyed.join(given, F.col("key") == F.col("taker"), "left").select(
-        "doc_id", n.cast("long").alias("n_chars"), "text", edited.alias("edited"), F.col("next.sketch").alias("next_sketch")
+        doc_id.alias("doc_id"), n.cast("long").alias("n_chars"), "text", edited.alias("edited"), F.col("next.sketch").alias("next_sketch")
     )
     # an array of one struct, exploded: the sketches are computed once
     both = F.array(F.struct(sketch(F.col("text")).alias("own"), sketch(F.col("edited")).alias("edited"), F.sha2("edited", 256).alias("sha")))

@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +30,10 @@ from strata.llm.common import table
 
 #: Fixed value: the public byte-level pre-tokenizer pattern.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Pre-tokens a task remembers; beyond it the memory starts anew.
-MEMORY = 200_000
+#: Pre-tokens a task remembers; beyond it a new memory starts, and the last one is still asked.
+MEMORY = 250_000
+#: More than any id; a pair (a, b) is the number a * PAIR + b.
+PAIR = 1 << 20
 #: Longer pre-tokens are not remembered.
 LONG = 64
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -51,53 +54,67 @@ class Tokenizer:
         self.vocab: dict[str, int] = spec["model"]["vocab"]
         self.special: dict[str, int] = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.first = [self.vocab[letters[b]] for b in range(256)]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.rank: dict[int, int] = {}  # of a pair of ids, as one number
+        self.made: list[int] = []  # id by rank
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges[self.vocab[a], self.vocab[b]] = (rank, self.vocab[a + b])
+            self.rank[self.vocab[a] * PAIR + self.vocab[b]] = rank
+            self.made.append(self.vocab[a + b])
         self.strings: dict[int, bytes] = {i: bytes(to_byte[c] for c in s) for s, i in self.vocab.items()}
         self.strings |= {i: s.encode() for s, i in self.special.items()}
         self.pattern = regex.compile(PRETOKEN)
         longest_first = sorted(self.special, key=lambda s: (-len(s), s))
         self.specials = regex.compile("|".join(map(regex.escape, longest_first))) if longest_first else None
         self.memory: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merge(self, data: bytes) -> list[int]:
-        """The ids of one pre-token."""
-        ids = [self.first[b] for b in data]
-        n, merges = len(ids), self.merges
-        after, before = [*range(1, n), -1], [*range(-1, n - 1)]
-        heap = [(*m, i, ids[i], ids[i + 1]) for i in range(n - 1) if (m := merges.get((ids[i], ids[i + 1])))]
-        heap = [(rank, i, left, right, new) for rank, new, i, left, right in heap]
+        """The ids of one pre-token (not empty)."""
+        first, rank, made, pop, push = self.first, self.rank.get, self.made, heapq.heappop, heapq.heappush
+        ids = [first[b] for b in data]
+        n = len(ids)
+        heap, i, a = [], 0, ids[0]  # rank * n + place of the left symbol
+        for b in ids[1:]:
+            if (r := rank(a * PAIR + b)) is not None:
+                heap.append(r * n + i)
+            i, a = i + 1, b
         heapq.heapify(heap)
+        after, before = [*range(1, n + 1)], [*range(-1, n - 1)]
+        ids.append(-1)  # behind the last symbol; merged symbols are -1 too
         while heap:
-            _, i, left, right, new = heapq.heappop(heap)
-            j = after[i] if ids[i] == left else -1
-            if j < 0 or ids[j] != right:
+            r, i = divmod(pop(heap), n)
+            j = after[i]
+            if rank(ids[i] * PAIR + ids[j]) != r:
                 continue  # stale: a symbol has merged with another neighbour
-            ids[i], ids[j] = new, -1
+            new = ids[i] = made[r]
+            ids[j] = -1
             k = after[i] = after[j]
-            if k >= 0:
+            if k < n:
                 before[k] = i
-                if m := merges.get((new, ids[k])):
-                    heapq.heappush(heap, (m[0], i, new, ids[k], m[1]))
+                if (r := rank(new * PAIR + ids[k])) is not None:
+                    push(heap, r * n + i)
             p = before[i]
-            if p >= 0 and (m := merges.get((ids[p], new))):
-                heapq.heappush(heap, (m[0], p, ids[p], new, m[1]))
+            if p >= 0 and (r := rank(ids[p] * PAIR + new)) is not None:
+                push(heap, r * n + p)
         return [i for i in ids if i >= 0]
 
     def piece(self, token: str) -> bytes:
         """The ids of one pre-token, as little-endian unsigned 32-bit integers."""
-        out = np.asarray(self.merge(token.encode()), "<u4").tobytes()
+        out = self.older.get(token)
+        if out is None:
+            ids = self.merge(token.encode())
+            out = struct.pack(f"<{len(ids)}I", *ids)
         if len(token) <= LONG:
             if len(self.memory) >= MEMORY:
-                self.memory.clear()
+                self.older, self.memory = self.memory, {}
             self.memory[token] = out
         return out
 
     def _plain(self, text: str) -> bytes:
-        known, piece = self.memory, self.piece
-        return b"".join([known.get(t) or piece(t) for t in self.pattern.findall(text)])
+        piece, out = self.piece, []
+        for t in self.pattern.findall(text):
+            out.append(self.memory.get(t) or piece(t))
+        return b"".join(out)
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text, as little-endian unsigned 32-bit integers."""

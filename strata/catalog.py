@@ -269,10 +269,10 @@ def q_incremental_dim_customer(spark: SparkSession, d: str) -> DataFrame:
 
 def q_quarantine_raw(spark: SparkSession, d: str) -> DataFrame:
     """Rejected reviews keep their raw record (JSON text) for replay."""
-    from strata.plans.silver import with_raw_record
+    from strata.plans.silver import raw_as_text, with_raw_record
 
     raw = with_raw_record(td.raw_order_reviews(spark, d), "order_reviews")
-    rejected = rejected_part(tagged(spark, d, "order_review", raw))
+    rejected = raw_as_text(rejected_part(tagged(spark, d, "order_review", raw)))
     return rejected.select("review_id", "order_id", REASON, "_raw")
 
 

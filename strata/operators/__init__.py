@@ -11,7 +11,7 @@ from strata.operators.batching import (
 )
 from strata.operators.dedupe import latest_per_key
 from strata.operators.merge import scd2_apply, scd2_classify, upsert
-from strata.operators.quality import count_rows, split_by_rule, tag_rejects
+from strata.operators.quality import split_by_rule, tag_rejects
 
 __all__ = [
     "asof_join",
@@ -26,7 +26,6 @@ __all__ = [
     "scd2_apply",
     "scd2_classify",
     "upsert",
-    "count_rows",
     "split_by_rule",
     "tag_rejects",
 ]

@@ -20,14 +20,17 @@ HASH = "_hash"
 INITIAL_EFFECTIVE_FROM = "1900-01-01"
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: list[str], version_col: str | None = None) -> DataFrame:
+def upsert(
+    target: DataFrame, source: DataFrame, keys: list[str], version_col: str | None = None, label_col: str | None = None
+) -> DataFrame:
     """Target rows updated/inserted from ``source`` on key equality.
 
     ``source`` must hold at most one row per key (dedupe it first). Rows
     with a NULL key never match, so they are kept (target) or inserted
     (source), as a MERGE would do. With ``version_col`` a source row loses
     against a target row whose version is greater, so replaying an older
-    batch cannot overwrite newer data.
+    batch cannot overwrite newer data. A ``label_col`` guards nothing: the
+    source's values are taken, and the greater label stays.
     """
     cols = target.columns
     missing = [c for c in cols if c not in source.columns]
@@ -41,7 +44,13 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], version_col: s
         newer_or_same = F.coalesce(F.col(f"s.{version_col}") >= F.col(f"t.{version_col}"), F.lit(True))
         take_source = take_source & (F.col("t._in_t").isNull() | newer_or_same)
     j = t.join(s, cond, "full_outer")
-    return j.select(*[F.when(take_source, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in cols])
+
+    def merged(c: str) -> Column:
+        if c == label_col:
+            return F.greatest(f"s.{c}", f"t.{c}").alias(c)
+        return F.when(take_source, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
+
+    return j.select(*map(merged, cols))
 
 
 def replace_keys(old: DataFrame | None, fresh: DataFrame, touched: DataFrame, keys: list[str]) -> DataFrame:

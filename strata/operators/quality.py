@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 REASON = "_reject_reason"
@@ -50,48 +50,6 @@ class Counts:
     rows_quarantined: int = 0
 
 
-def observe_rejects(tagged: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count rows in / rejected in the same pass as whatever action runs
-    next on the returned frame (no extra scan, no cache)."""
-    obs = Observation(name)
-    observed = tagged.observe(
-        obs,
-        F.count(F.lit(1)).alias("rows_in"),
-        F.count_if(F.col(REASON).isNotNull()).alias("rows_quarantined"),
-    )
-    return observed, obs
-
-
-def observe_count(df: DataFrame, name: str, alias: str = "n") -> tuple[DataFrame, Observation]:
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias(alias)), obs
-
-
-def observed(obs: Observation, key: str, default=0):
-    """An observed metric after the action ran. When AQE found the observed
-    subtree empty at run time it replaces it with an empty relation and
-    no metrics are reported; the count is then the default (zero)."""
-    try:
-        values = obs.get
-    except Exception:  # noqa: BLE001 - metrics row missing: nothing flowed through
-        return default
-    return values.get(key, default) if values else default
-
-
-def count_rows(parts: dict[str, DataFrame]) -> DataFrame:
-    """One row with a count per named frame, computed in one job.
-
-    The frames are unioned with a tag and counted conditionally, so the
-    plan is one aggregation (partial counts per task) instead of a
-    cross join of single-row aggregates.
-    """
-    tagged = None
-    for label, frame in parts.items():
-        one = frame.select(F.lit(label).alias("_part"))
-        tagged = one if tagged is None else tagged.unionByName(one)
-    return tagged.agg(*[F.count_if(F.col("_part") == label).alias(label) for label in parts])
-
-
 def rule_counts(tagged: DataFrame, keys: list[str]) -> DataFrame:
     """rows_in, rows_out (distinct keys among valid rows = rows a dedupe
     keeps) and rows_quarantined of a tagged frame, in one pass.
@@ -124,17 +82,11 @@ SOFT_CHECKS = {
 def soft_check_counts(df: DataFrame, checks: dict[str, str], keys: list[str] | None = None) -> DataFrame:
     """Number of rows breaking each soft check (NULL results do not count).
 
-    Returns one row per check: ``soft_check, rows_checked, rows_flagged``.
+    Returns one row per check: ``soft_check, rows_checked, rows_flagged``. A
+    check whose columns are missing is an error.
     """
-    available = {name: rule for name, rule in checks.items() if _columns_present(df, rule)}
     aggs = [F.count(F.lit(1)).alias("rows_checked")]
-    aggs += [F.count_if(F.coalesce(F.expr(rule), F.lit(False))).alias(f"c{i}") for i, rule in enumerate(available.values())]
+    aggs += [F.count_if(F.coalesce(F.expr(rule), F.lit(False))).alias(f"c{i}") for i, rule in enumerate(checks.values())]
     wide = df.agg(*aggs)
-    stack = ", ".join(f"'{name}', c{i}" for i, name in enumerate(available))
-    return wide.selectExpr(f"stack({len(available)}, {stack}) as (soft_check, rows_flagged)", "rows_checked")
-
-
-def _columns_present(df: DataFrame, rule: str) -> bool:
-    words = {w for w in rule.replace("(", " ").replace(")", " ").split() if w.isidentifier()}
-    keywords = {"AND", "OR", "NOT", "IS", "NULL", "and", "or", "not", "is", "null"}
-    return all(w in df.columns for w in words - keywords)
+    stack = ", ".join(f"'{name}', c{i}" for i, name in enumerate(checks))
+    return wide.selectExpr(f"stack({len(checks)}, {stack}) as (soft_check, rows_flagged)", "rows_checked")

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import re
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions.keys import date_key, surrogate_key
-from strata.operators.merge import replace_keys, scd2_apply
+from strata.operators.merge import INITIAL_EFFECTIVE_FROM, replace_keys, scd2_apply
 
 # The product attributes kept per version, and the ones whose
 # change opens a new version (the rest are frozen at version creation).
@@ -43,10 +44,10 @@ def calendar(dates: DataFrame) -> DataFrame:
     )
 
 
-def dim_date(spark: SparkSession, start: str = "2016-01-01", end: str = "2019-12-31") -> DataFrame:
-    """One row per day of a fixed range (``spark.range`` spreads the days
-    over tasks instead of exploding one array in one task)."""
-    days = spark.sql(f"SELECT datediff(to_date('{end}'), to_date('{start}')) + 1 AS n").first()["n"]
+def dim_date(spark: SparkSession, start: str, end: str) -> DataFrame:
+    """One row per day of a range (``spark.range`` spreads the days over
+    tasks instead of exploding one array in one task)."""
+    days = (date.fromisoformat(end) - date.fromisoformat(start)).days + 1
     return calendar(spark.range(days).select(F.date_add(F.to_date(F.lit(start)), F.col("id").cast("int")).alias("date")))
 
 
@@ -136,8 +137,10 @@ def product_source(products: DataFrame) -> DataFrame:
 def dim_product(dim: DataFrame | None, products: DataFrame, batch_id: str | None) -> DataFrame:
     """Type-2 product dimension after loading ``products`` (one per id).
 
-    ``dim`` None is the first load (versions valid from 1900-01-01)."""
-    eff = batch_start(batch_id) if batch_id else "1900-01-01 00:00:00"
+    ``dim`` None is the first load (versions valid from 1900-01-01).
+    ``batch_id`` None loads into that first version again: what the first
+    batch delivered is corrected in place."""
+    eff = batch_start(batch_id) if batch_id else f"{INITIAL_EFFECTIVE_FROM} 00:00:00"
     return scd2_apply(dim, product_source(products), "product_id", "product_key", PRODUCT_TRACKED, eff)
 
 

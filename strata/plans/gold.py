@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.quality import SOFT_CHECKS, Counts, observe_count, observed, soft_check_counts
+from strata.operators.quality import SOFT_CHECKS, Counts, soft_check_counts
 from strata.plans import aggs, dims, facts
+from strata.plans.conform import ENTITIES
 from strata.sources.lake import BUCKET, Lake
 
 SILVER_SCHEMAS = {
@@ -36,30 +37,59 @@ def silver(lake: Lake, name: str) -> DataFrame:
     return lake.read("silver", name, _parse_datatype_string(SILVER_SCHEMAS[name]))
 
 
-def with_batch_rows(table: DataFrame, touched_orders: DataFrame, batch_id: str) -> DataFrame:
+def delivered(lake: Lake, entity: str, batch_id: str) -> DataFrame:
+    """The rows of ``entity`` this batch put into silver: its staging slice
+    (the batch's own rows, not a scan of the table), less those that a newer
+    batch has delivered since."""
+    staged = lake.read_batch("ops", f"stage_silver_{entity}", batch_id)
+    table = silver(lake, entity)
+    if staged is None:
+        return table.limit(0)
+    keys = list(ENTITIES[entity].keys)
+    staged = staged.drop("_batch_id").withColumnRenamed("_version", "_batch_id").select(*table.columns)
+    newer = lake.read_touched("silver", entity, staged.select(*keys), keys).filter(F.col("_batch_id") > batch_id)
+    return staged.join(newer.select(*keys), keys, "left_anti")
+
+
+def with_batch_rows(lake: Lake, entity: str, touched_orders: DataFrame, batch_id: str) -> DataFrame:
     """Rows delivered by this batch, plus rows of orders this batch changed
     (their facts depend on the order's dates and status)."""
-    t = touched_orders.select("order_id", F.lit(True).alias("_touched"))
-    j = table.join(t, "order_id", "left")
-    return j.filter((F.col("_batch_id") == batch_id) | F.col("_touched").isNotNull()).drop("_touched")
+    own = delivered(lake, entity, batch_id)
+    keys = list(ENTITIES[entity].keys)
+    others = silver(lake, entity).join(touched_orders.select("order_id"), "order_id", "left_semi")
+    return others.join(own.select(*keys), keys, "left_anti").unionByName(own.select(*others.columns))
+
+
+def products_of(lake: Lake, batch_id: str) -> DataFrame:
+    """Products this batch delivered, or relabelled by a new translation."""
+    own = delivered(lake, "product", batch_id)
+    refreshed = lake.read_batch("ops", "stage_product_refresh", batch_id)
+    if refreshed is None:
+        return own
+    refreshed = refreshed.drop("_batch_id").withColumnRenamed("_version", "_batch_id").select(*own.columns)
+    return refreshed.join(own.select("product_id"), "product_id", "left_anti").unionByName(own)
 
 
 def build_dim_product(lake: Lake, batch_id: str) -> Counts | None:
     """Type-2 load of the products this batch delivered, reading and
     rewriting only the dimension buckets those products live in. The
-    first load also writes the unknown member (key -1)."""
-    src = silver(lake, "product").filter(F.col("_batch_id") == batch_id)
-    src = src.select(*dims.PRODUCT_ATTRS)
-    if src.isEmpty():
+    first load also writes the unknown member (key -1). The table remembers
+    the batch of its first load, so a corrected re-run of that batch mends
+    the versions valid from the start, in place."""
+    src = products_of(lake, batch_id).select(*dims.PRODUCT_ATTRS)
+    n = lake.replace_batch(src, "ops", "stage_dim_product", batch_id)
+    if not n:
         return None
-    counted, obs = observe_count(src, f"dim-product-{batch_id}")
+    src = lake.read_batch("ops", "stage_dim_product", batch_id).drop("_batch_id")
+    path = lake.path("gold", "dim_product")
     if not lake.exists("gold", "dim_product"):
-        first = dims.dim_product(None, counted, None).unionByName(dims.unknown_product(lake.spark))
+        first = dims.dim_product(None, src, None).unionByName(dims.unknown_product(lake.spark))
         lake.replace_keyed(first, "gold", "dim_product", ["product_id"])
+        lake.set_marker(path, "_first_batch", batch_id)
     else:
+        again = lake.marker(path, "_first_batch") == batch_id
         current = lake.read_touched("gold", "dim_product", src, ["product_id"]).drop(BUCKET)
-        lake.replace_keyed(dims.dim_product(current, counted, batch_id), "gold", "dim_product", ["product_id"])
-    n = observed(obs, "n")
+        lake.replace_keyed(dims.dim_product(current, src, None if again else batch_id), "gold", "dim_product", ["product_id"])
     return Counts(n, n, 0)
 
 
@@ -87,7 +117,7 @@ def stage_touched_groups(lake: Lake, staged: DataFrame | None, batch_id: str, go
         if gone is not None and old is not None:
             parts.append(old.join(gone.select(*ITEM_KEYS), ITEM_KEYS, "left_semi").select(group))
         if parts:
-            lake.replace_batch(_union(parts), "ops", f"touched_{table}", batch_id)
+            lake.remember(_union(parts), f"touched_{table}", batch_id)
 
 
 def delete_gone_facts(lake: Lake, table: str, gone: DataFrame | None, keys: list[str]) -> None:
@@ -142,22 +172,28 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out.distinct()
 
 
+def zips_changed(lake: Lake, geo: DataFrame, batch_id: str) -> DataFrame:
+    """Zips whose centroid this batch recomputed or removed."""
+    zips = lake.read_batch("ops", "touched_zips", batch_id)
+    return (geo.limit(0) if zips is None else zips).select("zip_prefix")
+
+
 def touched_persons(lake: Lake, batch_id: str, customers: DataFrame, orders: DataFrame, geo: DataFrame) -> DataFrame:
     """People whose type-1 row this batch can change: their customer
     records arrived or left them, one of their orders arrived or moved
     away, or the geolocation of a zip they live at changed."""
-    persons = [customers.filter(F.col("_batch_id") == batch_id).select("customer_unique_id")]
+    persons = [delivered(lake, "customer", batch_id).select("customer_unique_id")]
     for prefix in ("prev", "gone"):
         earlier = _previous(lake, "customer", batch_id, "customer_unique_id", prefix)
         if earlier is not None:
             persons.append(earlier)
-    buyers = [orders.filter(F.col("_batch_id") == batch_id).select("customer_id")]
+    buyers = [delivered(lake, "order", batch_id).select("customer_id")]
     for prefix in ("prev", "gone"):
         earlier = _previous(lake, "order", batch_id, "customer_id", prefix)
         if earlier is not None:
             buyers.append(earlier)
     persons.append(customers.join(_union(buyers), "customer_id", "left_semi").select("customer_unique_id"))
-    zips = geo.filter(F.col("_batch_id") == batch_id).select("zip_prefix")
+    zips = zips_changed(lake, geo, batch_id)
     persons.append(customers.join(zips, "zip_prefix", "left_semi").select("customer_unique_id"))
     return _union(persons)
 
@@ -169,7 +205,7 @@ def build_dim_customer(lake: Lake, batch_id: str, customers: DataFrame, orders:
     if not lake.exists("gold", "dim_customer"):
         lake.replace_keyed(dims.dim_customer(customers, orders, geo), "gold", "dim_customer", ["customer_unique_id"])
         return
-    lake.replace_batch(touched_persons(lake, batch_id, customers, orders, geo), "ops", "touched_dim_customer", batch_id)
+    lake.remember(touched_persons(lake, batch_id, customers, orders, geo), "touched_dim_customer", batch_id)
     touched = lake.read_batch("ops", "touched_dim_customer", batch_id)
     if touched is None:
         return
@@ -184,16 +220,15 @@ def build_dim_seller(lake: Lake, batch_id: str, sellers: DataFrame, geo: DataFra
     if not lake.exists("gold", "dim_seller"):
         lake.replace_keyed(dims.dim_seller(sellers, geo), "gold", "dim_seller", ["seller_id"])
         return
-    zips = geo.filter(F.col("_batch_id") == batch_id).select("zip_prefix")
+    zips = zips_changed(lake, geo, batch_id)
     parts = [
-        sellers.filter(F.col("_batch_id") == batch_id).select("seller_id"),
+        delivered(lake, "seller", batch_id).select("seller_id"),
         sellers.join(zips, "zip_prefix", "left_semi").select("seller_id"),
     ]
     removed = _previous(lake, "seller", batch_id, "seller_id", "gone")
     if removed is not None:
         parts.append(removed)
-    touched = _union(parts)
-    lake.replace_batch(touched, "ops", "touched_dim_seller", batch_id)
+    lake.remember(_union(parts), "touched_dim_seller", batch_id)
     staged = lake.read_batch("ops", "touched_dim_seller", batch_id)
     if staged is None:
         return
@@ -202,25 +237,60 @@ def build_dim_seller(lake: Lake, batch_id: str, sellers: DataFrame, geo: DataFra
     lake.refresh_keyed(fresh, staged, "gold", "dim_seller", ["seller_id"])
 
 
+def build_dim_date(lake: Lake, orders: DataFrame, date_range: tuple[str, str] | None) -> None:
+    """The calendar: a given range, or whole years around the purchase,
+    delivery and estimate days in ``orders``. It is rewritten when a batch
+    brings days it lacks, and never shrinks."""
+    days = ("purchase_ts", "delivered_customer_ts", "estimated_delivery_ts")
+    if date_range is None:
+        b = orders.agg(F.min(F.least(*days)).alias("lo"), F.max(F.greatest(*days)).alias("hi")).first()
+        if b["lo"] is None:
+            return
+        date_range = (f"{b['lo'].year:04d}-01-01", f"{b['hi'].year:04d}-12-31")
+    lo, hi = date_range
+    path = lake.path("gold", "dim_date")
+    if kept := lake.marker(path, "_range"):
+        old_lo, old_hi = kept.split()
+        if old_lo <= lo and hi <= old_hi:
+            return
+        lo, hi = min(lo, old_lo), max(hi, old_hi)
+    lake.overwrite(dims.dim_date(lake.spark, lo, hi), "gold", "dim_date")
+    lake.set_marker(path, "_range", f"{lo} {hi}")
+
+
+def stage_gone_facts(lake: Lake, table: str, staged: DataFrame | None, touched: DataFrame, keys: list[str], batch_id: str) -> DataFrame | None:
+    """Fact rows of touched orders that a pruning re-run no longer gives:
+    their item, order or customer went."""
+    fact = lake.read("gold", table)
+    if fact is None:
+        return None
+    gone = fact.join(touched.select("order_id"), "order_id", "left_semi")
+    if staged is not None:
+        gone = gone.join(staged.select(*keys), keys, "left_anti")
+    lake.remember(gone.select(*keys), f"gone_{table}", batch_id)
+    return lake.read_batch("ops", f"gone_{table}", batch_id)
+
+
 def build_gold(
     lake: Lake,
     batch_id: str,
-    date_range: tuple[str, str] = ("2016-01-01", "2019-12-31"),
+    date_range: tuple[str, str] | None = None,
     changed: set[str] | None = None,
     prune: bool = False,
 ) -> dict[str, Counts]:
     """Gold for one batch. ``changed`` names the silver tables this batch
     delivered rows to; a type-1 dimension none of whose inputs changed is
-    not rebuilt (None: rebuild all)."""
+    not rebuilt (None: rebuild all). The calendar follows the data unless
+    ``date_range`` gives its first and last day."""
     spark = lake.spark
     counts: dict[str, Counts] = {}
-    if not lake.exists("gold", "dim_date"):
-        lake.overwrite(dims.dim_date(spark, *date_range), "gold", "dim_date")
 
     def stale(dim: str) -> bool:
         return changed is None or bool(DIM_INPUTS[dim] & changed) or not lake.exists("gold", dim)
 
     customers, orders, geo = silver(lake, "customer"), silver(lake, "order"), silver(lake, "geolocation")
+    own_orders = delivered(lake, "order", batch_id)
+    build_dim_date(lake, own_orders, date_range)
     if stale("dim_customer"):
         build_dim_customer(lake, batch_id, customers, orders, geo)
     if stale("dim_seller"):
@@ -234,51 +304,57 @@ def build_gold(
         products = dims.unknown_product(spark).filter(F.lit(False))
 
     # orders whose facts this batch changes: delivered now, or placed by a
-    # customer record delivered now (it may belong to another person)
-    delivered_customers = customers.filter(F.col("_batch_id") == batch_id).select("customer_id")
-    touched = (
-        orders.filter(F.col("_batch_id") == batch_id)
-        .select("order_id")
-        .unionByName(orders.join(delivered_customers, "customer_id", "left_semi").select("order_id"))
-        .distinct()
-    )
-
-    gone = (lambda e: lake.read_batch("ops", f"gone_{e}", batch_id) if prune else None)
-    gone_items = gone("order_item")
-    items = with_batch_rows(silver(lake, "order_item"), touched, batch_id)
-    if items.isEmpty() and gone_items is not None:
-        stage_touched_groups(lake, None, batch_id, gone_items)
-        delete_gone_facts(lake, "fact_order_items", gone_items, ITEM_KEYS)
-        refresh_aggregates(lake, batch_id)
-    elif not items.isEmpty():
-        # the batch's fact rows are computed once, into a staging slice
+    # customer record delivered now (it may belong to another person), or
+    # (pruning) withdrawn, or with a withdrawn customer, item or payment
+    def gone(entity: str, col: str) -> DataFrame | None:
+        rows = lake.read_batch("ops", f"gone_{entity}", batch_id) if prune else None
+        return None if rows is None else rows.select(col)
+
+    buyers = [delivered(lake, "customer", batch_id).select("customer_id"), gone("customer", "customer_id")]
+    parts = [own_orders.select("order_id"), gone("order", "order_id"), gone("order_item", "order_id"), gone("order_payment", "order_id")]
+    parts += [orders.join(b, "customer_id", "left_semi").select("order_id") for b in buyers if b is not None]
+    lake.replace_batch(_union([p for p in parts if p is not None]), "ops", "stage_orders", batch_id)
+    touched = lake.read_batch("ops", "stage_orders", batch_id)
+    touched = (orders.limit(0) if touched is None else touched).select("order_id")
+
+    # the batch's items are gathered once; orders and customers are narrowed
+    # to them before they are joined
+    n_items = lake.replace_batch(with_batch_rows(lake, "order_item", touched, batch_id).withColumnRenamed("_batch_id", "_version"), "ops", "stage_items", batch_id)
+    staged, n_out = None, 0
+    if n_items:
+        items = lake.read_batch("ops", "stage_items", batch_id).drop("_batch_id")
+        near_orders = orders.join(items.select("order_id"), "order_id", "left_semi")
+        near_customers = customers.join(near_orders.select("customer_id"), "customer_id", "left_semi")
         n_out = lake.replace_batch(
-            facts.fact_order_items(items, orders, customers, products), "ops", "stage_fact_order_items", batch_id
+            facts.fact_order_items(items, near_orders, near_customers, products), "ops", "stage_fact_order_items", batch_id
         )
         staged = lake.read_batch("ops", "stage_fact_order_items", batch_id)
-        orphans = facts.orphan_items(items, orders).count()
-        if staged is not None or gone_items is not None:
-            stage_touched_groups(lake, staged, batch_id, gone_items)
-            if staged is not None:
-                lake.upsert_keyed(staged, "gold", "fact_order_items", ITEM_KEYS, version_col="_batch_id")
-            delete_gone_facts(lake, "fact_order_items", gone_items, ITEM_KEYS)
-            refresh_aggregates(lake, batch_id)
-        counts["fact_order_items"] = Counts(n_out + orphans, n_out, orphans)
-        log_soft_checks(lake, items, orders, batch_id)
-
-    payments = with_batch_rows(silver(lake, "order_payment"), touched, batch_id)
-    reviews = silver(lake, "order_review").filter(F.col("_batch_id") == batch_id)
+        log_soft_checks(lake, items, near_orders, batch_id)
+        counts["fact_order_items"] = Counts(n_items, n_out, n_items - n_out)  # inner join on a key: the rest are orphans
+    gone_facts = stage_gone_facts(lake, "fact_order_items", staged, touched, ITEM_KEYS, batch_id) if prune else None
+    if staged is not None or gone_facts is not None:
+        stage_touched_groups(lake, staged, batch_id, gone_facts)
+        if staged is not None:
+            lake.upsert_keyed(staged, "gold", "fact_order_items", ITEM_KEYS, label_col="_batch_id")
+        delete_gone_facts(lake, "fact_order_items", gone_facts, ITEM_KEYS)
+        refresh_aggregates(lake, batch_id)
+
+    payments = with_batch_rows(lake, "order_payment", touched, batch_id)
+    near_orders = orders.join(payments.select("order_id"), "order_id", "left_semi")
+    near_customers = customers.join(near_orders.select("customer_id"), "customer_id", "left_semi")
     staged_facts = [
-        ("fact_payments", facts.fact_payments(payments, orders, customers), ["order_id", "payment_sequential"]),
-        ("fact_reviews", facts.fact_reviews(reviews), ["review_id", "order_id"]),
+        ("fact_payments", facts.fact_payments(payments, near_orders, near_customers), ["order_id", "payment_sequential"]),
+        ("fact_reviews", facts.fact_reviews(delivered(lake, "order_review", batch_id)), ["review_id", "order_id"]),
     ]
-    sources = {"fact_payments": "order_payment", "fact_reviews": "order_review"}
     for table, fact, keys in staged_facts:
-        # computed once into a staging slice, then upserted from it
+        # computed once into a staging slice, then upserted from it; facts
+        # are made from guarded silver, so they need no version of their own
         n = lake.replace_batch(fact, "ops", f"stage_{table}", batch_id)
         if n:
             staged = lake.read_batch("ops", f"stage_{table}", batch_id)
-            lake.upsert_keyed(staged, "gold", table, keys, version_col="_batch_id")
+            lake.upsert_keyed(staged, "gold", table, keys, label_col="_batch_id")
             counts[table] = Counts(n, n, 0)
-        delete_gone_facts(lake, table, gone(sources[table]), keys)
+    if prune:
+        for table, entity, keys in (("fact_payments", "order_payment", ["order_id", "payment_sequential"]), ("fact_reviews", "order_review", ["review_id", "order_id"])):
+            delete_gone_facts(lake, table, lake.read_batch("ops", f"gone_{entity}", batch_id), keys)
     return counts

@@ -33,16 +33,21 @@ def list_batches(lake: Lake, batches_dir: str) -> list[str]:
     return sorted(names)
 
 
-def run_batch(lake: Lake, batches_dir: str, batch_id: str, prune: bool = False) -> list[tuple]:
-    """Load one batch through all layers; re-running it is idempotent.
+def run_batch(
+    lake: Lake, batches_dir: str, batch_id: str, prune: bool = False, date_range: tuple[str, str] | None = None
+) -> list[tuple]:
+    """Load one batch through all layers; re-running it is idempotent, also
+    after a run that broke off.
 
     The run log rows (one per table) replace the batch's slice of
     ``ops/dq_log``. With ``prune`` a re-run that no longer delivers some
     keys removes them from silver and from the facts built from them
     (their aggregate groups and type-1 rows are refreshed); by default
-    silver and facts are upsert-only.
+    silver and facts are upsert-only. ``date_range`` fixes the calendar,
+    which else follows the data.
     """
     configure(lake.spark)
+    lake.begin(batch_id)
     log: list[tuple] = []
 
     def add(layer: str, counts: dict[str, Counts]) -> None:
@@ -55,8 +60,9 @@ def run_batch(lake: Lake, batches_dir: str, batch_id: str, prune: bool = False)
     silver_counts = build_silver(lake, batch_id, prune, delivered=set(bronze_counts))
     add("silver", silver_counts)
     changed = None if prune else {name for name, c in silver_counts.items() if c.rows_out > 0}
-    add("gold", build_gold(lake, batch_id, changed=changed, prune=prune))
+    add("gold", build_gold(lake, batch_id, date_range, changed=changed, prune=prune))
     lake.replace_rows(log, DQ_SCHEMA, "ops", "dq_log", batch_id)
+    lake.complete(batch_id)
     return log
 
 

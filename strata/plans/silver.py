@@ -6,16 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.dedupe import latest_per_key
-from strata.operators.quality import (
-    REASON,
-    Counts,
-    clean_part,
-    observe_count,
-    observe_rejects,
-    observed,
-    rejected_part,
-    tag_rejects,
-)
+from strata.operators.quality import REASON, Counts, clean_part, rejected_part, tag_rejects
 from strata.plans.conform import ENTITIES, Entity, collapse_geolocation
 from strata.sources.csv import read_raw
 from strata.sources.lake import Lake
@@ -48,10 +39,14 @@ def ingest_bronze(lake: Lake, batches_dir: str, batch_id: str) -> dict[str, Coun
 
 
 def with_raw_record(raw: DataFrame, source: str) -> DataFrame:
-    """The source columns of each row as JSON text (kept in quarantine)."""
+    """The source columns of each row as one struct, :data:`RAW_RECORD`."""
     cols = [c for c in SOURCES[source].columns if c in raw.columns]
-    record = F.struct(*[F.col(f"`{c}`") for c in cols])
-    return raw.withColumn(RAW_RECORD, F.to_json(record, {"ignoreNullFields": "false"}))
+    return raw.withColumn(RAW_RECORD, F.struct(*[F.col(f"`{c}`") for c in cols]))
+
+
+def raw_as_text(rejected: DataFrame) -> DataFrame:
+    """The raw record as JSON text, made for rejected rows only."""
+    return rejected.withColumn(RAW_RECORD, F.to_json(F.col(RAW_RECORD), {"ignoreNullFields": "false"}))
 
 
 def conform(lake: Lake, entity: Entity, raw: DataFrame) -> DataFrame:
@@ -94,7 +89,20 @@ def stage_previous_values(lake: Lake, entity: Entity, deduped: DataFrame, batch_
     if current is None:
         return
     prev = current.join(deduped.select(*keys), keys, "left_semi").select(*keys, *cols)
-    lake.replace_batch(prev, "ops", f"prev_{entity.name}", batch_id)
+    lake.remember(prev, f"prev_{entity.name}", batch_id)
+
+
+def touched_zips(lake: Lake, batch_id: str, points: DataFrame) -> DataFrame:
+    """Zips whose centroid this delivery may change: those it delivers now
+    and those the batch delivered when it was last run (their points may be
+    withdrawn). The batch's own list is kept for its next run."""
+    now = points.select("zip_prefix").distinct()
+    earlier = lake.read_batch("ops", "zips_of_batch", batch_id)
+    touched = now if earlier is None else now.unionByName(earlier.select("zip_prefix")).distinct()
+    lake.remember(touched, "touched_zips", batch_id)
+    lake.replace_batch(now, "ops", "zips_of_batch", batch_id)
+    staged = lake.read_batch("ops", "touched_zips", batch_id)
+    return now if staged is None else staged.select("zip_prefix")
 
 
 def stage_gone_rows(lake: Lake, entity: Entity, kept: DataFrame | None, batch_id: str) -> int:
@@ -105,7 +113,7 @@ def stage_gone_rows(lake: Lake, entity: Entity, kept: DataFrame | None, batch_id
     keys = list(entity.keys)
     labelled = lake.read("silver", entity.name).filter(F.col("_batch_id") == batch_id)
     gone = labelled if kept is None else labelled.join(kept.select(*keys), keys, "left_anti")
-    return lake.replace_batch(gone.drop("_batch_id"), "ops", f"gone_{entity.name}", batch_id)
+    return lake.remember(gone.drop("_batch_id"), f"gone_{entity.name}", batch_id)
 
 
 def delete_gone_rows(lake: Lake, entity: Entity, batch_id: str) -> None:
@@ -120,34 +128,35 @@ def delete_gone_rows(lake: Lake, entity: Entity, batch_id: str) -> None:
 def load_entity(
     lake: Lake, entity: Entity, batch_id: str, prune: bool = False, delivered: set[str] | None = None
 ) -> Counts | None:
-    """validate -> quarantine -> dedupe -> upsert, counting in the writes.
+    """validate -> quarantine -> dedupe -> upsert.
 
     All rejects of the batch (every rule) replace the batch's quarantine
     slice in one write, with their raw record; the clean rows are
     deduplicated and upserted with the batch id as version, so replaying
     an older batch cannot overwrite rows a newer batch already delivered.
+    Counts are read back from the written slices.
     """
-    if prune:
-        lake.drop_batch("ops", f"gone_{entity.name}", batch_id)  # nothing stale from an earlier run
     typed = typed_slice(lake, entity, batch_id)
     if typed is None:
+        if entity.name == "geolocation" and entity.source in (delivered or set()):
+            load_points(lake, entity, batch_id, None)
         if prune and entity.source in (delivered or set()):
             # delivered, but empty: every key this batch gave earlier is gone
             if stage_gone_rows(lake, entity, None, batch_id):
                 delete_gone_rows(lake, entity, batch_id)
             return Counts(0, 0, 0)
         return None
+    # one scan of the slice, tagged; rejects and clean rows are read from it
     tagged = tag_rejects(typed, list(entity.rules))
-    watched, obs_in = observe_rejects(tagged, f"in-{entity.name}-{batch_id}")
-    lake.replace_batch(rejected_part(watched), "silver", f"quarantine_{entity.name}", batch_id)
+    n_in = lake.replace_batch(tagged.withColumnRenamed("_batch_id", "_version"), "ops", f"stage_tagged_{entity.name}", batch_id)
+    tagged = lake.read_batch("ops", f"stage_tagged_{entity.name}", batch_id).drop("_batch_id").withColumnRenamed("_version", "_batch_id")
+    n_bad = lake.replace_batch(raw_as_text(rejected_part(tagged)), "silver", f"quarantine_{entity.name}", batch_id)
     clean = clean_part(tagged).drop(RAW_RECORD)
     if entity.name == "geolocation":
-        clean = collapse_geolocation(all_points_of(lake, entity, clean.select("zip_prefix").distinct()))
+        return Counts(n_in, load_points(lake, entity, batch_id, clean), n_bad)
     deduped = latest_per_key(clean, list(entity.keys), entity.dedupe_order())
-    # The batch's clean rows are computed once, into a staging slice (their
-    # own version column kept aside: a geolocation centroid can carry a
-    # later batch id than the one being run); the previous-value staging,
-    # the bucket listing and the upsert all read that slice.
+    # The batch's clean rows are computed once, into a staging slice; the
+    # previous-value staging, the bucket listing and the upsert read it.
     stage = f"stage_silver_{entity.name}"
     rows_out = lake.replace_batch(deduped.withColumnRenamed("_batch_id", "_version"), "ops", stage, batch_id)
     staged = None
@@ -159,7 +168,33 @@ def load_entity(
         lake.upsert_keyed(staged, "silver", entity.name, list(entity.keys), version_col="_batch_id")
     if n_gone:
         delete_gone_rows(lake, entity, batch_id)
-    return Counts(observed(obs_in, "rows_in"), rows_out, observed(obs_in, "rows_quarantined"))
+    return Counts(n_in, rows_out, n_bad)
+
+
+def load_points(lake: Lake, entity: Entity, batch_id: str, clean: DataFrame | None) -> int:
+    """Recompute the centroids of the touched zips from every delivered
+    point; a zip without points loses its centroid. Returns the centroids."""
+    points = clean if clean is not None else lake.spark.createDataFrame([], "zip_prefix string")
+    zips = touched_zips(lake, batch_id, points)
+    bronze = lake.read("bronze", entity.source)
+    keys = list(entity.keys)
+    if bronze is None:
+        fresh = lake.read("silver", entity.name)
+        if fresh is None:
+            return 0
+        fresh = fresh.limit(0)
+    else:
+        fresh = latest_per_key(collapse_geolocation(all_points_of(lake, entity, zips)), keys, entity.dedupe_order())
+    stage = f"stage_silver_{entity.name}"
+    n = lake.replace_batch(fresh.withColumnRenamed("_batch_id", "_version"), "ops", stage, batch_id)
+    if n:
+        fresh = lake.read_batch("ops", stage, batch_id).drop("_batch_id").withColumnRenamed("_version", "_batch_id")
+    elif not lake.exists("silver", entity.name):
+        return 0
+    else:
+        fresh = lake.read("silver", entity.name).limit(0)
+    lake.refresh_keyed(fresh, zips, "silver", entity.name, keys)
+    return n
 
 
 def refresh_product_categories(lake: Lake, batch_id: str) -> Counts | None:
@@ -174,13 +209,16 @@ def refresh_product_categories(lake: Lake, batch_id: str) -> Counts | None:
         F.col("category_pt"), F.col("category_en").alias("_new_en")
     )
     stale = products.join(new, "category_pt").filter(~F.col("category_en").eqNullSafe(F.col("_new_en")))
-    fixed = stale.withColumn("category_en", F.col("_new_en")).drop("_new_en").withColumns(
+    fixed = stale.withColumn("_was", F.col("_batch_id")).withColumn("category_en", F.col("_new_en")).drop("_new_en").withColumns(
         {"_batch_id": F.lit(batch_id), "_ingest_ts": F.current_timestamp()}
     )
-    counted, obs = observe_count(fixed, f"refresh-product-{batch_id}")
-    lake.upsert_keyed(counted, "silver", "product", ["product_id"], version_col="_batch_id")
-    n = observed(obs, "n")
-    return Counts(n, n, 0) if n else None
+    fixed = fixed.filter(F.col("_was") <= batch_id).drop("_was")  # a newer delivery of the product stays
+    n = lake.replace_batch(fixed.withColumnRenamed("_batch_id", "_version"), "ops", "stage_product_refresh", batch_id)
+    if not n:
+        return None
+    staged = lake.read_batch("ops", "stage_product_refresh", batch_id).drop("_batch_id").withColumnRenamed("_version", "_batch_id")
+    lake.upsert_keyed(staged, "silver", "product", ["product_id"], version_col="_batch_id")
+    return Counts(n, n, 0)
 
 
 def build_silver(

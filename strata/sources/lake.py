@@ -8,11 +8,14 @@
   buckets the source touches and rewrites just those
 * derived keyed tables (aggregates, type-1 dims) are refreshed bucket-wise
   for the keys a batch touches; only the date dimension is overwritten
-* staging slices (``ops/stage_*``, ``ops/touched_*``, ``ops/prev_*``) hold
-  a batch's intermediate results, so each is computed once and later steps
-  read it instead of recomputing its lineage
-
-Not a transaction: the job commit replaces partitions one after the
+* staging slices (``ops/stage_*``, ``ops/touched_*``, ``ops/prev_*`` ...)
+  hold a batch's intermediate results, so each is computed once and later
+  steps read it instead of recomputing its lineage. They go when the batch
+  is complete; what describes the state before the batch (:meth:`Lake.remember`)
+  is only added to while a batch is run again after a crash
+
+What a write left empty is seen from the files themselves, never from a
+metric. Not a transaction: the job commit replaces partitions one after the
 other. Bronze is the source of truth; everything above it can be rebuilt
 by replaying the batches in order.
 """
@@ -21,16 +24,17 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from strata.operators.merge import upsert
-from strata.operators.quality import observed
 from strata.sources.specs import BATCH_ID
 
 BUCKET = "_bucket"
+STAGING = ("stage_", "touched_", "prev_", "gone_")
+TYPED_PARTITIONS = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
 
 @contextmanager
@@ -56,6 +60,7 @@ class Lake:
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets
+        self.resuming = False
 
     # ---- paths -----------------------------------------------------------
     def path(self, layer: str, name: str) -> str:
@@ -90,30 +95,66 @@ class Lake:
             return []
         return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
 
-    def bucket_count(self, path: str, requested: int | None = None) -> int:
-        """Buckets of a keyed table: fixed by its first write and kept in a
-        ``_buckets`` marker (readers skip ``_`` files), so a lake opened
-        later with another setting cannot split a key over two buckets."""
-        fs, p = self._fs_path(f"{path}/_buckets")
+    def marker(self, path: str, name: str) -> str | None:
+        """A line kept in ``<path>/<name>`` (readers skip ``_`` files), or None."""
+        fs, p = self._fs_path(f"{path}/{name}")
         if not fs.exists(p):
-            return requested or self.buckets
+            return None
         jvm = self.spark.sparkContext._jvm
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p)))
         try:
-            return int(reader.readLine().strip())
+            return reader.readLine().strip()
         finally:
             reader.close()
 
-    def _remember_buckets(self, path: str, n: int) -> None:
-        fs, p = self._fs_path(f"{path}/_buckets")
-        if fs.exists(p):
-            return
+    def set_marker(self, path: str, name: str, text: str) -> None:
+        fs, p = self._fs_path(f"{path}/{name}")
         out = fs.create(p, True)
         try:
-            out.write(bytearray(str(n).encode()))
+            out.write(bytearray(text.encode()))
         finally:
             out.close()
 
+    def bucket_count(self, path: str, requested: int | None = None) -> int:
+        """Buckets of a keyed table: fixed by its first write and kept in a
+        ``_buckets`` marker, so a lake opened later with another setting
+        cannot split a key over two buckets (:meth:`rebucket` changes it)."""
+        kept = self.marker(path, "_buckets")
+        return int(kept) if kept else requested or self.buckets
+
+    def _remember_buckets(self, path: str, n: int) -> None:
+        if self.marker(path, "_buckets") is None:
+            self.set_marker(path, "_buckets", str(n))
+
+    def rebucket(self, layer: str, name: str, keys: list[str], buckets: int) -> None:
+        """Rewrite a keyed table with another number of buckets (as it grows).
+
+        Written beside the table and moved into its place; no batch may run
+        meanwhile."""
+        path = self.path(layer, name)
+        fresh, old = f"{path}__rebucket", f"{path}__old"
+        self._delete(fresh)
+        table = self.spark.read.parquet(path).drop(BUCKET).withColumn(BUCKET, bucket_of(keys, buckets))
+        table.repartition(BUCKET).write.partitionBy(BUCKET).parquet(fresh)
+        self.set_marker(fresh, "_buckets", str(buckets))
+        for name_ in ("_first_batch",):
+            if (kept := self.marker(path, name_)) is not None:
+                self.set_marker(fresh, name_, kept)
+        fs, p = self._fs_path(path)
+        self._delete(old)
+        fs.rename(p, self._fs_path(old)[1])
+        fs.rename(self._fs_path(fresh)[1], p)
+        self._delete(old)
+
+    def _files(self, path: str) -> set[str]:
+        """Names of the data files of one partition folder. A rewritten
+        partition has new names (they hold the write's id)."""
+        fs, p = self._fs_path(path)
+        if not fs.exists(p):
+            return set()
+        names = (st.getPath().getName() for st in fs.listStatus(p) if st.isFile())
+        return {n for n in names if not n.startswith(("_", "."))}
+
     def _delete(self, path: str) -> None:
         fs, p = self._fs_path(path)
         if fs.exists(p):
@@ -121,31 +162,39 @@ class Lake:
 
     # ---- SQL access ------------------------------------------------------
     def register(self, layers: tuple[str, ...] = ("bronze", "silver", "gold", "ops")) -> list[str]:
-        """Expose every table as ``<layer>.<name>`` in the session catalog
-        (external Parquet tables over the lake paths), so ad-hoc SQL such
-        as ``SELECT ... FROM gold.dim_product`` runs as is. The helper
-        column ``_bucket`` of keyed tables is visible as a partition column.
+        """Expose every table that holds data as ``<layer>.<name>`` in the
+        session catalog (external Parquet tables over the lake paths), so
+        ad-hoc SQL such as ``SELECT ... FROM gold.dim_product`` runs as is.
+        The helper column ``_bucket`` of keyed tables is visible as a
+        partition column. A table of that name that lies elsewhere is not
+        this lake's: it stays, and an error names it.
         """
         names = []
         for layer in layers:
-            tables = self.list_dirs(f"{self.root}/{layer}")
+            tables = [t for t in self.list_dirs(f"{self.root}/{layer}") if self.exists(layer, t)]
             if not tables:
                 continue
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
             for name in tables:
-                qualified = f"`{layer}`.`{name}`"
-                self.spark.sql(f"DROP TABLE IF EXISTS {qualified}")
-                try:
-                    self.spark.sql(f"CREATE TABLE {qualified} USING parquet LOCATION '{self.path(layer, name)}'")
-                except AnalysisException:
-                    continue  # no data file yet (every slice so far was empty)
-                if self.spark.catalog.listColumns(name, layer) and any(
-                    c.isPartition for c in self.spark.catalog.listColumns(name, layer)
-                ):
+                qualified, path = f"`{layer}`.`{name}`", self.path(layer, name)
+                if self.spark.catalog.tableExists(f"{layer}.{name}"):
+                    if not self._located(layer, name, path):
+                        raise ValueError(f"{layer}.{name} is another table of the session catalog; the lake does not replace it")
+                    self.spark.sql(f"DROP TABLE {qualified}")
+                self.spark.sql(f"CREATE TABLE {qualified} USING parquet LOCATION '{path}'")
+                if any(c.isPartition for c in self.spark.catalog.listColumns(f"{layer}.{name}")):
                     self.spark.sql(f"ALTER TABLE {qualified} RECOVER PARTITIONS")
                 names.append(f"{layer}.{name}")
         return names
 
+    def _located(self, layer: str, name: str, path: str) -> bool:
+        """The catalog's table is external and lies at ``path``."""
+        facts = {r["col_name"]: r["data_type"] for r in self.spark.sql(f"DESCRIBE FORMATTED `{layer}`.`{name}`").collect()}
+        fs, p = self._fs_path(path)
+        here = fs.makeQualified(p).toUri().getPath()
+        there = self._fs_path(facts.get("Location", ""))[1].toUri().getPath() if facts.get("Location") else None
+        return facts.get("Type") == "EXTERNAL" and there == here
+
     # ---- reads -----------------------------------------------------------
     def read(self, layer: str, name: str, schema: T.StructType | None = None) -> DataFrame | None:
         """The table, or an empty frame of ``schema`` when it does not exist
@@ -159,8 +208,10 @@ class Lake:
             reader = reader.schema(schema)
         elif self.widens(layer, name):
             reader = reader.option("mergeSchema", "true")
-        df = reader.parquet(self.path(layer, name))
-        return df.drop(BUCKET) if BUCKET in df.columns else df
+        if any(d.startswith(f"{BUCKET}=") for d in self.list_dirs(self.path(layer, name))):
+            return reader.parquet(self.path(layer, name)).drop(BUCKET)
+        with _conf(self.spark, TYPED_PARTITIONS, "false"):  # a batch id is a string, also where it looks like a date
+            return reader.parquet(self.path(layer, name))
 
     @staticmethod
     def widens(layer: str, name: str) -> bool:
@@ -169,38 +220,64 @@ class Lake:
         return layer == "bronze" or name.startswith("quarantine_")
 
     def read_batch(self, layer: str, name: str, batch_id: str) -> DataFrame | None:
-        """Slice of a batch-partitioned table (partition pruned), or None when
-        the table or the slice does not exist."""
-        if not self.exists(layer, name):
-            return None
+        """Slice of a batch-partitioned table, or None when the table or the
+        slice does not exist. Only the slice's own files are opened."""
         part = f"{self.path(layer, name)}/{BATCH_ID}={batch_id}"
-        fs, p = self._fs_path(part)
-        if not fs.exists(p):
+        if not self._files(part):
             return None
-        reader = self.spark.read.option("mergeSchema", "true") if self.widens(layer, name) else self.spark.read
-        return reader.parquet(self.path(layer, name)).filter(F.col(BATCH_ID) == batch_id)
+        reader = self.spark.read.option("basePath", self.path(layer, name))
+        if self.widens(layer, name):
+            reader = reader.option("mergeSchema", "true")
+        with _conf(self.spark, TYPED_PARTITIONS, "false"):
+            return reader.parquet(part)
 
     # ---- writes ----------------------------------------------------------
     def replace_batch(self, df: DataFrame, layer: str, name: str, batch_id: str) -> int:
         """Replace the ``_batch_id = batch_id`` slice with ``df`` in one
-        write (dynamic partition overwrite) and return its row count. An
-        empty write replaces nothing, so an empty ``df`` (seen by an
-        observation during the write) drops the old slice explicitly."""
-        obs = Observation(f"replace-{layer}-{name}-{batch_id}")
-        out = df.withColumn(BATCH_ID, F.lit(batch_id)).observe(obs, F.count(F.lit(1)).alias("n"))
+        write (dynamic partition overwrite) and return its row count. A
+        write without rows replaces nothing: then the slice still has its
+        old files, and it is dropped."""
+        part = f"{self.path(layer, name)}/{BATCH_ID}={batch_id}"
+        before = self._files(part)
         (
-            out.write.mode("overwrite")
+            df.withColumn(BATCH_ID, F.lit(batch_id))
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(BATCH_ID)
             .parquet(self.path(layer, name))
         )
-        if int(observed(obs, "n")) == 0:
+        if not self._files(part) - before:
             self.drop_batch(layer, name, batch_id)
             return 0
         # The logged count is read back from the written slice (Parquet
         # footers): exact even if a lost executor made Spark recompute a
         # stage, which can make observed metrics count rows twice.
-        return self.spark.read.parquet(f"{self.path(layer, name)}/{BATCH_ID}={batch_id}").count()
+        return self.spark.read.parquet(part).count()
+
+    def remember(self, df: DataFrame, name: str, batch_id: str) -> int:
+        """Stage what describes the state before the batch changes it. While
+        a batch is run again after a crash, rows of the broken run are kept
+        too: they describe the state that run has already changed."""
+        if self.resuming and (earlier := self.read_batch("ops", name, batch_id)) is not None:
+            df = df.unionByName(earlier.select(*df.columns)).distinct()
+        return self.replace_batch(df, "ops", name, batch_id)
+
+    # ---- batch state -----------------------------------------------------
+    def begin(self, batch_id: str) -> None:
+        """Mark a batch as running. A mark left by an earlier run means that
+        it broke off, so its staging is still needed."""
+        state = f"{self.root}/ops/_running"
+        self.resuming = self.marker(state, batch_id) is not None
+        if not self.resuming:
+            self.set_marker(state, batch_id, "running")
+
+    def complete(self, batch_id: str) -> None:
+        """Drop the batch's staging, then its mark."""
+        for name in self.list_dirs(f"{self.root}/ops"):
+            if name.startswith(STAGING):
+                self.drop_batch("ops", name, batch_id)
+        self._delete(f"{self.root}/ops/_running/{batch_id}")
+        self.resuming = False
 
     def replace_batches(self, df: DataFrame, layer: str, name: str) -> None:
         """Replace every batch slice present in ``df`` (which carries
@@ -223,6 +300,7 @@ class Lake:
         keys: list[str],
         version_col: str | None = None,
         buckets: int | None = None,
+        label_col: str | None = None,
     ) -> None:
         """Upsert ``source`` (unique per key) into a bucketed keyed table.
 
@@ -246,7 +324,7 @@ class Lake:
         with _conf(self.spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
             t = target.repartition(BUCKET)
             s = src.select(*target.columns).repartition(BUCKET)
-            merged = upsert(t, s, [*keys, BUCKET], version_col)
+            merged = upsert(t, s, [*keys, BUCKET], version_col, label_col)
             self._write_buckets(merged, path, shuffle=False)
 
     def _buckets_of(self, df: DataFrame) -> list[int]:
@@ -290,10 +368,11 @@ class Lake:
         target = self.spark.read.parquet(path).filter(F.col(BUCKET).isin(sorted(touched_buckets)))
         kept = target.join(t, [*keys, BUCKET], "left_anti")
         out = kept.unionByName(fresh_b.select(*target.columns))
-        obs = Observation(f"refresh-{layer}-{name}")
-        self._write_buckets(out.observe(obs, F.collect_set(BUCKET).alias("written")), path)
-        for b in touched_buckets - set(observed(obs, "written", [])):
-            self._delete(f"{path}/{BUCKET}={b}")
+        before = {b: self._files(f"{path}/{BUCKET}={b}") for b in touched_buckets}
+        self._write_buckets(out, path)
+        for b, files in before.items():
+            if not self._files(f"{path}/{BUCKET}={b}") - files:  # no row was written
+                self._delete(f"{path}/{BUCKET}={b}")
 
     def _write_buckets(self, df: DataFrame, path: str, shuffle: bool = True) -> None:
         (

@@ -13,6 +13,7 @@ file's content only when the ``content`` column is selected.
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +21,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.plans.run import run_batch
-from strata.session import shared_dir
 from strata.sources.lake import Lake
 
 
@@ -54,17 +54,20 @@ def run_stream(
     checkpoint: str | None = None,
     available_now: bool = True,
     max_files: int | None = None,
+    prune: bool = False,
+    date_range: tuple[str, str] | None = None,
 ) -> StreamingQuery:
     """Start the stream; with ``available_now`` it processes what is there
-    and stops (call ``awaitTermination``)."""
+    and stops (call ``awaitTermination``). The checkpoint belongs to one lake
+    and one batches folder; by default it lies under the lake's root."""
 
     def load(micro: DataFrame, epoch: int) -> None:
         # a handful of ids per micro-batch (one per new batch folder)
         for b in sorted(r.batch_id for r in micro.select("batch_id").distinct().collect()):
-            run_batch(lake, batches_dir, b)
+            run_batch(lake, batches_dir, b, prune, date_range)
 
     writer = batch_files(spark, batches_dir, max_files).writeStream.foreachBatch(load).option(
-        "checkpointLocation", checkpoint or shared_dir(spark, "strata-stream", "batches")
+        "checkpointLocation", checkpoint or f"{lake.root}/_streams/{hashlib.sha256(batches_dir.rstrip('/').encode()).hexdigest()[:16]}"
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

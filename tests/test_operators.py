@@ -12,7 +12,6 @@ from strata.operators.merge import scd2_apply, scd2_classify, upsert
 from strata.operators.quality import (
     REASON,
     clean_part,
-    count_rows,
     rejected_part,
     soft_check_counts,
     split_by_rule,
@@ -37,13 +36,6 @@ def test_first_failing_rule_is_the_reason(spark):
     assert clean_part(t).count() + rejected_part(t).count() == df.count()
 
 
-def test_count_rows_in_one_row(spark):
-    a = spark.range(5)
-    b = spark.range(2)
-    row = count_rows({"rows_in": a, "rows_out": b}).collect()[0]
-    assert (row.rows_in, row.rows_out) == (5, 2)
-
-
 def test_soft_checks(spark):
     df = spark.createDataFrame(
         [("2017-01-05", "2017-01-04", "2017-01-05"), ("2017-01-05", None, "2017-01-06")],

@@ -3,8 +3,9 @@
 Each entry takes ``(spark, sf_dir)`` and returns a DataFrame; the raw
 sources come from :mod:`strata.sources.testdata`. Surrogate keys are
 xxhash64 values, which the SQL check cannot compute, so entries that
-would show them use the business keys they hash instead (the one entry
-that shows hashes, ``surrogate_keys``, has no SQL twin).
+would show them use the business keys they hash instead;
+``surrogate_keys`` checks what the keys must do. The ``lake_*`` entries
+load the tables through the shipped batch path.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from strata.operators.quality import (
 )
 from strata.plans import aggs, dims, facts, reports
 from strata.plans.conform import ENTITIES, collapse_geolocation
+from strata.plans.run import run_batch
 from strata.session import configure, cut_lineage, shared_dir
 from strata.sources import testdata as td
 from strata.sources.csv import read_raw
@@ -90,13 +92,17 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 # ---- entries ----------------------------------------------------------------
 def q_bronze_ingest(spark: SparkSession, d: str) -> DataFrame:
-    """Raw CSV scan: customers written as CSV text, read back as strings
-    with audit columns (timestamps and file paths left out)."""
-    cols = ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    """Raw CSV scan: customers written as CSV text with quotes and commas,
+    read back as strings with audit columns (of the time and the path only
+    whether they are there)."""
+    table = td.table(spark, d, "customer")
+    cols = tuple(table.columns)
     path = scratch(spark, "bronze-ingest")
-    td.table(spark, d, "customer").select(*[td.text(c).alias(c) for c in cols]).write.option("header", True).csv(path)
+    texts = table.select(*[F.concat(F.lit('say "'), td.text(c), F.lit('", so')).alias(c) if c == "c_name" else td.text(c).alias(c) for c in cols])
+    texts.write.option("header", True).option("escape", '"').csv(path)
     raw = read_raw(spark, path, Source("customer_text", "", cols), td.FIRST_BATCH)
-    return raw.drop("_ingest_ts", "_source_file")
+    read_now = F.col("_ingest_ts").isNotNull() & F.col("_source_file").endswith(".csv")
+    return raw.select(*cols, BATCH_ID, read_now.alias("audited"))
 
 
 def q_bronze_replace_batch(spark: SparkSession, d: str) -> DataFrame:
@@ -154,7 +160,7 @@ def q_upsert_orders(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_product_category_fallback(spark: SparkSession, d: str) -> DataFrame:
-    return typed(spark, d, "product", td.raw_products(spark, d)).select("product_id", "category_pt", "category_en")
+    return typed(spark, d, "product", td.raw_products_all(spark, d)).select("product_id", "category_pt", "category_en")
 
 
 def q_dim_date(spark: SparkSession, d: str) -> DataFrame:
@@ -230,7 +236,10 @@ def q_agg_daily_sales(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_agg_customer_ltv(spark: SparkSession, d: str) -> DataFrame:
-    ltv = aggs.agg_customer_ltv(fact_items(spark, d), person="customer_unique_id")
+    return ltv_for_check(aggs.agg_customer_ltv(fact_items(spark, d), person="customer_unique_id"))
+
+
+def ltv_for_check(ltv: DataFrame) -> DataFrame:
     return ltv.select(
         "customer_unique_id",
         "orders",
@@ -307,7 +316,8 @@ def silver_counts(spark: SparkSession, d: str) -> DataFrame:
     each table counted in one aggregation job."""
     out = None
     for name in SILVER_ORDER:
-        c = rule_counts(tagged(spark, d, name), list(ENTITIES[name].keys))
+        raw = td.raw_products_all(spark, d) if name == "product" else None
+        c = rule_counts(tagged(spark, d, name, raw), list(ENTITIES[name].keys))
         row = c.select(
             F.lit(td.FIRST_BATCH).alias("batch_id"),
             F.lit("silver").alias("layer"),
@@ -337,16 +347,36 @@ def q_orders_per_month(spark: SparkSession, d: str) -> DataFrame:
     return batching.batches_per_month(batching.split_by_month(td.raw_orders(spark, d), "order_purchase_timestamp"))
 
 
+# Child and reference sources with the column that tells their rows apart.
+CHILD_ID = {"order_items": "order_item_id", "order_payments": "payment_sequential", "order_reviews": "review_id"}
+REFERENCE_ID = {
+    "customers": "customer_id",
+    "sellers": "seller_id",
+    "products": "product_id",
+    "geolocation": "geolocation_zip_code_prefix",
+    "category_translation": "product_category_name",
+}
+
+
 def q_route_children(spark: SparkSession, d: str) -> DataFrame:
+    """Every child source's rows with their order's month."""
     split = batching.split_by_month(td.raw_orders(spark, d), "order_purchase_timestamp")
-    items = td.raw_order_items(spark, d).select("order_id", "order_item_id", "product_id")
-    return batching.route_children(items, batching.month_lookup(split, "order_id"), "order_id")
+    rows = None
+    for name, col in CHILD_ID.items():
+        part = td.RAW[name](spark, d).select(F.lit(name).alias("source"), "order_id", F.col(col).alias("id"))
+        rows = part if rows is None else rows.unionByName(part)
+    return batching.route_children(rows, batching.month_lookup(split, "order_id"), "order_id")
 
 
 def q_assign_reference_batch(spark: SparkSession, d: str) -> DataFrame:
+    """Every reference source's rows with the first month."""
     split = batching.split_by_month(td.raw_orders(spark, d), "order_purchase_timestamp")
-    sellers = td.raw_sellers(spark, d).select("seller_id")
-    return batching.assign_first_batch(sellers, split)
+    rows = None
+    for name, col in REFERENCE_ID.items():
+        raw = td.raw_products_all(spark, d) if name == "products" else td.RAW[name](spark, d)
+        part = raw.select(F.lit(name).alias("source"), F.col(col).alias("id"))
+        rows = part if rows is None else rows.unionByName(part)
+    return batching.assign_first_batch(rows, split)
 
 
 def q_date_key(spark: SparkSession, d: str) -> DataFrame:
@@ -359,12 +389,106 @@ def q_date_key(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_change_hash(spark: SparkSession, d: str) -> DataFrame:
-    p = dims.product_source(clean(spark, d, "product", td.raw_products(spark, d)))
+    p = dims.product_source(clean(spark, d, "product", td.raw_products_all(spark, d)))
     return with_change_hash(p, dims.PRODUCT_TRACKED).select("product_id", "_hash")
 
 
 def q_surrogate_keys(spark: SparkSession, d: str) -> DataFrame:
-    return product_dims(spark, d)[1].select("product_id", "effective_from", "product_key")
+    """Do the hash keys work as keys? For every dimension row: how many rows
+    share its key, whether the key is missing, and the fact rows it reaches."""
+    fact = fact_items(spark, d, natural_keys=False).select("product_key", "customer_key", "seller_key")
+    fact = cut_lineage(spark, fact)  # counted three times
+    nothing = F.lit(None).cast("timestamp")
+    geo = clean(spark, d, "geolocation")
+    members = {
+        "product": product_dims(spark, d)[1].select(F.col("product_id").alias("id"), "effective_from", "product_key"),
+        "customer": dims.dim_customer(clean(spark, d, "customer"), clean(spark, d, "order"), geo).select(
+            F.col("customer_unique_id").alias("id"), nothing.alias("effective_from"), "customer_key"
+        ),
+        "seller": dims.dim_seller(clean(spark, d, "seller"), geo).select(F.col("seller_id").alias("id"), nothing.alias("effective_from"), "seller_key"),
+    }
+    out = None
+    for kind, dim in members.items():
+        key = f"{kind}_key"
+        sharing = dim.groupBy(key).agg(F.count(F.lit(1)).alias("sharing"))
+        reached = fact.groupBy(key).agg(F.count(F.lit(1)).alias("reached"))
+        part = dim.join(sharing, key, "left").join(reached, key, "left").select(
+            F.lit(kind).alias("kind"),
+            "id",
+            "effective_from",
+            "sharing",
+            (F.col(key).isNull() | (F.col(key) == -1)).alias("missing_key"),
+            F.coalesce("reached", F.lit(0)).alias("fact_rows"),
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+# ---- the shipped path: batches through the lake ------------------------------
+LOADED: dict[tuple[str, str], str] = {}
+
+
+def loaded_lake(spark: SparkSession, d: str) -> Lake:
+    """All test tables loaded through ``run_batch``: three batches that hold
+    every month, the first one wrong (freight, coordinates, scores), then the
+    first one corrected and run again. Loaded once per session and folder."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in LOADED:
+        root = scratch(spark, "lake")
+        lake = Lake(spark, f"{root}/lake", buckets=4)
+        for wrong in (True, False):
+            td.write_test_batches(spark, d, f"{root}/{'wrong' if wrong else 'right'}", coarse=True, wrong=wrong)
+        first = td.COARSE[0]
+        run_batch(lake, f"{root}/wrong", first)
+        for b in td.COARSE[1:]:
+            run_batch(lake, f"{root}/right", b)
+        run_batch(lake, f"{root}/right", first, prune=True)  # some reviews were only valid with the wrong score
+        LOADED[key] = lake.root
+    return Lake(spark, LOADED[key], buckets=4)
+
+
+def q_lake_fact_order_items(spark: SparkSession, d: str) -> DataFrame:
+    """The item fact of the lake, its keys followed to the business keys."""
+    lake = loaded_lake(spark, d)
+    items = lake.read("silver", "order_item").select("order_id", "order_item_id", "product_id", "seller_id")
+    versions = lake.read("gold", "dim_product").select("product_key", F.col("effective_from").alias("product_valid_from"))
+    people = lake.read("gold", "dim_customer").select("customer_key", "customer_unique_id")
+    sellers = lake.read("gold", "dim_seller").select("seller_key", F.col("seller_id").alias("_by_key"))
+    fact = lake.read("gold", "fact_order_items").drop(BATCH_ID).join(items, ["order_id", "order_item_id"])
+    fact = fact.join(versions, "product_key", "left").join(people, "customer_key", "left").join(sellers, "seller_key", "left")
+    return fact.withColumn("seller_id", F.col("_by_key")).drop("_by_key", "product_key", "customer_key", "seller_key")
+
+
+def q_lake_fact_payments(spark: SparkSession, d: str) -> DataFrame:
+    lake = loaded_lake(spark, d)
+    people = lake.read("gold", "dim_customer").select("customer_key", "customer_unique_id")
+    return lake.read("gold", "fact_payments").drop(BATCH_ID).join(people, "customer_key", "left").drop("customer_key")
+
+
+def q_lake_fact_reviews(spark: SparkSession, d: str) -> DataFrame:
+    return loaded_lake(spark, d).read("gold", "fact_reviews").drop(BATCH_ID)
+
+
+def q_lake_dim_product(spark: SparkSession, d: str) -> DataFrame:
+    return loaded_lake(spark, d).read("gold", "dim_product").filter("product_key <> -1").drop("product_key")
+
+
+def q_lake_dim_customer(spark: SparkSession, d: str) -> DataFrame:
+    return loaded_lake(spark, d).read("gold", "dim_customer").drop("customer_key")
+
+
+def q_lake_dim_seller(spark: SparkSession, d: str) -> DataFrame:
+    return loaded_lake(spark, d).read("gold", "dim_seller").drop("seller_key")
+
+
+def q_lake_agg_daily_sales(spark: SparkSession, d: str) -> DataFrame:
+    return daily_for_check(loaded_lake(spark, d).read("gold", "agg_daily_sales"))
+
+
+def q_lake_agg_customer_ltv(spark: SparkSession, d: str) -> DataFrame:
+    lake = loaded_lake(spark, d)
+    people = lake.read("gold", "dim_customer").select("customer_key", "customer_unique_id")
+    return ltv_for_check(lake.read("gold", "agg_customer_ltv").join(people, "customer_key", "left"))
 
 
 def q_unknown_member(spark: SparkSession, d: str) -> DataFrame:
@@ -427,6 +551,14 @@ QUERIES: dict[str, Query] = {
     "change_hash": q_change_hash,
     "surrogate_keys": q_surrogate_keys,
     "unknown_member": q_unknown_member,
+    "lake_fact_order_items": q_lake_fact_order_items,
+    "lake_fact_payments": q_lake_fact_payments,
+    "lake_fact_reviews": q_lake_fact_reviews,
+    "lake_dim_product": q_lake_dim_product,
+    "lake_dim_customer": q_lake_dim_customer,
+    "lake_dim_seller": q_lake_dim_seller,
+    "lake_agg_daily_sales": q_lake_agg_daily_sales,
+    "lake_agg_customer_ltv": q_lake_agg_customer_ltv,
     "soft_checks": q_soft_checks,
 }
 

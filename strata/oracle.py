@@ -96,6 +96,9 @@ def _product_select(cat: str, weight: str, photos: str) -> str:
 CTE["p1_t"] = f"""p1_t AS (
   SELECT {_product_select('p.p_type', 'p.p_retailprice', 'length(p.p_brand) - 6')}
   FROM part p LEFT JOIN tr_c ON p.p_type = tr_c.category_pt WHERE p.p_size < {td.NEW_PRODUCT_MIN_SIZE})"""
+CTE["pa_t"] = f"""pa_t AS (
+  SELECT {_product_select('p.p_type', 'p.p_retailprice', 'length(p.p_brand) - 6')}
+  FROM part p LEFT JOIN tr_c ON p.p_type = tr_c.category_pt)"""
 _RED = "starts_with(p.p_name, 'red')"
 _BLUE = "starts_with(p.p_name, 'blue')"
 _CAT2 = f"CASE WHEN {_RED} THEN '{td.UNTRANSLATED}' ELSE p.p_type END"
@@ -106,6 +109,7 @@ CTE["p2_t"] = f"""p2_t AS (
 _PRODUCT_ORDER = desc("category_pt", "category_en", "photos_qty", "name_length", "description_length", "weight_g",
                       "length_cm", "height_cm", "width_cm")
 CTE["p1"] = f"""p1 AS ({dedupe(f"(SELECT * FROM p1_t WHERE coalesce({RULE_PRODUCT}, false))", "product_id", _PRODUCT_ORDER)})"""
+CTE["pa"] = f"""pa AS ({dedupe(f"(SELECT * FROM pa_t WHERE coalesce({RULE_PRODUCT}, false))", "product_id", _PRODUCT_ORDER)})"""
 CTE["p2"] = f"""p2 AS ({dedupe(f"(SELECT * FROM p2_t WHERE coalesce({RULE_PRODUCT}, false))", "product_id", _PRODUCT_ORDER)})"""
 
 _DIFF = " OR ".join(f"p2.{c} IS DISTINCT FROM p1.{c}" for c in PRODUCT_TRACKED)
@@ -198,6 +202,8 @@ DEPS = {
     "geo_c": ["geo_tag"],
     "tr_c": ["tr"],
     "p1_t": ["tr_c"],
+    "pa_t": ["tr_c"],
+    "pa": ["pa_t"],
     "p2_t": ["tr_c"],
     "p1": ["p1_t"],
     "p2": ["p2_t"],
@@ -245,14 +251,14 @@ def _silver_count(name: str, typed_cte: str, rule: str, keys: str, reason_sql: s
 
 
 _SILVER_COUNTS = (
-    with_("tr", "cust_t", "sell_t", "geo_tag", "p1_t", "ord_t", "item_t", "pay_t", "rev_t")
+    with_("tr", "cust_t", "sell_t", "geo_tag", "pa_t", "ord_t", "item_t", "pay_t", "rev_t")
     + "\nUNION ALL\n".join(
         [
             _silver_count("category_translation", "tr", RULE_CATEGORY, "category_pt"),
             _silver_count("customer", "cust_t", RULE_CUSTOMER, "customer_id"),
             _silver_count("seller", "sell_t", RULE_SELLER, "seller_id"),
             _silver_count("geolocation", "geo_tag", "", "zip_prefix", reason_sql="_reject_reason"),
-            _silver_count("product", "p1_t", RULE_PRODUCT, "product_id"),
+            _silver_count("product", "pa_t", RULE_PRODUCT, "product_id"),
             _silver_count("order", "ord_t", RULE_ORDER, "order_id"),
             _silver_count("order_item", "item_t", RULE_ORDER_ITEM, "order_id, order_item_id"),
             _silver_count("order_payment", "pay_t", RULE_PAYMENT, "order_id, payment_sequential"),
@@ -262,8 +268,8 @@ _SILVER_COUNTS = (
 )
 
 SQL: dict[str, str] = {
-    "bronze_ingest": f"""SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
-  c_mktsegment, '{td.FIRST_BATCH}' AS _batch_id FROM customer""",
+    "bronze_ingest": f"""SELECT CAST(COLUMNS(* EXCLUDE (c_name)) AS VARCHAR), 'say "' || c_name || '", so' AS c_name,
+  '{td.FIRST_BATCH}' AS _batch_id, true AS audited FROM customer""",
     "bronze_replace_batch": """SELECT strftime(o_orderdate, '%Y-%m') AS _batch_id, count(*) AS rows
 FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1""",
     "conform_category": with_("tr") + "SELECT category_pt, category_en FROM tr",
@@ -282,7 +288,7 @@ FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1""",
   CASE WHEN o_orderdate >= TIMESTAMP '1999-01-01' AND o_orderstatus = 'O' THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
   o_totalprice, o_orderdate, o_orderpriority
 FROM orders WHERE o_orderdate IS NOT NULL""",
-    "product_category_fallback": with_("p1_t") + "SELECT product_id, category_pt, category_en FROM p1_t",
+    "product_category_fallback": with_("pa_t") + "SELECT product_id, category_pt, category_en FROM pa_t",
     "dim_date": """SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(CAST(d AS DATE) AS TIMESTAMP) AS date,
   CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month,
   monthname(d) AS month_name, CAST(day(d) AS INTEGER) AS day, dayname(d) AS day_name, isodow(d) IN (6, 7) AS is_weekend
@@ -354,16 +360,29 @@ ORDER BY product_id, effective_from LIMIT 20""",
     "split_orders_by_month": with_("months") + "SELECT order_id, batch_id FROM months",
     "orders_per_month": with_("months") + "SELECT batch_id, count(*) AS orders FROM months GROUP BY batch_id",
     "route_children": with_("months")
-    + """SELECT CAST(l.l_orderkey AS VARCHAR) AS order_id, CAST(l.l_linenumber AS VARCHAR) AS order_item_id,
-  CAST(l.l_partkey AS VARCHAR) AS product_id, m.batch_id
-FROM lineitem l JOIN (SELECT order_id, max(batch_id) AS batch_id FROM months GROUP BY order_id) m
-  ON CAST(l.l_orderkey AS VARCHAR) = m.order_id""",
-    "assign_reference_batch": with_("months")
-    + "SELECT CAST(s_suppkey AS VARCHAR) AS seller_id, (SELECT min(batch_id) FROM months) AS batch_id FROM supplier",
+    + """, c AS (
+  SELECT 'order_items' AS source, CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_linenumber AS VARCHAR) AS id FROM lineitem
+  UNION ALL SELECT 'order_payments', CAST(user_id AS VARCHAR), CAST(event_id AS VARCHAR) FROM events WHERE event_type = 'purchase'
+  UNION ALL SELECT 'order_reviews', CAST(user_id AS VARCHAR), CAST(CAST(floor(event_id / 2) AS BIGINT) AS VARCHAR) FROM events WHERE event_type <> 'purchase')
+SELECT c.*, m.batch_id FROM c JOIN (SELECT order_id, max(batch_id) AS batch_id FROM months GROUP BY order_id) m USING (order_id)""",
+    "assign_reference_batch": with_("months", "tr")
+    + """, r AS (
+  SELECT 'customers' AS source, CAST(c_custkey AS VARCHAR) AS id FROM customer
+  UNION ALL SELECT 'sellers', CAST(s_suppkey AS VARCHAR) FROM supplier
+  UNION ALL SELECT 'products', CAST(p_partkey AS VARCHAR) FROM part
+  UNION ALL SELECT 'geolocation', CAST(user_id AS VARCHAR) FROM events
+  UNION ALL SELECT 'category_translation', category_pt FROM tr)
+SELECT r.*, (SELECT min(batch_id) FROM months) AS batch_id FROM r""",
+    "surrogate_keys": with_("foi", "cust_c", "sell_c")
+    + """SELECT 'product' AS kind, d.product_id AS id, d.effective_from, CAST(1 AS BIGINT) AS sharing, false AS missing_key, count(f.order_id) AS fact_rows
+FROM dim d LEFT JOIN foi f ON d.product_id = f.product_id AND d.effective_from = f.product_valid_from GROUP BY ALL
+UNION ALL SELECT 'customer', c.customer_unique_id, NULL, 1, false, count(f.order_id)
+FROM (SELECT DISTINCT customer_unique_id FROM cust_c) c LEFT JOIN foi f USING (customer_unique_id) GROUP BY ALL
+UNION ALL SELECT 'seller', s.seller_id, NULL, 1, false, count(f.order_id) FROM sell_c s LEFT JOIN foi f USING (seller_id) GROUP BY ALL""",
     "date_key": with_("ord_c")
     + f"""SELECT order_id, {ymd('purchase_ts')} AS purchase_date_key, {ymd('delivered_customer_ts')} AS delivered_date_key
 FROM ord_c""",
-    "change_hash": with_("p1") + f"SELECT product_id, {_HASH} AS _hash FROM p1",
+    "change_hash": with_("pa") + f"SELECT product_id, {_HASH} AS _hash FROM pa",
     "unknown_member": with_("dim")
     + """SELECT product_id, category_en, effective_from, is_current FROM dim
 UNION ALL SELECT '<unknown>', 'unknown', CAST(NULL AS TIMESTAMP), true""",
@@ -378,6 +397,18 @@ UNION ALL SELECT 'shipping limit before purchase', CAST(count_if(coalesce(shippi
 
 
 SQL["incremental_dim_customer"] = SQL["dim_customer"]
+# The batch path must end where the one-shot computation does.
+for _lake, _whole in {
+    "fact_order_items": "fact_order_items",
+    "fact_payments": "fact_payments",
+    "fact_reviews": "fact_reviews",
+    "dim_product": "scd2_product",
+    "dim_customer": "dim_customer",
+    "dim_seller": "dim_seller",
+    "agg_daily_sales": "agg_daily_sales",
+    "agg_customer_ltv": "agg_customer_ltv",
+}.items():
+    SQL[f"lake_{_lake}"] = SQL[_whole]
 
 
 def oracle_sql() -> dict[str, str]:

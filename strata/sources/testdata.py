@@ -131,9 +131,15 @@ def _product_text(category: Column, weight: Column, photos: Column) -> list[Colu
     ]
 
 
+def raw_products_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part; the weight text is the retail price (``'900.1'`` -> 900)."""
+    p = table(spark, sf_dir, "part")
+    return audit(p.select(*_product_text(F.col("p_type"), F.col("p_retailprice"), F.length("p_brand") - 6)))
+
+
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First delivery: every part below the new-product size; the weight
-    text is the retail price (``'900.1'`` -> 900)."""
+    """First delivery of the type-2 entries: the parts below the new-product
+    size (the change batch brings all of them)."""
     p = table(spark, sf_dir, "part").filter(F.col("p_size") < NEW_PRODUCT_MIN_SIZE)
     return audit(p.select(*_product_text(F.col("p_type"), F.col("p_retailprice"), F.length("p_brand") - 6)))
 
@@ -243,11 +249,24 @@ REFERENCE_SOURCES = ["customers", "sellers", "products", "geolocation", "categor
 CHILD_SOURCES = ["order_items", "order_payments", "order_reviews"]
 
 
-def write_test_batches(spark: SparkSession, sf_dir: str, out_dir: str) -> list[str]:
+COARSE = ("1995-01", CHANGE_BATCH, "2000-01")
+
+
+def coarse_batch(month: Column) -> Column:
+    """The last of the :data:`COARSE` batches that does not begin after a month."""
+    out = F.lit(COARSE[0])
+    for b in COARSE[1:]:
+        out = F.when(month >= b, F.lit(b)).otherwise(out)
+    return out
+
+
+def write_test_batches(spark: SparkSession, sf_dir: str, out_dir: str, coarse: bool = False, wrong: bool = False) -> list[str]:
     """Monthly raw batches of the test tables, as CSV folders
     ``<out>/<source>/batch_id=<month>/``: orders by purchase month, their
     children routed to the same month, reference data in the first month,
-    the product re-delivery in the change month. Returns the months."""
+    the product re-delivery in the change month. ``coarse``: three batches
+    that hold all months; ``wrong``: freight, coordinates and review scores
+    are off, for a later correction. Returns the months."""
     from strata.operators.batching import (
         BATCH,
         assign_first_batch,
@@ -258,9 +277,13 @@ def write_test_batches(spark: SparkSession, sf_dir: str, out_dir: str) -> list[s
     )
 
     def raw_text(df: DataFrame) -> DataFrame:
-        return df.drop(BATCH_ID, INGEST_TS)
+        df = df.drop(BATCH_ID, INGEST_TS)
+        off = {"freight_value": "1.00", "geolocation_lat": "-1.0", "review_score": "3"} if wrong else {}
+        return df.withColumns({c: F.lit(v) for c, v in off.items() if c in df.columns})
 
     orders = split_by_month(raw_text(raw_orders(spark, sf_dir)), "order_purchase_timestamp")
+    if coarse:
+        orders = orders.withColumn(BATCH, coarse_batch(F.col(BATCH)))
     write_batches(orders, f"{out_dir}/orders")
     lookup = month_lookup(orders, "order_id")
     for name in CHILD_SOURCES:

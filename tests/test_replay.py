@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 
 import fixtures
 import pytest
@@ -43,12 +44,19 @@ def batch(root, name, **tables):
         fixtures.write_csv(os.path.join(root, name), source, rows)
 
 
+@pytest.fixture(scope="module")
+def first_batch(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("first")
+    batch(str(root / "batches"), "2017-01", **BASE)
+    run_batch(Lake(spark, str(root / "lake"), buckets=3), str(root / "batches"), "2017-01")
+    return root
+
+
 @pytest.fixture()
-def started(spark, tmp_path):
-    batches, lake = str(tmp_path / "batches"), Lake(spark, str(tmp_path / "lake"), buckets=3)
-    batch(batches, "2017-01", **BASE)
-    run_batch(lake, batches, "2017-01")
-    return lake, batches
+def started(spark, first_batch, tmp_path):
+    """A lake of its own after the first batch (tables are folders)."""
+    shutil.copytree(first_batch, tmp_path / "own")
+    return Lake(spark, str(tmp_path / "own" / "lake"), buckets=3), str(tmp_path / "own" / "batches")
 
 
 def prices(lake):

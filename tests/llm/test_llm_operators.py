@@ -81,6 +81,7 @@ def test_join_equals_brute_force(spark, monkeypatch, shingle, num, tile):
     """Small tiles force the tiled path, with several components in a block."""
     monkeypatch.setattr(jaccard, "TILE_SETS", tile)
     monkeypatch.setattr(jaccard, "PAIR_SETS", max(2, tile // 2))
+    monkeypatch.setattr(jaccard, "BROADCAST_IDS", 0 if tile < 100 else 500_000)
     texts = [t for seed, edits in enumerate((0.002, 0.005, 0.01, 0.02, 0.03, 0.08)) for t in families(seed, edits)]
     texts += [f"{a} {b}" for a in "pqr" for b in "stu"] + ["a b c d e f g h i j k"] * 3 + [None, ""]
     random.Random(3).shuffle(texts)
@@ -100,18 +101,20 @@ def test_one_of_each(spark, documents):
     assert {r.row for r in left} == {"x"} and {r.text_key for r in left} == {1}
 
 
-def test_bands_lose_no_linked_pair():
+def test_first_shingles_of_linked_sets_are_shared():
     r = np.random.default_rng(4)
-    for num, den in ((90, 100), (80, 100), (60, 100)):
-        classes = jaccard.Classes(num, den)
-        for _ in range(300):
-            n = int(r.integers(1, 120))
-            a = np.unique(r.integers(0, 2**64, n, dtype=np.uint64))
+    seen = 0
+    for num, den in ((90, 100), (80, 100), (60, 100), (30, 100)):
+        for _ in range(400):
+            a = np.unique(r.integers(0, 2**64, int(r.integers(1, 120)), dtype=np.uint64))
             kept = a[r.random(len(a)) > r.random() * 0.3]
             b = np.unique(np.concatenate([kept, r.integers(0, 2**64, int(r.integers(0, 8)), dtype=np.uint64)]))
-            common = len(np.intersect1d(a, b))
-            if len(a) and len(b) and len(a) + len(b) > 2 * common and jaccard.linked(common, len(a), len(b), num, den):
-                assert np.intersect1d(classes.keys(a), classes.keys(b)).size
+            if len(b) and jaccard.linked(len(np.intersect1d(a, b)), len(a), len(b), num, den):
+                seen += 1
+                (look_a, enough_a, one_a), (look_b, enough_b, one_b) = (jaccard.prefix_sizes(len(x), num, den) for x in (a, b))
+                assert np.intersect1d(a[:look_a], b[:look_b]).size >= max(enough_a, enough_b)
+                assert np.intersect1d(a[:one_a], b[:one_b]).size
+    assert seen > 200
 
 
 def test_tree_bounds_never_drop_a_link():

@@ -286,7 +286,7 @@ def q_quarantine_raw(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_revenue_by_category(spark: SparkSession, d: str) -> DataFrame:
-    _, dim = product_dims(spark, d)
+    dim = cut_lineage(spark, product_dims(spark, d)[1])  # joined twice: as-of, then by key
     fact = facts.fact_order_items(
         clean(spark, d, "order_item"), clean(spark, d, "order"), clean(spark, d, "customer"), dim
     )

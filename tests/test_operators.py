@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from strata.operators import batching
@@ -44,8 +45,9 @@ def test_soft_checks(spark):
     got = {r.soft_check: (r.rows_checked, r.rows_flagged) for r in soft_check_counts(df, {
         "delivered before purchase": "delivered_customer_ts < purchase_ts",
         "approved before purchase": "approved_ts < purchase_ts",
-        "shipping limit before purchase": "shipping_limit_ts < purchase_ts",
     }).collect()}
+    with pytest.raises(AnalysisException, match="shipping_limit_ts"):  # never left out in silence
+        soft_check_counts(df, {"shipping limit before purchase": "shipping_limit_ts < purchase_ts"})
     assert got == {"delivered before purchase": (2, 1), "approved before purchase": (2, 0)}
 
 

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import WORD, dropped, table, text_or_empty, whole_row, written
+from strata.llm.common import WORD, dropped, in_slices, table, text_or_empty, whole_row, written
 from strata.llm.graph import components
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -218,7 +218,7 @@ def _sets_of(docs: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
     """doc_id, text_key, n_shingles, sid, check, prefix, enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             sets = [shingle_set(t.as_py(), shingle) for t in batch.column(1)]
             ids = [set_id(s) for s in sets]
             looks = [prefix_sizes(len(s), num, den) for s in sets]
@@ -243,7 +243,7 @@ def _whole_sets(docs: DataFrame, shingle: int) -> DataFrame:
     """sid, shingles of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             sets = [shingle_set(t.as_py(), shingle) for t in batch.column(0)]
             sids = pa.array([set_id(s)[0] for s in sets], pa.int64())
             yield pa.RecordBatch.from_arrays([sids, pa.array([s.astype(np.int64) for s in sets], pa.list_(pa.int64()))], names=["sid", "shingles"])
@@ -276,7 +276,7 @@ def _signatures(whole: DataFrame) -> DataFrame:
     (one for a block) sets the width."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             sets, centres = (_arrays(pa.chunked_array([batch.column(i)])) for i in (2, 3))
             apart = [np.setxor1d(s, c, assume_unique=True) for s, c in zip(sets, centres)]
             words = [signature(x, signature_bits(m)).tobytes() for x, m in zip(apart, batch.column(1).to_pylist())]
@@ -369,12 +369,17 @@ def rare_first(spark: SparkSession, whole: DataFrame, num: int, den: int) -> Dat
 
 def class_links(spark: SparkSession, docs: DataFrame, sets: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
     """a, b: links between different sets that connect all linked ones.
-    ``sets``: a table of ``written`` (doc_id, n_shingles, sid, prefix, enough)."""
+    ``sets``: a table of ``written`` (doc_id, n_shingles, sid, prefix, enough);
+    it goes when it is used."""
     # 1. sets that may have a partner, whole, one document each
     one = survivors(spark, sets.filter("n_shingles > 0"))
-    ids = one.select("one").distinct()
-    if one.count() <= BROADCAST_IDS:  # a checked size; beyond it the texts are shuffled
-        ids = F.broadcast(ids)
+    dropped(spark, sets)
+    few = one.count() <= BROADCAST_IDS  # a checked size; beyond it texts and sets are shuffled
+
+    def sent(ids: DataFrame) -> DataFrame:
+        return F.broadcast(ids) if few else ids
+
+    ids = sent(one.select("one").distinct())
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, F.col("doc_id").eqNullSafe(F.col("one")), "left_semi")
     whole = written(spark, _whole_sets(texts, shingle).join(one.select("sid", "n"), "sid").dropDuplicates(["sid"]), "whole-sets")
     # 2. blocks: sets that share one of their rarest shingles
@@ -388,7 +393,7 @@ def class_links(spark: SparkSession, docs: DataFrame, sets: DataFrame, shingle:
     # 3. small blocks together, tiles of large ones with their block's centres
     small = sizes.filter("tiles = 1").agg(F.sum("members").alias("members"), F.sum("shingles_").alias("shingles_"))
     parts = small.select(F.coalesce(_tiles("members", "shingles_"), F.lit(1))).first()[0]  # one number
-    own = whole.join(one.join(sizes, "block").select("sid", "block", "tiles"), "sid").withColumn("root", F.col("sid"))
+    own = whole.join(sent(one.join(sizes, "block").select("sid", "block", "tiles")), "sid").withColumn("root", F.col("sid"))
     together = own.filter("tiles = 1").withColumn("tile", F.pmod(F.xxhash64("block"), F.lit(parts)).cast("long")).select(F.lit(0).cast("long").alias("group"), "tile", "sid", "root", "shingles")
     large = own.filter("tiles > 1")
     degree = near.groupBy(F.col("b").alias("sid")).agg(F.count(F.lit(1)).alias("degree")).join(blocks, "sid")
@@ -432,7 +437,7 @@ def join(spark: SparkSession, docs: DataFrame, shingle: int = 5, num: int = 80,
     component's key; null for empty sets); documents link when
     den * |intersection| >= num * |union| of their shingle sets."""
     sets = written(spark, _sets_of(docs.select("doc_id", "text"), shingle, num, den), "jaccard-sets")
-    rows = sets.select("doc_id", "text_key", "n_shingles", "sid", "check")
+    rows = written(spark, sets.select("doc_id", "text_key", "n_shingles", "sid", "check"), "jaccard-rows")
     ids = rows.filter("n_shingles > 0").groupBy("sid").agg(F.min("doc_id").alias("first"), F.min("check").alias("low"), F.max("check").alias("high"))
     ids = ids.select("sid", F.when(F.col("low") == F.col("high"), F.col("first")).otherwise(F.raise_error(F.lit("two shingle sets share an id")).cast("long")).alias("first"))
     ids = written(spark, ids, "jaccard-ids")

@@ -267,29 +267,16 @@ def write_test_batches(spark: SparkSession, sf_dir: str, out_dir: str, coarse: b
     the product re-delivery in the change month. ``coarse``: three batches
     that hold all months; ``wrong``: freight, coordinates and review scores
     are off, for a later correction. Returns the months."""
-    from strata.operators.batching import (
-        BATCH,
-        assign_first_batch,
-        month_lookup,
-        route_children,
-        split_by_month,
-        write_batches,
-    )
+    from strata.operators.batching import BATCH, write_batches
+    from strata.plans.prepare import cut_into_batches
 
     def raw_text(df: DataFrame) -> DataFrame:
         df = df.drop(BATCH_ID, INGEST_TS)
         off = {"freight_value": "1.00", "geolocation_lat": "-1.0", "review_score": "3"} if wrong else {}
         return df.withColumns({c: F.lit(v) for c, v in off.items() if c in df.columns})
 
-    orders = split_by_month(raw_text(raw_orders(spark, sf_dir)), "order_purchase_timestamp")
-    if coarse:
-        orders = orders.withColumn(BATCH, coarse_batch(F.col(BATCH)))
-    write_batches(orders, f"{out_dir}/orders")
-    lookup = month_lookup(orders, "order_id")
-    for name in CHILD_SOURCES:
-        write_batches(route_children(raw_text(RAW[name](spark, sf_dir)), lookup, "order_id"), f"{out_dir}/{name}")
-    for name in REFERENCE_SOURCES:
-        write_batches(assign_first_batch(raw_text(RAW[name](spark, sf_dir)), orders), f"{out_dir}/{name}")
+    frames = {name: raw_text(RAW[name](spark, sf_dir)) for name in ("orders", *CHILD_SOURCES, *REFERENCE_SOURCES)}
+    months = cut_into_batches(spark, frames, out_dir, coarse_batch if coarse else None)
     changed = raw_text(raw_products_changed(spark, sf_dir)).withColumn(BATCH, F.lit(CHANGE_BATCH))
     write_batches(changed, f"{out_dir}/products", mode="append")
-    return sorted(r[0] for r in orders.select(BATCH).distinct().collect())
+    return months

@@ -16,8 +16,11 @@ Escaping puts one backslash behind the first character of each control
 string (which may already hold backslashes); reading takes one away. So it is
 reversible for every text. The loss mask covers the assistants' texts.
 
-Turns are gathered per conversation and sorted inside it: a conversation is
-one output value, so its turns must meet.
+A turn conflicts by its own text alone, so turns are rendered and read back
+one by one. Turns are dealt by conversation and sorted (on disk where they
+do not fit); a conversation's turns then stream by, with a running offset and
+running digests, so that a task holds a slice of turns however long the
+conversation is.
 
 Defined cases: a null text or role is the empty string; turns go by turn
 (null first), then role, then text, so repeated turns keep their number; rows
@@ -35,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import table, text_or_empty
+from strata.llm.common import in_slices, table, text_or_empty
 
 START = "<s>"
 TEMPLATE = {"system": ("<<SYS>>\n", "\n<</SYS>>\n\n"), "user": ("[INST] ", " [/INST]"), "assistant": (" ", " </s>")}
@@ -45,7 +48,7 @@ BARE = re.compile(r"[<\[]" + _REST)
 ESCAPABLE = re.compile(r"([<\[])(\\*)" + _REST)
 ESCAPED = re.compile(r"([<\[])\\(\\*)" + _REST)
 
-FORMATTED = "conv_id long, formatted string, loss array<struct<start:int,end:int>>"
+FORMATTED = "conv_id long, at long, formatted string, loss struct<start:bigint,end:bigint>"
 DIGESTS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
 Turn = tuple[str, str]
@@ -134,41 +137,61 @@ def format_turns(turns: list[Turn]) -> tuple[str, list[tuple[int, int]]]:
 
 
 def format_conversations(rows: DataFrame) -> DataFrame:
-    """conv_id, formatted, loss: one row per conversation."""
-    turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), text_or_empty().alias("text"))
-    grouped = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    """conv_id, at, formatted, loss: one row per turn, the conversations' turns
+    in order and together; ``at`` is where the turn begins in its conversation."""
+    turns = rows.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", F.coalesce("role", F.lit("")).alias("role"), text_or_empty().alias("text"))
+    ordered = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spans = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        for batch in batches:
-            done = [format_turns([(t["role"], t["text"]) for t in turns.as_py()]) for turns in batch.column(1)]
-            masks = [[{"start": a, "end": b} for a, b in loss] for _, loss in done]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([f for f, _ in done], pa.string()), pa.array(masks, spans)], names=["conv_id", "formatted", "loss"]
-            )
-
-    return grouped.select(F.col("conv_id").cast("long").alias("conv_id"), "turns").mapInArrow(run, FORMATTED)
+        spans = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+        last, at = (), 0  # (conv_id,) of the turn before, and where the next one begins
+        for batch in in_slices(batches):
+            ats, pieces, masks = [], [], []
+            for conv, role, text in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3))):
+                piece, loss = format_turns([(role, text)])
+                if (conv,) == last:
+                    piece, loss = piece[len(START) :], [(a - len(START), b - len(START)) for a, b in loss]
+                else:
+                    last, at = (conv,), 0
+                ats.append(at), pieces.append(piece)
+                masks.append({"start": at + loss[0][0], "end": at + loss[0][1]} if loss else None)
+                at += len(piece)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ats, pa.int64()), pa.array(pieces, pa.string()), pa.array(masks, spans)], names=["conv_id", "at", "formatted", "loss"])
+
+    return ordered.mapInArrow(run, FORMATTED)
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Digests of what the formatted texts and their masks hold."""
-
-    def digest(text: str) -> str:
-        return hashlib.sha256(text.encode()).hexdigest()
+    """Digests of what the formatted texts and their masks hold; the rows as
+    ``format_conversations`` gives them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for text, mask in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                turns = read(text)
-                learned = "".join(unescape(text[s["start"] : s["end"]]) for s in mask)
-                rows.append((len(turns), digest("".join(f"{r}\n{t}\n" for r, t in turns)), len(learned), digest(learned), len(text)))
-            columns = [*zip(*rows)] or [()] * 5
-            kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *map(pa.array, columns, kinds)],
-                names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"],
-            )
+        conv, n, sha, n_learned, learned_sha, chars = None, 0, hashlib.sha256(), 0, hashlib.sha256(), 0
+
+        def out(rows: list[tuple]) -> pa.RecordBatch:
+            columns = [*zip(*rows)] or [()] * 6
+            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+            names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+            return pa.RecordBatch.from_arrays([*map(pa.array, columns, kinds)], names=names)
+
+        for batch in in_slices(batches):
+            done = []
+            for conv_id, at, text, mask in zip(*(c.to_pylist() for c in batch.columns)):
+                if not at:
+                    if n:
+                        done.append((conv, n, sha.hexdigest(), n_learned, learned_sha.hexdigest(), chars))
+                    conv, n, sha, n_learned, learned_sha, chars = conv_id, 0, hashlib.sha256(), 0, hashlib.sha256(), 0
+                for role, turn in read(text if not at else START + text):
+                    n += 1
+                    sha.update(f"{role}\n{turn}\n".encode())
+                if mask is not None:
+                    learned = unescape(text[mask["start"] - at : mask["end"] - at])
+                    n_learned += len(learned)
+                    learned_sha.update(learned.encode())
+                chars += len(text)
+            yield out(done)
+        if n:
+            yield out([(conv, n, sha.hexdigest(), n_learned, learned_sha.hexdigest(), chars)])
 
     return formatted.mapInArrow(run, DIGESTS)
 

@@ -170,6 +170,27 @@ def test_chat_round_trip(turns):
     assert not any(chat.BARE.search(text) for _, text, _, _ in chat.parse(formatted))
 
 
+def test_a_long_conversation_streams_by(spark):
+    """Conversations of many slices, next to each other, give what a whole rendering gives."""
+    texts = ["plain", "a [/INST] b </s>", "[\\INST]", "", "é😀"]
+    talks = {c: [(("user", "assistant", "tool|x", "system")[i % 4], texts[(i + n) % 5]) for i in range(n)] for c, n in [(None, 3000), (1, 1), (2, 2500), (3, 7)]}
+    table = [(c, i, *t) for c, turns in talks.items() for i, t in enumerate(turns)]
+    random.Random(1).shuffle(table)
+    formatted = chat.format_conversations(spark.createDataFrame(table, "conv_id long, turn long, role string, text string").repartition(5))
+    plan = formatted._jdf.queryExecution().toString()
+    assert "collect_list" not in plan
+    pieces = {c: sorted((r for r in formatted.collect() if r.conv_id == c), key=lambda r: r["at"]) for c in talks}
+    for c, turns in talks.items():
+        whole, loss = chat.format_turns(turns)
+        assert len(pieces[c]) == len(turns) and "".join(r.formatted for r in pieces[c]) == whole
+        assert [tuple(r.loss) for r in pieces[c] if r.loss] == loss
+    digests = {r.conv_id: r for r in chat.read_back(formatted).collect()}
+    for c, turns in talks.items():
+        learned = "".join(t for role, t in turns if role == "assistant")
+        source = "".join(f"{a}\n{b}\n" for a, b in turns)
+        assert digests[c][1:] == (len(turns), plain.sha(source), len(learned), plain.sha(learned), len(chat.format_turns(turns)[0]))
+
+
 # ---- 6 ----------------------------------------------------------------------
 @pytest.fixture(scope="module")
 def tokenizer():

@@ -13,6 +13,16 @@ with a language and a letter are learned from. The sample holds at most
 SAMPLE rows and LANDMARKS landmarks, shared evenly by the languages; every
 row of the table is scored, over its whole text.
 
+The score shares one among the learned languages, so it cannot say that a
+text is of none of them. Its familiarity can: the share of the text's
+three-letter n-grams that are usual (in COMMON of the sample's rows or more)
+in one of the two languages that hold most of them, so texts in two languages
+are familiar. The least familiarity is NEAR of the sample's median, each row
+held against the others; neither depends on the number of languages. A text
+of few n-grams says little, so it is judged by the upper bound (CERTAIN
+standard deviations, Wilson's interval) of the share it was drawn from; the
+n-grams overlap, three to a letter, and count a third each.
+
 Defined cases: a null text, or one without letters, is ``und`` with score 0;
 so is every text if there is nothing to learn from. A null doc_id is not held
 out. Repeated rows get equal results, ties go to the first language by name,
@@ -42,6 +52,9 @@ SHARPNESS = 4.0
 #: Matrix rows gathered at once.
 CHUNK = 1 << 18
 UNKNOWN = "und"
+#: The order (from 0) of the n-grams that make a text familiar, the share of a
+#: language's rows that hold a usual one, and the least share of the median.
+FAMILIAR_ORDER, COMMON, NEAR, CERTAIN = 2, 0.02, 0.7, 3.0
 
 
 def ngrams(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -132,18 +145,47 @@ def score(texts: list[str | None], langs: list[str], matrix: np.ndarray) -> tupl
     return [lang for lang, _ in out], [s for _, s in out]
 
 
+def familiarity(index: np.ndarray, counts: np.ndarray, needed: np.ndarray, own: int | None = None) -> float:
+    """The share of a text's n-grams that are usual in one of its two nearest
+    languages, its upper bound; ``own``: the language of a sample row, which does not count."""
+    held = counts[index[index // BUCKETS == FAMILIAR_ORDER] - FAMILIAR_ORDER * BUCKETS]
+    if own is not None:
+        held = held - np.eye(1, held.shape[1], own, dtype=held.dtype)
+    usual = held >= needed
+    nearest = np.argsort(-usual.sum(axis=0), kind="stable")[:2]
+    n, z = len(usual) / (FAMILIAR_ORDER + 1), CERTAIN
+    if not n:
+        return 0.0
+    p = float(usual[:, nearest].any(axis=1).mean())
+    return (p + z * z / (2 * n) + z * np.sqrt(p * (1 - p) / n + (z / (2 * n)) ** 2)) / (1 + z * z / n)
+
+
+def familiar(rows: list[tuple[str, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, float]:
+    """Rows that hold each n-gram, by language; how many make it usual; and
+    the least familiarity, from (language, n-gram indices) pairs."""
+    langs = sorted({lang for lang, _ in rows})
+    place = {lang: i for i, lang in enumerate(langs)}
+    counts = np.zeros((BUCKETS, len(langs)), np.int32)
+    for lang, index in rows:
+        counts[index[index // BUCKETS == FAMILIAR_ORDER] - FAMILIAR_ORDER * BUCKETS, place[lang]] += 1
+    sizes = np.bincount([place[lang] for lang, _ in rows], minlength=len(langs))
+    needed = np.maximum(1, (COMMON * sizes).astype(np.int32))
+    least = NEAR * float(np.median([familiarity(index, counts, needed, place[lang]) for lang, index in rows])) if rows else 0.0
+    return counts, needed, least
+
+
 def held_out(doc_id: str | Column = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Fit on a bounded sample: first by a hash threshold from the languages'
+def sampled(docs: DataFrame) -> list[tuple[str, np.ndarray]]:
+    """(language, n-gram indices) of a bounded sample: first by a hash threshold from the languages'
     counts, then exactly by rank. Tasks turn the sampled texts into n-gram
     indices; only these (at most ORDERS * BUCKETS a row) reach the driver."""
     known = docs.filter(F.col("lang").isNotNull() & ~held_out() & F.col("text").isNotNull())
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(SAMPLE).collect()}
     if not counts:
-        return [], np.zeros((0, 0), np.float32)
+        return []
     per = max(1, SAMPLE // len(counts))
     draw = F.pmod(F.xxhash64(F.lit("lang-sample"), "doc_id", F.length("text")), F.lit(1 << 30))
     limits = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, int(min(1.0, 2 * per / n + 40 / n) * (1 << 30)))])
@@ -157,12 +199,31 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(index, pa.list_(pa.int32()))], names=["lang", "rank", "index"])
 
     rows = sample.mapInArrow(run, "lang string, rank int, index array<int>").filter("index is not null").orderBy("lang", "rank").collect()
-    return fit([(r["lang"], np.asarray(r["index"])) for r in rows]) if rows else ([], np.zeros((0, 0), np.float32))
+    return [(r["lang"], np.asarray(r["index"])) for r in rows]
+
+
+def train(rows: list[tuple[str, np.ndarray]]) -> tuple[list[str], np.ndarray]:
+    return fit(rows) if rows else ([], np.zeros((0, 0), np.float32))
+
+
+def of_known_languages(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The rows whose text is familiar; none if there is nothing to learn from."""
+    sample = sampled(docs.select("doc_id", "text", "lang"))
+    model = spark.sparkContext.broadcast(familiar(sample) if sample else None)  # BUCKETS rows, a column per language
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, needed, least = model.value or (None, None, 0.0)
+        for batch in batches:
+            stays = [counts is not None and has_letters(t) and familiarity(ngrams(t)[0], counts, needed) >= least for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(1).filter(pa.array(stays, pa.bool_()))], names=["row"])
+
+    rows = docs.select("text", whole_row(docs))
+    return rows.mapInArrow(run, T.StructType([rows.schema["row"]])).select("row.*")
 
 
 def identify(spark: SparkSession, docs: DataFrame, *keep: str) -> DataFrame:
     """row (a struct of the columns in ``keep``), lang_pred and score of every row."""
-    langs, matrix = train(docs.select("doc_id", "text", "lang"))
+    langs, matrix = train(sampled(docs.select("doc_id", "text", "lang")))
     model = spark.sparkContext.broadcast((langs, matrix))  # ORDERS * BUCKETS rows, a column per language
     rows = docs.select("text", whole_row(docs.select(*[F.col(f"`{c}`") for c in keep])))
 

@@ -46,12 +46,25 @@ def merge(a: Column, b: Column, k: int = K) -> Column:
 
 
 def merged(column: str, k: int = K) -> Column:
-    """Aggregate: the sketch of the union of a group's sets. The state holds k
-    hashes, whatever the size of the group."""
+    """Aggregate: the sketch of the union of a group's sets. The state holds
+    every distinct sketch of the group: for small groups; ``merged_by`` has no
+    such bound."""
     empty = F.expr("array()").cast("array<bigint>")
     return F.slice(F.sort_array(F.array_distinct(F.flatten(F.collect_set(F.coalesce(F.col(column), empty))))), 1, k)
 
 
+def merged_by(df: DataFrame, keys: list[str], column: str, k: int = K) -> DataFrame:
+    """The keys, and in ``column`` the sketch of the union of each group's sets.
+    Hashes are rows: repeats go within each task first, and so do those behind
+    the k least, so that k hashes of a group meet, whatever its size."""
+    by = [F.col(f"`{c}`").alias(f"key{i}") for i, c in enumerate(keys)]
+    names = [f"key{i}" for i in range(len(keys))]
+    rows = df.select(*by, F.explode_outer(F.col(f"`{column}`")).alias("hash")).dropDuplicates()
+    rank = F.row_number().over(Window.partitionBy(*names).orderBy(F.col("hash").asc_nulls_last()))
+    least = rows.withColumn("rank", rank).filter(F.col("rank") <= k).groupBy(*names).agg(F.sort_array(F.collect_list("hash")).alias("sketch"))
+    return least.select(*[F.col(n).alias(c) for n, c in zip(names, keys)], F.col("sketch").alias(column))
+
+
 def resemblance(a: Column, b: Column, k: int = K) -> Column:
     """Estimated Jaccard similarity: the share of the union's sketch that both hold."""
     union = merge(a, b, k)

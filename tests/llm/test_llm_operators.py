@@ -156,6 +156,15 @@ def test_sketches_merge_and_estimate(spark):
     assert parts.agg(fingerprint.merged("sk").alias("m")).first().m == df.select(s["a"].alias("m")).first().m
 
 
+def test_sketches_merge_by_key(spark):
+    rows = [("a", list(range(i, i + 90, 3))) for i in range(200)] + [("b", []), ("b", None), (None, [3, 1]), (None, [2, 3])]
+    df = spark.createDataFrame([(k, sorted(v) if v is not None else None) for k, v in rows], "source string, sketch array<long>")
+    got = {r["source"]: r["sketch"] for r in fingerprint.merged_by(df, ["source"], "sketch").collect()}
+    assert got == {"a": list(range(128)), "b": [], None: [1, 2, 3]}
+    plan = fingerprint.merged_by(df, ["source"], "sketch")._jdf.queryExecution().toString()
+    assert "collect_set" not in plan and "WindowGroupLimit" in plan
+
+
 # ---- 5 ----------------------------------------------------------------------
 PIECES = st.sampled_from(["<s>", "</s>", " </s>", "[INST] ", " [/INST]", "<<SYS>>\n", "\n<</SYS>>\n\n", "<|", "|>", "<|end|>", "\\", "<\\s>", "[\\INST]", "<", "[", "s>", "a", " ", "\n", "é😀", "|"])
 TEXTS = st.lists(PIECES, max_size=8).map("".join)

@@ -34,7 +34,7 @@ EVERY = 50
 LEVELS = (4, 8, 16)
 #: Rows of a block of candidates and of a block of queries.
 CANDIDATES, QUERIES = 4096, 1024
-#: Candidates per query scored first, for the threshold.
+#: Candidates per query scored first (at least k), for the threshold.
 SEEDS = 32
 #: Queries bounded at once (a matrix of STEP x CANDIDATES bounds).
 STEP = 128
@@ -74,9 +74,10 @@ def search(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids:
             able = int((bound > -np.inf).sum())
             if not able:
                 continue
-            first = np.argpartition(-bound, min(SEEDS, able) - 1)[: min(SEEDS, able)]
+            seeds = min(max(SEEDS, k), able)
+            first = np.argpartition(-bound, seeds - 1)[:seeds]
             known = vectors[first] @ queries[i]
-            floor = np.sort(known)[-min(k, len(known))] - slack if able >= k else -np.inf
+            floor = np.sort(known)[-k] - slack if seeds >= k else -np.inf
             left = np.flatnonzero((bound >= floor) & (bound > -np.inf))
             for level in range(1, len(LEVELS)):
                 left = left[theirs[level][left] @ mine[level][i] >= floor]

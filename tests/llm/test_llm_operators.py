@@ -302,3 +302,12 @@ def test_search_equals_brute_force(dims):
     got = topk.search(vectors[:60], ids[:60], vectors, ids)
     want = [(i, *x) for i in range(60) for x in plain.best(list(zip(ids.tolist(), vectors.tolist())), (int(ids[i]), vectors[i].tolist()))]
     assert got == want
+
+
+def test_search_for_many_neighbours():
+    r = np.random.default_rng(5)
+    vectors = r.integers(-300, 300, (2000, 32))
+    ids = np.arange(len(vectors))
+    for k in (50, 1995, 3000):
+        got = topk.search(vectors[:20], ids[:20], vectors, ids, k)
+        assert got == [(i, *x) for i in range(20) for x in plain.best(list(zip(ids.tolist(), vectors.tolist())), (i, vectors[i].tolist()), k)]

@@ -8,7 +8,9 @@ findings back to all paths.
 
 The base kinds are assign, access and hex. Rule version 2 adds private key
 blocks, JSON web tokens, provider tokens and credentials in URLs; the base
-rules are the same in both versions.
+rules are the same in both versions. A private key block runs to its END line over
+all that holds no five dashes (so not over another BEGIN): header lines and
+escaped line breaks belong to it.
 
 Defined cases: a null text is the empty text; repeated rows and equal texts
 each get the findings of their blob; a null doc_id is a path like any other;
@@ -37,7 +39,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 #: Rules added by version 2: kind -> pattern.
 ADDED = {
-    "private_key": re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[A-Za-z0-9+/=\s]*-----END [A-Z ]{0,40}PRIVATE KEY-----)?", re.ASCII),
+    "private_key": re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[^-]*(?:-{1,4}[^-]+)*-----END [A-Z ]{0,40}PRIVATE KEY-----)?", re.ASCII),
     "jwt": re.compile(r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", re.ASCII),
     "provider": re.compile(r"\b(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35})", re.ASCII),
     "url_login": re.compile(r"\b[a-z]{2,12}://[^\s:/@]{1,64}:[^\s:/@]{3,64}@[A-Za-z0-9.-]+", re.ASCII),

@@ -262,6 +262,17 @@ def test_ledger_scans_only_unseen_pairs(spark):
     assert spark.read.parquet(ledger).count() == 6
 
 
+def test_redaction_of_whole_private_keys(spark):
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    encrypted = f"{begin}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\nMIIBody+/=\n{end}"
+    in_json = '{"key": "' + f"{begin}\\nMIIBody+/=\\n{end}" + '\\n"}'
+    texts = [f"x {encrypted} y", in_json, f"{begin} cut MIIstays {encrypted}", "a ----- b " + encrypted + " c -- d " + encrypted]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in secrets.redact(spark, df).collect()}
+    assert got[0] == "x [SECRET] y" and got[1] == '{"key": "[SECRET]\\n"}'
+    assert got[2] == "[SECRET] cut MIIstays [SECRET]" and got[3] == "a ----- b [SECRET] c -- d [SECRET]"
+
+
 def test_redaction_joins_overlapping_spans(spark):
     text = 'é token = "' + "a1" * 20 + '" end AKIA' + "B" * 16
     docs = spark.createDataFrame([(1, text, "x"), (2, "clean", "y"), (3, None, "z")], "doc_id long, text string, spans string")

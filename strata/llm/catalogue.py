@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, chat, fingerprint, jaccard, language, mixing, pii, secrets, sharding, topk
+from strata.llm import bpe, chat, fingerprint, jaccard, language, lexical, mixing, pii, runs, secrets, sharding, tokenfile, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,9 @@ def queries() -> dict[str, Query]:
         "op8_secrets": secrets.op8_secrets,
         "op9_language": language.op9_language,
         "op10_topk": topk.op10_topk,
+        "op11_lexical": lexical.op11_lexical,
+        "op12_tokenfile": tokenfile.op12_tokenfile,
+        "op13_runs": runs.op13_runs,
     }
 
 
@@ -33,4 +36,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_chat": chat.SQL,
         "op8_secrets": secrets.SQL,
         "op10_topk": topk.SQL,
+        "op11_lexical": lexical.SQL,
     }

@@ -40,6 +40,7 @@ CONVERSATIONS = [
     (2, 0, None, "no role"), (2, 1, "tool|<x>\\p", "<|end|> [\\INST] [\\\\/INST] <<SYS>>\n<</SYS>>\n\n"), (2, 2, "assistant", ""),
     (None, 0, "user", None), (None, 1, "assistant", "<s></s> <\\s> x" * 500), (3, 5, "assistant", " </s"), (3, 6, "user", " [/INST"), (3, 7, "user", "[INST] a"),
 ]
+ITEMS = [(0, "one TWO été"), (1, None), (2, " .,! "), (3, "changed an an ber"), (3, "words 1.2.3.4 Password"), (None, "12 émoji"), (4, "ha " * 500 + "jo ka lu mi no che du el fi"), (4, "ha"), (5, "nowhere-to-be-found zzzz"), (6, "x" * 50_000)]
 NAN, INF = float("nan"), float("inf")
 EMBEDDINGS = [(i, [((i * 7 + j * 3) % 11 - 5) / 4 for j in range(6)]) for i in range(120)] + [
     (0, [0.5] * 6), (50, [0.1, -0.2, 0.3, 1.0, 0.0, 2.0]), (50, [0.1, -0.2, 0.3, 1.0, 0.0, 2.0]), (200, [0.5] * 6), (300, None), (350, [0.1, None] * 3), (400, [NAN] * 6), (450, [INF] * 6),
@@ -53,6 +54,7 @@ def awkward(spark, tmp_path_factory) -> str:
     names = [c.split()[0] for c in f"{DOCUMENTS}, {EXTRA}".split(", ")]
     spark.createDataFrame([tuple(x[c] for c in names) for x in awkward_documents()], f"{DOCUMENTS}, {EXTRA}").repartition(3).write.parquet(f"{d}/documents.parquet")
     spark.createDataFrame([(*x, "extra", 1) for x in CONVERSATIONS], "conv_id long, turn long, role string, text string, formatted string, loss int").write.parquet(f"{d}/conversations.parquet")
+    spark.createDataFrame([(*x, 1, 2) for x in ITEMS], "item_id long, text string, query_id int, score int").write.parquet(f"{d}/benchmark.parquet")
     spark.createDataFrame([(*x, 1, 2) for x in EMBEDDINGS], "vec_id long, embedding array<float>, label int, score int").write.parquet(f"{d}/embeddings.parquet")
     return d
 
@@ -60,7 +62,7 @@ def awkward(spark, tmp_path_factory) -> str:
 @pytest.fixture(scope="session")
 def empty(spark, awkward, tmp_path_factory) -> str:
     d = str(tmp_path_factory.mktemp("empty"))
-    for name in ("documents", "conversations", "embeddings"):
+    for name in ("documents", "conversations", "embeddings", "benchmark"):
         spark.read.parquet(f"{awkward}/{name}.parquet").limit(0).write.parquet(f"{d}/{name}.parquet")
     return d
 

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
 
+import numpy as np
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -99,5 +102,55 @@ def best(vectors: list[tuple[int, list[int]]], query: tuple[int, list[int]], k:
     return [(i, -s) for s, i in sorted(scored)[:k]]
 
 
+def terms(text: str | None) -> list[str]:
+    low = (text or "").translate({c: c + 32 for c in range(65, 91)})
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", low)
+
+
+def ranked(texts: list[tuple], queries: dict, k: int) -> dict:
+    """For each query its best (rank, doc_id, score)."""
+    held = [(i, Counter(t), len(t)) for i, t in texts if t]
+    n_all, all_terms = len(held), sum(n for _, _, n in held)
+    df = Counter(t for _, c, _ in held for t in c)
+    out = {}
+    for q, words in queries.items():
+        scored = []
+        for i, c, n in held:
+            m = 10 + (90 * n * n_all) // all_terms
+            s = sum(math.floor(1000 * math.log((2 * n_all + 2) / (2 * df[t] + 1))) * ((10**9 * c[t]) // (1000 * c[t] + 8 * m)) for t in words if t in c)
+            if s > 0:
+                scored.append((-s, i is None, i or 0, i))
+        out[q] = [(r, x[3], -x[0]) for r, x in enumerate(sorted(scored)[:k], 1)]
+    return out
+
+
+def runs(words: list) -> list[tuple[int, int, int]]:
+    """(start, length, period) of all runs, by start, then period."""
+    found: dict[tuple[int, int], int] = {}
+    n, number = len(words), {w: i for i, w in enumerate(words)}
+    codes = np.array([number[w] for w in words], np.int32)
+    for p in range(1, n // 4 + 1):
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], (codes[:-p] == codes[p:]).view(np.int8), [0]])))
+        for i, j in zip(edges[::2].tolist(), edges[1::2].tolist()):
+            if j - i + p >= max(6, 4 * p):
+                found.setdefault((i, j - i + p), p)
+    return sorted(((s, length, p) for (s, length), p in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def collapsed(doc_id: int | None, text: str | None) -> tuple:
+    words = WORD.findall(text or "")
+    n = len(words)
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 == 0 and n:
+        a = h // 10 % n
+        p = 1 + (n - a) // (3 + h // 10 % 8)
+        words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+    found = runs(words)
+    again = {i for s, length, p in found for i in range(s + p, s + length)}
+    best = min(found, key=lambda r: (-r[1], r[0], r[2])) if found else None
+    four = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+    return (doc_id, len(found), *four, sha("".join(f"{s},{length},{p}\n" for s, length, p in found)), sha(" ".join(w for i, w in enumerate(words) if i not in again)))
+
+
 def counted(rows) -> Counter:
     return Counter(map(tuple, rows))

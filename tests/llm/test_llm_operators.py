@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, chat, fingerprint, graph, jaccard, language, mixing, pii, secrets, sharding, topk
+from strata.llm import bpe, chat, fingerprint, graph, jaccard, language, lexical, mixing, pii, runs, secrets, sharding, tokenfile, topk
 
 
 # ---- 1 ----------------------------------------------------------------------
@@ -322,3 +322,127 @@ def test_search_for_many_neighbours():
     for k in (50, 1995, 3000):
         got = topk.search(vectors[:20], ids[:20], vectors, ids, k)
         assert got == [(i, *x) for i in range(20) for x in plain.best(list(zip(ids.tolist(), vectors.tolist())), (i, vectors[i].tolist()), k)]
+
+
+# ---- 11 ---------------------------------------------------------------------
+def test_search_over_many_segments_and_ranges_is_exact(spark, monkeypatch):
+    monkeypatch.setattr(lexical, "SEGMENT", 50)
+    monkeypatch.setattr(lexical, "RANGE", 8)
+    monkeypatch.setattr(lexical, "BLOCK_TERMS", 25)
+    r = random.Random(3)
+    words = [f"w{i}" for i in range(60)]
+    heavy = [1 / (i + 1) for i in range(60)]
+    texts = [(r.randrange(400), " ".join(r.choices(words, heavy, k=r.randint(0, 40)))) for _ in range(700)] + [(None, "w1 w2")] * 3
+    items = [(i, " ".join(r.choices(words, k=r.randint(1, 12)))) for i in range(40)]
+    want = plain.ranked([(i, plain.terms(t)) for i, t in texts], {i: set(plain.terms(t)) for i, t in items}, 7)
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    got = {}
+    for x in lexical.rank(spark, docs, spark.createDataFrame(items, "query_id long, text string"), k=7).collect():
+        got.setdefault(x.query_id, []).append((x["rank"], x.doc_id, x.score))
+    assert {i: sorted(v, key=lambda x: x[0]) for i, v in got.items()} == {i: v for i, v in want.items() if v}
+
+
+def test_ranges_below_the_threshold_are_skipped():
+    edges = np.arange(0, 108, 8)
+    long_ = lexical.Postings(np.arange(100), np.full(100, 5), edges)
+    rare = lexical.Postings(np.array([3, 90]), np.array([100, 200]), edges)
+    asked = []
+    long_.within = lambda r: asked.append(r) or lexical.Postings.within(long_, r)
+    best = lexical.Best(2)
+    lexical.search([long_, rare], 100, edges, best, np.arange(100), np.zeros(100, bool))
+    assert list(best.score) == [205, 105] and list(best.doc_id) == [90, 3]
+    best.least = 150
+    asked.clear()
+    lexical.search([long_, rare], 100, edges, best, np.arange(100), np.zeros(100, bool))
+    assert asked == [11]  # only the range of the document at 90 can reach the threshold
+
+
+# ---- 12 ---------------------------------------------------------------------
+def test_hash_index_is_minimal_and_knows_its_keys():
+    r = np.random.default_rng(4)
+    ids = np.concatenate([np.arange(3000), np.zeros(2000, np.int64), r.integers(-(1 << 62), 1 << 62, 3000)])
+    copies = np.concatenate([np.zeros(3000, np.int64), np.arange(1, 2001), np.full(3000, -1)])
+    places = {"shard": np.arange(8000) % 7, "offset": np.arange(8000) * 3, "n_tokens": np.arange(8000) % 5}
+    index = tokenfile.HashIndex.load(tokenfile.HashIndex.build(ids, copies, places).dump())
+    known, number = index.find(ids, copies)
+    assert known.all() and sorted(number.tolist()) == list(range(8000))
+    assert all((index.fields[f][number] == places[f]).all() for f in places)
+    known, _ = index.find(np.arange(10_000, 60_000), np.zeros(50_000, np.int64))
+    assert known.sum() <= 1
+    empty = tokenfile.HashIndex.load(tokenfile.HashIndex.build(ids[:0], copies[:0], {f: places[f][:0] for f in places}).dump())
+    assert not empty.find(ids, copies)[0].any()
+    with pytest.raises(ValueError):
+        tokenfile.HashIndex.build(np.zeros(2, np.int64), np.zeros(2, np.int64), {f: places[f][:2] for f in places})
+
+
+def test_a_key_that_holds_most_rows_spreads_over_shards(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(tokenfile, "LEAST_PART_KEYS", 100)
+    rows = [(7, "the same text of words")] * 900 + [(None, f"no key {i}") for i in range(300)] + [(i, f"text {i} <|endoftext|> \x01 x") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    path = tokenfile.write(spark, docs, out=str(tmp_path / "t"), shard_bytes=4000)
+    places = spark.read.parquet(f"{path}/places")
+    shards = {x.shard: x.n for x in places.groupBy("shard").agg(F.count("*").alias("n")).collect()}
+    assert len(shards) > 5 and max(shards.values()) < 500
+    reader, encoder = tokenfile.Reader(path), tokenfile.Encoder(open(tokenfile.public_path()).read())
+    assert reader.parts > 1
+    for doc_id, copy, text in ((7, 0, rows[0][1]), (7, 900, "text 7 <|endoftext|> \x01 x"), (12, 0, "text 12 <|endoftext|> \x01 x")):
+        texts = {rows[0][1], "text 7 <|endoftext|> \x01 x"} if doc_id == 7 else {text}
+        assert reader.get(doc_id, copy).tolist() in [[*encoder.ids(t), 2] for t in texts]
+    assert reader.get(7, 901) is None and reader.get(10**6) is None and reader.get(None, 299) is not None and reader.get(None, 300) is None
+    asked = spark.createDataFrame([(7, 5), (7, 5), (8, 0), (8, 1), (None, 2)], "doc_id long, copy long")
+    got = {(x.doc_id, x.copy): x for x in tokenfile.read(spark, path, asked).collect()}
+    assert set(got) == {(7, 5), (8, 0), (None, 2)} and got[8, 0].ids == [*encoder.ids("text 8 <|endoftext|> \x01 x"), 2]
+    parts = places.select("doc_id", "copy", tokenfile.part_column(11).alias("part")).collect()
+    assert all(x.part == tokenfile.part_of(x.doc_id, x.copy, 11) for x in parts)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(max_size=60), max_size=6))
+def test_words_encode_as_whole_texts_do(texts):
+    encoder = ENCODERS.setdefault(0, None) or ENCODERS.setdefault(1, tokenfile.Encoder(open(tokenfile.public_path()).read()))
+    for text, data in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(data, encoder.dtype).tolist() == [*encoder.ids(text), 2]
+
+
+ENCODERS: dict = {}
+
+
+# ---- 13 ---------------------------------------------------------------------
+@settings(max_examples=150, deadline=None)
+@given(st.integers(0, 10**9), st.sampled_from([(1, 1), (3, 2), (40, 8), (512, 8)]))
+def test_tiles_stitch_to_the_runs_of_the_whole(seed, size):
+    r, before = random.Random(seed), (runs.TILE, runs.FACTOR)
+    words = [b"%d" % r.randrange(r.choice([1, 2, 3, 40])) for _ in range(r.choice([4, 7, 30, 120, 400]))]
+    for _ in range(r.randint(0, 4)):
+        p, at = r.randint(1, max(1, len(words) // 4)), r.randrange(len(words))
+        for i in range(at + p, min(len(words), at + r.randint(1, len(words)))):
+            words[i] = words[i - p]
+    runs.TILE, runs.FACTOR = size
+    try:
+        parts: dict = {}
+        for octave, low, codes in runs.tiles(runs.coded(words)) if len(words) >= runs.LEAST else ():
+            for p, a, b in runs.solve(octave, low, len(words), codes):
+                parts.setdefault(p, []).append((a, b))
+    finally:
+        runs.TILE, runs.FACTOR = before
+    found: dict = {}
+    for p in sorted(parts):
+        whole: list = []
+        for a, b in sorted(parts[p]):
+            if whole and a <= whole[-1][1]:
+                whole[-1][1] = max(whole[-1][1], b)
+            else:
+                whole.append([a, b])
+        for a, b in whole:
+            if b - a + p >= max(6, 4 * p):
+                found.setdefault((a, b - a + p), p)
+    assert sorted((s, n, p) for (s, n), p in found.items()) == sorted(plain.runs(words))
+
+
+def test_a_run_over_many_tiles_is_one(spark):
+    block = [f"w{i}" for i in range(37)]
+    text = "start " + " ".join(block * 120) + " end"
+    docs = spark.createDataFrame([(1, text), (1, text), (None, text), (2, "x " * 9000)], "doc_id long, text string")
+    rows = runs.find_runs(spark, docs).collect()
+    assert [sorted((x.start, x.period, x.length) for x in r.runs) for r in rows if r.doc_id != 2] == [[(1, 37, 37 * 120)]] * 3
+    assert [(x.start, x.period, x.length) for r in rows if r.doc_id == 2 for x in r.runs] == [(0, 1, 9000)]

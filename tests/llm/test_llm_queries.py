@@ -17,10 +17,10 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), "tools"))
 
 from check_oracle import digest  # noqa: E402
-from conftest import CONVERSATIONS, EMBEDDINGS  # noqa: E402
+from conftest import CONVERSATIONS, EMBEDDINGS, ITEMS  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
-from strata.llm import bpe, catalogue, chat  # noqa: E402
+from strata.llm import bpe, catalogue, chat, tokenfile  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 QUERIES = catalogue.queries()
@@ -41,7 +41,7 @@ def by_row(documents, rows):
 
 def test_entry_point_has_all_queries():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names and set(entry.oracle_sql()) <= set(names)
 
@@ -56,7 +56,7 @@ def test_empty_tables(spark, empty, name):
 @pytest.mark.parametrize("name", sorted(catalogue.oracle_sql()))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "conversations"):
+    for t in ("documents", "embeddings", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got, want = QUERIES[name](spark, SF).toPandas(), con.execute(catalogue.oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(want.columns) and len(got) == len(want)
@@ -211,3 +211,45 @@ def test_top_k(spark, awkward):
     for q in queries:
         want[q[0]] += [(n + 1, *x) for n, x in enumerate(plain.best(usable, (q[0], list(q[1]))))]
     assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items() if v}
+
+
+def test_lexical(spark, awkward, documents):
+    texts = [(d["doc_id"], plain.terms(d["text"])) for d in documents]
+    queries = defaultdict(set)
+    for i, text in ITEMS:
+        queries[i] |= set(plain.terms(text))
+    want = plain.ranked(texts, queries, 10)
+    got = defaultdict(list)
+    for r in run(spark, "op11_lexical", awkward):
+        got[r.item_id].append((r["rank"], r.doc_id, r.score))
+    assert {i: sorted(rows, key=lambda x: x[0]) for i, rows in got.items()} == {i: rows for i, rows in want.items() if rows}
+    assert len(want[4]) == 10 and not want[5]
+
+
+def test_tokenfile(spark, awkward, documents):
+    import zlib
+
+    tokenizers = pytest.importorskip("tokenizers")
+    reference = tokenizers.Tokenizer.from_file(tokenfile.public_path())
+    want = Counter()
+    for d in documents:
+        ids = [*reference.encode(d["text"] or "", add_special_tokens=False).ids, 2]
+        want[d["doc_id"], len(ids), zlib.crc32(np.asarray(ids, "<u4").tobytes())] += 1
+    rows = sorted(run(spark, "op12_tokenfile", awkward), key=lambda r: r.start)
+    assert plain.counted((r.doc_id, r.n_tokens, r.ids_crc32) for r in rows) == want
+    assert [r.start for r in rows] == [0, *np.cumsum([r.n_tokens for r in rows])[:-1].tolist()]
+    assert [r.doc_id for r in rows] == sorted((d["doc_id"] for d in documents), key=lambda i: (i is not None, i or 0))
+
+
+def test_runs(spark, awkward, documents):
+    rows = run(spark, "op13_runs", awkward)
+    want = plain.counted(plain.collapsed(d["doc_id"], d["text"]) for d in documents)
+    assert plain.counted(rows) == want
+    assert any(r.n_runs for r in rows) and any(r.n_runs == 0 for r in rows)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+def test_runs_of_the_test_table(spark):
+    docs = [r for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect() if len(r.text or "") < 8000]
+    rows = {r.doc_id: tuple(r) for r in run(spark, "op13_runs", SF)}
+    assert len(docs) > 100 and all(rows[d.doc_id] == plain.collapsed(d.doc_id, d.text) for d in docs)

@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -44,6 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.bpe import byte_letters
 from strata.llm.common import dropped, in_slices, table, text_or_empty, written
 from strata.session import shared_dir
 
@@ -62,6 +64,19 @@ MEMORY = 400_000
 LONG = 64
 #: Fixed value: a word that is one id of its own; it parts the words that are encoded at once.
 MARK = "\x01"
+#: The normalizer and pre-tokenizer under which words can be encoded alone.
+WORDWISE = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+)
+#: Words of Latin-1 letters, then punctuation: unchanged by NFC, lowered letter by letter, split between the two.
+PLAIN = r"([A-Za-z\xC0-\xD6\xD8-\xF6\xF8-\xFF]+)([.,;:!?]*)"
 PLACES = "doc_id long, nth long, shard int, offset long, n_tokens long"
 HEAD = "<4sIQ"  # magic, levels, keys
 MAGIC = b"mph1"
@@ -105,9 +120,13 @@ def read_file(path: str) -> bytes:
 class Encoder:
     """Whole texts to ids with the tokenizers library.
 
-    The vocabulary's pre-tokenizer never joins characters across blanks and its
-    normalizer treats each word alone, so a text's ids are those of its words.
-    Words not seen before are encoded by the library, many at once.
+    Where the vocabulary's steps are those of ``WORDWISE``, no step joins or
+    changes characters across blanks, so a text's ids are those of its words,
+    and known words are not encoded again. Of words not seen before, plain ones
+    (``PLAIN``: Latin letters, then punctuation) are lowered here and given to
+    the library's model as letters and punctuation; all others go through all
+    of the library's steps, many at once. With other vocabularies the library
+    encodes each text whole.
     """
 
     def __init__(self, spec: str):
@@ -117,26 +136,54 @@ class Encoder:
         self.library = Tokenizer.from_str(spec)
         self.library.no_truncation()
         self.library.no_padding()
+        self.model = self.library.model
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        steps = json.loads(spec)
+        self.wordwise = (steps["normalizer"], steps["pre_tokenizer"]) == WORDWISE and not any(set(s) & set(" \t\n\v\f\r") for s in self.special)
+        self.plain = re.compile(PLAIN)
+        self.letters = byte_letters()
         mark = self.ids(MARK)
-        self.mark = mark[0] if len(mark) == 1 and self.ids(f"a {MARK} b") == [*self.ids("a"), mark[0], *self.ids("b")] else None
+        self.mark = mark[0] if len(mark) == 1 else None
         self.memory: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-        self.end = np.array([END], self.dtype).tobytes()
+        self.parts: dict[str, bytes] = {}
+        self.older_parts: dict[str, bytes] = {}
+        self.kind = "H" if self.dtype.itemsize == 2 else "I"
+        self.end = self.packed([END])
 
     def ids(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
     def packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
+        return struct.pack(f"<{len(ids)}{self.kind}", *ids)
+
+    def part(self, part: str) -> bytes:
+        """The ids of lower-case letters or of punctuation."""
+        out = self.older_parts.get(part)
+        if out is None:
+            text = part if part.isascii() else "".join([self.letters[b] for b in part.encode()])
+            out = self.packed([t.id for t in self.model.tokenize(text)])
+        if len(self.parts) >= MEMORY:
+            self.older_parts, self.parts = self.parts, {}
+        self.parts[part] = out
+        return out
 
-    def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """The ids of words, encoded together where the mark can part them."""
-        out, joined = {}, []
+    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of words; the others than plain ones are encoded together where the mark can part them."""
+        out, joined, known, seen = {}, [], self.parts.get, self.older.get
         for w in words:
+            if (data := seen(w)) is not None:
+                out[w] = data
+                continue
             t = w.decode()
-            if self.mark is None or MARK in t or any(s in t for s in self.special) or len(w) > LONG:
+            if len(w) <= LONG and (m := self.plain.fullmatch(t)):
+                letters, rest = m[1].lower(), m[2]
+                data = known(letters) or self.part(letters)
+                known = self.parts.get
+                out[w] = data + (known(rest) or self.part(rest)) if rest else data
+                known = self.parts.get
+            elif self.mark is None or MARK in t or any(s in t for s in self.special) or len(w) > LONG:
                 out[w] = self.packed(self.ids(t))
             else:
                 joined.append((w, t))
@@ -154,19 +201,23 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids and the end id."""
+        if not self.wordwise:
+            return [self.packed([*self.ids(t), END]) for t in texts]
         lists = [t.encode().split() for t in texts]  # at the six ASCII blanks
-        unseen = set().union(*lists) - self.memory.keys()
-        if len(self.memory) + len(unseen) > MEMORY:
+        get = self.memory.get
+        found = [list(map(get, words)) for words in lists]
+        unseen = {w for words, ids in zip(lists, found) if None in ids for w, x in zip(words, ids) if x is None}
+        new = self.learn(unseen) if unseen else {}
+        if len(self.memory) + len(new) > MEMORY:
             self.older, self.memory = self.memory, {}
-            unseen = set().union(*lists)
-        known = {w: self.older[w] for w in unseen & self.older.keys()}
-        known |= self.learn([w for w in unseen if w not in known])
-        self.memory.update(known)
-        get = self.memory.__getitem__
-        out = [b"".join([*map(get, words), self.end]) for words in lists]
-        for w in known:
-            if len(w) > LONG:
-                del self.memory[w]
+        self.memory.update(new)
+        out = []
+        for words, ids in zip(lists, found):
+            if None in ids:
+                ids = [new[w] if x is None else x for w, x in zip(words, ids)]
+            out.append(b"".join(ids) + self.end)
+        for w in [w for w in new if len(w) > LONG]:
+            del self.memory[w]
         return out
 
 

@@ -51,12 +51,22 @@ def delivered(lake: Lake, entity: str, batch_id: str) -> DataFrame:
     return staged.join(newer.select(*keys), keys, "left_anti")
 
 
+def narrowed(lake: Lake, entity: str, by: DataFrame) -> DataFrame:
+    """The rows of a silver table whose columns match a row of ``by``, read
+    from the buckets that may hold them only (``by`` has the columns that
+    the table is bucketed by)."""
+    table = silver(lake, entity)
+    near = lake.read_touched("silver", entity, by, list(ENTITIES[entity].keys))
+    near = table if near is None else near.select(*table.columns)
+    return near.join(by, by.columns, "left_semi")
+
+
 def with_batch_rows(lake: Lake, entity: str, touched_orders: DataFrame, batch_id: str) -> DataFrame:
     """Rows delivered by this batch, plus rows of orders this batch changed
     (their facts depend on the order's dates and status)."""
     own = delivered(lake, entity, batch_id)
     keys = list(ENTITIES[entity].keys)
-    others = silver(lake, entity).join(touched_orders.select("order_id"), "order_id", "left_semi")
+    others = narrowed(lake, entity, touched_orders.select("order_id"))
     return others.join(own.select(*keys), keys, "left_anti").unionByName(own.select(*others.columns))
 
 
@@ -93,31 +103,13 @@ def build_dim_product(lake: Lake, batch_id: str) -> Counts | None:
     return Counts(n, n, 0)
 
 
-AGGREGATES = {
-    # table: (group column, builder)
-    "agg_daily_sales": ("purchase_date_key", aggs.agg_daily_sales),
-    "agg_customer_ltv": ("customer_key", aggs.agg_customer_ltv),
-}
-
-
 ITEM_KEYS = ["order_id", "order_item_id"]
 
 
-def stage_touched_groups(lake: Lake, staged: DataFrame | None, batch_id: str, gone: DataFrame | None = None) -> None:
-    """Groups of the aggregates this batch changes: those of its fact rows
-    and, for rows that already existed, their previous groups (a row whose
-    order moved to another day or person changes both), plus the groups of
-    fact rows a pruning re-run removes. Written before the fact table is
-    rewritten, so they describe the old state."""
-    old = lake.read("gold", "fact_order_items")
-    for table, (group, _) in AGGREGATES.items():
-        parts = []
-        if staged is not None:
-            parts.append(aggs.touched_groups(old, staged, group))
-        if gone is not None and old is not None:
-            parts.append(old.join(gone.select(*ITEM_KEYS), ITEM_KEYS, "left_semi").select(group))
-        if parts:
-            lake.remember(_union(parts), f"touched_{table}", batch_id)
+def stage_fact_orders(lake: Lake, staged: DataFrame | None, gone: DataFrame | None, batch_id: str) -> None:
+    """The orders whose fact rows this batch writes or removes."""
+    parts = [p.select("order_id") for p in (staged, gone) if p is not None]
+    lake.remember(_union(parts), "touched_fact_orders", batch_id)
 
 
 def delete_gone_facts(lake: Lake, table: str, gone: DataFrame | None, keys: list[str]) -> None:
@@ -127,21 +119,82 @@ def delete_gone_facts(lake: Lake, table: str, gone: DataFrame | None, keys: list
 
 
 def refresh_aggregates(lake: Lake, batch_id: str) -> None:
-    """Recompute only the touched groups from the fact table; the first
-    build is a full one."""
-    fact = lake.read("gold", "fact_order_items")
+    """Bring the aggregates up to the fact by signed deltas.
+
+    State: per aggregate the sums of each (bucket of the fact, group), and
+    of each group. A batch sums up the buckets it rewrote, anew minus old is
+    added to its groups' sums, and an extreme that was retracted is sought
+    among the parts of its group. The fact's other buckets are not read. All
+    new state is staged first and a mark set; replacing the state by it can be
+    repeated, so a run that broke off is brought to its end before the next
+    deltas are taken. The first build sums up the whole fact.
+    """
+    for agg in aggs.AGGREGATES:
+        if not lake.exists("state", f"part_{agg.table}"):
+            build_aggregate(lake, agg)
+            continue
+        replace_state(lake, agg)
+        orders = lake.read_batch("ops", "touched_fact_orders", batch_id)
+        if orders is not None:
+            stage_state(lake, agg, orders.select("order_id"), batch_id)
+            replace_state(lake, agg)
+
+
+def build_aggregate(lake: Lake, agg: aggs.Aggregate) -> None:
+    fact = lake.read_buckets("gold", "fact_order_items")
     if fact is None:
         return
-    for table, (group, build) in AGGREGATES.items():
-        if not lake.exists("gold", table):
-            lake.replace_keyed(build(fact), "gold", table, [group])
-            continue
-        touched = lake.read_batch("ops", f"touched_{table}", batch_id)
-        if touched is None:
-            continue
-        touched = touched.select(group)
-        fresh = build(fact.join(touched, group, "left_semi"))
-        lake.refresh_keyed(fresh, touched, "gold", table, [group])
+    lake.replace_keyed(agg.sums(fact), "state", f"sum_{agg.table}", [agg.group], whole=True)
+    sums = lake.read("state", f"sum_{agg.table}")
+    lake.replace_keyed(agg.result(sums), "gold", agg.table, [agg.group], whole=True)
+    lake.replace_keyed(agg.sums(fact, BUCKET), "state", f"part_{agg.table}", [BUCKET], whole=True)
+
+
+def stage_state(lake: Lake, agg: aggs.Aggregate, orders: DataFrame, batch_id: str) -> None:
+    """Stage the new parts of the buckets that hold ``orders`` and the new
+    sums of the groups these change, and mark them as ready."""
+    def staged(df: DataFrame, name: str) -> DataFrame:
+        lake.replace_batch(df, "ops", name, batch_id)
+        back = lake.read_batch("ops", name, batch_id)
+        return lake.spark.createDataFrame([], df.schema) if back is None else back.select(*df.columns)
+
+    hit = lake.buckets_holding("gold", "fact_order_items", orders, ITEM_KEYS)
+    parts = lake.read_buckets("state", f"part_{agg.table}")
+    fact = lake.read_buckets("gold", "fact_order_items", hit)
+    new = parts.limit(0) if fact is None else agg.sums(fact, BUCKET)
+    new = staged(new.select(F.col(BUCKET).alias("fact_bucket"), *[c for c in parts.columns if c != BUCKET]), f"stage_part_{agg.table}")
+    change = staged(aggs.delta(agg, new, parts.filter(F.col(BUCKET).isin(hit))), f"stage_delta_{agg.table}")
+    sums = lake.read_touched("state", f"sum_{agg.table}", change, [agg.group])
+    if sums is None:  # the last group went with an earlier batch
+        sums = lake.spark.createDataFrame([], new.drop("fact_bucket").schema)
+    after = staged(aggs.applied(agg, change, sums), f"stage_after_{agg.table}")
+    if agg.extremes and not after.filter("_again").isEmpty():
+        columns = [agg.group, *agg.extremes]
+        rest = parts.filter(~F.col(BUCKET).isin(hit)).select(*columns).unionByName(new.select(*columns))
+        staged(aggs.with_extremes(agg, after, rest), f"stage_sum_{agg.table}")
+    else:
+        staged(after.drop("_again"), f"stage_sum_{agg.table}")
+    lake.set_marker(lake.path("state", f"part_{agg.table}"), "_replace", f"{batch_id} {','.join(map(str, hit))}")
+
+
+def replace_state(lake: Lake, agg: aggs.Aggregate) -> None:
+    """Replace parts, sums and the aggregate's rows by what a mark says is
+    staged for them, then drop the mark."""
+    path = lake.path("state", f"part_{agg.table}")
+    mark = lake.marker(path, "_replace")
+    if not mark:
+        return
+    batch_id, _, hit = mark.partition(" ")
+    change = lake.read_batch("ops", f"stage_delta_{agg.table}", batch_id)
+    if change is not None:
+        sums = lake.read_batch("ops", f"stage_sum_{agg.table}", batch_id).drop("_batch_id").filter(F.col("orders") > 0)
+        lake.refresh_keyed(sums, change, "state", f"sum_{agg.table}", [agg.group])
+        lake.refresh_keyed(agg.result(sums), change, "gold", agg.table, [agg.group])
+    new = lake.read_batch("ops", f"stage_part_{agg.table}", batch_id)
+    columns = lake.read_buckets("state", f"part_{agg.table}")
+    new = columns.limit(0) if new is None else new.withColumnRenamed("fact_bucket", BUCKET).select(*columns.columns)
+    lake.replace_buckets(new, "state", f"part_{agg.table}", [int(b) for b in hit.split(",") if b])
+    lake.drop_marker(path, "_replace")
 
 
 def log_soft_checks(lake: Lake, items: DataFrame, orders: DataFrame, batch_id: str) -> None:
@@ -192,7 +245,7 @@ def touched_persons(lake: Lake, batch_id: str, customers: DataFrame, orders: Dat
         earlier = _previous(lake, "order", batch_id, "customer_id", prefix)
         if earlier is not None:
             buyers.append(earlier)
-    persons.append(customers.join(_union(buyers), "customer_id", "left_semi").select("customer_unique_id"))
+    persons.append(narrowed(lake, "customer", _union(buyers)).select("customer_unique_id"))
     zips = zips_changed(lake, geo, batch_id)
     persons.append(customers.join(zips, "zip_prefix", "left_semi").select("customer_unique_id"))
     return _union(persons)
@@ -261,7 +314,7 @@ def build_dim_date(lake: Lake, orders: DataFrame, date_range: tuple[str, str] |
 def stage_gone_facts(lake: Lake, table: str, staged: DataFrame | None, touched: DataFrame, keys: list[str], batch_id: str) -> DataFrame | None:
     """Fact rows of touched orders that a pruning re-run no longer gives:
     their item, order or customer went."""
-    fact = lake.read("gold", table)
+    fact = lake.read_touched("gold", table, touched.select("order_id"), keys)
     if fact is None:
         return None
     gone = fact.join(touched.select("order_id"), "order_id", "left_semi")
@@ -310,7 +363,8 @@ def build_gold(
         rows = lake.read_batch("ops", f"gone_{entity}", batch_id) if prune else None
         return None if rows is None else rows.select(col)
 
-    buyers = [delivered(lake, "customer", batch_id).select("customer_id"), gone("customer", "customer_id")]
+    own_customers = lake.read_batch("ops", "stage_silver_customer", batch_id)  # without any, no scan of the orders
+    buyers = [None if own_customers is None else delivered(lake, "customer", batch_id).select("customer_id"), gone("customer", "customer_id")]
     parts = [own_orders.select("order_id"), gone("order", "order_id"), gone("order_item", "order_id"), gone("order_payment", "order_id")]
     parts += [orders.join(b, "customer_id", "left_semi").select("order_id") for b in buyers if b is not None]
     lake.replace_batch(_union([p for p in parts if p is not None]), "ops", "stage_orders", batch_id)
@@ -323,8 +377,8 @@ def build_gold(
     staged, n_out = None, 0
     if n_items:
         items = lake.read_batch("ops", "stage_items", batch_id).drop("_batch_id")
-        near_orders = orders.join(items.select("order_id"), "order_id", "left_semi")
-        near_customers = customers.join(near_orders.select("customer_id"), "customer_id", "left_semi")
+        near_orders = narrowed(lake, "order", items.select("order_id"))
+        near_customers = narrowed(lake, "customer", near_orders.select("customer_id"))
         n_out = lake.replace_batch(
             facts.fact_order_items(items, near_orders, near_customers, products), "ops", "stage_fact_order_items", batch_id
         )
@@ -333,15 +387,15 @@ def build_gold(
         counts["fact_order_items"] = Counts(n_items, n_out, n_items - n_out)  # inner join on a key: the rest are orphans
     gone_facts = stage_gone_facts(lake, "fact_order_items", staged, touched, ITEM_KEYS, batch_id) if prune else None
     if staged is not None or gone_facts is not None:
-        stage_touched_groups(lake, staged, batch_id, gone_facts)
+        stage_fact_orders(lake, staged, gone_facts, batch_id)
         if staged is not None:
             lake.upsert_keyed(staged, "gold", "fact_order_items", ITEM_KEYS, label_col="_batch_id")
         delete_gone_facts(lake, "fact_order_items", gone_facts, ITEM_KEYS)
         refresh_aggregates(lake, batch_id)
 
     payments = with_batch_rows(lake, "order_payment", touched, batch_id)
-    near_orders = orders.join(payments.select("order_id"), "order_id", "left_semi")
-    near_customers = customers.join(near_orders.select("customer_id"), "customer_id", "left_semi")
+    near_orders = narrowed(lake, "order", payments.select("order_id"))
+    near_customers = narrowed(lake, "customer", near_orders.select("customer_id"))
     staged_facts = [
         ("fact_payments", facts.fact_payments(payments, near_orders, near_customers), ["order_id", "payment_sequential"]),
         ("fact_reviews", facts.fact_reviews(delivered(lake, "order_review", batch_id)), ["review_id", "order_id"]),

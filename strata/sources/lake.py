@@ -5,7 +5,11 @@
   never duplicates and never leaves a half-deleted slice behind
 * keyed tables (silver, facts, type-2 dims) are partitioned by
   ``_bucket = pmod(xxhash64(keys), buckets)``; an upsert reads only the
-  buckets the source touches and rewrites just those
+  buckets the source touches and rewrites just those. What hangs on an order
+  is bucketed by ``order_id`` alone (``CO_LOCATED``), so the orders a batch
+  touches name the buckets of every table that holds their rows
+* state tables (``state/*``) keep what the aggregates and centroids are summed
+  from; they are not shown to SQL
 * derived keyed tables (aggregates, type-1 dims) are refreshed bucket-wise
   for the keys a batch touches; only the date dimension is overwritten
 * staging slices (``ops/stage_*``, ``ops/touched_*``, ``ops/prev_*`` ...)
@@ -33,6 +37,9 @@ from strata.operators.merge import upsert
 from strata.sources.specs import BATCH_ID
 
 BUCKET = "_bucket"
+#: Tables laid out by part of their key, so that the rows of an order lie in
+#: the buckets of one number in all of them.
+CO_LOCATED = {name: ["order_id"] for name in ("order_item", "order_payment", "fact_order_items", "fact_payments")}
 STAGING = ("stage_", "touched_", "prev_", "gone_")
 TYPED_PARTITIONS = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
@@ -115,6 +122,9 @@ class Lake:
         finally:
             out.close()
 
+    def drop_marker(self, path: str, name: str) -> None:
+        self._delete(f"{path}/{name}")
+
     def bucket_count(self, path: str, requested: int | None = None) -> int:
         """Buckets of a keyed table: fixed by its first write and kept in a
         ``_buckets`` marker, so a lake opened later with another setting
@@ -122,8 +132,20 @@ class Lake:
         kept = self.marker(path, "_buckets")
         return int(kept) if kept else requested or self.buckets
 
-    def _remember_buckets(self, path: str, n: int) -> None:
+    def bucket_keys(self, layer: str, name: str, keys: list[str]) -> list[str]:
+        """The columns whose hash is the bucket: all keys, or those of
+        ``CO_LOCATED``. Fixed by the table's first write, as the number is."""
+        path = self.path(layer, name)
+        if kept := self.marker(path, "_bucketed_by"):
+            return kept.split(",")
+        return keys if self.exists(layer, name) else CO_LOCATED.get(name, keys)
+
+    def _bucket_in(self, layer: str, name: str, keys: list[str], buckets: int | None = None) -> Column:
+        return bucket_of(self.bucket_keys(layer, name, keys), self.bucket_count(self.path(layer, name), buckets))
+
+    def _remember_buckets(self, path: str, n: int, by: list[str]) -> None:
         if self.marker(path, "_buckets") is None:
+            self.set_marker(path, "_bucketed_by", ",".join(by))
             self.set_marker(path, "_buckets", str(n))
 
     def rebucket(self, layer: str, name: str, keys: list[str], buckets: int) -> None:
@@ -134,10 +156,11 @@ class Lake:
         path = self.path(layer, name)
         fresh, old = f"{path}__rebucket", f"{path}__old"
         self._delete(fresh)
-        table = self.spark.read.parquet(path).drop(BUCKET).withColumn(BUCKET, bucket_of(keys, buckets))
+        by = self.bucket_keys(layer, name, keys)
+        table = self.spark.read.parquet(path).drop(BUCKET).withColumn(BUCKET, bucket_of(by, buckets))
         table.repartition(BUCKET).write.partitionBy(BUCKET).parquet(fresh)
         self.set_marker(fresh, "_buckets", str(buckets))
-        for name_ in ("_first_batch",):
+        for name_ in ("_first_batch", "_bucketed_by"):
             if (kept := self.marker(path, name_)) is not None:
                 self.set_marker(fresh, name_, kept)
         fs, p = self._fs_path(path)
@@ -171,7 +194,7 @@ class Lake:
         """
         names = []
         for layer in layers:
-            tables = [t for t in self.list_dirs(f"{self.root}/{layer}") if self.exists(layer, t)]
+            tables = [t for t in self.list_dirs(f"{self.root}/{layer}") if not t.startswith("_") and self.exists(layer, t)]
             if not tables:
                 continue
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
@@ -308,11 +331,11 @@ class Lake:
         partition column, pruned at run time) and rewritten.
         """
         path = self.path(layer, name)
-        n = self.bucket_count(path, buckets)
-        src = source.withColumn(BUCKET, bucket_of(keys, n))
+        n, by = self.bucket_count(path, buckets), self.bucket_keys(layer, name, keys)
+        src = source.withColumn(BUCKET, bucket_of(by, n))
         if not self.exists(layer, name):
             self._write_buckets(src, path)
-            self._remember_buckets(path, n)
+            self._remember_buckets(path, n, by)
             return
         buckets_hit = self._buckets_of(src)
         if not buckets_hit:
@@ -333,21 +356,46 @@ class Lake:
         those bucket folders are listed and read)."""
         return sorted(r[0] for r in df.select(BUCKET).distinct().collect())
 
-    def replace_keyed(self, df: DataFrame, layer: str, name: str, keys: list[str], buckets: int | None = None) -> None:
+    def replace_keyed(self, df: DataFrame, layer: str, name: str, keys: list[str], buckets: int | None = None, whole: bool = False) -> None:
         """Write new contents for the buckets present in ``df`` (used when
-        the caller computed the new state of those buckets itself)."""
-        n = self.bucket_count(self.path(layer, name), buckets)
-        out = df if BUCKET in df.columns else df.withColumn(BUCKET, bucket_of(keys, n))
-        self._write_buckets(out, self.path(layer, name))
-        self._remember_buckets(self.path(layer, name), n)
+        the caller computed the new state of those buckets itself), or with
+        ``whole`` for the whole table."""
+        path = self.path(layer, name)
+        n, by = self.bucket_count(path, buckets), self.bucket_keys(layer, name, keys)
+        out = df if BUCKET in df.columns else df.withColumn(BUCKET, bucket_of(by, n))
+        self._write_buckets(out, path, mode="static" if whole else "dynamic")
+        self._remember_buckets(path, n, by)
+
+    def buckets_holding(self, layer: str, name: str, keys_df: DataFrame, keys: list[str], buckets: int | None = None) -> list[int]:
+        """Numbers of the buckets that may hold a key of ``keys_df``, which
+        needs only the columns that the table is bucketed by."""
+        return self._buckets_of(keys_df.select(self._bucket_in(layer, name, keys, buckets).alias(BUCKET)))
+
+    def read_buckets(self, layer: str, name: str, hit: list[int] | None = None) -> DataFrame | None:
+        """Rows of the buckets ``hit`` (default: all), with ``_bucket``."""
+        if not self.exists(layer, name):
+            return None
+        table = self.spark.read.parquet(self.path(layer, name))
+        return table if hit is None else table.filter(F.col(BUCKET).isin(hit))
+
+    def replace_buckets(self, df: DataFrame, layer: str, name: str, hit: list[int]) -> None:
+        """The buckets ``hit`` hold the rows of ``df`` (with ``_bucket``) and
+        nothing else; a bucket without rows is removed."""
+        path = self.path(layer, name)
+        before = {b: self._files(f"{path}/{BUCKET}={b}") for b in hit}
+        self._write_buckets(df, path)
+        self._remove_emptied(path, before)
+
+    def _remove_emptied(self, path: str, before: dict[int, set[str]]) -> None:
+        for b, files in before.items():
+            if not self._files(f"{path}/{BUCKET}={b}") - files:  # no row was written
+                self._delete(f"{path}/{BUCKET}={b}")
 
     def read_touched(self, layer: str, name: str, keys_df: DataFrame, keys: list[str], buckets: int | None = None) -> DataFrame | None:
-        """Rows of the buckets that hold any key of ``keys_df`` (with ``_bucket``)."""
+        """Rows of the buckets that may hold a key of ``keys_df`` (with ``_bucket``)."""
         if not self.exists(layer, name):
             return None
-        n = self.bucket_count(self.path(layer, name), buckets)
-        hit = self._buckets_of(keys_df.select(bucket_of(keys, n).alias(BUCKET)))
-        return self.spark.read.parquet(self.path(layer, name)).filter(F.col(BUCKET).isin(hit))
+        return self.read_buckets(layer, name, self.buckets_holding(layer, name, keys_df, keys, buckets))
 
     def refresh_keyed(
         self, fresh: DataFrame, touched: DataFrame, layer: str, name: str, keys: list[str], buckets: int | None = None
@@ -357,28 +405,26 @@ class Lake:
         touched key are read and rewritten; a bucket left with no rows is
         removed, since a partitioned write cannot replace it with nothing."""
         path = self.path(layer, name)
-        n = self.bucket_count(path, buckets)
-        fresh_b = fresh.withColumn(BUCKET, bucket_of(keys, n))
+        n, by = self.bucket_count(path, buckets), self.bucket_keys(layer, name, keys)
+        fresh_b = fresh.withColumn(BUCKET, bucket_of(by, n))
         if not self.exists(layer, name):
             self._write_buckets(fresh_b, path)
-            self._remember_buckets(path, n)
+            self._remember_buckets(path, n, by)
             return
-        t = touched.select(*keys).distinct().withColumn(BUCKET, bucket_of(keys, n))
+        t = touched.select(*keys).distinct().withColumn(BUCKET, bucket_of(by, n))
         touched_buckets = set(self._buckets_of(t))
         target = self.spark.read.parquet(path).filter(F.col(BUCKET).isin(sorted(touched_buckets)))
         kept = target.join(t, [*keys, BUCKET], "left_anti")
         out = kept.unionByName(fresh_b.select(*target.columns))
         before = {b: self._files(f"{path}/{BUCKET}={b}") for b in touched_buckets}
         self._write_buckets(out, path)
-        for b, files in before.items():
-            if not self._files(f"{path}/{BUCKET}={b}") - files:  # no row was written
-                self._delete(f"{path}/{BUCKET}={b}")
+        self._remove_emptied(path, before)
 
-    def _write_buckets(self, df: DataFrame, path: str, shuffle: bool = True) -> None:
+    def _write_buckets(self, df: DataFrame, path: str, shuffle: bool = True, mode: str = "dynamic") -> None:
         (
             (df.repartition(BUCKET) if shuffle else df)
             .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
+            .option("partitionOverwriteMode", mode)
             .partitionBy(BUCKET)
             .parquet(path)
         )

@@ -71,15 +71,24 @@ def conform_geolocation(raw: DataFrame) -> DataFrame:
     )
 
 
+def point_sums(points: DataFrame, *by: str) -> DataFrame:
+    """Per zip prefix (within each ``by``): sums of the coordinates, number of points."""
+    return points.groupBy(*by, "zip_prefix").agg(
+        F.sum("lat").alias("lat_sum"), F.sum("lng").alias("lng_sum"), F.count(F.lit(1)).alias("n_points"), F.max(INGEST_TS).alias(INGEST_TS)
+    )
+
+
+def centroids(sums: DataFrame) -> DataFrame:
+    """One row per zip prefix from its sums of any number of batches."""
+    n = F.sum("n_points")
+    return sums.groupBy("zip_prefix").agg(
+        (F.sum("lat_sum") / n).alias("lat"), (F.sum("lng_sum") / n).alias("lng"), n.alias("n_points"), F.max(INGEST_TS).alias(INGEST_TS), F.max(BATCH_ID).alias(BATCH_ID)
+    )
+
+
 def collapse_geolocation(points: DataFrame) -> DataFrame:
     """One row per zip prefix: centroid and number of points."""
-    return points.groupBy("zip_prefix").agg(
-        F.avg("lat").alias("lat"),
-        F.avg("lng").alias("lng"),
-        F.count(F.lit(1)).alias("n_points"),
-        F.max(INGEST_TS).alias(INGEST_TS),
-        F.max(BATCH_ID).alias(BATCH_ID),
-    )
+    return centroids(point_sums(points, BATCH_ID))
 
 
 UNKNOWN_CATEGORY = "unknown"

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from strata.operators.dedupe import latest_per_key
 from strata.operators.quality import REASON, Counts, clean_part, rejected_part, tag_rejects
-from strata.plans.conform import ENTITIES, Entity, collapse_geolocation
+from strata.plans.conform import ENTITIES, Entity, centroids, point_sums
 from strata.sources.csv import read_raw
 from strata.sources.lake import Lake
-from strata.sources.specs import RAW_RECORD, SOURCES, Source
+from strata.sources.specs import BATCH_ID, RAW_RECORD, SOURCES, Source
 
 
 def source_path(lake: Lake, batches_dir: str, batch_id: str, source: Source) -> str | None:
@@ -65,12 +65,25 @@ def typed_slice(lake: Lake, entity: Entity, batch_id: str) -> DataFrame | None:
     return conform(lake, entity, with_raw_record(raw, entity.source))
 
 
-def all_points_of(lake: Lake, entity: Entity, zips: DataFrame) -> DataFrame:
-    """Valid points of every delivered batch for the given zips, so a zip
-    re-delivered later keeps the points of earlier batches (recomputed from
-    bronze, hence idempotent under re-runs)."""
-    points = clean_part(tag_rejects(conform(lake, entity, lake.read("bronze", entity.source)), list(entity.rules)))
-    return points.join(zips, "zip_prefix", "left_semi")
+def keep_point_sums(lake: Lake, batch_id: str, points: DataFrame) -> None:
+    """Per zip the sums of this batch's valid points, in place of those of
+    its last run."""
+    lake.replace_batch(point_sums(points), "state", "zip_points", batch_id)
+
+
+def centroids_of(lake: Lake, zips: DataFrame) -> DataFrame:
+    """Centroids of the given zips from the sums of every batch, so a zip
+    re-delivered later keeps the points of earlier batches."""
+    return centroids(lake.read("state", "zip_points").join(zips, "zip_prefix", "left_semi"))
+
+
+def restore_point_sums(lake: Lake, entity: Entity) -> None:
+    """The sums of a lake that has bronze points but no sums yet."""
+    if lake.exists("state", "zip_points") or not lake.exists("bronze", entity.source):
+        return
+    raw = lake.read("bronze", entity.source)
+    points = clean_part(tag_rejects(conform(lake, entity, raw), list(entity.rules)))
+    lake.replace_batches(point_sums(points, BATCH_ID), "state", "zip_points")
 
 
 # Columns whose previous value gold needs when a key is re-delivered: a
@@ -172,19 +185,21 @@ def load_entity(
 
 
 def load_points(lake: Lake, entity: Entity, batch_id: str, clean: DataFrame | None) -> int:
-    """Recompute the centroids of the touched zips from every delivered
-    point; a zip without points loses its centroid. Returns the centroids."""
-    points = clean if clean is not None else lake.spark.createDataFrame([], "zip_prefix string")
+    """Recompute the centroids of the touched zips from the sums of every
+    batch's points; a zip without points loses its centroid. Returns the
+    centroids."""
+    points = clean if clean is not None else lake.spark.createDataFrame([], "zip_prefix string, lat double, lng double, _ingest_ts timestamp, _batch_id string")
     zips = touched_zips(lake, batch_id, points)
-    bronze = lake.read("bronze", entity.source)
+    restore_point_sums(lake, entity)
+    keep_point_sums(lake, batch_id, points)
     keys = list(entity.keys)
-    if bronze is None:
+    if lake.exists("state", "zip_points"):
+        fresh = centroids_of(lake, zips)
+    else:
         fresh = lake.read("silver", entity.name)
         if fresh is None:
             return 0
         fresh = fresh.limit(0)
-    else:
-        fresh = latest_per_key(collapse_geolocation(all_points_of(lake, entity, zips)), keys, entity.dedupe_order())
     stage = f"stage_silver_{entity.name}"
     n = lake.replace_batch(fresh.withColumnRenamed("_batch_id", "_version"), "ops", stage, batch_id)
     if n:

@@ -135,7 +135,7 @@ def _listed(kind: str, word: Column) -> Column:
     if kind == "phone":
         codes = "|".join(sorted(CALLING, key=lambda c: (-len(c), c)))
         return word.rlike(rf"^\+(?:{codes})[^0-9]?|^\([2-9]|^[2-9]")
-    return F.regexp_extract(word, r"^0*([0-9]{1,3})\.", 1).cast("int").between(1, 223) | word.contains(":")
+    return F.regexp_extract(word, r"^0*([0-9]{1,3})\.", 1).try_cast("int").between(1, 223) | word.contains(":")
 
 
 def candidate(kind: str, text: Column, span: Column, strict: bool) -> Column:

@@ -17,12 +17,12 @@ an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import table, text_or_empty, written
 
-SLOTS = 4096
+SLOTS = 16_384
 #: Rows of one virtual slot are ranked in this many parts, so that a repeated doc_id is not one task's work.
 PARTS = 16
 RECORD_OVERHEAD = 16
@@ -44,26 +44,26 @@ def slot_loads(records: DataFrame) -> DataFrame:
     return records.groupBy("vslot").agg(F.count(F.lit(1)).alias("slot_rows"), F.sum("size").alias("slot_bytes"))
 
 
-def first_map(spark: SparkSession, shards: int, slots: int = SLOTS) -> DataFrame:
-    """Version 1 of the map: version, vslot, shard."""
-    return spark.range(slots).select(
-        F.lit(1).alias("version"),
-        F.col("id").cast("int").alias("vslot"),
-        (F.col("id") % shards).cast("int").alias("shard"),
-    )
+def moves_to(shard: Column) -> Column:
+    """Whether a slot moves when ``shard`` is added: one of shard + 1 slots does, by a draw of the slot and the shard."""
+    return F.pmod(F.xxhash64(F.lit("slot"), "vslot", shard.cast("int")), F.lit(1 << 40)) < F.lit(float(1 << 40)) / (shard + 1)
 
 
-def grown_map(current: DataFrame, shards: int, slots: int = SLOTS) -> DataFrame:
-    """The next version with one more shard: every old shard hands over its
-    last slots beyond an even share; nothing else moves."""
-    share, more = divmod(slots, shards + 1)
-    rank = F.row_number().over(Window.partitionBy("shard").orderBy("vslot"))
-    keeps = F.lit(share) + (F.col("shard") < more).cast("int")
-    return current.select(
-        (F.col("version") + 1).alias("version"),
-        "vslot",
-        F.when(rank > keeps, F.lit(shards)).otherwise(F.col("shard")).cast("int").alias("shard"),
-    )
+def map_of(spark: SparkSession, shards: int, slots: int = SLOTS) -> DataFrame:
+    """version, vslot, shard: the map for a number of shards, which is also
+    its version. It is what ``grown_map`` makes of one shard step by step, so
+    it does not depend on how the number was reached: a slot's shard is the
+    last one that it moved to."""
+    steps = F.sequence(F.lit(0), F.lit(shards - 1))
+    last = F.array_max(F.filter(steps, lambda k: (k == 0) | moves_to(k)))
+    return spark.range(slots).select(F.lit(shards).alias("version"), F.col("id").cast("int").alias("vslot")).withColumn("shard", last.cast("int"))
+
+
+def grown_map(current: DataFrame, shards: int) -> DataFrame:
+    """The next version of the map for ``shards``, with one more: the new
+    shard draws its slots from all others; nothing else moves."""
+    moved = F.when(moves_to(F.lit(shards)), F.lit(shards)).otherwise(F.col("shard")).cast("int")
+    return current.select(F.lit(shards + 1).alias("version"), "vslot", moved.alias("shard"))
 
 
 def rebalanced_map(current: DataFrame, loads: DataFrame, shards: int) -> DataFrame:
@@ -118,11 +118,11 @@ def place(records: DataFrame, maps: DataFrame, version: int) -> DataFrame:
 def op7_sharding(spark: SparkSession, sf_dir: str, shards: int = 40) -> DataFrame:
     """Every document's shard among ``shards``, and its shard with one more."""
     rows = written(spark, records(table(spark, sf_dir, "documents", "doc_id", "text")), "shard-records")
-    v1 = first_map(spark, shards)
-    maps = written(spark, v1.unionByName(grown_map(v1, shards)), "shard-map")
-    grown = maps.filter("version = 2").select("vslot", F.col("shard").alias("grown_shard"))
+    now = map_of(spark, shards)
+    maps = written(spark, now.unionByName(grown_map(now, shards)), "shard-map")
+    grown = maps.filter(F.col("version") == shards + 1).select("vslot", F.col("shard").alias("grown_shard"))
     return (
-        place(rows, maps, 1)
+        place(rows, maps, shards)
         .join(F.broadcast(grown), "vslot")  # SLOTS rows
         .select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard", "vslot", "slot_bytes")
     )

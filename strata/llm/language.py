@@ -187,10 +187,10 @@ def sampled(docs: DataFrame) -> list[tuple[str, np.ndarray]]:
     if not counts:
         return []
     per = max(1, SAMPLE // len(counts))
-    draw = F.pmod(F.xxhash64(F.lit("lang-sample"), "doc_id", F.length("text")), F.lit(1 << 30))
+    draw = F.pmod(F.xxhash64(F.lit("lang-sample"), "doc_id", "text"), F.lit(1 << 30))
     limits = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, int(min(1.0, 2 * per / n + 40 / n) * (1 << 30)))])
     drawn = known.withColumn("draw", draw).filter(F.col("draw") < limits[F.col("lang")])
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id", F.xxhash64("text")))  # rows that still tie are equal
     sample = drawn.withColumn("rank", rank).filter(F.col("rank") <= per).select("lang", "rank", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

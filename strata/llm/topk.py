@@ -15,8 +15,9 @@ Defined cases: vectors that are null or hold a null or non-finite component
 take no part, nor do rows without vec_id; only vectors of equal length are
 compared; every row is a candidate, but for those with the query's own
 vec_id; equal rows of a query are one query; ties go to the smaller vec_id;
-scaled components are held to +-2^27, so that scores fit a long; an empty
-table gives no rows and extra columns are ignored.
+scores that no long holds count as the nearest one, and scaled components
+beyond +-2^62 as that; an empty table gives no rows and extra columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -38,7 +39,9 @@ CANDIDATES, QUERIES = 4096, 1024
 SEEDS = 32
 #: Queries bounded at once (a matrix of STEP x CANDIDATES bounds).
 STEP = 128
-HELD = 1 << 27
+#: Scaled components beyond it are held to it.
+HELD = 1 << 62
+LONG = (1 << 63) - 1
 FOUND = "query_id long, query_key long, vec_id long, score long"
 
 
@@ -58,6 +61,16 @@ def statistics(v: np.ndarray, segments: int) -> np.ndarray:
     return np.hstack([mean, std]) * np.sqrt(parts.shape[2])
 
 
+def exact_scores(vectors: np.ndarray, query: np.ndarray, reach: np.ndarray) -> np.ndarray:
+    """Inner products; ``reach`` bounds their sizes. Sums that pass the range
+    of a long and come back are right in 64 bits; those that may end beyond it
+    are made of Python's integers and held to +-LONG."""
+    out = vectors @ query
+    for i in np.flatnonzero(reach >= float(HELD)).tolist():
+        out[i] = max(-LONG, min(LONG, sum(a * b for a, b in zip(vectors[i].tolist(), query.tolist()))))
+    return out
+
+
 def search(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int = K) -> list[tuple[int, int, int]]:
     """(query's row, vec_id, score) of each query's k best."""
     if not len(queries) or not len(vectors):
@@ -65,7 +78,7 @@ def search(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids:
     pad = -queries.shape[1] % LEVELS[-1] if queries.shape[1] else LEVELS[-1]
     q, x = (np.pad(a.astype(np.float64), ((0, 0), (0, pad))) for a in (queries, vectors))
     mine, theirs = ([statistics(a, s) for s in LEVELS] for a in (q, x))
-    slack = 1e-9 * np.sqrt((q**2).sum(axis=1).max() * (x**2).sum(axis=1).max()) + 0.5
+    own, norm = np.sqrt((q**2).sum(axis=1)), np.sqrt((x**2).sum(axis=1))
     out = []
     for at in range(0, len(q), STEP):
         bounds = mine[0][at : at + STEP] @ theirs[0].T
@@ -74,14 +87,17 @@ def search(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids:
             able = int((bound > -np.inf).sum())
             if not able:
                 continue
+            reach = norm * own[i]
+            slack = 1e-9 * reach + 0.5  # of floating sums, for each candidate
             seeds = min(max(SEEDS, k), able)
             first = np.argpartition(-bound, seeds - 1)[:seeds]
-            known = vectors[first] @ queries[i]
-            floor = np.sort(known)[-k] - slack if seeds >= k else -np.inf
-            left = np.flatnonzero((bound >= floor) & (bound > -np.inf))
+            known = np.sort(exact_scores(vectors[first], queries[i], reach[first]).astype(np.float64))
+            floor = known[-k] - 1e-12 * abs(known[-k]) if seeds >= k else -np.inf
+            floor = min(floor, float(HELD))  # beyond it scores may be held
+            left = np.flatnonzero((bound + slack >= floor) & (bound > -np.inf))
             for level in range(1, len(LEVELS)):
-                left = left[theirs[level][left] @ mine[level][i] >= floor]
-            exact = vectors[left] @ queries[i]
+                left = left[theirs[level][left] @ mine[level][i] + slack[left] >= floor]
+            exact = exact_scores(vectors[left], queries[i], reach[left])
             best = np.lexsort((ids[left], -exact))[:k]
             out += [(i, int(ids[left[b]]), int(exact[b])) for b in best]
     return out

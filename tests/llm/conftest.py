@@ -44,7 +44,7 @@ ITEMS = [(0, "one TWO été"), (1, None), (2, " .,! "), (3, "changed an an ber")
 NAN, INF = float("nan"), float("inf")
 EMBEDDINGS = [(i, [((i * 7 + j * 3) % 11 - 5) / 4 for j in range(6)]) for i in range(120)] + [
     (0, [0.5] * 6), (50, [0.1, -0.2, 0.3, 1.0, 0.0, 2.0]), (50, [0.1, -0.2, 0.3, 1.0, 0.0, 2.0]), (200, [0.5] * 6), (300, None), (350, [0.1, None] * 3), (400, [NAN] * 6), (450, [INF] * 6),
-    (500, [1.0, 2.0]), (501, [2.0, 1.0]), (550, []), (551, []), (None, [0.5] * 6), (600, [1e30] * 6),
+    (500, [1.0, 2.0]), (501, [2.0, 1.0]), (550, []), (551, []), (None, [0.5] * 6), (600, [1e30] * 6), (650, [1e6, -3e6, 2e6, 1e6, 0.5, 1e6]), (651, [1e6] * 6),
 ]
 
 

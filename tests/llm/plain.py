@@ -98,7 +98,8 @@ def fold(doc_id) -> bool:
 
 
 def best(vectors: list[tuple[int, list[int]]], query: tuple[int, list[int]], k: int = 5) -> list[tuple[int, int]]:
-    scored = [(-sum(a * b for a, b in zip(query[1], v)), i) for i, v in vectors if i != query[0] and len(v) == len(query[1])]
+    longest = (1 << 63) - 1
+    scored = [(-max(-longest, min(longest, sum(a * b for a, b in zip(query[1], v)))), i) for i, v in vectors if i != query[0] and len(v) == len(query[1])]
     return [(i, -s) for s, i in sorted(scored)[:k]]
 
 

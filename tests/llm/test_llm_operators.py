@@ -225,19 +225,27 @@ def test_bpe_of_a_very_long_word_and_a_small_memory(tokenizer, monkeypatch):
 
 
 # ---- 7 ----------------------------------------------------------------------
-def test_maps_move_only_what_they_must(spark):
-    v1 = sharding.first_map(spark, 40)
-    v2 = sharding.grown_map(v1, 40)
-    one, two = ({r.vslot: r.shard for r in m.collect()} for m in (v1, v2))
-    assert all(two[s] in (one[s], 40) for s in one)
-    assert max(Counter(two.values()).values()) - min(Counter(two.values()).values()) <= 1
-    assert {r.version for r in v2.collect()} == {2}
+def test_a_map_depends_on_the_number_of_shards_alone(spark):
+    slots = lambda m: {r.vslot: r.shard for r in m.collect()}
+    for n in (1, 2, 7, 40):
+        now, grown = sharding.map_of(spark, n), sharding.grown_map(sharding.map_of(spark, n), n)
+        one, two = slots(now), slots(grown)
+        assert two == slots(sharding.map_of(spark, n + 1)) and {r.version for r in grown.collect()} == {n + 1}
+        assert all(two[s] in (one[s], n) for s in one) and set(two.values()) == set(range(n + 1))
+        held = Counter(two.values())
+        assert max(held.values()) < 1.3 * sharding.SLOTS / (n + 1) and min(held.values()) > 0.7 * sharding.SLOTS / (n + 1)
+
+
+@pytest.mark.parametrize("shards", [1, 7])
+def test_grown_shards_are_the_shards_of_the_larger_map(spark, awkward, shards):
+    known = lambda n, c: Counter((r.doc_id, r.text_crc32, r[c]) for r in sharding.op7_sharding(spark, awkward, n).collect())
+    assert known(shards, "grown_shard") == known(shards + 1, "shard")
 
 
 def test_rebalancing_evens_the_bytes(spark):
     r = random.Random(2)
     loads = spark.createDataFrame([(s, 1, int(r.random() * 1000) + 3000 * (s % 4 == 0)) for s in range(4096)], "vslot int, slot_rows long, slot_bytes long")
-    v1 = sharding.first_map(spark, 4)
+    v1 = spark.range(4096).select(F.lit(1).alias("version"), F.col("id").cast("int").alias("vslot"), (F.col("id") % 4).cast("int").alias("shard"))
     v2 = sharding.rebalanced_map(v1, loads, 4)
 
     def spread(m):
@@ -324,6 +332,15 @@ def test_search_for_many_neighbours():
         assert got == [(i, *x) for i in range(20) for x in plain.best(list(zip(ids.tolist(), vectors.tolist())), (i, vectors[i].tolist()), k)]
 
 
+# ---- 9 ----------------------------------------------------------------------
+def test_the_sample_does_not_depend_on_partitions(spark):
+    r = random.Random(8)
+    rows = [(None, " ".join(r.choice(["ab", "cd", "ef", "gh"]) for _ in range(6)), "en") for _ in range(3000)] + [(None, f"eau ré {i}", "fr") for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    samples = [[(lang, tuple(x)) for lang, x in language.sampled(docs.repartition(n))] for n in (3, 7)]
+    assert samples[0] == samples[1] and len(samples[0]) > 1000
+
+
 # ---- 11 ---------------------------------------------------------------------
 def test_search_over_many_segments_and_ranges_is_exact(spark, monkeypatch):
     monkeypatch.setattr(lexical, "SEGMENT", 50)

@@ -198,7 +198,7 @@ def test_language_on_held_out_rows(spark):
 
 
 def test_top_k(spark, awkward):
-    held = 1 << 27
+    held = 1 << 62
     usable = []
     for i, v in EMBEDDINGS:
         if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):

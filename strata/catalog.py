@@ -285,6 +285,22 @@ def q_quarantine_raw(spark: SparkSession, d: str) -> DataFrame:
     return rejected.select("review_id", "order_id", REASON, "_raw")
 
 
+#: Changed rule of the replay: reviews without a readable score are let in.
+RULE_REPLAY = "review_id IS NOT NULL AND order_id IS NOT NULL AND (review_score IS NULL OR review_score BETWEEN 1 AND 5)"
+
+
+def q_quarantine_replay(spark: SparkSession, d: str) -> DataFrame:
+    """Rejected reviews judged anew from their raw records by a changed rule:
+    every record that was in quarantine, with the reason it has now."""
+    from strata.plans.silver import raw_as_text, raw_from_text, with_raw_record
+
+    e = ENTITIES["order_review"]
+    raw = with_raw_record(td.raw_order_reviews(spark, d), e.source)
+    quarantine = raw_as_text(rejected_part(tagged(spark, d, e.name, raw)))
+    again = tag_rejects(e.conform(raw_from_text(quarantine, e.source)), [("score out of range", RULE_REPLAY)])
+    return again.select("review_id", "order_id", "review_score", "comment_title", "creation_ts", REASON)
+
+
 def q_revenue_by_category(spark: SparkSession, d: str) -> DataFrame:
     dim = cut_lineage(spark, product_dims(spark, d)[1])  # joined twice: as-of, then by key
     fact = facts.fact_order_items(
@@ -539,6 +555,7 @@ QUERIES: dict[str, Query] = {
     "incremental_aggregates": q_incremental_aggregates,
     "incremental_dim_customer": q_incremental_dim_customer,
     "quarantine_raw": q_quarantine_raw,
+    "quarantine_replay": q_quarantine_replay,
     "revenue_by_category": q_revenue_by_category,
     "multi_version_products": q_multi_version_products,
     "batch_health": q_batch_health,

@@ -347,6 +347,14 @@ SELECT review_id, order_id, '{RULE_REVIEW}' AS _reject_reason,
                 'review_comment_title': review_comment_title, 'review_comment_message': review_comment_message,
                 'review_creation_date': review_creation_date, 'review_answer_timestamp': review_answer_timestamp}}) AS _raw
 FROM raw WHERE NOT coalesce(review_id IS NOT NULL AND order_id IS NOT NULL AND score BETWEEN 1 AND 5, false)""",
+    "quarantine_replay": """WITH raw AS (
+  SELECT CAST(CAST(floor(event_id / 2) AS BIGINT) AS VARCHAR) AS review_id, CAST(user_id AS VARCHAR) AS order_id,
+         CASE WHEN event_type = 'error' THEN NULL ELSE CAST(ceil(value / 40) AS INTEGER) END AS review_score,
+         event_type AS comment_title, ts AS creation_ts
+  FROM events WHERE event_type <> 'purchase')
+SELECT review_id, order_id, review_score, comment_title, creation_ts,
+       CASE WHEN review_id IS NULL OR order_id IS NULL OR review_score NOT BETWEEN 1 AND 5 THEN 'score out of range' END AS _reject_reason
+FROM raw WHERE review_id IS NULL OR order_id IS NULL OR review_score IS NULL OR review_score NOT BETWEEN 1 AND 5""",
     "revenue_by_category": with_("foi")
     + """SELECT d.category_en, CAST(round(sum(f.price), 2) AS DOUBLE) AS revenue
 FROM foi f JOIN dim d ON f.product_id = d.product_id AND f.product_valid_from = d.effective_from

@@ -7,11 +7,12 @@ from datetime import datetime
 from pyspark.sql import SparkSession
 
 from strata.operators.quality import Counts
+from strata.plans.conform import ENTITIES
 from strata.plans.gold import build_gold
-from strata.plans.silver import build_silver, ingest_bronze
+from strata.plans.silver import build_silver, ingest_bronze, replay_rejects
 from strata.session import configure
 from strata.sources.lake import Lake
-from strata.sources.specs import SOURCES
+from strata.sources.specs import BATCH_ID, SOURCES
 
 DQ_SCHEMA = (
     "batch_id string, layer string, tbl string, rows_in long, rows_out long, rows_quarantined long, logged_at timestamp"
@@ -66,6 +67,29 @@ def run_batch(
     return log
 
 
+def replay_quarantine(lake: Lake, name: str, rules: list[tuple[str, str]] | None = None, batches: list[str] | None = None) -> dict[str, Counts]:
+    """Judge the quarantined records of silver table ``name`` anew, batch by
+    batch (default: all), by ``rules`` ((reason, condition) pairs; default:
+    the table's rules as they are now). What they accept goes through silver
+    and gold as a delivery of its batch. Per batch: records read, rows that
+    reached silver, records left in quarantine; also kept in ``ops/replays``."""
+    configure(lake.spark)
+    entity, out = ENTITIES[name], {}
+    prefix = f"{BATCH_ID}="
+    kept = [d[len(prefix) :] for d in lake.list_dirs(lake.path("silver", f"quarantine_{name}")) if d.startswith(prefix)]
+    for batch_id in batches or kept:
+        lake.begin(batch_id, "replay")
+        counts = replay_rejects(lake, entity, list(rules or entity.rules), batch_id)
+        if counts is not None:
+            out[batch_id] = counts
+            if counts.rows_out:
+                build_gold(lake, batch_id, changed={name})
+            row = (name, int(counts.rows_in), int(counts.rows_out), int(counts.rows_quarantined), datetime.now())
+            lake.replace_rows([row], "tbl string, rows_in long, rows_out long, rows_left long, logged_at timestamp", "ops", "replays", batch_id)
+        lake.complete(batch_id)
+    return out
+
+
 def run_all(spark: SparkSession, lake_root: str, batches_dir: str, batches: list[str] | None = None) -> Lake:
     lake = Lake(spark, lake_root)
     for b in batches or list_batches(lake, batches_dir):

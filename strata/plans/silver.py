@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from strata.operators.dedupe import latest_per_key
 from strata.operators.quality import REASON, Counts, clean_part, rejected_part, tag_rejects
 from strata.plans.conform import ENTITIES, Entity, centroids, point_sums
+from strata.session import cut_lineage
 from strata.sources.csv import read_raw
 from strata.sources.lake import Lake
-from strata.sources.specs import BATCH_ID, RAW_RECORD, SOURCES, Source
+from strata.sources.specs import BATCH_ID, META, RAW_RECORD, SOURCES, Source
 
 
 def source_path(lake: Lake, batches_dir: str, batch_id: str, source: Source) -> str | None:
@@ -49,6 +50,14 @@ def raw_as_text(rejected: DataFrame) -> DataFrame:
     return rejected.withColumn(RAW_RECORD, F.to_json(F.col(RAW_RECORD), {"ignoreNullFields": "false"}))
 
 
+def raw_from_text(quarantine: DataFrame, source: str) -> DataFrame:
+    """The raw records of quarantined rows, as their source delivered them:
+    the source's columns (all text), the audit columns and ``_raw``."""
+    schema = ", ".join(f"`{c}` string" for c in SOURCES[source].columns)
+    record = F.from_json(RAW_RECORD, schema, {"mode": "FAILFAST"}).alias("_record")
+    return quarantine.select(record, RAW_RECORD, *META).select("_record.*", RAW_RECORD, *META)
+
+
 def conform(lake: Lake, entity: Entity, raw: DataFrame) -> DataFrame:
     if entity.name == "product":
         translation = lake.read("silver", "category_translation")
@@ -236,6 +245,43 @@ def refresh_product_categories(lake: Lake, batch_id: str) -> Counts | None:
     return Counts(n, n, 0)
 
 
+def replay_rejects(lake: Lake, entity: Entity, rules: list[tuple[str, str]], batch_id: str) -> Counts | None:
+    """Judge a batch's quarantined records anew, by ``rules``.
+
+    Accepted rows go to silver as rows of that batch, unless the batch or a
+    newer one has given their key another row, and leave quarantine; the
+    others stay there with the reason they have now. Staged as a delivery is,
+    so gold can follow. Silver is written before quarantine: a replay that
+    broke off is run again with the same result.
+    """
+    if entity.name == "geolocation":
+        raise ValueError("points add up: run their batch again under the changed rules instead")
+    quarantine = lake.read_batch("silver", f"quarantine_{entity.name}", batch_id)
+    if quarantine is None:
+        return None
+    tagged = tag_rejects(conform(lake, entity, raw_from_text(quarantine, entity.source)), rules)
+    n_in = lake.replace_batch(tagged.withColumnRenamed("_batch_id", "_version"), "ops", f"stage_tagged_{entity.name}", batch_id)
+    tagged = lake.read_batch("ops", f"stage_tagged_{entity.name}", batch_id).drop("_batch_id").withColumnRenamed("_version", "_batch_id")
+    keys = list(entity.keys)
+    clean = latest_per_key(clean_part(tagged).drop(RAW_RECORD), keys, entity.dedupe_order())
+    held = lake.read_touched("silver", entity.name, clean.select(*keys), keys)
+    if held is not None:
+        clean = clean.join(held.filter(F.col("_batch_id") >= batch_id).select(*keys), keys, "left_anti")
+    stage = f"stage_silver_{entity.name}"
+    if lake.resuming and (earlier := lake.read_batch("ops", stage, batch_id)) is not None:
+        # rows that the broken replay has brought to silver; gold still has to follow them
+        earlier = earlier.drop("_batch_id").withColumnRenamed("_version", "_batch_id").select(*clean.columns)
+        clean = clean.unionByName(earlier.join(clean.select(*keys), keys, "left_anti"))
+    clean = cut_lineage(lake.spark, clean)
+    n_out = lake.replace_batch(clean.withColumnRenamed("_batch_id", "_version"), "ops", stage, batch_id)
+    if n_out:
+        staged = lake.read_batch("ops", stage, batch_id).drop("_batch_id").withColumnRenamed("_version", "_batch_id")
+        stage_previous_values(lake, entity, staged, batch_id)
+        lake.upsert_keyed(staged, "silver", entity.name, keys, version_col="_batch_id")
+    n_left = lake.replace_batch(rejected_part(tagged), "silver", f"quarantine_{entity.name}", batch_id)
+    return Counts(n_in, n_out, n_left)
+
+
 def build_silver(
     lake: Lake, batch_id: str, prune: bool = False, delivered: set[str] | None = None
 ) -> dict[str, Counts]:

@@ -286,13 +286,17 @@ class Lake:
         return self.replace_batch(df, "ops", name, batch_id)
 
     # ---- batch state -----------------------------------------------------
-    def begin(self, batch_id: str) -> None:
+    def begin(self, batch_id: str, what: str = "running") -> None:
         """Mark a batch as running. A mark left by an earlier run means that
-        it broke off, so its staging is still needed."""
+        it broke off, so its staging is still needed. Only a whole run may
+        follow a broken piece of work of another kind (``what``)."""
         state = f"{self.root}/ops/_running"
-        self.resuming = self.marker(state, batch_id) is not None
+        mark = self.marker(state, batch_id)
+        if mark not in (None, what) and what != "running":
+            raise RuntimeError(f"batch {batch_id} broke off ({mark}); run it again first")
+        self.resuming = mark is not None
         if not self.resuming:
-            self.set_marker(state, batch_id, "running")
+            self.set_marker(state, batch_id, what)
 
     def complete(self, batch_id: str) -> None:
         """Drop the batch's staging, then its mark."""

@@ -4,6 +4,7 @@ the aggregates, points per zip and batch, rows of an order in the same buckets."
 from __future__ import annotations
 
 import glob
+import json
 import os
 
 import fixtures
@@ -11,8 +12,9 @@ import pytest
 from pyspark.sql import functions as F
 from test_replay import customer, point, seller
 
-from strata.plans import aggs, gold
-from strata.plans.run import run_batch
+from strata.plans import aggs
+from strata.plans.conform import ENTITIES
+from strata.plans.run import replay_quarantine, run_batch
 from strata.sources.lake import Lake
 
 DAYS = ["2017-01-%02d 10:00:00" % d for d in range(1, 13)]
@@ -22,7 +24,8 @@ BASE = {
     "geolocation": [point("1", "-23.0", "-46.0"), point("1", "-22.0", "-45.0"), point("2", "-20.0", "-45.0")],
     "products": [fixtures.product("p1", "a", "100")],
     "orders": [fixtures.order(f"o{i}", f"c{i // 3}", DAYS[i]) for i in range(12)],
-    "order_items": [fixtures.item(f"o{i}", str(n), "p1", f"{i + n}.00") for i in range(12) for n in (1, 2)],
+    "order_items": [fixtures.item(f"o{i}", str(n), "p1", f"{i + n}.00") for i in range(12) for n in (1, 2)]
+    + [fixtures.item("o2", "3", "p1", "-5.00"), fixtures.item("o2", "1", "p1", "-6.00"), fixtures.item("o3", "3", "p1", "x")],
     "order_payments": [{"order_id": f"o{i}", "payment_sequential": "1", "payment_type": "boleto", "payment_installments": "1", "payment_value": "5.00"} for i in range(12)],
 }
 
@@ -94,6 +97,22 @@ def test_broken_runs_and_retracted_extremes(spark, lake, monkeypatch):
     assert not lake.marker(lake.path("state", "part_agg_daily_sales"), "_replace")
 
 
+def test_replayed_rejects_reach_the_fact(lake):
+    """A changed rule lets refunds in: one is a new item, one has the key of an
+    item its batch has given; an unreadable price stays out."""
+    entity = ENTITIES["order_item"]
+    rules = [("price unreadable", entity.rules[0][1].replace("price >= 0", "price IS NOT NULL"))]
+    assert lake.read("silver", "quarantine_order_item").count() == 3
+    counts = replay_quarantine(lake, "order_item", rules)
+    assert {b: (c.rows_in, c.rows_out, c.rows_quarantined) for b, c in counts.items()} == {"2017-01": (3, 1, 1)}
+    left = lake.read("silver", "quarantine_order_item").collect()
+    assert [(r.order_id, r._reject_reason, json.loads(r._raw)["price"]) for r in left] == [("o3", "price unreadable", "x")]
+    items = {(r.order_id, r.order_item_id): float(r.price) for r in lake.read("gold", "fact_order_items").collect()}
+    assert items["o2", 3] == -5.0 and items["o2", 1] == 3.0 and len(items) == 25
+    assert_equals_rebuild(lake)
+    assert [(r.tbl, r.rows_out, r.rows_left) for r in lake.read("ops", "replays").collect()] == [("order_item", 1, 1)]
+
+
 def test_a_batch_reads_only_the_buckets_of_its_orders(spark, lake):
     tables = [("gold", "fact_order_items"), ("gold", "fact_payments"), ("silver", "order_item"), ("silver", "order_payment"), ("silver", "order")]
     one = spark.createDataFrame([("o9",)], "order_id string")

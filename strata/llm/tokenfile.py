@@ -39,6 +39,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import xxhash
 from pyspark import TaskContext
@@ -58,8 +59,10 @@ PART_KEYS = 250_000
 LEAST_PART_KEYS = 1_000
 #: Slots per key on each level of the hash function.
 ROOM = 2.0
-#: Words a task remembers; beyond it a new memory starts, and the last one is still asked.
-MEMORY = 400_000
+#: Words and parts a task remembers; beyond it a new memory starts, and the last one is still asked.
+MEMORY = 600_000
+#: Text bytes whose words are told apart at once (a longer text makes a slice of its own).
+SLICE_BYTES = 8 << 20
 #: Longer words are not remembered.
 LONG = 64
 #: Fixed value: a word that is one id of its own; it parts the words that are encoded at once.
@@ -75,8 +78,8 @@ WORDWISE = (
         ],
     },
 )
-#: Words of Latin-1 letters, then punctuation: unchanged by NFC, lowered letter by letter, split between the two.
-PLAIN = r"([A-Za-z\xC0-\xD6\xD8-\xF6\xF8-\xFF]+)([.,;:!?]*)"
+#: Latin-1 letters, then ASCII punctuation but the apostrophe: unchanged by NFC, lowered letter by letter, split between the two.
+PLAIN = r"^(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]*)(?P<rest>[!-&(-/:-@\[-`{-~]*)$"
 PLACES = "doc_id long, nth long, shard int, offset long, n_tokens long"
 HEAD = "<4sIQ"  # magic, levels, keys
 MAGIC = b"mph1"
@@ -121,12 +124,13 @@ class Encoder:
     """Whole texts to ids with the tokenizers library.
 
     Where the vocabulary's steps are those of ``WORDWISE``, no step joins or
-    changes characters across blanks, so a text's ids are those of its words,
-    and known words are not encoded again. Of words not seen before, plain ones
+    changes characters across blanks, so a text's ids are those of its words.
+    The words of many texts are told apart at once (Arrow), each distinct one
+    is encoded once, and the texts' ids are taken from these. Plain words
     (``PLAIN``: Latin letters, then punctuation) are lowered here and given to
     the library's model as letters and punctuation; all others go through all
-    of the library's steps, many at once. With other vocabularies the library
-    encodes each text whole.
+    of the library's steps, many at once. Parts and words met before are
+    remembered. With other vocabularies the library encodes each text whole.
     """
 
     def __init__(self, spec: str):
@@ -140,15 +144,14 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         steps = json.loads(spec)
-        self.wordwise = (steps["normalizer"], steps["pre_tokenizer"]) == WORDWISE and not any(set(s) & set(" \t\n\v\f\r") for s in self.special)
-        self.plain = re.compile(PLAIN)
+        # a special token of a plain word's form could lie within plain words
+        apart = not any(set(s) & set(" \t\n\v\f\r") or re.fullmatch(PLAIN, s) for s in self.special)
+        self.wordwise = (steps["normalizer"], steps["pre_tokenizer"]) == WORDWISE and apart
         self.letters = byte_letters()
         mark = self.ids(MARK)
         self.mark = mark[0] if len(mark) == 1 else None
-        self.memory: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-        self.older_parts: dict[str, bytes] = {}
+        self.memory: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.kind = "H" if self.dtype.itemsize == 2 else "I"
         self.end = self.packed([END])
 
@@ -160,65 +163,74 @@ class Encoder:
 
     def part(self, part: str) -> bytes:
         """The ids of lower-case letters or of punctuation."""
-        out = self.older_parts.get(part)
-        if out is None:
-            text = part if part.isascii() else "".join([self.letters[b] for b in part.encode()])
-            out = self.packed([t.id for t in self.model.tokenize(text)])
-        if len(self.parts) >= MEMORY:
-            self.older_parts, self.parts = self.parts, {}
-        self.parts[part] = out
-        return out
-
-    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """The ids of words; the others than plain ones are encoded together where the mark can part them."""
-        out, joined, known, seen = {}, [], self.parts.get, self.older.get
-        for w in words:
-            if (data := seen(w)) is not None:
-                out[w] = data
-                continue
-            t = w.decode()
-            if len(w) <= LONG and (m := self.plain.fullmatch(t)):
-                letters, rest = m[1].lower(), m[2]
-                data = known(letters) or self.part(letters)
-                known = self.parts.get
-                out[w] = data + (known(rest) or self.part(rest)) if rest else data
-                known = self.parts.get
-            elif self.mark is None or MARK in t or any(s in t for s in self.special) or len(w) > LONG:
-                out[w] = self.packed(self.ids(t))
+        text = part if part.isascii() else "".join([self.letters[b] for b in part.encode()])
+        return self.packed([t.id for t in self.model.tokenize(text)]) if text else b""
+
+    def others(self, words: list[str]) -> list[bytes]:
+        """The ids of words that are not plain, encoded together where the mark can part them."""
+        out: dict[str, bytes] = {}
+        joined = []
+        for t in words:
+            if self.mark is None or MARK in t or any(s in t for s in self.special) or len(t) > LONG:
+                out[t] = self.packed(self.ids(t))
             else:
-                joined.append((w, t))
+                joined.append(t)
         for at in range(0, len(joined), 256):
             some = joined[at : at + 256]
-            ids = np.array(self.ids(f" {MARK} ".join([t for _, t in some])), self.dtype)
+            ids = np.array(self.ids(f" {MARK} ".join(some)), self.dtype)
             ends = [*np.flatnonzero(ids == self.mark).tolist(), len(ids)]
             if len(ends) != len(some):
                 raise ValueError("the mark is not a word of its own in this vocabulary")
             data, wide, start = ids.tobytes(), self.dtype.itemsize, 0
-            for (w, _), end in zip(some, ends):
-                out[w] = data[start * wide : end * wide]
+            for t, end in zip(some, ends):
+                out[t] = data[start * wide : end * wide]
                 start = end + 1
-        return out
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+        return [out[t] for t in words]
+
+    def known(self, words: pa.Array, learn: Callable[[list[str]], list[bytes]]) -> pa.Array:
+        """The ids of distinct words, from memory or learned now."""
+        words = words.to_pylist()
+        found = list(map(self.memory.get, words))
+        unseen = [i for i, x in enumerate(found) if x is None]
+        if unseen and self.older:
+            for i in unseen:
+                found[i] = self.older.get(words[i])
+            unseen, again = [i for i in unseen if found[i] is None], [i for i in unseen if found[i] is not None]
+            self.memory.update((words[i], found[i]) for i in again)
+        for i, data in zip(unseen, learn([words[i] for i in unseen])):
+            found[i] = data
+        if len(self.memory) + len(unseen) > MEMORY:
+            self.older, self.memory = self.memory, {}
+        self.memory.update((words[i], found[i]) for i in unseen if len(words[i]) <= LONG)
+        return pa.array(found, pa.large_binary())
+
+    def learn(self, words: pa.Array) -> pa.Array:
+        """The ids of distinct words, one binary value each."""
+        split = pc.extract_regex(words, PLAIN)
+        plain = pc.and_(split.is_valid(), pc.less_equal(pc.binary_length(words), LONG))
+        split = split.filter(plain)
+        halves = []
+        for half in (pc.utf8_lower(split.field("letters")), split.field("rest")):
+            half = half.dictionary_encode()
+            halves.append(self.known(half.dictionary, lambda some: list(map(self.part, some))).take(half.indices))
+        other = self.known(words.filter(pc.invert(plain)), self.others)
+        both = pa.concat_arrays([pc.binary_join_element_wise(*halves, pa.scalar(b"", pa.large_binary())), other])
+        mask = plain.to_numpy(zero_copy_only=False)
+        at = np.where(mask, np.cumsum(mask), mask.sum() + np.cumsum(~mask)) - 1
+        return both.take(pa.array(at))
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
         """Each text's ids and the end id."""
         if not self.wordwise:
-            return [self.packed([*self.ids(t), END]) for t in texts]
-        lists = [t.encode().split() for t in texts]  # at the six ASCII blanks
-        get = self.memory.get
-        found = [list(map(get, words)) for words in lists]
-        unseen = {w for words, ids in zip(lists, found) if None in ids for w, x in zip(words, ids) if x is None}
-        new = self.learn(unseen) if unseen else {}
-        if len(self.memory) + len(new) > MEMORY:
-            self.older, self.memory = self.memory, {}
-        self.memory.update(new)
-        out = []
-        for words, ids in zip(lists, found):
-            if None in ids:
-                ids = [new[w] if x is None else x for w, x in zip(words, ids)]
-            out.append(b"".join(ids) + self.end)
-        for w in [w for w in new if len(w) > LONG]:
-            del self.memory[w]
-        return out
+            return [self.packed([*self.ids(t), END]) for t in texts.to_pylist()]
+        lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()))  # at the six ASCII blanks
+        words = lists.flatten().dictionary_encode()
+        ids = self.learn(words.dictionary).take(words.indices)
+        # a text's ids lie together: its words' values follow each other in one buffer
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
+        cuts = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1)[ends].tolist() if len(ids) else [0] * len(ends)
+        data = memoryview(ids.buffers()[2]) if len(ids) and ids.buffers()[2] else memoryview(b"")
+        return [bytes(data[a:b]) + self.end for a, b in zip(cuts, cuts[1:])]
 
 
 # ---- the hash function ------------------------------------------------------
@@ -342,6 +354,17 @@ def part_column(parts: int):
 
 
 # ---- writing ----------------------------------------------------------------
+def by_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches' rows in slices of at most about ``SLICE_BYTES`` of text each."""
+    for batch in batches:
+        before, start = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False), dtype=np.int64), 0
+        while start < batch.num_rows:
+            held = before[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(before, held + SLICE_BYTES, "right")))
+            yield batch.slice(start, end - start)
+            start = end
+
+
 def write_shards(spec: str, out: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A task's sorted documents into its shard; their places are its rows."""
 
@@ -349,15 +372,13 @@ def write_shards(spec: str, out: str) -> Callable[[Iterator[pa.RecordBatch]], It
         shard, offset, last, nth = TaskContext.get().partitionId(), 0, "none yet", 0
         encoder = stream = None
         file = None
-        for batch in in_slices(batches, 256):
-            if batch.num_rows == 0:
-                continue
+        for batch in by_bytes(batches):
             if file is None:
                 encoder, file = Encoder(spec), Moved(f"{out}/ids-{shard:06d}.bin")
                 stream = file.__enter__()
             rows, doc_ids = [], batch.column(0).to_pylist()
             wide = encoder.dtype.itemsize
-            for doc_id, data in zip(doc_ids, encoder.encode(batch.column(1).to_pylist())):
+            for doc_id, data in zip(doc_ids, encoder.encode(batch.column(1))):
                 stream.write(data)
                 nth = nth + 1 if doc_id == last else 0
                 last, n = doc_id, len(data) // wide

@@ -7,7 +7,9 @@ target proportions. Slots are ranked per source; the k-th slot of a source
 takes block k modulo its number of blocks. Blocks are equal runs of words
 over the source's documents in a hashed order. A source's last slot is
 trimmed, and slots the sequence misses come at its end, so a source gives
-exactly the whole words of its target.
+exactly the whole words of its target. ``mix`` gives the result in its order:
+the slots joined with the pieces of documents in their blocks. The words taken
+of a document are the sum of its pieces there.
 
 Nothing here sees a whole source in one task: positions in a source are sums
 over about sqrt(n) hash buckets plus a running sum inside a bucket; ranks of
@@ -35,8 +37,9 @@ CELLS = 1024
 
 
 def sizes(docs: DataFrame, *carry: str) -> DataFrame:
-    """doc_id, source, size and the hashed order of the documents."""
-    order = F.md5(F.concat_ws("/", F.lit("mix"), F.col("doc_id").cast("string")).cast("binary"))
+    """doc_id, source, size and the hashed order of the documents; by the text
+    too, so that rows of one doc_id, or of none, lie apart."""
+    order = F.md5(F.concat_ws("/", F.lit("mix"), F.col("doc_id").cast("string"), F.md5(text_or_empty().cast("binary"))).cast("binary"))
     return docs.select("doc_id", "source", word_count(text_or_empty()).alias("size"), order.alias("order"), *carry)
 
 
@@ -130,27 +133,46 @@ def positions(sized: DataFrame, sources: DataFrame, *carry: str) -> DataFrame:
     )
 
 
-def taken(spark: SparkSession, sized: DataFrame, *carry: str) -> DataFrame:
-    """Words the mix takes of each document: the blocks a document lies in,
-    joined with how often the schedule takes each block."""
-    sources = written(spark, targets(sized), "mix-sources")
-    takes = (
-        schedule(spark, sources)
-        .groupBy("sid", "block")
-        .agg(
-            F.sum((F.col("words") == F.col("length")).cast("long")).alias("whole"),
-            F.max(F.when(F.col("words") < F.col("length"), F.col("words"))).alias("part"),
-        )
-    )
-    at = positions(sized, sources, *carry)
+def pieces(at: DataFrame) -> DataFrame:
+    """The blocks that the documents of ``positions`` lie in: block, the word of
+    the block and of the document where the piece begins, and its words."""
     blocks = F.sequence(F.floor(F.col("start") / BLOCK), F.floor((F.col("start") + F.col("size") - 1) / BLOCK))
-    pieces = at.filter("size > 0").withColumn("block", F.explode(blocks)).withColumn("block_", F.col("block") * BLOCK)
-    first = F.greatest(F.col("start") - F.col("block_"), F.lit(0))
+    cut = at.filter("size > 0").withColumn("block", F.explode(blocks)).withColumn("block_", F.col("block") * BLOCK)
+    at_ = F.greatest(F.col("start") - F.col("block_"), F.lit(0))
     last = F.least(F.col("start") + F.col("size") - F.col("block_"), F.lit(BLOCK))
-    words = F.coalesce("whole", F.lit(0)) * (last - first) + F.greatest(F.least(last, F.coalesce("part", F.lit(0))) - first, F.lit(0))
+    first = F.greatest(F.col("block_") - F.col("start"), F.lit(0))
+    return cut.withColumn("at", at_).withColumn("first", first).withColumn("words", last - at_).drop("block_")
+
+
+def slots_with_pieces(spark: SparkSession, sources: DataFrame, at: DataFrame) -> DataFrame:
+    """slot, at and words of every piece of a document in the mix, beside the
+    columns of ``positions``. A block holds BLOCK words, so at most as many
+    pieces; it has a slot for each time it is taken."""
+    slots = schedule(spark, sources).select("slot", "sid", "block", F.col("words").alias("due"))
+    met = pieces(at).join(slots, ["sid", "block"])
+    return met.withColumn("words", F.least("words", F.col("due") - F.col("at")).cast("long")).filter("words > 0").drop("due")
+
+
+def mix(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The mix itself: per piece of a document its slot, the word of the slot
+    where it begins (``at``), the document's doc_id and source, the first word
+    taken of it (from 0) and the number of words. In the order of (slot, at),
+    every prefix holds the sources near their target shares."""
+    sized = written(spark, sizes(docs), "mix-sizes")
+    sources = written(spark, targets(sized), "mix-sources")
+    out = slots_with_pieces(spark, sources, positions(sized, sources, "source"))
+    return out.select("slot", "at", "block", "doc_id", "source", "first", "words")
+
+
+def taken(spark: SparkSession, sized: DataFrame, *carry: str) -> DataFrame:
+    """Words the mix takes of each document: the sum of its pieces in the mix."""
+    sources = written(spark, targets(sized), "mix-sources")
+    at = written(spark, positions(sized, sources, *carry), "mix-positions")
     columns = ("sid", "start", "doc_id", "size", "source_size", "target", *carry)  # a start is one document's
-    out = pieces.join(takes, ["sid", "block"], "left").withColumn("words", words).groupBy(*columns).agg(F.sum("words").cast("long").alias("taken"))
-    return out.unionByName(at.filter("size = 0").select(*columns, F.lit(0).cast("long").alias("taken")))
+    none = at.select(*columns, F.lit(0).cast("long").alias("words"))
+    parts = slots_with_pieces(spark, sources, at).select(*columns, "words").unionByName(none.filter("size > 0"))
+    out = parts.groupBy(*columns).agg(F.sum("words").alias("taken"))
+    return out.unionByName(none.filter("size = 0").withColumnRenamed("words", "taken"))
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,7 +207,7 @@ def mixed(spark: SparkSession, docs: DataFrame) -> DataFrame:
 #: ``epochs`` times, and then the first ``rest`` words.
 SQL = r"""
 WITH d AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, md5('mix/' || doc_id) AS o FROM documents),
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, md5(concat_ws('/', 'mix', doc_id, md5(coalesce(text, '')))) AS o FROM documents),
 s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CAST(row_number() OVER (ORDER BY source IS NULL, source) AS BIGINT) AS sid FROM d GROUP BY source),
 w AS (SELECT *, (sid - 1) % 3 + 1 AS weight, 3 * source_size AS cap, CAST(sum(source_size) OVER () AS BIGINT) AS total FROM s),

@@ -54,6 +54,35 @@ def test_schedule_has_the_targets_in_every_prefix(spark):
             assert all(abs(seen[k] - n * w) <= 8 for k, w in weight.items())
 
 
+def test_the_mix_is_its_slots_in_order(spark):
+    rows = [(i if i % 3 else None, " ".join(["w"] * (900 + 37 * (i % 50))), f"s{i % 4}" if i % 4 else None) for i in range(240)] + [(1, None, "s1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mix = sorted((tuple(r) for r in mixing.mix(spark, docs.repartition(3)).collect()), key=lambda r: r[:2])
+    assert mix == sorted((tuple(r) for r in mixing.mix(spark, docs.repartition(7)).collect()), key=lambda r: r[:2])
+    got = {(r.source): (r.target, r.source_size) for r in mixing.targets(mixing.sizes(docs)).collect()}
+    total = sum(r[6] for r in mix)
+    ends, seen, taken = {}, Counter(), Counter()
+    for slot, at, _, doc_id, source, first, words in mix:  # pieces fill their slot without gaps
+        assert at == ends.get(slot, 0) and words > 0 and first >= 0
+        ends[slot] = at + words
+        seen[source] += words
+        taken[doc_id, source] += words
+        done = sum(seen.values())
+        if done > total / 10:
+            assert all(abs(seen[s] - done * target / total) <= 6 * mixing.BLOCK for s, (target, _) in got.items())
+    assert all(n <= mixing.BLOCK for n in ends.values()) and all(abs(seen[s] - target) < 1 for s, (target, _) in got.items())
+    asked = Counter()
+    for r in mixing.taken(spark, mixing.sizes(docs), "source").collect():
+        asked[r.doc_id, r.source] += r.taken
+    assert +asked == taken
+
+
+def test_rows_without_a_key_spread_over_the_buckets(spark):
+    docs = spark.createDataFrame([(None, f"text number {i}", "s") for i in range(900)], "doc_id long, text string, source string")
+    order = [r.order[:1] for r in mixing.sizes(docs).collect()]
+    assert max(Counter(order).values()) < 100
+
+
 def test_mixed_documents_follow_what_is_taken(spark):
     rows = [(i, " ".join(["w%d" % j for j in range(20 + i % 7)]) + " ", f"s{i % 3}") for i in range(300)] + [(7, "  again  x ", None), (7, "  again  x ", None), (8, None, None)]
     docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, source string, row string, time int")

@@ -16,8 +16,8 @@ row of the table is scored, over its whole text.
 The score shares one among the learned languages, so it cannot say that a
 text is of none of them. Its familiarity can: the share of the text's
 three-letter n-grams that are usual (in COMMON of the sample's rows or more)
-in one of the two languages that hold most of them, so texts in two languages
-are familiar. The least familiarity is NEAR of the sample's median, each row
+in one of the two languages the classifier puts first, so texts in two
+languages are familiar. The least familiarity is NEAR of the sample's median, each row
 held against the others; neither depends on the number of languages. A text
 of few n-grams says little, so it is judged by the upper bound (CERTAIN
 standard deviations, Wilson's interval) of the share it was drawn from; the
@@ -85,6 +85,17 @@ def has_letters(text: str | None) -> bool:
     return text is not None and any(map(str.isalpha, text))
 
 
+def presence(index: np.ndarray) -> np.ndarray:
+    """The weights of a text's n-grams, given by their indices."""
+    order = index // BUCKETS
+    return (1 / np.sqrt(ORDERS * np.bincount(order, minlength=ORDERS)[order])).astype(np.float32)
+
+
+def likeliest(index: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+    """The places of the two languages of the greatest margins."""
+    return np.argsort(-(presence(index) @ matrix[index] + matrix[-1]), kind="stable")[:2]
+
+
 def fit(rows: list[tuple[str, np.ndarray]]) -> tuple[list[str], np.ndarray]:
     """Languages and the matrix (n-grams x languages + bias row) from (language,
     n-gram indices) pairs; the first ones of each language are landmarks."""
@@ -92,10 +103,6 @@ def fit(rows: list[tuple[str, np.ndarray]]) -> tuple[list[str], np.ndarray]:
     per = max(1, LANDMARKS // max(1, len(langs)))
     size = ORDERS * BUCKETS
 
-    def weights(index: np.ndarray) -> np.ndarray:
-        order = index // BUCKETS
-        return (1 / np.sqrt(ORDERS * np.bincount(order, minlength=ORDERS)[order])).astype(np.float32)
-
     marks, seen = [], dict.fromkeys(langs, 0)
     for lang, index in rows:
         if seen[lang] < per:
@@ -103,9 +110,9 @@ def fit(rows: list[tuple[str, np.ndarray]]) -> tuple[list[str], np.ndarray]:
             marks.append(index)
     basis = np.zeros((size, len(marks)), np.float32)  # n-grams x landmarks
     for j, index in enumerate(marks):
-        basis[index, j] = weights(index)
-    kernel = np.stack([weights(index) @ basis[index] for _, index in rows])  # sample x landmarks
-    gram = np.stack([weights(index) @ basis[index] for index in marks]).astype(np.float64)
+        basis[index, j] = presence(index)
+    kernel = np.stack([presence(index) @ basis[index] for _, index in rows])  # sample x landmarks
+    gram = np.stack([presence(index) @ basis[index] for index in marks]).astype(np.float64)
     values, vectors = np.linalg.eigh((gram + gram.T) / 2)
     good = values > 1e-6 * values[-1]
     whiten = vectors[:, good] / np.sqrt(values[good])
@@ -145,14 +152,13 @@ def score(texts: list[str | None], langs: list[str], matrix: np.ndarray) -> tupl
     return [lang for lang, _ in out], [s for _, s in out]
 
 
-def familiarity(index: np.ndarray, counts: np.ndarray, needed: np.ndarray, own: int | None = None) -> float:
-    """The share of a text's n-grams that are usual in one of its two nearest
+def familiarity(index: np.ndarray, counts: np.ndarray, needed: np.ndarray, nearest: np.ndarray, own: int | None = None) -> float:
+    """The share of a text's n-grams that are usual in one of the ``nearest``
     languages, its upper bound; ``own``: the language of a sample row, which does not count."""
     held = counts[index[index // BUCKETS == FAMILIAR_ORDER] - FAMILIAR_ORDER * BUCKETS]
     if own is not None:
         held = held - np.eye(1, held.shape[1], own, dtype=held.dtype)
     usual = held >= needed
-    nearest = np.argsort(-usual.sum(axis=0), kind="stable")[:2]
     n, z = len(usual) / (FAMILIAR_ORDER + 1), CERTAIN
     if not n:
         return 0.0
@@ -160,7 +166,7 @@ def familiarity(index: np.ndarray, counts: np.ndarray, needed: np.ndarray, own:
     return (p + z * z / (2 * n) + z * np.sqrt(p * (1 - p) / n + (z / (2 * n)) ** 2)) / (1 + z * z / n)
 
 
-def familiar(rows: list[tuple[str, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, float]:
+def familiar(rows: list[tuple[str, np.ndarray]], matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
     """Rows that hold each n-gram, by language; how many make it usual; and
     the least familiarity, from (language, n-gram indices) pairs."""
     langs = sorted({lang for lang, _ in rows})
@@ -170,7 +176,7 @@ def familiar(rows: list[tuple[str, np.ndarray]]) -> tuple[np.ndarray, np.ndarray
         counts[index[index // BUCKETS == FAMILIAR_ORDER] - FAMILIAR_ORDER * BUCKETS, place[lang]] += 1
     sizes = np.bincount([place[lang] for lang, _ in rows], minlength=len(langs))
     needed = np.maximum(1, (COMMON * sizes).astype(np.int32))
-    least = NEAR * float(np.median([familiarity(index, counts, needed, place[lang]) for lang, index in rows])) if rows else 0.0
+    least = NEAR * float(np.median([familiarity(index, counts, needed, likeliest(index, matrix), place[lang]) for lang, index in rows])) if rows else 0.0
     return counts, needed, least
 
 
@@ -207,14 +213,23 @@ def train(rows: list[tuple[str, np.ndarray]]) -> tuple[list[str], np.ndarray]:
 
 
 def of_known_languages(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The rows whose text is familiar; none if there is nothing to learn from."""
+    """The rows whose text the classifier gives a language in which it is
+    familiar; none if there is nothing to learn from."""
     sample = sampled(docs.select("doc_id", "text", "lang"))
-    model = spark.sparkContext.broadcast(familiar(sample) if sample else None)  # BUCKETS rows, a column per language
+    _, matrix = train(sample)
+    model = spark.sparkContext.broadcast((matrix, *familiar(sample, matrix)) if sample else None)  # (ORDERS + 1) * BUCKETS rows, a column per language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, needed, least = model.value or (None, None, 0.0)
+        matrix, counts, needed, least = model.value or (None, None, None, 0.0)
+
+        def stay(text: str | None) -> bool:
+            if matrix is None or not has_letters(text):
+                return False
+            index, _ = ngrams(text)
+            return familiarity(index, counts, needed, likeliest(index, matrix)) >= least
+
         for batch in batches:
-            stays = [counts is not None and has_letters(t) and familiarity(ngrams(t)[0], counts, needed) >= least for t in batch.column(0).to_pylist()]
+            stays = list(map(stay, batch.column(0).to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column(1).filter(pa.array(stays, pa.bool_()))], names=["row"])
 
     rows = docs.select("text", whole_row(docs))

@@ -54,9 +54,12 @@ def batches_per_month(split_parents: DataFrame, batch_col: str = BATCH) -> DataF
 def write_batches(df: DataFrame, out_dir: str, batch_col: str = BATCH, fmt: str = "csv", mode: str = "overwrite") -> None:
     """One folder per month (``batch_id=YYYY-MM``), CSV with a header.
 
-    Tasks write their own rows of each month (no shuffle by month, which
-    would put a whole busy month into one task)."""
-    writer = df.sortWithinPartitions(batch_col).write.mode(mode).partitionBy(batch_col)
+    One exchange by month, rebalanced by its measured sizes: small months share
+    a task, and a busy one is split over tasks of about
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` each (months
+    whose hash meets the busy one's are split with it). So the files follow
+    the size of the months, not tasks times months."""
+    writer = df.hint("rebalance", batch_col).sortWithinPartitions(batch_col).write.mode(mode).partitionBy(batch_col)
     if fmt == "csv":
         writer.option("header", True).option("quote", '"').option("escape", '"').csv(out_dir)
     else:

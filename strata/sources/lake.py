@@ -26,6 +26,7 @@ by replaying the batches in order.
 
 from __future__ import annotations
 
+import json
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,6 +59,10 @@ def _conf(spark: SparkSession, key: str, value: str):
             spark.conf.set(key, old)
 
 
+#: Ends of the folders beside a table while a new state takes its place.
+FRESH, OLD = "__fresh", "__old"
+
+
 def bucket_of(keys: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
@@ -82,6 +87,7 @@ class Lake:
     def exists(self, layer: str, name: str) -> bool:
         """The table holds data: a partition folder or a data file (a table
         whose every partition was removed counts as not existing)."""
+        self._mended(self.path(layer, name))
         fs, p = self._fs_path(self.path(layer, name))
         if not fs.exists(p):
             return False
@@ -154,20 +160,16 @@ class Lake:
         Written beside the table and moved into its place; no batch may run
         meanwhile."""
         path = self.path(layer, name)
-        fresh, old = f"{path}__rebucket", f"{path}__old"
+        fresh = f"{path}{FRESH}"
         self._delete(fresh)
         by = self.bucket_keys(layer, name, keys)
         table = self.spark.read.parquet(path).drop(BUCKET).withColumn(BUCKET, bucket_of(by, buckets))
-        table.repartition(BUCKET).write.partitionBy(BUCKET).parquet(fresh)
+        self._write_buckets(table, fresh)
         self.set_marker(fresh, "_buckets", str(buckets))
         for name_ in ("_first_batch", "_bucketed_by"):
             if (kept := self.marker(path, name_)) is not None:
                 self.set_marker(fresh, name_, kept)
-        fs, p = self._fs_path(path)
-        self._delete(old)
-        fs.rename(p, self._fs_path(old)[1])
-        fs.rename(self._fs_path(fresh)[1], p)
-        self._delete(old)
+        self._publish(path)
 
     def _files(self, path: str) -> set[str]:
         """Names of the data files of one partition folder. A rewritten
@@ -194,7 +196,8 @@ class Lake:
         """
         names = []
         for layer in layers:
-            tables = [t for t in self.list_dirs(f"{self.root}/{layer}") if not t.startswith("_") and self.exists(layer, t)]
+            names_ = sorted({t.removesuffix(OLD) for t in self.list_dirs(f"{self.root}/{layer}") if not t.startswith("_") and not t.endswith(FRESH)})
+            tables = [t for t in names_ if self.exists(layer, t)]
             if not tables:
                 continue
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
@@ -230,7 +233,7 @@ class Lake:
         if schema is not None:
             reader = reader.schema(schema)
         elif self.widens(layer, name):
-            reader = reader.option("mergeSchema", "true")
+            reader = reader.schema(self.union_schema(layer, name))
         if any(d.startswith(f"{BUCKET}=") for d in self.list_dirs(self.path(layer, name))):
             return reader.parquet(self.path(layer, name)).drop(BUCKET)
         with _conf(self.spark, TYPED_PARTITIONS, "false"):  # a batch id is a string, also where it looks like a date
@@ -242,6 +245,33 @@ class Lake:
         quarantine): read with the union of all slices' schemas."""
         return layer == "bronze" or name.startswith("quarantine_")
 
+    def union_schema(self, layer: str, name: str) -> T.StructType:
+        """The columns of all slices of a widening table, kept in its
+        ``_schema`` marker, so that no file is opened to learn them (a table
+        without the marker is looked through, and gets one when written)."""
+        path = self.path(layer, name)
+        if kept := self.marker(path, "_schema"):
+            return T.StructType.fromJson(json.loads(kept))
+        found = self.spark.read.option("mergeSchema", "true").parquet(path).schema
+        return T.StructType([f for f in found if f.name != BATCH_ID])
+
+    def _widen(self, layer: str, name: str, schema: T.StructType) -> None:
+        """Add the columns of ``schema`` to the table's union schema; another
+        type for a column that is there is an error. Done before the write, so
+        the marker never lacks a written column."""
+        path = self.path(layer, name)
+        known = self.union_schema(layer, name) if self.marker(path, "_schema") or self.exists(layer, name) else T.StructType([])
+        types, wider = {f.name.lower(): f.dataType for f in known}, list(known)
+        for f in schema:
+            if f.name == BATCH_ID:
+                continue
+            if types.setdefault(f.name.lower(), f.dataType) != f.dataType:
+                raise ValueError(f"{layer}.{name}: column {f.name} is {types[f.name.lower()].simpleString()}, not {f.dataType.simpleString()}")
+            if f.name.lower() not in {k.name.lower() for k in wider}:
+                wider.append(T.StructField(f.name, f.dataType))
+        if len(wider) > len(known) or not self.marker(path, "_schema"):
+            self.set_marker(path, "_schema", T.StructType(wider).json())
+
     def read_batch(self, layer: str, name: str, batch_id: str) -> DataFrame | None:
         """Slice of a batch-partitioned table, or None when the table or the
         slice does not exist. Only the slice's own files are opened."""
@@ -250,7 +280,7 @@ class Lake:
             return None
         reader = self.spark.read.option("basePath", self.path(layer, name))
         if self.widens(layer, name):
-            reader = reader.option("mergeSchema", "true")
+            reader = reader.schema(self.union_schema(layer, name))
         with _conf(self.spark, TYPED_PARTITIONS, "false"):
             return reader.parquet(part)
 
@@ -262,6 +292,8 @@ class Lake:
         old files, and it is dropped."""
         part = f"{self.path(layer, name)}/{BATCH_ID}={batch_id}"
         before = self._files(part)
+        if self.widens(layer, name):
+            self._widen(layer, name, df.schema)
         (
             df.withColumn(BATCH_ID, F.lit(batch_id))
             .write.mode("overwrite")
@@ -309,6 +341,8 @@ class Lake:
     def replace_batches(self, df: DataFrame, layer: str, name: str) -> None:
         """Replace every batch slice present in ``df`` (which carries
         ``_batch_id``) in one write; other slices stay."""
+        if self.widens(layer, name):
+            self._widen(layer, name, df.schema)
         (
             df.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -425,8 +459,9 @@ class Lake:
         self._remove_emptied(path, before)
 
     def _write_buckets(self, df: DataFrame, path: str, shuffle: bool = True, mode: str = "dynamic") -> None:
+        # a bucket larger than the advisory size is written by several tasks
         (
-            (df.repartition(BUCKET) if shuffle else df)
+            (df.hint("rebalance", BUCKET) if shuffle else df)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", mode)
             .partitionBy(BUCKET)
@@ -434,8 +469,35 @@ class Lake:
         )
 
     def overwrite(self, df: DataFrame, layer: str, name: str) -> None:
-        """Full rebuild. ``df`` must not read this same table."""
-        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self.path(layer, name))
+        """Full rebuild, written beside the table and moved into its place
+        once it is whole. A run that ends before leaves the old table as it
+        was; one that ends between the two moves is mended by the next look
+        at the table (:meth:`_mended`)."""
+        path = self.path(layer, name)
+        df.write.mode("overwrite").parquet(f"{path}{FRESH}")
+        self._publish(path)
+
+    def _publish(self, path: str) -> None:
+        """The whole table at ``path + FRESH`` takes the place of ``path``."""
+        fs, p = self._fs_path(path)
+        fresh, old = (self._fs_path(f"{path}{end}")[1] for end in (FRESH, OLD))
+        if fs.exists(p):
+            self._delete(f"{path}{OLD}")
+            if not fs.rename(p, old):
+                raise OSError(f"{path} could not be moved")
+        if not fs.rename(fresh, p):
+            raise OSError(f"{path}{FRESH} could not be moved into its place")
+        self._delete(f"{path}{OLD}")
+
+    def _mended(self, path: str) -> None:
+        """Where a publish broke off between its two moves, the new table is
+        whole and takes its place."""
+        fs, p = self._fs_path(path)
+        if not fs.exists(p) and fs.exists(self._fs_path(f"{path}{OLD}")[1]):
+            if fs.exists(self._fs_path(f"{path}{FRESH}")[1]):
+                self._publish(path)
+            else:
+                fs.rename(self._fs_path(f"{path}{OLD}")[1], p)
 
     def replace_rows(self, rows: list[tuple], schema: str, layer: str, name: str, batch_id: str) -> None:
         """Replace a batch slice with a few driver-side rows (the run log:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import fixtures
 import pytest
+from pyspark.sql import functions as F
 
+from strata.operators.batching import write_batches
 from strata.plans.prepare import prepare_batches
 from strata.plans.run import list_batches, run_batch
 from strata.sources.lake import Lake
@@ -41,3 +43,18 @@ def test_a_dump_without_months_is_an_error(spark, tmp_path):
         prepare_batches(spark, raw, str(tmp_path / "batches"))
     with pytest.raises(ValueError, match="holds no"):
         prepare_batches(spark, str(tmp_path / "nowhere"), str(tmp_path / "batches"))
+
+
+def test_files_follow_the_size_of_the_months(spark, tmp_path):
+    month = F.when(F.col("id") % 3 == 0, "2017-01").otherwise(F.concat(F.lit("2018-"), F.lpad((F.col("id") % 10).cast("string"), 2, "0")))
+    rows = spark.range(0, 60_000, 1, 40).select(month.alias("batch_id"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "512KB")
+        write_batches(rows, str(tmp_path / "out"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    files = {p.name: len(list(p.glob("part-*"))) for p in (tmp_path / "out").glob("batch_id=*")}
+    assert len(files) == 11 and 2 <= files["batch_id=2017-01"] <= 8  # a third of the rows: split, but not by the 40 tasks
+    assert max(files.values()) <= 8 and sum(files.values()) <= 40  # tasks times months: 440
+    assert spark.read.option("header", True).csv(str(tmp_path / "out")).distinct().count() == 60_000

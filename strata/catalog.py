@@ -199,14 +199,10 @@ def q_fact_order_items(spark: SparkSession, d: str) -> DataFrame:
     return fact_items(spark, d)
 
 
-ORPHAN_CUTOFF = "2001-01-01"  # orders loaded so far: bought before this day
-
-
 def q_orphan_items(spark: SparkSession, d: str) -> DataFrame:
-    """Items whose order has not been loaded (orders bought from 2001 on
-    are not in the parent load yet)."""
-    orders = clean(spark, d, "order").filter(F.col("purchase_ts") < F.lit(ORPHAN_CUTOFF).cast("timestamp"))
-    return facts.orphan_items(clean(spark, d, "order_item"), orders).select("order_id", "order_item_id", "product_id")
+    """Items whose order is not in silver (it was rejected, or never came)."""
+    orphans = facts.orphan_items(clean(spark, d, "order_item"), clean(spark, d, "order"))
+    return orphans.select("order_id", "order_item_id", "product_id")
 
 
 def q_fact_payments(spark: SparkSession, d: str) -> DataFrame:
@@ -252,14 +248,14 @@ def ltv_for_check(ltv: DataFrame) -> DataFrame:
 
 
 def q_incremental_aggregates(spark: SparkSession, d: str) -> DataFrame:
-    """Daily sales kept up to date incrementally: the aggregate of the
-    facts before the change batch, refreshed for the days the later facts
-    touch, equals a full rebuild."""
+    """Daily sales kept up to date incrementally: the aggregate of what was
+    delivered before the change batch, refreshed for the days that the other
+    facts touch (most of them days it has already), equals a full rebuild."""
     # read three times below: computed once into the checkpoint folder
     fact = cut_lineage(spark, fact_items(spark, d))
     split_key = int(td.CHANGE_START[:10].replace("-", ""))
-    old = fact.filter(F.col("purchase_date_key") < split_key)
-    new_rows = fact.filter(F.col("purchase_date_key") >= split_key)
+    was_there = F.coalesce(F.col("delivered_date_key") < split_key, F.lit(False))
+    old, new_rows = fact.filter(was_there), fact.filter(~was_there)
     agg_old = aggs.agg_daily_sales(old)
     touched = aggs.touched_groups(old, new_rows, "purchase_date_key")
     return daily_for_check(aggs.refresh(agg_old, fact, touched, "purchase_date_key", aggs.agg_daily_sales))
@@ -351,7 +347,9 @@ def q_dq_log(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_batch_health(spark: SparkSession, d: str) -> DataFrame:
-    return reports.batch_health(silver_counts(spark, d))
+    """The run log of the loaded lake: bronze, silver and gold lines of every
+    batch in logging order."""
+    return reports.batch_health(loaded_lake(spark, d).read("ops", "dq_log"))
 
 
 def q_split_orders_by_month(spark: SparkSession, d: str) -> DataFrame:

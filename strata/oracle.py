@@ -8,23 +8,28 @@ statement includes the ones it needs. Averages are written as
 
 from __future__ import annotations
 
-from strata.functions.keys import HASH_NULL_TEXT, HASH_SEPARATOR
-from strata.plans.conform import (
-    REASON_OUTSIDE,
-    RULE_CUSTOMER,
-    RULE_INSIDE,
-    RULE_ORDER,
-    RULE_ORDER_ITEM,
-    RULE_PAYMENT,
-    RULE_PRODUCT,
-    RULE_REVIEW,
-    RULE_SELLER,
-    RULE_ZIP,
-    RULE_CATEGORY,
-)
-from strata.plans.dims import PRODUCT_TRACKED
 from strata.sources import testdata as td
 
+# Fixed values, written out here and not taken from the engine, so that a
+# wrong rule there shows as a difference.
+RULE_CATEGORY = "category_pt IS NOT NULL"
+RULE_CUSTOMER = "customer_id IS NOT NULL AND customer_unique_id IS NOT NULL"
+RULE_SELLER = "seller_id IS NOT NULL"
+REASON_OUTSIDE = "coordinates outside Brazil"
+RULE_INSIDE = "lat BETWEEN -34 AND 6 AND lng BETWEEN -74 AND -34"
+RULE_ZIP = "zip_prefix IS NOT NULL"
+RULE_PRODUCT = "product_id IS NOT NULL AND (weight_g IS NULL OR weight_g >= 0)"
+RULE_ORDER = "order_id IS NOT NULL AND customer_id IS NOT NULL AND purchase_ts IS NOT NULL"
+RULE_ORDER_ITEM = (
+    "order_id IS NOT NULL AND order_item_id IS NOT NULL AND product_id IS NOT NULL "
+    "AND seller_id IS NOT NULL AND price >= 0 AND freight_value >= 0"
+)
+RULE_PAYMENT = "order_id IS NOT NULL AND payment_sequential IS NOT NULL AND payment_value >= 0"
+RULE_REVIEW = "review_id IS NOT NULL AND order_id IS NOT NULL AND review_score BETWEEN 1 AND 5"
+PRODUCT_TRACKED = ["category_pt", "category_en", "weight_g", "length_cm", "height_cm", "width_cm"]
+HASH_SEPARATOR = "||"
+HASH_NULL_TEXT = "<null>"
+
 
 def initcap(x: str) -> str:
     """Spark's ``initcap``: lower-case, then capitalise after each space."""
@@ -56,7 +61,7 @@ CTE["places"] = """places AS (
   FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey)"""
 
 CTE["cust_t"] = f"""cust_t AS (
-  SELECT CAST(c.c_custkey AS VARCHAR) AS customer_id, c.c_name AS customer_unique_id,
+  SELECT CAST(c.c_custkey AS VARCHAR) AS customer_id, CASE WHEN c.c_acctbal >= {td.POOR} THEN 'person-' || CAST(c.c_custkey // 2 AS VARCHAR) END AS customer_unique_id,
          lpad(CAST(c.c_nationkey AS VARCHAR), 5, '0') AS zip_prefix,
          {initcap('trim(p.city_raw)')} AS city, upper(trim(p.state_raw)) AS state
   FROM customer c LEFT JOIN places p ON c.c_nationkey = p.n_nationkey)"""
@@ -64,23 +69,24 @@ CTE["cust_c"] = f"""cust_c AS ({dedupe(f"(SELECT * FROM cust_t WHERE coalesce({R
                                       desc("customer_unique_id", "zip_prefix", "city", "state"))})"""
 
 CTE["sell_t"] = f"""sell_t AS (
-  SELECT CAST(s.s_suppkey AS VARCHAR) AS seller_id, lpad(CAST(s.s_nationkey AS VARCHAR), 5, '0') AS zip_prefix,
+  SELECT s.id AS seller_id, lpad(CAST(s.s_nationkey AS VARCHAR), 5, '0') AS zip_prefix,
          {initcap('trim(p.city_raw)')} AS city, upper(trim(p.state_raw)) AS state
-  FROM supplier s LEFT JOIN places p ON s.s_nationkey = p.n_nationkey)"""
+  FROM (SELECT CAST(s_suppkey AS VARCHAR) AS id, s_nationkey FROM supplier
+        UNION ALL SELECT NULL, s_nationkey FROM supplier WHERE s_acctbal < 0) s LEFT JOIN places p ON s.s_nationkey = p.n_nationkey)"""
 CTE["sell_c"] = f"""sell_c AS ({dedupe(f"(SELECT * FROM sell_t WHERE coalesce({RULE_SELLER}, false))", "seller_id",
                                       desc("zip_prefix", "city", "state"))})"""
 
 CTE["geo_tag"] = f"""geo_tag AS (
   SELECT *, CASE WHEN NOT coalesce({RULE_INSIDE}, false) THEN '{REASON_OUTSIDE}'
                  WHEN NOT coalesce({RULE_ZIP}, false) THEN '{RULE_ZIP}' END AS _reject_reason
-  FROM (SELECT lpad(CAST(user_id AS VARCHAR), 5, '0') AS zip_prefix,
+  FROM (SELECT CASE WHEN NOT (event_type = 'error' AND value < {td.SMALL_EVENT}) THEN lpad(CAST(user_id AS VARCHAR), 5, '0') END AS zip_prefix,
                floor(value) / 4 - 30 AS lat, -40 - floor(value) / 8 AS lng FROM events))"""
 CTE["geo_c"] = """geo_c AS (
   SELECT zip_prefix, sum(lat) / count(lat) AS lat, sum(lng) / count(lng) AS lng, count(*) AS n_points
   FROM geo_tag WHERE _reject_reason IS NULL GROUP BY zip_prefix)"""
 
 CTE["tr"] = f"""tr AS (
-  SELECT DISTINCT p_type AS category_pt, lower(p_type) AS category_en FROM part WHERE p_type <> '{td.UNTRANSLATED}')"""
+  SELECT DISTINCT CASE WHEN p_type <> '{td.UNTRANSLATED}' THEN p_type END AS category_pt, lower(p_type) AS category_en FROM part)"""
 CTE["tr_c"] = f"""tr_c AS (SELECT * FROM tr WHERE coalesce({RULE_CATEGORY}, false))"""
 
 
@@ -93,11 +99,12 @@ def _product_select(cat: str, weight: str, photos: str) -> str:
          CAST(length(p.p_type) AS INTEGER) AS height_cm, CAST(length(p.p_brand) AS INTEGER) AS width_cm"""
 
 
+_WEIGHT1 = f"CASE WHEN p.p_size = {td.BAD_SIZE} THEN -p.p_retailprice ELSE p.p_retailprice END"
 CTE["p1_t"] = f"""p1_t AS (
-  SELECT {_product_select('p.p_type', 'p.p_retailprice', 'length(p.p_brand) - 6')}
+  SELECT {_product_select('p.p_type', _WEIGHT1, 'length(p.p_brand) - 6')}
   FROM part p LEFT JOIN tr_c ON p.p_type = tr_c.category_pt WHERE p.p_size < {td.NEW_PRODUCT_MIN_SIZE})"""
 CTE["pa_t"] = f"""pa_t AS (
-  SELECT {_product_select('p.p_type', 'p.p_retailprice', 'length(p.p_brand) - 6')}
+  SELECT {_product_select('p.p_type', _WEIGHT1, 'length(p.p_brand) - 6')}
   FROM part p LEFT JOIN tr_c ON p.p_type = tr_c.category_pt)"""
 _RED = "starts_with(p.p_name, 'red')"
 _BLUE = "starts_with(p.p_name, 'blue')"
@@ -132,12 +139,12 @@ CTE["dim"] = f"""dim AS (
     SELECT {_ATTRS}, {CHANGE_TS} AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to, true AS is_current
     FROM cls WHERE change IN ('new', 'changed')))"""
 
-CTE["ord_t"] = """ord_t AS (
-  SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
+CTE["ord_t"] = f"""ord_t AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CASE WHEN o_totalprice >= {td.SMALL_ORDER} THEN CAST(o_custkey AS VARCHAR) END AS customer_id,
          lower(trim(o_orderstatus)) AS order_status,
-         o_orderdate AS purchase_ts, o_orderdate + INTERVAL 1 DAY AS approved_ts,
+         o_orderdate AS purchase_ts, o_orderdate + to_days(CASE WHEN o_orderstatus = 'P' THEN -1 ELSE 1 END) AS approved_ts,
          CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + INTERVAL 2 DAY END AS delivered_carrier_ts,
-         CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + to_days(2 * TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER))
+         CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + to_days(2 * TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER) - CASE WHEN o_totalprice > {td.GREAT_ORDER} THEN 20 ELSE 0 END)
               + INTERVAL 10 HOUR END AS delivered_customer_ts,
          o_orderdate + INTERVAL 6 DAY AS estimated_delivery_ts
   FROM orders)"""
@@ -145,19 +152,19 @@ CTE["ord_c"] = f"""ord_c AS ({dedupe(f"(SELECT * FROM ord_t WHERE coalesce({RULE
                                     desc("purchase_ts", "customer_id", "order_status", "approved_ts",
                                          "delivered_carrier_ts", "delivered_customer_ts", "estimated_delivery_ts"))})"""
 
-CTE["item_t"] = """item_t AS (
+CTE["item_t"] = f"""item_t AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber AS order_item_id, CAST(l_partkey AS VARCHAR) AS product_id,
          CAST(l_suppkey AS VARCHAR) AS seller_id, l_shipdate AS shipping_limit_ts,
-         CAST(l_extendedprice AS DECIMAL(12,2)) AS price, CAST(l_quantity AS DECIMAL(12,2)) AS freight_value
+         CAST(CASE WHEN l_returnflag = 'R' AND l_quantity = {td.BAD_QUANTITY} THEN -l_extendedprice ELSE l_extendedprice END AS DECIMAL(12,2)) AS price, CAST(l_quantity AS DECIMAL(12,2)) AS freight_value
   FROM lineitem)"""
 CTE["item_c"] = f"""item_c AS ({dedupe(f"(SELECT * FROM item_t WHERE coalesce({RULE_ORDER_ITEM}, false))",
                                       "order_id, order_item_id",
                                       desc("shipping_limit_ts", "product_id", "seller_id", "price", "freight_value"))})"""
 
-CTE["pay_t"] = """pay_t AS (
+CTE["pay_t"] = f"""pay_t AS (
   SELECT CAST(user_id AS VARCHAR) AS order_id, CAST(event_id AS INTEGER) AS payment_sequential,
          lower(trim(upper(event_type))) AS payment_type, CAST(ceil(value / 50) AS INTEGER) AS payment_installments,
-         CAST(value AS DECIMAL(12,2)) AS payment_value
+         CAST(CASE WHEN value < {td.SMALL_EVENT} THEN -value ELSE value END AS DECIMAL(12,2)) AS payment_value
   FROM events WHERE event_type = 'purchase')"""
 CTE["pay_c"] = f"""pay_c AS ({dedupe(f"(SELECT * FROM pay_t WHERE coalesce({RULE_PAYMENT}, false))",
                                     "order_id, payment_sequential",
@@ -267,6 +274,54 @@ _SILVER_COUNTS = (
     )
 )
 
+
+
+def _coarse(month: str) -> str:
+    """The batch of the loaded lake that holds a month."""
+    first, second, third = td.COARSE
+    return f"CASE WHEN {month} >= '{third}' THEN '{third}' WHEN {month} >= '{second}' THEN '{second}' ELSE '{first}' END"
+
+
+def _run_log() -> str:
+    """What the lake's run log must say: three batches, the first one run
+    again after the others (so its facts are all that its customers reach)."""
+    first, change = td.COARSE[0], td.CHANGE_BATCH
+    rows = {  # silver table: source, rows with their batch, rule, key
+        "category_translation": ("category_translation", f"SELECT *, '{first}' AS batch_id FROM tr", RULE_CATEGORY, "category_pt"),
+        "customer": ("customers", f"SELECT *, '{first}' AS batch_id FROM cust_t", RULE_CUSTOMER, "customer_id"),
+        "seller": ("sellers", f"SELECT *, '{first}' AS batch_id FROM sell_t", RULE_SELLER, "seller_id"),
+        "geolocation": ("geolocation", f"SELECT *, '{first}' AS batch_id FROM geo_tag", "_reject_reason IS NULL", "zip_prefix"),
+        "product": ("products", f"SELECT *, '{first}' AS batch_id FROM p1_t UNION ALL SELECT *, '{change}' FROM p2_t", RULE_PRODUCT, "product_id"),
+        "order": (
+            "orders",
+            f"SELECT *, {_coarse("strftime(purchase_ts, '%Y-%m')")} AS batch_id FROM ord_t WHERE purchase_ts IS NOT NULL",
+            RULE_ORDER,
+            "order_id",
+        ),
+        "order_item": ("order_items", "SELECT * FROM item_t JOIN home USING (order_id)", RULE_ORDER_ITEM, "(order_id, order_item_id)"),
+        "order_payment": ("order_payments", "SELECT * FROM pay_t JOIN home USING (order_id)", RULE_PAYMENT, "(order_id, payment_sequential)"),
+        "order_review": ("order_reviews", "SELECT * FROM rev_t JOIN home USING (order_id)", RULE_REVIEW, "(review_id, order_id)"),
+    }
+    parts = []
+    for tbl, (source, src, rule, key) in rows.items():
+        parts.append(f"SELECT batch_id, 'bronze' AS layer, '{source}' AS tbl, count(*) AS rows_in, count(*) AS rows_out, 0 AS rows_quarantined FROM ({src}) GROUP BY batch_id")
+        parts.append(
+            f"SELECT batch_id, 'silver', '{tbl}', count(*), count(DISTINCT {key}) FILTER (WHERE {rule}), "
+            f"count(*) FILTER (WHERE NOT coalesce({rule}, false)) FROM ({src}) GROUP BY batch_id"
+        )
+    for fact, silver, dropped in (("fact_order_items", "item_c", "k.order_id IS NULL"), ("fact_payments", "pay_c", "false")):
+        src = (
+            f"SELECT home.batch_id, {dropped} AS gone FROM {silver} i JOIN home USING (order_id) LEFT JOIN oc k USING (order_id) WHERE home.batch_id <> '{first}' "
+            f"UNION ALL SELECT '{first}', {dropped} FROM {silver} i JOIN home USING (order_id) LEFT JOIN oc k USING (order_id) "
+            f"WHERE home.batch_id = '{first}' OR k.customer_id IN (SELECT customer_id FROM cust_c)"
+        )
+        parts.append(f"SELECT batch_id, 'gold', '{fact}', count(*), count(*) FILTER (WHERE NOT gone), count(*) FILTER (WHERE gone) FROM ({src}) GROUP BY batch_id")
+    parts.append("SELECT batch_id, 'gold', 'fact_reviews', count(*), count(*), 0 FROM rev_c JOIN home USING (order_id) GROUP BY batch_id")
+    parts.append(f"SELECT '{change}', 'gold', 'dim_product', count(*), count(*), 0 FROM p2")
+    home = f", home AS (SELECT order_id, {_coarse('max(batch_id)')} AS batch_id FROM months GROUP BY order_id)\n"
+    return with_("months", "tr", "sell_t", "geo_tag", "p1_t", "p2", "rev_c", "pay_c", "item_c", "oc") + home + "\nUNION ALL\n".join(parts)
+
+
 SQL: dict[str, str] = {
     "bronze_ingest": f"""SELECT CAST(COLUMNS(* EXCLUDE (c_name)) AS VARCHAR), 'say "' || c_name || '", so' AS c_name,
   '{td.FIRST_BATCH}' AS _batch_id, true AS audited FROM customer""",
@@ -313,7 +368,7 @@ FROM sell_c s LEFT JOIN geo_c g ON s.zip_prefix = g.zip_prefix""",
     "fact_order_items": with_("foi") + "SELECT * REPLACE (CAST(price AS DOUBLE) AS price, CAST(freight_value AS DOUBLE) AS freight_value, CAST(item_total AS DOUBLE) AS item_total) FROM foi",
     "orphan_items": with_("item_c", "ord_c")
     + """SELECT i.order_id, i.order_item_id, i.product_id FROM item_c i
-WHERE NOT EXISTS (SELECT 1 FROM ord_c o WHERE o.order_id = i.order_id AND o.purchase_ts < TIMESTAMP '2001-01-01')""",
+WHERE NOT EXISTS (SELECT 1 FROM ord_c o WHERE o.order_id = i.order_id)""",
     "fact_payments": with_("pay_c", "oc")
     + f"""SELECT p.order_id, p.payment_sequential, oc.customer_unique_id, {ymd('oc.purchase_ts')} AS purchase_date_key,
   p.payment_type, p.payment_installments, CAST(p.payment_value AS DOUBLE) AS payment_value
@@ -363,7 +418,7 @@ GROUP BY d.category_en ORDER BY revenue DESC, d.category_en LIMIT 10""",
     + """SELECT product_id, category_en, weight_g, effective_from, effective_to, is_current FROM dim
 WHERE product_id IN (SELECT product_id FROM dim GROUP BY 1 HAVING count(*) > 1)
 ORDER BY product_id, effective_from LIMIT 20""",
-    "batch_health": _SILVER_COUNTS,
+    "batch_health": _run_log(),
     "dq_log": _SILVER_COUNTS,
     "split_orders_by_month": with_("months") + "SELECT order_id, batch_id FROM months",
     "orders_per_month": with_("months") + "SELECT batch_id, count(*) AS orders FROM months GROUP BY batch_id",
@@ -373,12 +428,12 @@ ORDER BY product_id, effective_from LIMIT 20""",
   UNION ALL SELECT 'order_payments', CAST(user_id AS VARCHAR), CAST(event_id AS VARCHAR) FROM events WHERE event_type = 'purchase'
   UNION ALL SELECT 'order_reviews', CAST(user_id AS VARCHAR), CAST(CAST(floor(event_id / 2) AS BIGINT) AS VARCHAR) FROM events WHERE event_type <> 'purchase')
 SELECT c.*, m.batch_id FROM c JOIN (SELECT order_id, max(batch_id) AS batch_id FROM months GROUP BY order_id) m USING (order_id)""",
-    "assign_reference_batch": with_("months", "tr")
-    + """, r AS (
+    "assign_reference_batch": with_("months", "tr", "sell_t")
+    + f""", r AS (
   SELECT 'customers' AS source, CAST(c_custkey AS VARCHAR) AS id FROM customer
-  UNION ALL SELECT 'sellers', CAST(s_suppkey AS VARCHAR) FROM supplier
+  UNION ALL SELECT 'sellers', seller_id FROM sell_t
   UNION ALL SELECT 'products', CAST(p_partkey AS VARCHAR) FROM part
-  UNION ALL SELECT 'geolocation', CAST(user_id AS VARCHAR) FROM events
+  UNION ALL SELECT 'geolocation', CASE WHEN NOT (event_type = 'error' AND value < {td.SMALL_EVENT}) THEN CAST(user_id AS VARCHAR) END FROM events
   UNION ALL SELECT 'category_translation', category_pt FROM tr)
 SELECT r.*, (SELECT min(batch_id) FROM months) AS batch_id FROM r""",
     "surrogate_keys": with_("foi", "cust_c", "sell_c")

@@ -18,7 +18,17 @@ order_payments      events of type purchase                       order = user i
 order_reviews       events of other types                         review = event pair
 ==================  ===========================================  ==================
 
-Every frame reads whole tables; nothing is sampled or capped.
+Every frame reads whole tables; nothing is sampled or capped. Some values are
+bad on purpose, so that every rule, orphan and choice among records has rows:
+
+* two customer records are one person; poor customers lack the person
+* suppliers in debt are delivered once more without their id
+* the untranslated category's line in the lookup lacks its name
+* the first delivery of size-13 parts has a negative weight
+* small orders lack the customer (so their items and payments are orphans);
+  partial orders are approved, and great ones delivered, before the purchase
+* returned items of quantity 50 have a negative price, small payments a
+  negative value; small error events lack the zip
 """
 
 from __future__ import annotations
@@ -36,6 +46,12 @@ CHANGE_BATCH = "1998-01"
 CHANGE_START = "1998-01-01 00:00:00"
 UNTRANSLATED = "PROMO"
 NEW_PRODUCT_MIN_SIZE = 46  # parts this large first appear in the change batch
+BAD_SIZE = 13  # parts of this size weigh less than nothing at first
+POOR = -900  # customers below this balance lack the person
+SMALL_ORDER = 10000  # orders below this price lack the customer
+GREAT_ORDER = 450000  # orders above this price are delivered 20 days early
+BAD_QUANTITY = 50  # returned items of this quantity have a negative price
+SMALL_EVENT = 2  # payments below this value are negative, error points lack the zip
 TS_TEXT = "yyyy-MM-dd HH:mm:ss"
 TS_TEXT_MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -68,7 +84,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(
         j.select(
             text("c_custkey").alias("customer_id"),
-            F.col("c_name").alias("customer_unique_id"),
+            F.when(F.col("c_acctbal") >= POOR, F.concat(F.lit("person-"), text(F.floor(F.col("c_custkey") / 2)))).alias("customer_unique_id"),
             text("c_nationkey").alias("customer_zip_code_prefix"),
             F.col("_city").alias("customer_city"),
             F.col("_state").alias("customer_state"),
@@ -78,10 +94,11 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
+    s = s.withColumn("_id", F.explode(F.when(F.col("s_acctbal") < 0, F.array(text("s_suppkey"), F.lit(None))).otherwise(F.array(text("s_suppkey")))))
     j = s.join(_places(spark, sf_dir), s["s_nationkey"] == F.col("n_nationkey"), "left")
     return audit(
         j.select(
-            text("s_suppkey").alias("seller_id"),
+            F.col("_id").alias("seller_id"),
             text("s_nationkey").alias("seller_zip_code_prefix"),
             F.col("_city").alias("seller_city"),
             F.col("_state").alias("seller_state"),
@@ -97,7 +114,7 @@ def raw_geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = F.floor("value")
     return audit(
         e.select(
-            text("user_id").alias("geolocation_zip_code_prefix"),
+            F.when(~((F.col("event_type") == "error") & (F.col("value") < SMALL_EVENT)), text("user_id")).alias("geolocation_zip_code_prefix"),
             text(whole / 4 - 30).alias("geolocation_lat"),
             text(F.lit(-40) - whole / 8).alias("geolocation_lng"),
         )
@@ -109,9 +126,8 @@ def raw_category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(
         p.select("p_type")
         .distinct()
-        .filter(F.col("p_type") != UNTRANSLATED)
         .select(
-            F.col("p_type").alias("product_category_name"),
+            F.when(F.col("p_type") != UNTRANSLATED, F.col("p_type")).alias("product_category_name"),
             F.lower("p_type").alias("product_category_name_english"),
         )
     )
@@ -134,20 +150,25 @@ def _product_text(category: Column, weight: Column, photos: Column) -> list[Colu
 def raw_products_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every part; the weight text is the retail price (``'900.1'`` -> 900)."""
     p = table(spark, sf_dir, "part")
-    return audit(p.select(*_product_text(F.col("p_type"), F.col("p_retailprice"), F.length("p_brand") - 6)))
+    return audit(p.select(*_product_text(F.col("p_type"), _first_weight(), F.length("p_brand") - 6)))
+
+
+def _first_weight() -> Column:
+    return F.when(F.col("p_size") == BAD_SIZE, -F.col("p_retailprice")).otherwise(F.col("p_retailprice"))
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First delivery of the type-2 entries: the parts below the new-product
     size (the change batch brings all of them)."""
     p = table(spark, sf_dir, "part").filter(F.col("p_size") < NEW_PRODUCT_MIN_SIZE)
-    return audit(p.select(*_product_text(F.col("p_type"), F.col("p_retailprice"), F.length("p_brand") - 6)))
+    return audit(p.select(*_product_text(F.col("p_type"), _first_weight(), F.length("p_brand") - 6)))
 
 
 def raw_products_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Re-delivery of every part in the change batch: red parts move to
     the untranslated category and weigh 10% more (a tracked change), blue
-    parts get one more photo (untracked), large parts are new."""
+    parts get one more photo (untracked), large parts are new, and the weights
+    that were negative are mended."""
     p = table(spark, sf_dir, "part")
     red = F.col("p_name").startswith("red")
     blue = F.col("p_name").startswith("blue")
@@ -162,22 +183,25 @@ def _shifted(ts: Column, days: Column | int, hours: int = 0) -> Column:
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order dates from the order date and priority: approved next day,
-    handed to the carrier after 2 days, delivered after 2 x priority days
-    at 10:00, estimated after 6 days; open orders (status O) undelivered."""
+    """Order dates from the order date and priority: approved next day
+    (partial ones the day before), handed to the carrier after 2 days,
+    delivered after 2 x priority days (great ones 20 days earlier) at 10:00,
+    estimated after 6 days; open orders (status O) undelivered."""
     o = table(spark, sf_dir, "orders")
     prio = F.substring("o_orderpriority", 1, 1).try_cast("int")
     open_ = F.col("o_orderstatus") == "O"
     d = F.col("o_orderdate")
+    approved = F.when(F.col("o_orderstatus") == "P", -1).otherwise(1)
+    early = F.when(F.col("o_totalprice") > GREAT_ORDER, 20).otherwise(0)
     return audit(
         o.select(
             text("o_orderkey").alias("order_id"),
-            text("o_custkey").alias("customer_id"),
+            F.when(F.col("o_totalprice") >= SMALL_ORDER, text("o_custkey")).alias("customer_id"),
             F.col("o_orderstatus").alias("order_status"),
             F.date_format(d, TS_TEXT).alias("order_purchase_timestamp"),
-            _shifted(d, 1).alias("order_approved_at"),
+            _shifted(d, approved).alias("order_approved_at"),
             F.when(~open_, _shifted(d, 2)).alias("order_delivered_carrier_date"),
-            F.when(~open_, _shifted(d, prio * 2, 10)).alias("order_delivered_customer_date"),
+            F.when(~open_, _shifted(d, prio * 2 - early, 10)).alias("order_delivered_customer_date"),
             _shifted(d, 6).alias("order_estimated_delivery_date"),
         )
     )
@@ -185,6 +209,8 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
+    bad = (F.col("l_returnflag") == "R") & (F.col("l_quantity") == BAD_QUANTITY)
+    price = F.when(bad, -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice"))
     return audit(
         li.select(
             text("l_orderkey").alias("order_id"),
@@ -192,7 +218,7 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
             text("l_partkey").alias("product_id"),
             text("l_suppkey").alias("seller_id"),
             F.date_format("l_shipdate", TS_TEXT).alias("shipping_limit_date"),
-            text("l_extendedprice").alias("price"),
+            text(price).alias("price"),
             text("l_quantity").alias("freight_value"),
         )
     )
@@ -206,7 +232,7 @@ def raw_order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
             text("event_id").alias("payment_sequential"),
             F.upper("event_type").alias("payment_type"),
             text(F.ceil(F.col("value") / 50)).alias("payment_installments"),
-            text("value").alias("payment_value"),
+            text(F.when(F.col("value") < SMALL_EVENT, -F.col("value")).otherwise(F.col("value"))).alias("payment_value"),
         )
     )
 

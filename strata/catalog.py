@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from strata.functions.keys import date_key
 from strata.operators import batching
+from strata.operators.asof import asof_join_sliced
 from strata.operators.dedupe import latest_per_key
 from strata.operators.merge import scd2_classify, upsert, with_change_hash
 from strata.operators.quality import (
@@ -195,6 +196,28 @@ def q_asof_product_version(spark: SparkSession, d: str) -> DataFrame:
     return fact_items(spark, d).select("order_id", "order_item_id", "product_id", "product_valid_from")
 
 
+#: An item count above which ``asof_sliced`` spreads a product over months.
+HOT_ITEMS = 25
+
+
+def q_asof_sliced(spark: SparkSession, d: str) -> DataFrame:
+    """Product version of each item, with the items of frequent products
+    spread over time slices."""
+    versions = product_dims(spark, d)[1].select(F.col("product_id").alias("_p_id"), "effective_from", "effective_to")
+    orders = clean(spark, d, "order").select("order_id", "purchase_ts")
+    items = clean(spark, d, "order_item").select("order_id", "order_item_id", "product_id").join(orders, "order_id")
+    items = cut_lineage(spark, items)  # read twice: counted, then joined
+    j = asof_join_sliced(items, versions, "product_id", "_p_id", "purchase_ts", hot_rows=HOT_ITEMS)
+    return j.select("order_id", "order_item_id", "product_id", F.col("effective_from").alias("product_valid_from"))
+
+
+def q_scd2_any_order(spark: SparkSession, d: str) -> DataFrame:
+    """The product history from what every delivery said, in no order."""
+    first = clean(spark, d, "product", td.raw_products(spark, d))
+    change = clean(spark, d, "product", td.raw_products_changed(spark, d))
+    return dims.dim_product_seen(change.unionByName(first), td.FIRST_BATCH).drop("product_key")
+
+
 def q_fact_order_items(spark: SparkSession, d: str) -> DataFrame:
     return fact_items(spark, d)
 
@@ -544,6 +567,8 @@ QUERIES: dict[str, Query] = {
     "scd2_product": q_scd2_product,
     "scd2_history": q_scd2_history,
     "asof_product_version": q_asof_product_version,
+    "asof_sliced": q_asof_sliced,
+    "scd2_any_order": q_scd2_any_order,
     "fact_order_items": q_fact_order_items,
     "orphan_items": q_orphan_items,
     "fact_payments": q_fact_payments,

@@ -317,9 +317,10 @@ def _run_log() -> str:
         )
         parts.append(f"SELECT batch_id, 'gold', '{fact}', count(*), count(*) FILTER (WHERE NOT gone), count(*) FILTER (WHERE gone) FROM ({src}) GROUP BY batch_id")
     parts.append("SELECT batch_id, 'gold', 'fact_reviews', count(*), count(*), 0 FROM rev_c JOIN home USING (order_id) GROUP BY batch_id")
-    parts.append(f"SELECT '{change}', 'gold', 'dim_product', count(*), count(*), 0 FROM p2")
+    for batch, products in ((first, "p1"), (change, "p2")):
+        parts.append(f"SELECT '{batch}', 'gold', 'dim_product', count(*), count(*), 0 FROM {products}")
     home = f", home AS (SELECT order_id, {_coarse('max(batch_id)')} AS batch_id FROM months GROUP BY order_id)\n"
-    return with_("months", "tr", "sell_t", "geo_tag", "p1_t", "p2", "rev_c", "pay_c", "item_c", "oc") + home + "\nUNION ALL\n".join(parts)
+    return with_("months", "tr", "sell_t", "geo_tag", "p1", "p2", "rev_c", "pay_c", "item_c", "oc") + home + "\nUNION ALL\n".join(parts)
 
 
 SQL: dict[str, str] = {
@@ -365,6 +366,8 @@ FROM sell_c s LEFT JOIN geo_c g ON s.zip_prefix = g.zip_prefix""",
     "scd2_history": with_("dim")
     + "SELECT product_id, category_en, weight_g, effective_from, effective_to FROM dim WHERE NOT is_current",
     "asof_product_version": with_("foi") + "SELECT order_id, order_item_id, product_id, product_valid_from FROM foi",
+    "asof_sliced": with_("foi") + "SELECT order_id, order_item_id, product_id, product_valid_from FROM foi",
+    "scd2_any_order": with_("dim") + "SELECT * FROM dim",
     "fact_order_items": with_("foi") + "SELECT * REPLACE (CAST(price AS DOUBLE) AS price, CAST(freight_value AS DOUBLE) AS freight_value, CAST(item_total AS DOUBLE) AS item_total) FROM foi",
     "orphan_items": with_("item_c", "ord_c")
     + """SELECT i.order_id, i.order_item_id, i.product_id FROM item_c i

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions.keys import date_key, surrogate_key
+from strata.operators.history import versions_of
 from strata.operators.merge import INITIAL_EFFECTIVE_FROM, replace_keys, scd2_apply
+from strata.sources.specs import BATCH_ID
 
 # The product attributes kept per version, and the ones whose
 # change opens a new version (the rest are frozen at version creation).
@@ -144,6 +146,19 @@ def dim_product(dim: DataFrame | None, products: DataFrame, batch_id: str | None
     return scd2_apply(dim, product_source(products), "product_id", "product_key", PRODUCT_TRACKED, eff)
 
 
+def dim_product_seen(seen: DataFrame, first_batch: str) -> DataFrame:
+    """Type-2 product dimension from what each batch said (``_batch_id`` and
+    the product's attributes): what the first batch said is valid from the
+    start, what any other said from the batch's first day. Of two batches
+    that begin on one day the greater one counts."""
+    begins = F.when(F.col(BATCH_ID) == first_batch, F.lit(INITIAL_EFFECTIVE_FROM)).otherwise(
+        F.when(F.length(BATCH_ID) == 7, F.concat(BATCH_ID, F.lit("-01"))).otherwise(F.col(BATCH_ID))
+    )
+    said = F.max_by(F.struct(*[c for c in PRODUCT_ATTRS if c != "product_id"]), BATCH_ID)
+    per_day = seen.groupBy("product_id", begins.cast("timestamp").alias("observed_at")).agg(said.alias("said"))
+    return versions_of(per_day.select("product_id", "said.*", "observed_at"), "product_id", "product_key", PRODUCT_TRACKED)
+
+
 def unknown_product(spark: SparkSession) -> DataFrame:
     """The ``-1`` member facts point to when no version matches."""
     return spark.createDataFrame(

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.history import keys_that_differ
 from strata.operators.quality import SOFT_CHECKS, Counts, soft_check_counts
 from strata.plans import aggs, dims, facts
 from strata.plans.conform import ENTITIES
 from strata.sources.lake import BUCKET, Lake
+from strata.sources.specs import BATCH_ID
 
 SILVER_SCHEMAS = {
     "customer": "customer_id string, customer_unique_id string, zip_prefix string, city string, state string, "
@@ -80,19 +82,85 @@ def products_of(lake: Lake, batch_id: str) -> DataFrame:
     return refreshed.join(own.select("product_id"), "product_id", "left_anti").unionByName(own)
 
 
+SEEN = "seen_products"
+
+
+def observe_products(lake: Lake, batch_id: str) -> tuple[int, list[str]]:
+    """Keep what this batch says of its products (``state/seen_products``, a
+    slice per batch; products it named in an earlier run and no longer names
+    stay, as in silver). Returns the rows this run said and the batches that
+    had been seen before. A product relabelled by the batch's translations
+    counts as said by it, unless a newer batch has delivered the product."""
+    before = [d.split("=", 1)[1] for d in lake.list_dirs(lake.path("state", SEEN)) if d.startswith(f"{BATCH_ID}=")] if lake.exists("state", SEEN) else []
+    parts = []
+    own = lake.read_batch("ops", "stage_silver_product", batch_id)
+    if own is not None:
+        parts.append(own.select(*dims.PRODUCT_ATTRS))
+    relabelled = lake.read_batch("ops", "stage_product_refresh", batch_id)
+    if relabelled is not None:
+        known = [p.select("product_id") for p in parts]
+        if before:
+            known.append(lake.read("state", SEEN).filter(F.col(BATCH_ID) > batch_id).select("product_id"))
+        relabelled = relabelled.select(*dims.PRODUCT_ATTRS)
+        parts.append(relabelled.join(_union(known), "product_id", "left_anti") if known else relabelled)
+    if not parts:
+        return 0, before
+    said = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    n = lake.replace_batch(said, "ops", "stage_said_products", batch_id)
+    if not n:
+        return 0, before
+    said = lake.read_batch("ops", "stage_said_products", batch_id).select(*dims.PRODUCT_ATTRS)
+    earlier = lake.read_batch("state", SEEN, batch_id) if before else None
+    if earlier is not None:
+        said = said.unionByName(earlier.select(*dims.PRODUCT_ATTRS).join(said.select("product_id"), "product_id", "left_anti"))
+        lake.replace_batch(said, "ops", "stage_seen_products", batch_id)
+        said = lake.read_batch("ops", "stage_seen_products", batch_id).select(*dims.PRODUCT_ATTRS)
+    lake.replace_batch(said, "state", SEEN, batch_id)
+    return n, before
+
+
+def splice_products(lake: Lake, batch_id: str, before: list[str]) -> None:
+    """Bring a batch that is not the newest, or comes again, into the
+    history: the versions of its products are made anew from all that was
+    ever seen of them, so batches in any order give the same dimension. A
+    batch older than all others becomes the first one, and the versions of
+    every product are made anew, since the first one's are valid from the
+    start. Products whose intervals changed are staged: their orders' facts
+    are made anew."""
+    seen = lake.read("state", SEEN)
+    touched = seen if batch_id < min(before) else seen.filter(F.col(BATCH_ID) == batch_id)
+    lake.remember(touched.select("product_id").distinct(), "touched_seen_products", batch_id)
+    touched = lake.read_batch("ops", "touched_seen_products", batch_id).select("product_id")
+    first = min([batch_id, *before])
+    lake.set_marker(lake.path("gold", "dim_product"), "_first_batch", first)
+    fresh = dims.dim_product_seen(seen.join(touched, "product_id", "left_semi"), first)
+    old = lake.read_touched("gold", "dim_product", touched, ["product_id"]).join(touched, "product_id", "left_semi")
+    lake.remember(keys_that_differ(old, fresh, "product_id"), "touched_versions", batch_id)
+    lake.refresh_keyed(fresh, touched, "gold", "dim_product", ["product_id"])
+
+
 def build_dim_product(lake: Lake, batch_id: str) -> Counts | None:
     """Type-2 load of the products this batch delivered, reading and
     rewriting only the dimension buckets those products live in. The
-    first load also writes the unknown member (key -1). The table remembers
-    the batch of its first load, so a corrected re-run of that batch mends
-    the versions valid from the start, in place."""
+    first load also writes the unknown member (key -1). A batch newer than
+    all others is applied to the current versions; one that is older, or
+    comes again, is spliced into the history. (A dimension made before
+    observations were kept goes on without them.)"""
+    start = not lake.exists("gold", "dim_product")
+    if start or lake.exists("state", SEEN):
+        n, before = observe_products(lake, batch_id)
+        if not n:
+            return None
+        if not start and (batch_id in before or any(b > batch_id for b in before)):
+            splice_products(lake, batch_id, before)
+            return Counts(n, n, 0)
     src = products_of(lake, batch_id).select(*dims.PRODUCT_ATTRS)
     n = lake.replace_batch(src, "ops", "stage_dim_product", batch_id)
     if not n:
         return None
     src = lake.read_batch("ops", "stage_dim_product", batch_id).drop("_batch_id")
     path = lake.path("gold", "dim_product")
-    if not lake.exists("gold", "dim_product"):
+    if start:
         first = dims.dim_product(None, src, None).unionByName(dims.unknown_product(lake.spark))
         lake.replace_keyed(first, "gold", "dim_product", ["product_id"])
         lake.set_marker(path, "_first_batch", batch_id)
@@ -358,7 +426,8 @@ def build_gold(
 
     # orders whose facts this batch changes: delivered now, or placed by a
     # customer record delivered now (it may belong to another person), or
-    # (pruning) withdrawn, or with a withdrawn customer, item or payment
+    # with a product whose versions were spliced anew (the only look at all
+    # items), or (pruning) withdrawn, or with a withdrawn customer, item or payment
     def gone(entity: str, col: str) -> DataFrame | None:
         rows = lake.read_batch("ops", f"gone_{entity}", batch_id) if prune else None
         return None if rows is None else rows.select(col)
@@ -367,6 +436,8 @@ def build_gold(
     buyers = [None if own_customers is None else delivered(lake, "customer", batch_id).select("customer_id"), gone("customer", "customer_id")]
     parts = [own_orders.select("order_id"), gone("order", "order_id"), gone("order_item", "order_id"), gone("order_payment", "order_id")]
     parts += [orders.join(b, "customer_id", "left_semi").select("order_id") for b in buyers if b is not None]
+    if (spliced := lake.read_batch("ops", "touched_versions", batch_id)) is not None:
+        parts.append(silver(lake, "order_item").join(spliced.select("product_id"), "product_id", "left_semi").select("order_id"))
     lake.replace_batch(_union([p for p in parts if p is not None]), "ops", "stage_orders", batch_id)
     touched = lake.read_batch("ops", "stage_orders", batch_id)
     touched = (orders.limit(0) if touched is None else touched).select("order_id")

@@ -34,7 +34,7 @@ from strata.operators.quality import (
 from strata.plans import aggs, dims, facts, reports
 from strata.plans.conform import ENTITIES, collapse_geolocation
 from strata.plans.run import run_batch
-from strata.session import configure, cut_lineage, shared_dir
+from strata.session import configure, cut_lineage, shared_dir, together
 from strata.sources import testdata as td
 from strata.sources.csv import read_raw
 from strata.sources.lake import Lake
@@ -473,10 +473,13 @@ def loaded_lake(spark: SparkSession, d: str) -> Lake:
     if key not in LOADED:
         root = scratch(spark, "lake")
         lake = Lake(spark, f"{root}/lake", buckets=4)
-        for wrong in (True, False):
-            td.write_test_batches(spark, d, f"{root}/{'wrong' if wrong else 'right'}", coarse=True, wrong=wrong)
         first = td.COARSE[0]
-        run_batch(lake, f"{root}/wrong", first)
+
+        def wrong_first() -> None:
+            td.write_test_batches(spark, d, f"{root}/wrong", coarse=True, wrong=True)
+            run_batch(lake, f"{root}/wrong", first)
+
+        together(spark, [wrong_first, lambda: td.write_test_batches(spark, d, f"{root}/right", coarse=True)])
         for b in td.COARSE[1:]:
             run_batch(lake, f"{root}/right", b)
         run_batch(lake, f"{root}/right", first, prune=True)  # some reviews were only valid with the wrong score

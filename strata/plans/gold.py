@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from strata.operators.history import keys_that_differ
 from strata.operators.quality import SOFT_CHECKS, Counts, soft_check_counts
 from strata.plans import aggs, dims, facts
 from strata.plans.conform import ENTITIES
+from strata.session import together
 from strata.sources.lake import BUCKET, Lake
 from strata.sources.specs import BATCH_ID
 
@@ -197,16 +200,19 @@ def refresh_aggregates(lake: Lake, batch_id: str) -> None:
     repeated, so a run that broke off is brought to its end before the next
     deltas are taken. The first build sums up the whole fact.
     """
-    for agg in aggs.AGGREGATES:
+
+    def refresh(agg: aggs.Aggregate) -> None:
         if not lake.exists("state", f"part_{agg.table}"):
             build_aggregate(lake, agg)
-            continue
+            return
         replace_state(lake, agg)
         orders = lake.read_batch("ops", "touched_fact_orders", batch_id)
         if orders is not None:
             stage_state(lake, agg, orders.select("order_id"), batch_id)
             replace_state(lake, agg)
 
+    together(lake.spark, [partial(refresh, agg) for agg in aggs.AGGREGATES])
+
 
 def build_aggregate(lake: Lake, agg: aggs.Aggregate) -> None:
     fact = lake.read_buckets("gold", "fact_order_items")
@@ -404,82 +410,92 @@ def build_gold(
     not rebuilt (None: rebuild all). The calendar follows the data unless
     ``date_range`` gives its first and last day."""
     spark = lake.spark
-    counts: dict[str, Counts] = {}
 
     def stale(dim: str) -> bool:
         return changed is None or bool(DIM_INPUTS[dim] & changed) or not lake.exists("gold", dim)
 
     customers, orders, geo = silver(lake, "customer"), silver(lake, "order"), silver(lake, "geolocation")
     own_orders = delivered(lake, "order", batch_id)
-    build_dim_date(lake, own_orders, date_range)
-    if stale("dim_customer"):
-        build_dim_customer(lake, batch_id, customers, orders, geo)
-    if stale("dim_seller"):
-        build_dim_seller(lake, batch_id, silver(lake, "seller"), geo)
-
-    c = build_dim_product(lake, batch_id)
-    if c is not None:
-        counts["dim_product"] = c
-    products = lake.read("gold", "dim_product")
-    if products is None:
-        products = dims.unknown_product(spark).filter(F.lit(False))
-
-    # orders whose facts this batch changes: delivered now, or placed by a
-    # customer record delivered now (it may belong to another person), or
-    # with a product whose versions were spliced anew (the only look at all
-    # items), or (pruning) withdrawn, or with a withdrawn customer, item or payment
+
     def gone(entity: str, col: str) -> DataFrame | None:
         rows = lake.read_batch("ops", f"gone_{entity}", batch_id) if prune else None
         return None if rows is None else rows.select(col)
 
-    own_customers = lake.read_batch("ops", "stage_silver_customer", batch_id)  # without any, no scan of the orders
-    buyers = [None if own_customers is None else delivered(lake, "customer", batch_id).select("customer_id"), gone("customer", "customer_id")]
-    parts = [own_orders.select("order_id"), gone("order", "order_id"), gone("order_item", "order_id"), gone("order_payment", "order_id")]
-    parts += [orders.join(b, "customer_id", "left_semi").select("order_id") for b in buyers if b is not None]
-    if (spliced := lake.read_batch("ops", "touched_versions", batch_id)) is not None:
-        parts.append(silver(lake, "order_item").join(spliced.select("product_id"), "product_id", "left_semi").select("order_id"))
-    lake.replace_batch(_union([p for p in parts if p is not None]), "ops", "stage_orders", batch_id)
-    touched = lake.read_batch("ops", "stage_orders", batch_id)
-    touched = (orders.limit(0) if touched is None else touched).select("order_id")
-
-    # the batch's items are gathered once; orders and customers are narrowed
-    # to them before they are joined
-    n_items = lake.replace_batch(with_batch_rows(lake, "order_item", touched, batch_id).withColumnRenamed("_batch_id", "_version"), "ops", "stage_items", batch_id)
-    staged, n_out = None, 0
-    if n_items:
-        items = lake.read_batch("ops", "stage_items", batch_id).drop("_batch_id")
-        near_orders = narrowed(lake, "order", items.select("order_id"))
-        near_customers = narrowed(lake, "customer", near_orders.select("customer_id"))
-        n_out = lake.replace_batch(
-            facts.fact_order_items(items, near_orders, near_customers, products), "ops", "stage_fact_order_items", batch_id
-        )
-        staged = lake.read_batch("ops", "stage_fact_order_items", batch_id)
-        log_soft_checks(lake, items, near_orders, batch_id)
-        counts["fact_order_items"] = Counts(n_items, n_out, n_items - n_out)  # inner join on a key: the rest are orphans
-    gone_facts = stage_gone_facts(lake, "fact_order_items", staged, touched, ITEM_KEYS, batch_id) if prune else None
-    if staged is not None or gone_facts is not None:
-        stage_fact_orders(lake, staged, gone_facts, batch_id)
-        if staged is not None:
-            lake.upsert_keyed(staged, "gold", "fact_order_items", ITEM_KEYS, label_col="_batch_id")
-        delete_gone_facts(lake, "fact_order_items", gone_facts, ITEM_KEYS)
-        refresh_aggregates(lake, batch_id)
-
-    payments = with_batch_rows(lake, "order_payment", touched, batch_id)
-    near_orders = narrowed(lake, "order", payments.select("order_id"))
-    near_customers = narrowed(lake, "customer", near_orders.select("customer_id"))
-    staged_facts = [
-        ("fact_payments", facts.fact_payments(payments, near_orders, near_customers), ["order_id", "payment_sequential"]),
-        ("fact_reviews", facts.fact_reviews(delivered(lake, "order_review", batch_id)), ["review_id", "order_id"]),
-    ]
-    for table, fact, keys in staged_facts:
+    def touched_orders() -> DataFrame:
+        # orders whose facts this batch changes: delivered now, or placed by a
+        # customer record delivered now (it may belong to another person), or
+        # with a product whose versions were spliced anew (the only look at all
+        # items), or (pruning) withdrawn, or with a withdrawn customer, item or payment
+        own_customers = lake.read_batch("ops", "stage_silver_customer", batch_id)  # without any, no scan of the orders
+        buyers = [None if own_customers is None else delivered(lake, "customer", batch_id).select("customer_id"), gone("customer", "customer_id")]
+        parts = [own_orders.select("order_id"), gone("order", "order_id"), gone("order_item", "order_id"), gone("order_payment", "order_id")]
+        parts += [orders.join(b, "customer_id", "left_semi").select("order_id") for b in buyers if b is not None]
+        if (spliced := lake.read_batch("ops", "touched_versions", batch_id)) is not None:
+            parts.append(silver(lake, "order_item").join(spliced.select("product_id"), "product_id", "left_semi").select("order_id"))
+        lake.replace_batch(_union([p for p in parts if p is not None]), "ops", "stage_orders", batch_id)
+        touched = lake.read_batch("ops", "stage_orders", batch_id)
+        return (orders.limit(0) if touched is None else touched).select("order_id")
+
+    def item_fact(touched: DataFrame) -> dict[str, Counts]:
+        # the batch's items are gathered once; orders and customers are narrowed
+        # to them before they are joined
+        counts = {}
+        products = lake.read("gold", "dim_product")
+        if products is None:
+            products = dims.unknown_product(spark).filter(F.lit(False))
+        n_items = lake.replace_batch(with_batch_rows(lake, "order_item", touched, batch_id).withColumnRenamed("_batch_id", "_version"), "ops", "stage_items", batch_id)
+        staged, n_out = None, 0
+        if n_items:
+            items = lake.read_batch("ops", "stage_items", batch_id).drop("_batch_id")
+            near_orders = narrowed(lake, "order", items.select("order_id"))
+            near_customers = narrowed(lake, "customer", near_orders.select("customer_id"))
+            fact = facts.fact_order_items(items, near_orders, near_customers, products)
+            n_out, _ = together(
+                spark,
+                [partial(lake.replace_batch, fact, "ops", "stage_fact_order_items", batch_id), partial(log_soft_checks, lake, items, near_orders, batch_id)],
+            )
+            staged = lake.read_batch("ops", "stage_fact_order_items", batch_id)
+            counts["fact_order_items"] = Counts(n_items, n_out, n_items - n_out)  # inner join on a key: the rest are orphans
+        gone_facts = stage_gone_facts(lake, "fact_order_items", staged, touched, ITEM_KEYS, batch_id) if prune else None
+        if staged is not None or gone_facts is not None:
+            stage_fact_orders(lake, staged, gone_facts, batch_id)
+            if staged is not None:
+                lake.upsert_keyed(staged, "gold", "fact_order_items", ITEM_KEYS, label_col="_batch_id")
+            delete_gone_facts(lake, "fact_order_items", gone_facts, ITEM_KEYS)
+            refresh_aggregates(lake, batch_id)
+        return counts
+
+    def other_fact(table: str, entity: str, fact: DataFrame) -> dict[str, Counts]:
         # computed once into a staging slice, then upserted from it; facts
         # are made from guarded silver, so they need no version of their own
+        keys = list(ENTITIES[entity].keys)
         n = lake.replace_batch(fact, "ops", f"stage_{table}", batch_id)
         if n:
-            staged = lake.read_batch("ops", f"stage_{table}", batch_id)
-            lake.upsert_keyed(staged, "gold", table, keys, label_col="_batch_id")
-            counts[table] = Counts(n, n, 0)
-    if prune:
-        for table, entity, keys in (("fact_payments", "order_payment", ["order_id", "payment_sequential"]), ("fact_reviews", "order_review", ["review_id", "order_id"])):
+            lake.upsert_keyed(lake.read_batch("ops", f"stage_{table}", batch_id), "gold", table, keys, label_col="_batch_id")
+        if prune:
             delete_gone_facts(lake, table, lake.read_batch("ops", f"gone_{entity}", batch_id), keys)
-    return counts
+        return {table: Counts(n, n, 0)} if n else {}
+
+    def payment_fact(touched: DataFrame) -> dict[str, Counts]:
+        payments = with_batch_rows(lake, "order_payment", touched, batch_id)
+        near_orders = narrowed(lake, "order", payments.select("order_id"))
+        near_customers = narrowed(lake, "customer", near_orders.select("customer_id"))
+        return other_fact("fact_payments", "order_payment", facts.fact_payments(payments, near_orders, near_customers))
+
+    def review_fact() -> dict[str, Counts]:
+        return other_fact("fact_reviews", "order_review", facts.fact_reviews(delivered(lake, "order_review", batch_id)))
+
+    def product_and_order_facts() -> dict[str, Counts]:
+        c = build_dim_product(lake, batch_id)
+        touched = touched_orders()
+        items, payments = together(spark, [partial(item_fact, touched), partial(payment_fact, touched)])
+        return ({} if c is None else {"dim_product": c}) | items | payments
+
+    # what does not need another's tables is built side by side
+    steps = [product_and_order_facts, review_fact, partial(build_dim_date, lake, own_orders, date_range)]
+    if stale("dim_customer"):
+        steps.append(partial(build_dim_customer, lake, batch_id, customers, orders, geo))
+    if stale("dim_seller"):
+        steps.append(partial(build_dim_seller, lake, batch_id, silver(lake, "seller"), geo))
+    order_counts, review_counts, *_ = together(spark, steps)
+    return order_counts | review_counts

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.batching import BATCH, assign_first_batch, month_lookup, route_children, split_by_month, write_batches
+from strata.session import together
 from strata.sources.csv import read_raw
 from strata.sources.specs import META, SOURCE_FILE, SOURCES
 
@@ -46,15 +48,18 @@ def cut_into_batches(
     batches = sorted(r[0] for r in orders.select(BATCH).distinct().collect())  # one per month
     if not batches:
         raise ValueError("no order has a purchase month: there is nothing to split by")
-    write_batches(orders, f"{out_dir}/{ORDERS}")
     lookup = month_lookup(orders, "order_id")
-    for name, df in frames.items():
+
+    def write(name: str, df: DataFrame) -> None:
         if name == ORDERS:
-            continue
+            write_batches(orders, f"{out_dir}/{ORDERS}")
+            return
         child = name in CHILDREN
         write_batches(route_children(df, lookup, "order_id") if child else assign_first_batch(df, orders), f"{out_dir}/{name}")
         for b in batches if child else batches[:1]:
             _header_only(spark, f"{out_dir}/{name}/{BATCH}={b}", df.columns)
+
+    together(spark, [partial(write, *named) for named in frames.items()])
     return batches
 
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.dedupe import latest_per_key
 from strata.operators.quality import REASON, Counts, clean_part, rejected_part, tag_rejects
 from strata.plans.conform import ENTITIES, Entity, centroids, point_sums
-from strata.session import cut_lineage
+from strata.session import cut_lineage, together
 from strata.sources.csv import read_raw
 from strata.sources.lake import Lake
 from strata.sources.specs import BATCH_ID, META, RAW_RECORD, SOURCES, Source
@@ -28,15 +30,17 @@ def source_path(lake: Lake, batches_dir: str, batch_id: str, source: Source) ->
 def ingest_bronze(lake: Lake, batches_dir: str, batch_id: str) -> dict[str, Counts]:
     """Replace this batch's slice of every bronze table whose file exists
     in the batch (a header-only file empties the slice)."""
-    counts = {}
-    for name, source in SOURCES.items():
+
+    def ingest(name: str, source: Source) -> Counts | None:
         path = source_path(lake, batches_dir, batch_id, source)
         if path is None:
-            continue
+            return None
         raw = read_raw(lake.spark, path, source, batch_id)
         n = lake.replace_batch(raw, "bronze", name, batch_id)
-        counts[name] = Counts(n, n, 0)
-    return counts
+        return Counts(n, n, 0)
+
+    counts = together(lake.spark, [partial(ingest, *named) for named in SOURCES.items()])
+    return {name: c for name, c in zip(SOURCES, counts) if c is not None}
 
 
 def with_raw_record(raw: DataFrame, source: str) -> DataFrame:
@@ -287,17 +291,22 @@ def build_silver(
 ) -> dict[str, Counts]:
     """Silver for one batch. With ``prune`` a re-run that no longer
     delivers some keys removes them (default: upsert only); ``delivered``
-    names the sources whose file the batch held, even if empty."""
-    counts = {}
-    for name, entity in ENTITIES.items():
-        c = load_entity(lake, entity, batch_id, prune, delivered)
-        if c is not None:
-            counts[name] = c
-        if name == "category_translation" and c is not None:
-            r = refresh_product_categories(lake, batch_id)
-            if r is not None:
-                counts["product_category_refresh"] = r
-    return counts
+    names the sources whose file the batch held, even if empty. The tables
+    are loaded side by side, the products after the translation."""
+    translated = ("category_translation", "product")
+
+    def load(names: tuple[str, ...]) -> dict[str, Counts | None]:
+        counts = {}
+        for name in names:
+            counts[name] = load_entity(lake, ENTITIES[name], batch_id, prune, delivered)
+            if name == "category_translation" and counts[name] is not None:
+                counts["product_category_refresh"] = refresh_product_categories(lake, batch_id)
+        return counts
+
+    chains = [translated, *((name,) for name in ENTITIES if name not in translated)]
+    found = {name: c for part in together(lake.spark, [partial(load, chain) for chain in chains]) for name, c in part.items()}
+    order = [n for name in ENTITIES for n in ((name, "product_category_refresh") if name == "category_translation" else (name,))]
+    return {name: found[name] for name in order if found.get(name) is not None}
 
 
 __all__ = ["ingest_bronze", "build_silver", "load_entity", "REASON"]

@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import json
 from contextlib import contextmanager
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,21 +43,30 @@ BUCKET = "_bucket"
 #: the buckets of one number in all of them.
 CO_LOCATED = {name: ["order_id"] for name in ("order_item", "order_payment", "fact_order_items", "fact_payments")}
 STAGING = ("stage_", "touched_", "prev_", "gone_")
-TYPED_PARTITIONS = "spark.sql.sources.partitionColumnTypeInference.enabled"
+
+_CONF_LOCK = Lock()
+_CONF_HELD: dict[str, tuple[int, str | None]] = {}  # blocks that hold a setting, and its value before them
 
 
 @contextmanager
 def _conf(spark: SparkSession, key: str, value: str):
-    """A SQL setting for the jobs run inside the block."""
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, value)
+    """A SQL setting for the jobs run inside the block. Blocks of several
+    threads may overlap; the last one to end puts the old value back."""
+    with _CONF_LOCK:
+        held, old = _CONF_HELD.get(key) or (0, spark.conf.get(key, None))
+        _CONF_HELD[key] = (held + 1, old)
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
+        with _CONF_LOCK:
+            held, old = _CONF_HELD.pop(key)
+            if held > 1:
+                _CONF_HELD[key] = (held - 1, old)
+            elif old is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, old)
 
 
 #: Ends of the folders beside a table while a new state takes its place.
@@ -73,6 +83,7 @@ class Lake:
         self.root = root.rstrip("/")
         self.buckets = buckets
         self.resuming = False
+        self.written: dict[str, T.StructType] = {}  # columns of what this object wrote, by path
 
     # ---- paths -----------------------------------------------------------
     def path(self, layer: str, name: str) -> str:
@@ -163,7 +174,7 @@ class Lake:
         fresh = f"{path}{FRESH}"
         self._delete(fresh)
         by = self.bucket_keys(layer, name, keys)
-        table = self.spark.read.parquet(path).drop(BUCKET).withColumn(BUCKET, bucket_of(by, buckets))
+        table = self._table(path).drop(BUCKET).withColumn(BUCKET, bucket_of(by, buckets))
         self._write_buckets(table, fresh)
         self.set_marker(fresh, "_buckets", str(buckets))
         for name_ in ("_first_batch", "_bucketed_by"):
@@ -229,15 +240,24 @@ class Lake:
             if schema is None:
                 return None
             return self.spark.createDataFrame([], schema)
-        reader = self.spark.read
-        if schema is not None:
-            reader = reader.schema(schema)
-        elif self.widens(layer, name):
-            reader = reader.schema(self.union_schema(layer, name))
-        if any(d.startswith(f"{BUCKET}=") for d in self.list_dirs(self.path(layer, name))):
-            return reader.parquet(self.path(layer, name)).drop(BUCKET)
-        with _conf(self.spark, TYPED_PARTITIONS, "false"):  # a batch id is a string, also where it looks like a date
-            return reader.parquet(self.path(layer, name))
+        path = self.path(layer, name)
+        if schema is None and self.widens(layer, name):
+            schema = self.union_schema(layer, name).add(BATCH_ID, "string")
+        return (self._table(path) if schema is None else self.spark.read.schema(schema).parquet(path)).drop(BUCKET)
+
+    def _table(self, path: str, part: str | None = None) -> DataFrame:
+        """The table, or its slice ``part``. What this object wrote last is
+        read by the columns written, so no job opens files to learn them. A
+        batch id is a string, also where it looks like a date."""
+        known = self.written.get(part or path)
+        if known is None:
+            known = self.spark.read.option("basePath", path).parquet(part or path).schema
+        fields = [T.StructField(f.name, T.StringType() if f.name == BATCH_ID else f.dataType) for f in known]
+        return self.spark.read.option("basePath", path).schema(T.StructType(fields)).parquet(part or path)
+
+    def _wrote(self, schema: T.StructType, *paths: str) -> None:
+        for path in paths:
+            self.written[path] = schema
 
     @staticmethod
     def widens(layer: str, name: str) -> bool:
@@ -278,11 +298,10 @@ class Lake:
         part = f"{self.path(layer, name)}/{BATCH_ID}={batch_id}"
         if not self._files(part):
             return None
-        reader = self.spark.read.option("basePath", self.path(layer, name))
         if self.widens(layer, name):
-            reader = reader.schema(self.union_schema(layer, name))
-        with _conf(self.spark, TYPED_PARTITIONS, "false"):
-            return reader.parquet(part)
+            schema = self.union_schema(layer, name).add(BATCH_ID, "string")
+            return self.spark.read.option("basePath", self.path(layer, name)).schema(schema).parquet(part)
+        return self._table(self.path(layer, name), part)
 
     # ---- writes ----------------------------------------------------------
     def replace_batch(self, df: DataFrame, layer: str, name: str, batch_id: str) -> int:
@@ -294,20 +313,21 @@ class Lake:
         before = self._files(part)
         if self.widens(layer, name):
             self._widen(layer, name, df.schema)
+        labelled = df.withColumn(BATCH_ID, F.lit(batch_id))
         (
-            df.withColumn(BATCH_ID, F.lit(batch_id))
-            .write.mode("overwrite")
+            labelled.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(BATCH_ID)
             .parquet(self.path(layer, name))
         )
+        self._wrote(labelled.schema, self.path(layer, name), part)
         if not self._files(part) - before:
             self.drop_batch(layer, name, batch_id)
             return 0
         # The logged count is read back from the written slice (Parquet
         # footers): exact even if a lost executor made Spark recompute a
         # stage, which can make observed metrics count rows twice.
-        return self.spark.read.parquet(part).count()
+        return self._table(self.path(layer, name), part).count()
 
     def remember(self, df: DataFrame, name: str, batch_id: str) -> int:
         """Stage what describes the state before the batch changes it. While
@@ -349,6 +369,9 @@ class Lake:
             .partitionBy(BATCH_ID)
             .parquet(self.path(layer, name))
         )
+        for part in [p for p in self.written if p.startswith(f"{self.path(layer, name)}/")]:
+            del self.written[part]
+        self._wrote(df.schema, self.path(layer, name))
 
     def drop_batch(self, layer: str, name: str, batch_id: str) -> None:
         self._delete(f"{self.path(layer, name)}/{BATCH_ID}={batch_id}")
@@ -378,7 +401,7 @@ class Lake:
         buckets_hit = self._buckets_of(src)
         if not buckets_hit:
             return
-        target = self.spark.read.parquet(path).filter(F.col(BUCKET).isin(buckets_hit))
+        target = self._table(path).filter(F.col(BUCKET).isin(buckets_hit))
         # Both sides hash-partitioned by bucket: the join on (keys, bucket)
         # reuses that partitioning (keys are unique, so no bucket is hot)
         # and its output is laid out one bucket per task for the write.
@@ -413,7 +436,7 @@ class Lake:
         """Rows of the buckets ``hit`` (default: all), with ``_bucket``."""
         if not self.exists(layer, name):
             return None
-        table = self.spark.read.parquet(self.path(layer, name))
+        table = self._table(self.path(layer, name))
         return table if hit is None else table.filter(F.col(BUCKET).isin(hit))
 
     def replace_buckets(self, df: DataFrame, layer: str, name: str, hit: list[int]) -> None:
@@ -451,7 +474,7 @@ class Lake:
             return
         t = touched.select(*keys).distinct().withColumn(BUCKET, bucket_of(by, n))
         touched_buckets = set(self._buckets_of(t))
-        target = self.spark.read.parquet(path).filter(F.col(BUCKET).isin(sorted(touched_buckets)))
+        target = self._table(path).filter(F.col(BUCKET).isin(sorted(touched_buckets)))
         kept = target.join(t, [*keys, BUCKET], "left_anti")
         out = kept.unionByName(fresh_b.select(*target.columns))
         before = {b: self._files(f"{path}/{BUCKET}={b}") for b in touched_buckets}
@@ -467,6 +490,7 @@ class Lake:
             .partitionBy(BUCKET)
             .parquet(path)
         )
+        self._wrote(df.schema, path)
 
     def overwrite(self, df: DataFrame, layer: str, name: str) -> None:
         """Full rebuild, written beside the table and moved into its place
@@ -476,6 +500,7 @@ class Lake:
         path = self.path(layer, name)
         df.write.mode("overwrite").parquet(f"{path}{FRESH}")
         self._publish(path)
+        self._wrote(df.schema, path)
 
     def _publish(self, path: str) -> None:
         """The whole table at ``path + FRESH`` takes the place of ``path``."""

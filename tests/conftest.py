@@ -23,3 +23,11 @@ def spark():
 @pytest.fixture()
 def workdir():
     return tempfile.mkdtemp(prefix="strata-test-")
+
+
+@pytest.fixture(scope="module", autouse=True)
+def own_catalog(spark):
+    """What a test file registers leaves the session catalog with it."""
+    yield
+    for layer in ("bronze", "silver", "gold", "ops"):
+        spark.sql(f"DROP DATABASE IF EXISTS `{layer}` CASCADE")

@@ -34,7 +34,7 @@ from strata.operators.quality import (
 from strata.plans import aggs, dims, facts, reports
 from strata.plans.conform import ENTITIES, collapse_geolocation
 from strata.plans.run import run_batch
-from strata.session import configure, cut_lineage, shared_dir, together
+from strata.session import configure, cut_lineage, shared_dir, together, without_call_sites
 from strata.sources import testdata as td
 from strata.sources.csv import read_raw
 from strata.sources.lake import Lake
@@ -465,6 +465,7 @@ def q_surrogate_keys(spark: SparkSession, d: str) -> DataFrame:
 LOADED: dict[tuple[str, str], str] = {}
 
 
+@without_call_sites()
 def loaded_lake(spark: SparkSession, d: str) -> Lake:
     """All test tables loaded through ``run_batch``: three batches that hold
     every month, the first one wrong (freight, coordinates, scores), then the

@@ -52,6 +52,9 @@ def delivered(lake: Lake, entity: str, batch_id: str) -> DataFrame:
         return table.limit(0)
     keys = list(ENTITIES[entity].keys)
     staged = staged.drop("_batch_id").withColumnRenamed("_version", "_batch_id").select(*table.columns)
+    newest = lake.newest("silver", entity)
+    if newest is not None and newest <= batch_id:
+        return staged  # no newer batch has written the table
     newer = lake.read_touched("silver", entity, staged.select(*keys), keys).filter(F.col("_batch_id") > batch_id)
     return staged.join(newer.select(*keys), keys, "left_anti")
 
@@ -67,12 +70,24 @@ def narrowed(lake: Lake, entity: str, by: DataFrame) -> DataFrame:
 
 
 def with_batch_rows(lake: Lake, entity: str, touched_orders: DataFrame, batch_id: str) -> DataFrame:
-    """Rows delivered by this batch, plus rows of orders this batch changed
-    (their facts depend on the order's dates and status)."""
-    own = delivered(lake, entity, batch_id)
-    keys = list(ENTITIES[entity].keys)
-    others = narrowed(lake, entity, touched_orders.select("order_id"))
-    return others.join(own.select(*keys), keys, "left_anti").unionByName(own.select(*others.columns))
+    """Rows of orders this batch changed (their facts depend on the order's
+    dates and status), plus rows delivered by this batch for other orders. The
+    delivered rows are in silver already, so the two parts share none."""
+    touched = touched_orders.select("order_id")
+    changed = narrowed(lake, entity, touched)
+    rest = delivered(lake, entity, batch_id).join(touched, "order_id", "left_anti")
+    return changed.unionByName(rest.select(*changed.columns))
+
+
+def stage_orders_of(lake: Lake, name: str, rows: DataFrame, batch_id: str) -> tuple[DataFrame, DataFrame]:
+    """The orders of ``rows``, staged since several steps read them, and the
+    customers of these orders."""
+    orders = silver(lake, "order")
+    near = narrowed(lake, "order", rows.select("order_id"))
+    lake.write_batch(near.drop(BATCH_ID), "ops", f"stage_orders_of_{name}", batch_id)
+    staged = lake.read_batch("ops", f"stage_orders_of_{name}", batch_id)
+    near = orders.limit(0) if staged is None else staged.select(*orders.columns)
+    return near, narrowed(lake, "customer", near.select("customer_id"))
 
 
 def products_of(lake: Lake, batch_id: str) -> DataFrame:
@@ -116,9 +131,9 @@ def observe_products(lake: Lake, batch_id: str) -> tuple[int, list[str]]:
     earlier = lake.read_batch("state", SEEN, batch_id) if before else None
     if earlier is not None:
         said = said.unionByName(earlier.select(*dims.PRODUCT_ATTRS).join(said.select("product_id"), "product_id", "left_anti"))
-        lake.replace_batch(said, "ops", "stage_seen_products", batch_id)
+        lake.write_batch(said, "ops", "stage_seen_products", batch_id)
         said = lake.read_batch("ops", "stage_seen_products", batch_id).select(*dims.PRODUCT_ATTRS)
-    lake.replace_batch(said, "state", SEEN, batch_id)
+    lake.write_batch(said, "state", SEEN, batch_id)
     return n, before
 
 
@@ -177,10 +192,11 @@ def build_dim_product(lake: Lake, batch_id: str) -> Counts | None:
 ITEM_KEYS = ["order_id", "order_item_id"]
 
 
-def stage_fact_orders(lake: Lake, staged: DataFrame | None, gone: DataFrame | None, batch_id: str) -> None:
-    """The orders whose fact rows this batch writes or removes."""
-    parts = [p.select("order_id") for p in (staged, gone) if p is not None]
-    lake.remember(_union(parts), "touched_fact_orders", batch_id)
+def stage_fact_orders(lake: Lake, orders: DataFrame | None, gone: DataFrame | None, batch_id: str) -> None:
+    """The orders whose fact rows this batch writes (a row for each in
+    ``orders``) or removes."""
+    parts = [p.select("order_id") for p in (orders, gone) if p is not None]
+    lake.remember(_union(parts) if gone is not None else parts[0], "touched_fact_orders", batch_id)
 
 
 def delete_gone_facts(lake: Lake, table: str, gone: DataFrame | None, keys: list[str]) -> None:
@@ -228,7 +244,7 @@ def stage_state(lake: Lake, agg: aggs.Aggregate, orders: DataFrame, batch_id: st
     """Stage the new parts of the buckets that hold ``orders`` and the new
     sums of the groups these change, and mark them as ready."""
     def staged(df: DataFrame, name: str) -> DataFrame:
-        lake.replace_batch(df, "ops", name, batch_id)
+        lake.write_batch(df, "ops", name, batch_id)
         back = lake.read_batch("ops", name, batch_id)
         return lake.spark.createDataFrame([], df.schema) if back is None else back.select(*df.columns)
 
@@ -275,7 +291,7 @@ def log_soft_checks(lake: Lake, items: DataFrame, orders: DataFrame, batch_id: s
     """Warnings (never rejects) on this batch's items with their orders."""
     o = orders.select("order_id", "purchase_ts", "approved_ts", "delivered_customer_ts")
     j = items.select("order_id", "shipping_limit_ts").join(o, "order_id")
-    lake.replace_batch(soft_check_counts(j, SOFT_CHECKS), "ops", "soft_checks", batch_id)
+    lake.write_batch(soft_check_counts(j, SOFT_CHECKS), "ops", "soft_checks", batch_id)
 
 
 # Type-1 dimensions and the silver tables they depend on.
@@ -432,23 +448,22 @@ def build_gold(
         parts += [orders.join(b, "customer_id", "left_semi").select("order_id") for b in buyers if b is not None]
         if (spliced := lake.read_batch("ops", "touched_versions", batch_id)) is not None:
             parts.append(silver(lake, "order_item").join(spliced.select("product_id"), "product_id", "left_semi").select("order_id"))
-        lake.replace_batch(_union([p for p in parts if p is not None]), "ops", "stage_orders", batch_id)
+        lake.write_batch(_union([p for p in parts if p is not None]), "ops", "stage_orders", batch_id)
         touched = lake.read_batch("ops", "stage_orders", batch_id)
         return (orders.limit(0) if touched is None else touched).select("order_id")
 
     def item_fact(touched: DataFrame) -> dict[str, Counts]:
-        # the batch's items are gathered once; orders and customers are narrowed
-        # to them before they are joined
+        # the batch's items are gathered once, and so are their orders; customers
+        # are narrowed to them before they are joined
         counts = {}
         products = lake.read("gold", "dim_product")
         if products is None:
             products = dims.unknown_product(spark).filter(F.lit(False))
         n_items = lake.replace_batch(with_batch_rows(lake, "order_item", touched, batch_id).withColumnRenamed("_batch_id", "_version"), "ops", "stage_items", batch_id)
-        staged, n_out = None, 0
+        staged, near_orders, n_out = None, None, 0
         if n_items:
             items = lake.read_batch("ops", "stage_items", batch_id).drop("_batch_id")
-            near_orders = narrowed(lake, "order", items.select("order_id"))
-            near_customers = narrowed(lake, "customer", near_orders.select("customer_id"))
+            near_orders, near_customers = stage_orders_of(lake, "items", items, batch_id)
             fact = facts.fact_order_items(items, near_orders, near_customers, products)
             n_out, _ = together(
                 spark,
@@ -458,9 +473,9 @@ def build_gold(
             counts["fact_order_items"] = Counts(n_items, n_out, n_items - n_out)  # inner join on a key: the rest are orphans
         gone_facts = stage_gone_facts(lake, "fact_order_items", staged, touched, ITEM_KEYS, batch_id) if prune else None
         if staged is not None or gone_facts is not None:
-            stage_fact_orders(lake, staged, gone_facts, batch_id)
+            stage_fact_orders(lake, None if staged is None else near_orders, gone_facts, batch_id)
             if staged is not None:
-                lake.upsert_keyed(staged, "gold", "fact_order_items", ITEM_KEYS, label_col="_batch_id")
+                lake.upsert_keyed(staged, "gold", "fact_order_items", ITEM_KEYS, label_col="_batch_id", batch_id=batch_id)
             delete_gone_facts(lake, "fact_order_items", gone_facts, ITEM_KEYS)
             refresh_aggregates(lake, batch_id)
         return counts
@@ -471,15 +486,18 @@ def build_gold(
         keys = list(ENTITIES[entity].keys)
         n = lake.replace_batch(fact, "ops", f"stage_{table}", batch_id)
         if n:
-            lake.upsert_keyed(lake.read_batch("ops", f"stage_{table}", batch_id), "gold", table, keys, label_col="_batch_id")
+            lake.upsert_keyed(lake.read_batch("ops", f"stage_{table}", batch_id), "gold", table, keys, label_col="_batch_id", batch_id=batch_id)
         if prune:
             delete_gone_facts(lake, table, lake.read_batch("ops", f"gone_{entity}", batch_id), keys)
         return {table: Counts(n, n, 0)} if n else {}
 
     def payment_fact(touched: DataFrame) -> dict[str, Counts]:
-        payments = with_batch_rows(lake, "order_payment", touched, batch_id)
-        near_orders = narrowed(lake, "order", payments.select("order_id"))
-        near_customers = narrowed(lake, "customer", near_orders.select("customer_id"))
+        payments = with_batch_rows(lake, "order_payment", touched, batch_id).withColumnRenamed("_batch_id", "_version")
+        if lake.write_batch(payments, "ops", "stage_payments", batch_id):
+            payments = lake.read_batch("ops", "stage_payments", batch_id)
+        else:
+            payments = silver(lake, "order_payment").limit(0)
+        near_orders, near_customers = stage_orders_of(lake, "payments", payments, batch_id)
         return other_fact("fact_payments", "order_payment", facts.fact_payments(payments, near_orders, near_customers))
 
     def review_fact() -> dict[str, Counts]:

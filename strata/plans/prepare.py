@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.batching import BATCH, assign_first_batch, month_lookup, route_children, split_by_month, write_batches
-from strata.session import together
+from strata.session import together, without_call_sites
 from strata.sources.csv import read_raw
 from strata.sources.specs import META, SOURCE_FILE, SOURCES
 
@@ -35,6 +35,7 @@ def _header_only(spark: SparkSession, folder: str, columns: list[str]) -> None:
         out.close()
 
 
+@without_call_sites()
 def cut_into_batches(
     spark: SparkSession, frames: dict[str, DataFrame], out_dir: str, batch_of: Callable[[Column], Column] | None = None
 ) -> list[str]:
@@ -48,18 +49,22 @@ def cut_into_batches(
     batches = sorted(r[0] for r in orders.select(BATCH).distinct().collect())  # one per month
     if not batches:
         raise ValueError("no order has a purchase month: there is nothing to split by")
-    lookup = month_lookup(orders, "order_id")
+    lookup = month_lookup(orders, "order_id").persist()  # every child joins it
+    first = spark.createDataFrame([(batches[0],)], f"{BATCH} string")
 
     def write(name: str, df: DataFrame) -> None:
         if name == ORDERS:
             write_batches(orders, f"{out_dir}/{ORDERS}")
             return
         child = name in CHILDREN
-        write_batches(route_children(df, lookup, "order_id") if child else assign_first_batch(df, orders), f"{out_dir}/{name}")
+        write_batches(route_children(df, lookup, "order_id") if child else assign_first_batch(df, first), f"{out_dir}/{name}")
         for b in batches if child else batches[:1]:
             _header_only(spark, f"{out_dir}/{name}/{BATCH}={b}", df.columns)
 
-    together(spark, [partial(write, *named) for named in frames.items()])
+    try:
+        together(spark, [partial(write, *named) for named in frames.items()])
+    finally:
+        lookup.unpersist()
     return batches
 
 

@@ -81,7 +81,7 @@ def typed_slice(lake: Lake, entity: Entity, batch_id: str) -> DataFrame | None:
 def keep_point_sums(lake: Lake, batch_id: str, points: DataFrame) -> None:
     """Per zip the sums of this batch's valid points, in place of those of
     its last run."""
-    lake.replace_batch(point_sums(points), "state", "zip_points", batch_id)
+    lake.write_batch(point_sums(points), "state", "zip_points", batch_id)
 
 
 def centroids_of(lake: Lake, zips: DataFrame) -> DataFrame:
@@ -126,16 +126,17 @@ def touched_zips(lake: Lake, batch_id: str, points: DataFrame) -> DataFrame:
     earlier = lake.read_batch("ops", "zips_of_batch", batch_id)
     touched = now if earlier is None else now.unionByName(earlier.select("zip_prefix")).distinct()
     lake.remember(touched, "touched_zips", batch_id)
-    lake.replace_batch(now, "ops", "zips_of_batch", batch_id)
+    lake.write_batch(now, "ops", "zips_of_batch", batch_id)
     staged = lake.read_batch("ops", "touched_zips", batch_id)
     return now if staged is None else staged.select("zip_prefix")
 
 
-def stage_gone_rows(lake: Lake, entity: Entity, kept: DataFrame | None, batch_id: str) -> int:
+def stage_gone_rows(lake: Lake, entity: Entity, kept: DataFrame | None, batch_id: str) -> bool:
     """Silver rows this batch delivered earlier but no longer delivers
-    (a re-run with fewer rows), staged before anything is rewritten."""
+    (a re-run with fewer rows), staged before anything is rewritten. Tells
+    whether there are any."""
     if entity.name == "geolocation" or not lake.exists("silver", entity.name):
-        return 0
+        return False
     keys = list(entity.keys)
     labelled = lake.read("silver", entity.name).filter(F.col("_batch_id") == batch_id)
     gone = labelled if kept is None else labelled.join(kept.select(*keys), keys, "left_anti")
@@ -172,10 +173,11 @@ def load_entity(
                 delete_gone_rows(lake, entity, batch_id)
             return Counts(0, 0, 0)
         return None
-    # one scan of the slice, tagged; rejects and clean rows are read from it
+    # the bronze slice is scanned for the rejects and for the clean rows, which
+    # costs less than a tagged copy of it: a slice has as many rows as it has
+    # typed ones (products meet at most one translation)
     tagged = tag_rejects(typed, list(entity.rules))
-    n_in = lake.replace_batch(tagged.withColumnRenamed("_batch_id", "_version"), "ops", f"stage_tagged_{entity.name}", batch_id)
-    tagged = lake.read_batch("ops", f"stage_tagged_{entity.name}", batch_id).drop("_batch_id").withColumnRenamed("_version", "_batch_id")
+    n_in = lake.count_batch("bronze", entity.source, batch_id)
     n_bad = lake.replace_batch(raw_as_text(rejected_part(tagged)), "silver", f"quarantine_{entity.name}", batch_id)
     clean = clean_part(tagged).drop(RAW_RECORD)
     if entity.name == "geolocation":
@@ -188,11 +190,11 @@ def load_entity(
     staged = None
     if rows_out:
         staged = lake.read_batch("ops", stage, batch_id).drop("_batch_id").withColumnRenamed("_version", "_batch_id")
-    n_gone = stage_gone_rows(lake, entity, staged, batch_id) if prune else 0
+    any_gone = stage_gone_rows(lake, entity, staged, batch_id) if prune else False
     if staged is not None:
         stage_previous_values(lake, entity, staged, batch_id)
-        lake.upsert_keyed(staged, "silver", entity.name, list(entity.keys), version_col="_batch_id")
-    if n_gone:
+        lake.upsert_keyed(staged, "silver", entity.name, list(entity.keys), version_col="_batch_id", batch_id=batch_id)
+    if any_gone:
         delete_gone_rows(lake, entity, batch_id)
     return Counts(n_in, rows_out, n_bad)
 
@@ -245,7 +247,7 @@ def refresh_product_categories(lake: Lake, batch_id: str) -> Counts | None:
     if not n:
         return None
     staged = lake.read_batch("ops", "stage_product_refresh", batch_id).drop("_batch_id").withColumnRenamed("_version", "_batch_id")
-    lake.upsert_keyed(staged, "silver", "product", ["product_id"], version_col="_batch_id")
+    lake.upsert_keyed(staged, "silver", "product", ["product_id"], version_col="_batch_id", batch_id=batch_id)
     return Counts(n, n, 0)
 
 
@@ -281,7 +283,7 @@ def replay_rejects(lake: Lake, entity: Entity, rules: list[tuple[str, str]], bat
     if n_out:
         staged = lake.read_batch("ops", stage, batch_id).drop("_batch_id").withColumnRenamed("_version", "_batch_id")
         stage_previous_values(lake, entity, staged, batch_id)
-        lake.upsert_keyed(staged, "silver", entity.name, keys, version_col="_batch_id")
+        lake.upsert_keyed(staged, "silver", entity.name, keys, version_col="_batch_id", batch_id=batch_id)
     n_left = lake.replace_batch(rejected_part(tagged), "silver", f"quarantine_{entity.name}", batch_id)
     return Counts(n_in, n_out, n_left)
 

@@ -5,7 +5,8 @@
   never duplicates and never leaves a half-deleted slice behind
 * keyed tables (silver, facts, type-2 dims) are partitioned by
   ``_bucket = pmod(xxhash64(keys), buckets)``; an upsert reads only the
-  buckets the source touches and rewrites just those. What hangs on an order
+  buckets the source touches and rewrites just those, or adds files to them
+  where a new batch brings new keys only. What hangs on an order
   is bucketed by ``order_id`` alone (``CO_LOCATED``), so the orders a batch
   touches name the buckets of every table that holds their rows
 * state tables (``state/*``) keep what the aggregates and centroids are summed
@@ -39,6 +40,10 @@ from strata.operators.merge import upsert
 from strata.sources.specs import BATCH_ID
 
 BUCKET = "_bucket"
+PIECE = "_piece"  # part of a bucket, where a merge has more cores than buckets
+#: A bucket of this many files is rewritten by the next upsert that meets it,
+#: even one that only adds keys.
+MOST_FILES = 64
 #: Tables laid out by part of their key, so that the rows of an order lie in
 #: the buckets of one number in all of them.
 CO_LOCATED = {name: ["order_id"] for name in ("order_item", "order_payment", "fact_order_items", "fact_payments")}
@@ -177,7 +182,7 @@ class Lake:
         table = self._table(path).drop(BUCKET).withColumn(BUCKET, bucket_of(by, buckets))
         self._write_buckets(table, fresh)
         self.set_marker(fresh, "_buckets", str(buckets))
-        for name_ in ("_first_batch", "_bucketed_by"):
+        for name_ in ("_first_batch", "_bucketed_by", "_newest"):
             if (kept := self.marker(path, name_)) is not None:
                 self.set_marker(fresh, name_, kept)
         self._publish(path)
@@ -305,8 +310,21 @@ class Lake:
 
     # ---- writes ----------------------------------------------------------
     def replace_batch(self, df: DataFrame, layer: str, name: str, batch_id: str) -> int:
+        """Replace the slice (:meth:`write_batch`) and return its row count."""
+        if not self.write_batch(df, layer, name, batch_id):
+            return 0
+        return self.count_batch(layer, name, batch_id)
+
+    def count_batch(self, layer: str, name: str, batch_id: str) -> int:
+        """Rows of a written slice, read back from its files (Parquet
+        footers): exact even if a lost executor made Spark recompute a
+        stage, which can make observed metrics count rows twice."""
+        path = self.path(layer, name)
+        return self._table(path, f"{path}/{BATCH_ID}={batch_id}").count()
+
+    def write_batch(self, df: DataFrame, layer: str, name: str, batch_id: str) -> bool:
         """Replace the ``_batch_id = batch_id`` slice with ``df`` in one
-        write (dynamic partition overwrite) and return its row count. A
+        write (dynamic partition overwrite) and tell whether it has rows. A
         write without rows replaces nothing: then the slice still has its
         old files, and it is dropped."""
         part = f"{self.path(layer, name)}/{BATCH_ID}={batch_id}"
@@ -323,19 +341,16 @@ class Lake:
         self._wrote(labelled.schema, self.path(layer, name), part)
         if not self._files(part) - before:
             self.drop_batch(layer, name, batch_id)
-            return 0
-        # The logged count is read back from the written slice (Parquet
-        # footers): exact even if a lost executor made Spark recompute a
-        # stage, which can make observed metrics count rows twice.
-        return self._table(self.path(layer, name), part).count()
+            return False
+        return True
 
-    def remember(self, df: DataFrame, name: str, batch_id: str) -> int:
+    def remember(self, df: DataFrame, name: str, batch_id: str) -> bool:
         """Stage what describes the state before the batch changes it. While
         a batch is run again after a crash, rows of the broken run are kept
         too: they describe the state that run has already changed."""
         if self.resuming and (earlier := self.read_batch("ops", name, batch_id)) is not None:
             df = df.unionByName(earlier.select(*df.columns)).distinct()
-        return self.replace_batch(df, "ops", name, batch_id)
+        return self.write_batch(df, "ops", name, batch_id)
 
     # ---- batch state -----------------------------------------------------
     def begin(self, batch_id: str, what: str = "running") -> None:
@@ -385,16 +400,23 @@ class Lake:
         version_col: str | None = None,
         buckets: int | None = None,
         label_col: str | None = None,
+        batch_id: str | None = None,
     ) -> None:
         """Upsert ``source`` (unique per key) into a bucketed keyed table.
 
         Only buckets holding a source key are read (a semi join on the
-        partition column, pruned at run time) and rewritten.
+        partition column, pruned at run time) and rewritten. ``batch_id`` is
+        the label that all rows of ``source`` have: rows of a batch newer than
+        all others, none of whose keys is in the table, are added to their
+        buckets as files of their own, and nothing is rewritten.
         """
         path = self.path(layer, name)
         n, by = self.bucket_count(path, buckets), self.bucket_keys(layer, name, keys)
         src = source.withColumn(BUCKET, bucket_of(by, n))
-        if not self.exists(layer, name):
+        there, newest = self.exists(layer, name), self.newest(layer, name)
+        if batch_id is not None and (not there or newest is not None):
+            self.set_marker(path, "_newest", max(batch_id, newest or ""))
+        if not there:
             self._write_buckets(src, path)
             self._remember_buckets(path, n, by)
             return
@@ -402,14 +424,37 @@ class Lake:
         if not buckets_hit:
             return
         target = self._table(path).filter(F.col(BUCKET).isin(buckets_hit))
+        if batch_id is not None and newest is not None and newest < batch_id and self._only_adds(path, src, target, keys, buckets_hit):
+            self._write_buckets(src.select(*target.columns), path, mode="append")
+            return
         # Both sides hash-partitioned by bucket: the join on (keys, bucket)
         # reuses that partitioning (keys are unique, so no bucket is hot)
-        # and its output is laid out one bucket per task for the write.
+        # and its output is laid out one bucket per task for the write. Where
+        # there are more cores than buckets, each is cut into pieces by a hash
+        # of the keys.
+        pieces = -(-3 * self.spark.sparkContext.defaultParallelism // len(buckets_hit))
+        cut = {PIECE: F.pmod(F.hash(*[F.col(k) for k in keys]), F.lit(pieces))}
         with _conf(self.spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
-            t = target.repartition(BUCKET)
-            s = src.select(*target.columns).repartition(BUCKET)
-            merged = upsert(t, s, [*keys, BUCKET], version_col, label_col)
-            self._write_buckets(merged, path, shuffle=False)
+            t = target.withColumns(cut).repartition(BUCKET, PIECE)
+            s = src.select(*target.columns).withColumns(cut).repartition(BUCKET, PIECE)
+            merged = upsert(t, s, [*keys, BUCKET, PIECE], version_col, label_col)
+            self._write_buckets(merged.drop(PIECE), path, shuffle=False)
+
+    def newest(self, layer: str, name: str) -> str | None:
+        """The greatest batch id among the labels of a keyed table's rows, or
+        one greater still (None: not known)."""
+        return self.marker(self.path(layer, name), "_newest")
+
+    def _only_adds(self, path: str, src: DataFrame, target: DataFrame, keys: list[str], hit: list[int]) -> bool:
+        """``src`` has the table's columns and none of its keys, and the
+        buckets ``hit`` have room for more files."""
+        types = [{f.name: f.dataType for f in df.schema} for df in (src, target)]
+        if any(types[0].get(c) != kind for c, kind in types[1].items()):
+            return False
+        if max(len(self._files(f"{path}/{BUCKET}={b}")) for b in hit) >= MOST_FILES:
+            return False
+        on = [*keys, BUCKET]
+        return target.select(*on).join(src.select(*on), on, "left_semi").isEmpty()
 
     def _buckets_of(self, df: DataFrame) -> list[int]:
         """Buckets ``df`` touches: at most ``buckets`` small ints, so safe to
@@ -485,8 +530,8 @@ class Lake:
         # a bucket larger than the advisory size is written by several tasks
         (
             (df.hint("rebalance", BUCKET) if shuffle else df)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", mode)
+            .write.mode("append" if mode == "append" else "overwrite")
+            .option("partitionOverwriteMode", "dynamic" if mode == "append" else mode)
             .partitionBy(BUCKET)
             .parquet(path)
         )
@@ -527,4 +572,4 @@ class Lake:
     def replace_rows(self, rows: list[tuple], schema: str, layer: str, name: str, batch_id: str) -> None:
         """Replace a batch slice with a few driver-side rows (the run log:
         one row per table, so its size is fixed by the table list)."""
-        self.replace_batch(self.spark.createDataFrame(rows, schema), layer, name, batch_id)
+        self.write_batch(self.spark.createDataFrame(rows, schema), layer, name, batch_id)
